@@ -166,9 +166,13 @@ def load_fights(job: Job) -> int:
     upstream = last_value(job.up_to_now("events"), "event_name", ["run", "position"]).scalar()
     done = last_value(job.earlier("fights"), "event_name", place).scalar()
     new = gap_after_done(job.staged("links"), "event_name", "position", upstream, done)
+    new = job.stage(new, "new_events")
     rows = job.stage(extract.card_fights(_event_pages(job, new)), "fights")
     unreadable = F.concat_ws("#", "event_name", "fight_id").alias("key")
-    job.reject(rows.filter(~F.col("readable")).select(unreadable, F.lit("part of fight row absent").alias("reason")), "fights")
+    unreadable = rows.filter(~F.col("readable")).select(unreadable, F.lit("part of fight row absent").alias("reason"))
+    missing = new.join(job.pages.select(F.col("url").alias("link")), "link", "left_anti")
+    missing = missing.select(F.col("event_name").alias("key"), F.lit("no page").alias("reason"))
+    job.reject(unreadable.unionByName(missing), "fights")
     kept = missing_to_null(rows.filter("readable"), MISSING_IN_FIGHTS)
     kept = kept.withColumn("fight_id", F.col("fight_id").cast("string"))
     kept = not_yet_stored(kept, job.other_runs("fights"), ["event_name", "fight_id", "fight_stats_link"])
