@@ -25,16 +25,15 @@ def _pages(spark, d):
 
 
 @check(
-    rf"""SELECT page_id, (n - i)::INT AS position, {_sql_text("rows[i]")} AS name FROM
+    rf"""SELECT page_id, (n - i + 1)::INT AS position, {_sql_text("rows[i]")} AS name FROM
     (SELECT page_id, rows, len(rows) AS n, unnest(range(2, len(rows) + 1)) AS i FROM
       (SELECT page_id, regexp_extract_all({_BODY}, '{_LI}') AS rows FROM pages))"""
 )
 def html_index_rows(spark, d):
-    """Rows after the first, numbered from the last one up (n - i is the 0-based count from the end)."""
+    """Rows after the first, numbered from the last one up."""
     rows = html.elements(F.col("html"), "li")
-    rest = F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0)))
-    out = numbered(_pages(spark, d).select("page_id", "html"), rest, "row", "number", oldest_first=True)
-    return out.select("page_id", (F.col("number") - 1).alias("position"), html.text(F.col("row")).alias("name"))
+    out = numbered(_pages(spark, d).select("page_id", "html"), rows, "row", "position", skip=1, oldest_first=True)
+    return out.select("page_id", "position", html.text(F.col("row")).alias("name"))
 
 
 @check(

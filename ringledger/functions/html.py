@@ -4,15 +4,22 @@ A fragment is the outer text of one element. Elements of one tag must not be nes
 for the rows, cells and lines of the result pages.
 """
 
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ringledger.functions.text import trimmed
+
 # rest of a tag; a quoted value may hold any character
 _REST = r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*"""
 _TAG = rf"<[/!a-zA-Z]{_REST}>"
-_BLANK = r"[\s\x1c-\x1f]"
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, also inside array functions, where Spark shares nothing."""
+    return F.transform(F.array(value), use)[0]
 
 
 def _class_test(name: str) -> str:
@@ -38,14 +45,16 @@ def elements(fragment: Column, tag: str, cls: str | None = None) -> Column:
 
 def first(fragment: Column, tag: str, cls: str | None = None) -> Column:
     """First element of a tag, NULL if there is none."""
-    return F.nullif(F.regexp_extract(fragment, rf"(?is){_opening(tag, cls)}.*?</{tag}\s*>", 0), F.lit(""))
+    found = F.regexp_extract(fragment, rf"(?is){_opening(tag, cls)}.*?</{tag}\s*>", 0)
+    return _once(found, lambda x: F.when(x != "", x))
 
 
 def attribute(fragment: Column, name: str) -> Column:
     """Attribute of the fragment's own tag, NULL if it is absent."""
-    pattern = rf"""(?is)^<[a-z0-9]+(?=[\s>/]){_REST}?\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    value = F.concat(*[F.regexp_extract(fragment, pattern, g) for g in (1, 2, 3)])
-    return F.when(fragment.rlike(pattern), entities(value))
+    quoted = rf"""(?is)^<[a-z0-9]+(?=[\s>/]){_REST}?\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    # an empty value is found with its quotes, so no text means no attribute
+    bare = _once(F.regexp_extract(fragment, quoted, 1), lambda x: F.when(x != "", F.regexp_replace(x, "^[\"']|[\"']$", "")))
+    return entities(bare)
 
 
 # names without the closing semicolon in the standard table are left out: pages close their entities
@@ -73,20 +82,19 @@ def _entity(token: Column) -> Column:
 
 def entities(text: Column) -> Column:
     """Character references decoded in one pass, so that a decoded `&` starts no other reference."""
-    tokens = F.regexp_extract_all(text, F.lit("&[#A-Za-z0-9]+;|[^&]+|&"), F.lit(0))
-    return F.when(text.contains("&"), F.array_join(F.transform(tokens, _entity), "")).otherwise(text)
 
+    def decoded(x: Column) -> Column:
+        tokens = F.regexp_extract_all(x, F.lit("&[#A-Za-z0-9]+;|[^&]+|&"), F.lit(0))
+        return F.when(x.contains("&"), F.array_join(F.transform(tokens, _entity), "")).otherwise(x)
 
-def _trim(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U)^{_BLANK}+|{_BLANK}+$", "")
+    return _once(text, decoded)
 
 
 def text(fragment: Column) -> Column:
     """Text of an element, trimmed at both ends only."""
-    return _trim(entities(F.regexp_replace(fragment, _TAG, "")))
+    return trimmed(entities(F.regexp_replace(fragment, _TAG, "")))
 
 
 def tight_text(fragment: Column) -> Column:
     """Text of an element, every text node trimmed and the nodes joined without a separator."""
-    spaced = F.regexp_replace(fragment, "&nbsp;|&#160;", "\u00a0")
-    return _trim(entities(F.regexp_replace(spaced, rf"(?U){_BLANK}*{_TAG}{_BLANK}*", "")))
+    return F.array_join(F.transform(F.split(fragment, _TAG), lambda node: trimmed(entities(node))), "")

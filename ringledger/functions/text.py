@@ -3,9 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ringledger.values import PREVIEW_CHARS
-
-_BLANK = r"[\s\x1c-\x1f]"
+from ringledger.values import BLANKS, PREVIEW_CHARS
 
 
 def title_case(c: Column) -> Column:
@@ -20,10 +18,15 @@ def preview(role: Column, content: Column, chars: int = PREVIEW_CHARS) -> Column
     return F.concat(F.lit("- "), role, F.lit(": "), F.substring(content, 1, chars), F.lit("..."))
 
 
+def trimmed(c: Column) -> Column:
+    """Without blanks at both ends."""
+    return F.btrim(c, F.lit(BLANKS))
+
+
 def strip_fences(c: Column) -> Column:
     """Code fences removed, with an optional `sql` tag and the blanks after it; ends trimmed."""
-    opened = F.regexp_replace(c, rf"(?U)```(?:sql)?{_BLANK}*", "")
-    return F.regexp_replace(F.replace(opened, F.lit("```"), F.lit("")), rf"(?U)^{_BLANK}+|{_BLANK}+$", "")
+    opened = F.regexp_replace(c, f"```(?:sql)?[{BLANKS}]*", "")
+    return trimmed(F.replace(opened, F.lit("```"), F.lit("")))
 
 
 def field_of_line(line: Column, index: int, splits: int = 2) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ringledger.functions.text import preview
+from ringledger.functions.text import preview, trimmed
 from ringledger.operators.blocks import ROWS_PER_BLOCK, carry_forward, running_sum
 from ringledger.operators.latest import last_rows
 from ringledger.values import KEPT_MESSAGES, PROMPT_MESSAGES, SUMMARY_MESSAGES
@@ -30,7 +30,7 @@ def prompt_lines(messages: DataFrame, keys: Sequence[str], order: Sequence[str],
 def summary_messages(messages: DataFrame, keys: Sequence[str], order: Sequence[str], content: str) -> DataFrame:
     """The latest messages without the blank ones; blanks still count towards the limit."""
     rows = last_rows(messages, keys, _newest(order), SUMMARY_MESSAGES)
-    return rows.filter(F.col(content).rlike(r"\S"))
+    return rows.filter(trimmed(F.col(content)) != "")
 
 
 def sessions(

@@ -1,5 +1,8 @@
 """Result pages to rows. One lazy job per page kind; a page or row that cannot be read goes to the rejects."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,24 +26,25 @@ from ringledger.values import (
 )
 
 
-def _rows_after_first(fragment: Column, tag: str, cls: str | None) -> Column:
-    found = html.elements(fragment, tag, cls)
-    return F.slice(found, 2, F.greatest(F.size(found) - 1, F.lit(0)))
-
+def numbered(
+    df: DataFrame, items: Column, item: str, number: str, skip: int = 0, oldest_first: bool = False
+) -> DataFrame:
+    """One row per item after the first `skip`, with its number from 1.
 
-def numbered(df: DataFrame, items: Column, item: str, number: str, oldest_first: bool = False) -> DataFrame:
-    """One row per item with its number from 1, counted from the other end if the page lists the newest first."""
+    `oldest_first` counts from the other end, for pages that list the newest first.
+    """
+    # the outer form, since Spark puts a filter that computes the items once more below the plain one
     rows = df.withColumn("_items", items).select(
-        *df.columns, F.size("_items").alias("_n"), F.posexplode("_items").alias("_at", item)
+        *df.columns, F.size("_items").alias("_n"), F.posexplode_outer("_items").alias("_at", item)
     )
-    place = (F.col("_n") - F.col("_at")) if oldest_first else (F.col("_at") + 1)
-    return rows.withColumn(number, place).drop("_n", "_at")
+    place = (F.col("_n") - F.col("_at")) if oldest_first else (F.col("_at") + 1 - skip)
+    return rows.filter(F.col("_at") >= skip).withColumn(number, place).drop("_n", "_at")
 
 
 def _index_rows(pages: DataFrame) -> DataFrame:
     body = html.first(html.markup(F.col("html")), "tbody")
-    rows = _rows_after_first(body, "tr", LIST_ROW)
-    return numbered(pages.select("html"), rows, "row", "position", oldest_first=True).drop("html")
+    rows = html.elements(body, "tr", LIST_ROW)
+    return numbered(pages.select("html"), rows, "row", "position", skip=1, oldest_first=True).drop("html")
 
 
 def index_events(pages: DataFrame) -> DataFrame:
@@ -72,7 +76,7 @@ def index_links(pages: DataFrame) -> DataFrame:
 def directory_fighters(pages: DataFrame) -> DataFrame:
     """Fighter rows of the directory pages; pages without a table and rows with under 11 cells give nothing."""
     body = html.first(html.markup(F.col("html")), "tbody")
-    rows = pages.select(F.explode(html.elements(body, "tr", LIST_ROW)).alias("row"))
+    rows = pages.select(F.explode_outer(html.elements(body, "tr", LIST_ROW)).alias("row"))
     cells = rows.select(html.elements(F.col("row"), "td", LIST_CELL).alias("cells")).filter(F.size("cells") >= 11)
     texts = cells.select("cells", F.transform("cells", html.tight_text).alias("t"))
 
@@ -97,8 +101,8 @@ def directory_fighters(pages: DataFrame) -> DataFrame:
 
 def _card_rows(pages: DataFrame) -> DataFrame:
     """Fight rows of event pages with columns event_name, event_position, fight_id, row."""
-    rows = _rows_after_first(html.markup(F.col("html")), "tr", CARD_ROW)
-    return numbered(pages.select("event_name", "event_position", "html"), rows, "row", "fight_id").drop("html")
+    rows = html.elements(html.markup(F.col("html")), "tr", CARD_ROW)
+    return numbered(pages.select("event_name", "event_position", "html"), rows, "row", "fight_id", skip=1).drop("html")
 
 
 def card_fights(pages: DataFrame) -> DataFrame:
@@ -172,51 +176,63 @@ def _per_fighter(cells: Column, label: Column, at: tuple[int, int]) -> Column:
     return F.when(F.size(fighters) == 0, F.slice(rows, 1, 0)).when(complete, rows)
 
 
-def _overall(body: Column, at: tuple[int, int]) -> Column:
-    return _per_fighter(_stacked(html.first(body, "tr", CARD_ROW)), F.lit(None).cast("string"), at)
+_HEADING = r"<th\b[^>]*>[^<]*Round[^<]*</th\s*>"
+_HEADED_ROW = rf"(?is){_HEADING}.*?</thead\s*>.*?<tr\b.*?</tr\s*>"
 
 
-_HEADED_ROW = r"(?is)<th\b[^>]*>[^<]*Round[^<]*</th\s*>.*?</thead\s*>.*?<tr\b.*?</tr\s*>"
-_HEADING = r"(?is)<th\b[^>]*>[^<]*Round[^<]*</th\s*>"
-
-
-def _by_round(body: Column, at: tuple[int, int]) -> Column:
-    """Rows of all rounds. A heading without a following row makes the section unreadable (NULL)."""
-    headed = F.regexp_extract_all(body, F.lit(_HEADED_ROW), F.lit(0))
-    per_round = F.transform(
-        headed,
-        lambda part: _per_fighter(
-            _stacked(html.first(F.regexp_replace(part, r"(?is)^.*?</thead\s*>", ""), "tr")),
-            html.tight_text(F.regexp_extract(part, _HEADING, 0)),
-            at,
-        ),
-    )
-    all_headed = F.size(headed) == F.regexp_count(body, F.lit(_HEADING))
-    return F.when(all_headed & F.forall(per_round, lambda r: r.isNotNull()), F.flatten(per_round))
+def _headed(part: Column) -> Column:
+    """Label and stacked cells of the row below a round heading."""
+    row = F.regexp_extract(part, r"(?is)</thead\s*>.*?(<tr\b.*?</tr\s*>)", 1)
+    label = html.tight_text(F.regexp_extract(part, f"(?is){_HEADING}", 0))
+    return F.struct(label.alias("label"), _stacked(row).alias("cells"))
 
 
 def fight_sections(pages: DataFrame) -> DataFrame:
     """The four sections of fight pages (event, fight_id, html) as arrays.
 
-    `readable` is false if the page has fewer than four sections or one of them lacks a value.
+    `readable` is false if the page has fewer than four sections, or one of them lacks a value, or a round heading has
+    no row. The steps are columns, not nested expressions: an array function computes its input again for each use.
     """
     keep = [c for c in pages.columns if c != "html"]
-    bodies = pages.select(*keep, html.elements(html.markup(F.col("html")), "tbody", CARD_BODY).alias("b"))
+    body = html.elements(html.markup(F.col("html")), "tbody", CARD_BODY)
+    b = [F.get("_bodies", F.lit(k)) for k in range(4)]
+    cells = (
+        pages.select(*keep, body.alias("_bodies"))
+        .select(
+            *keep,
+            *[_stacked(html.first(b[k], "tr", CARD_ROW)).alias(f"_cells{k}") for k in (0, 2)],
+            *[F.transform(F.regexp_extract_all(b[k], F.lit(_HEADED_ROW), F.lit(0)), _headed).alias(f"_cells{k}") for k in (1, 3)],
+            *[F.regexp_count(b[k], F.lit(f"(?is){_HEADING}")).alias(f"_headings{k}") for k in (1, 3)],
+        )
+    )
+
+    def overall(k: int, at: tuple[int, int]) -> Column:
+        return _per_fighter(F.col(f"_cells{k}"), F.lit(None).cast("string"), at)
+
+    def per_round(k: int, at: tuple[int, int]) -> Column:
+        return F.transform(f"_cells{k}", lambda r: _per_fighter(r["cells"], r["label"], at))
+
+    rows = cells.withColumns(
+        {
+            "_rows0": overall(0, _TOTALS_AT),
+            "_rows1": per_round(1, _TOTALS_AT),
+            "_rows2": overall(2, _STRIKES_AT),
+            "_rows3": per_round(3, _STRIKES_AT),
+        }
+    )
 
-    def body(k: int) -> Column:
-        return F.get("b", F.lit(k))
+    def rounds(k: int) -> Column:
+        all_headed = F.size(f"_rows{k}") == F.col(f"_headings{k}")
+        return F.when(all_headed & F.forall(f"_rows{k}", lambda r: r.isNotNull()), F.flatten(f"_rows{k}"))
 
-    sections = bodies.select(
+    sections = rows.select(
         *keep,
-        _overall(body(0), _TOTALS_AT).alias("totals"),
-        _by_round(body(1), _TOTALS_AT).alias("round_totals"),
-        _overall(body(2), _STRIKES_AT).alias("strikes"),
-        _by_round(body(3), _STRIKES_AT).alias("round_strikes"),
+        F.col("_rows0").alias("totals"),
+        rounds(1).alias("round_totals"),
+        F.col("_rows2").alias("strikes"),
+        rounds(3).alias("round_strikes"),
     )
-    all_read = F.lit(True)
-    for c in ("totals", "round_totals", "strikes", "round_strikes"):
-        all_read = all_read & F.col(c).isNotNull()
-    return sections.withColumn("readable", all_read)
+    return sections.withColumn("readable", reduce(and_, [F.col(c).isNotNull() for c in sections.columns[len(keep) :]]))
 
 
 def section_rows(sections: DataFrame, section: str, names: list[str], keys: list[str], by_round: bool) -> DataFrame:

@@ -55,5 +55,8 @@ PROMPT_MESSAGES = 3
 SUMMARY_MESSAGES = 5
 PREVIEW_CHARS = 100
 
+# Characters that count as blank when text is trimmed: all that are blank in Unicode.
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
 # Date text of raw events.
 EVENT_DATE_FORMAT = "MMMM d, yyyy"
