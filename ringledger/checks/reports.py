@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from ringledger.checks.registry import check, table
 from ringledger.operators import report
-from ringledger.plans.report import latest_report, outbox
+from ringledger.plans.report import latest_report, stored_outbox
+from ringledger.session import shared_folder
 
 # orders as fights
 _FIGHTS = """fights AS (SELECT c_name AS event_name, o_orderkey AS fight_id, 'Red ' || o_custkey AS fighter_1,
@@ -145,4 +146,5 @@ def latest_entity_report(spark, d):
 )
 def report_outbox(spark, d):
     users = table(spark, d, "events").filter("event_type = 'signup'").select(F.col("user_id").cast("string")).distinct()
-    return outbox(users, latest_report(_events(spark, d), _fights(spark, d)))
+    messages = latest_report(_events(spark, d), _fights(spark, d))
+    return stored_outbox(spark, users, messages, shared_folder(spark))

@@ -22,12 +22,9 @@ def landed_attempted(c: Column | str) -> Column:
     """'33 of 56' -> struct(landed 33, attempted 56); NULL struct for other text."""
     text = F.trim(_col(c))
     pattern = r"^(\d+) of (\d+)$"
-    return F.when(
-        text.rlike(pattern),
-        F.struct(
-            _part(text, pattern, 1, "bigint").alias("landed"), _part(text, pattern, 2, "bigint").alias("attempted")
-        ),
-    )
+    landed = _part(text, pattern, 1, "bigint")
+    attempted = _part(text, pattern, 2, "bigint")
+    return F.when(landed.isNotNull(), F.struct(landed.alias("landed"), attempted.alias("attempted")))
 
 
 def percent(c: Column | str) -> Column:

@@ -75,6 +75,16 @@ def event_head(name: Column, location: Column, date: Column) -> Column:
     )
 
 
+def part_of(number: Column, lines_per_part: int = LINES_PER_PART) -> Column:
+    """Part of a text that a line number belongs to."""
+    return F.floor(number / lines_per_part)
+
+
+def _joined(line: str, separator: str, order: str) -> Column:
+    quoted = separator.replace("\n", "\\n")
+    return F.expr(f"listagg({line}, '{quoted}') WITHIN GROUP (ORDER BY {order})")
+
+
 def joined_lines(
     df: DataFrame,
     keys: Sequence[str],
@@ -85,20 +95,17 @@ def joined_lines(
     name: str,
     lines_per_part: int = LINES_PER_PART,
 ) -> DataFrame:
-    """Lines of each key as text, in parts by ranges of the line number.
+    """Lines of each key as text, in parts by ranges of the line number, which is unique within a key.
 
     A card has far fewer lines than a part, so it is one text. A key with any number of lines is cut into parts of
     at most `lines_per_part` line numbers, so no task builds an unbounded text; joined in the order of `part` they
     are the whole text. `order` is an SQL sort list over the columns of `df`.
     """
-    part = F.floor(F.col(number) / lines_per_part).alias("part")
-    quoted = separator.replace("\n", "\\n")
-    text = F.expr(f"listagg({line}, '{quoted}') WITHIN GROUP (ORDER BY {order})")
-    return df.groupBy(*keys, part).agg(text.alias(name))
+    part = part_of(F.col(number), lines_per_part).alias("part")
+    return df.groupBy(*keys, part).agg(_joined(line, separator, order).alias(name))
 
 
-def card_lines(fights: DataFrame) -> DataFrame:
-    """Key, number and line of each fight."""
+def _card_line() -> Column:
     names = [F.col("fight_result"), F.col("fighter_1"), F.col("fighter_2")]
     parts = {c: F.col(c) for c in ("weight_class", "method", "description", "round", "time")}
     parts |= {
@@ -106,7 +113,12 @@ def card_lines(fights: DataFrame) -> DataFrame:
         "loser": loser(*names),
         "title": title(F.col("championship_fight"), F.col("weight_class")),
     }
-    return fights.select("event_name", "fight_id", fight_line(parts).alias("line"))
+    return fight_line(parts)
+
+
+def card_lines(fights: DataFrame) -> DataFrame:
+    """Key, number and line of each fight."""
+    return fights.select("event_name", "fight_id", _card_line().alias("line"))
 
 
 def tagged(df: DataFrame, keep: Sequence[str], tags: Sequence[tuple[Column, str]], value: Column) -> DataFrame:
@@ -135,34 +147,44 @@ def award_line(type_: Column, matchup_: Column) -> Column:
     return F.concat(title_case(type_), F.lit(": "), _shown(matchup_))
 
 
-def report_messages(event: DataFrame, fights: DataFrame) -> DataFrame:
+def report_messages(event: DataFrame, fights: DataFrame, lines_per_part: int = LINES_PER_PART) -> DataFrame:
     """Messages of one event: head, card and, if there are any, awards.
 
-    `event` has one row. Columns: event_name, date, kind (1 to 3), part, text.
+    `event` has one row. Columns: event_name, kind (1 to 3), part, text. Card and awards come from one pass over the
+    fights; the parts that begin a message come from a second one over fight numbers and flags only.
     """
     of_event = fights.filter(F.col("event_name") == event.select("event_name").scalar())
-    head = event.select(
-        "event_name",
-        F.lit(1).alias("kind"),
-        F.lit(0).cast("bigint").alias("part"),
-        event_head(F.col("event_name"), F.col("location"), F.col("date")).alias("text"),
+    part = part_of(F.col("fight_id"), lines_per_part)
+    vs = matchup(F.col("fighter_1"), F.col("fighter_2"))
+    won = [F.when(F.col(flag) == 1, award_line(F.lit(text), vs)).alias(flag) for flag, text in AWARDS]
+    flags = [flag for flag, _ in AWARDS]
+    texts = (
+        of_event.select("event_name", "fight_id", part.alias("part"), _card_line().alias("line"), *won)
+        .groupBy("event_name", "part")
+        .agg(
+            _joined("line", "\n\n", "fight_id DESC").alias("card"),
+            *[_joined(flag, "\n", "fight_id").alias(flag) for flag in flags],
+        )
     )
-    card = joined_lines(card_lines(of_event), ["event_name"], "line", "fight_id", "\n\n", "fight_id DESC", "text")
-    # parts run against the fight number, as the lines within a part do
-    card = card.select("event_name", F.lit(2).alias("kind"), (-F.col("part")).alias("part"), "text")
-    lines = awards(of_event).withColumn("line", award_line(F.col("type"), F.col("matchup")))
-    won = joined_lines(lines, ["event_name"], "line", "fight_id", "\n", "type_no, fight_id", "text")
-    won = won.select("event_name", F.lit(3).alias("kind"), "part", "text")
-    # the head of a message stands on its first part only; a card without fights is sent as its head
-    return head.unionByName(_with_head(card, CARD_HEAD, event)).unionByName(_with_head(won, AWARDS_HEAD))
-
-
-def _with_head(parts: DataFrame, head: str, event: DataFrame | None = None) -> DataFrame:
-    first = parts.agg(F.min("part")).scalar()
-    out = parts.withColumn("text", F.when(F.col("part") == first, F.concat(F.lit(head), "text")).otherwise(F.col("text")))
-    if event is None:
-        return out
-    empty = event.filter(first.isNull()).select(
-        "event_name", F.lit(2).alias("kind"), F.lit(0).cast("bigint").alias("part"), F.lit(head).alias("text")
+    any_award = F.greatest(*[F.coalesce(F.col(flag), F.lit(0)) for flag in flags]) == 1
+    begin = of_event.agg(F.struct(F.max(part).alias("card"), F.min(F.when(any_award, part)).alias("awards"))).scalar()
+
+    def message(kind: int, place: Column, first: Column, head: str, text: Column) -> Column:
+        whole = F.when(F.col("part") == first, F.concat(F.lit(head), text)).otherwise(text)
+        return F.struct(F.lit(kind).alias("kind"), place.alias("part"), whole.alias("text"))
+
+    awards_text = F.concat_ws("\n", *flags)
+    messages = F.array(
+        # parts run against the fight number, as the lines within a part do
+        message(2, -F.col("part"), begin["card"], CARD_HEAD, F.col("card")),
+        message(3, F.col("part"), begin["awards"], AWARDS_HEAD, F.when(awards_text != "", awards_text)),
     )
-    return out.unionByName(empty)
+    of_fights = texts.select("event_name", F.inline(messages)).filter(F.col("text").isNotNull())
+
+    def single(kind: int, text: Column) -> list:
+        return ["event_name", F.lit(kind).alias("kind"), F.lit(0).cast("bigint").alias("part"), text.alias("text")]
+
+    head = event.select(*single(1, event_head(F.col("event_name"), F.col("location"), F.col("date"))))
+    # a card without fights is sent as its head
+    empty = event.filter(begin["card"].isNull()).select(*single(2, F.lit(CARD_HEAD)))
+    return head.unionByName(of_fights).unionByName(empty)

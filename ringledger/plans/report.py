@@ -36,6 +36,12 @@ def outbox(recipients: DataFrame, messages: DataFrame) -> DataFrame:
     )
 
 
+def stored_outbox(spark: SparkSession, recipients: DataFrame, messages: DataFrame, path: str) -> DataFrame:
+    """Outbox over messages that are written first: they are computed once, and Spark knows the size of what it joins."""
+    files.overwrite(messages, path)
+    return outbox(recipients, spark.read.parquet(path))
+
+
 def notify(spark: SparkSession, warehouse: str, recipients: DataFrame, sent_path: str, outbox_path: str) -> bool:
     """Write the outbox of the latest event unless it was notified before; True if it was written.
 
@@ -50,10 +56,8 @@ def notify(spark: SparkSession, warehouse: str, recipients: DataFrame, sent_path
         return False
     event = spark.createDataFrame([new], "event_name string, location string, date date")
     slice_name = f"event={hashlib.md5(new['event_name'].encode()).hexdigest()}"
-    # the messages are stored first: recipients then join a table whose size Spark knows
-    messages = f"{outbox_path}_messages/{slice_name}"
-    files.overwrite(report_messages(event, fights), messages)
-    files.overwrite(outbox(recipients, spark.read.parquet(messages)), f"{outbox_path}/{slice_name}")
+    box = stored_outbox(spark, recipients, report_messages(event, fights), f"{outbox_path}_messages/{slice_name}")
+    files.overwrite(box, f"{outbox_path}/{slice_name}")
     row = event.select(F.current_timestamp().alias("sent_at"), "event_name", F.col("date").alias("event_date"))
     row.write.mode("append").parquet(sent_path)
     return True

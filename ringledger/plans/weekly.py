@@ -167,11 +167,15 @@ def load_fights(job: Job) -> int:
     done = last_value(job.earlier("fights"), "event_name", place).scalar()
     new = gap_after_done(job.staged("links"), "event_name", "position", upstream, done)
     new = job.stage(new, "new_events")
+    if new.isEmpty():
+        job.audit("fights", started, 0, _value(last_value(job.up_to_now("fights"), "event_name", place)))
+        return 0
     rows = job.stage(extract.card_fights(_event_pages(job, new)), "fights")
     unreadable = F.concat_ws("#", "event_name", "fight_id").alias("key")
     unreadable = rows.filter(~F.col("readable")).select(unreadable, F.lit("part of fight row absent").alias("reason"))
-    missing = new.join(job.pages.select(F.col("url").alias("link")), "link", "left_anti")
-    missing = missing.select(F.col("event_name").alias("key"), F.lit("no page").alias("reason"))
+    # the few new addresses are looked up in the page table, not the other way round
+    fetched = job.pages.select(F.col("url").alias("link")).join(new.select("link"), "link", "left_semi")
+    missing = new.join(fetched, "link", "left_anti").select(F.col("event_name").alias("key"), F.lit("no page").alias("reason"))
     job.reject(unreadable.unionByName(missing), "fights")
     kept = missing_to_null(rows.filter("readable"), MISSING_IN_FIGHTS)
     kept = kept.withColumn("fight_id", F.col("fight_id").cast("string"))
@@ -187,7 +191,10 @@ def load_stats(job: Job) -> int:
     place = ["run", "event_position"]
     upstream = last_value(job.up_to_now("fights"), "event_name", place).scalar()
     done = last_value(job.earlier("fight_stats"), "event", place).scalar()
-    new = gap_up_to_known(job.staged("links"), "event_name", "position", upstream, done)
+    new = job.stage(gap_up_to_known(job.staged("links"), "event_name", "position", upstream, done), "stats_events")
+    if new.isEmpty():
+        job.audit("stats", started, 0, _value(last_value(job.up_to_now("fight_stats"), "event", place)))
+        return 0
     links = extract.card_links(_event_pages(job, new)).withColumnRenamed("event_name", "event")
     keys = ["event", "event_position", "fight_id"]
     links = job.stage(links.withColumn("fight_id", F.col("fight_id").cast("string")), "fight_links")

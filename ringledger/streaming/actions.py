@@ -56,6 +56,12 @@ def encoded(user_id: Column, username: Column, subscribe: Column, at: Column) ->
     )
 
 
+def publish(messages: DataFrame, servers: str, topic: str, **options) -> None:
+    """Send the column `value` of a batch to a topic."""
+    settings = {"kafka.bootstrap.servers": servers, "topic": topic, **options}
+    messages.select("value").write.format("kafka").options(**settings).save()
+
+
 def slice_writer(folder: str) -> Callable[[DataFrame, int], None]:
     """Batch sink to Parquet: a batch that is replayed overwrites its own slice."""
 
