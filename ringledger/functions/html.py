@@ -11,10 +11,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ringledger.functions.text import trimmed
+from ringledger.values import BLANKS
 
 # rest of a tag; a quoted value may hold any character
 _REST = r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*"""
 _TAG = rf"<[/!a-zA-Z]{_REST}>"
+_MARK = "\x01"
 
 
 def _once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -97,4 +99,11 @@ def text(fragment: Column) -> Column:
 
 def tight_text(fragment: Column) -> Column:
     """Text of an element, every text node trimmed and the nodes joined without a separator."""
-    return F.array_join(F.transform(F.split(fragment, _TAG), lambda node: trimmed(entities(node))), "")
+    # tags become a mark that is no regular expression, which splits without one
+    marked = entities(F.regexp_replace(fragment, _TAG, _MARK))
+
+    def joined(x: Column) -> Column:
+        nodes = F.transform(F.split(x, _MARK), trimmed)
+        return F.when(x.contains(_MARK), F.array_join(nodes, "")).otherwise(x)
+
+    return _once(F.btrim(marked, F.lit(BLANKS + _MARK)), joined)

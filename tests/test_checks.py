@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry_points
 
 FOLDER = Path("/root/testdata/sf0.001")
-TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE"}
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE", "boolean": "BOOLEAN"}
 
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="test tables are not there")
 
