@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ringledger.checks.registry import check, table
 from ringledger.functions import html
-from ringledger.operators.extract import numbered
+from ringledger.operators.extract import numbered, spread
 
 _BODY = r"regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g')"
 _LI = r"(?is)<li(?:\s[^>]*)?>.*?</li\s*>"
@@ -19,9 +19,12 @@ def _sql_text(fragment: str) -> str:
     return rf"regexp_replace({plain}, '^\s+|\s+$', '', 'g')"
 
 
+def _fetched(spark, d):
+    return spread(table(spark, d, "pages"), "page_id")
+
+
 def _pages(spark, d):
-    p = table(spark, d, "pages").select("page_id", "url", html.markup(F.col("html")).alias("html"))
-    return p
+    return _fetched(spark, d).select("page_id", "url", html.markup(F.col("html")).alias("html"))
 
 
 @check(
@@ -140,7 +143,7 @@ def html_marker_flags(spark, d):
 )
 def html_rejects(spark, d):
     """Pages that cannot be read, with the reason; the others go on."""
-    b = table(spark, d, "pages").select(
+    b = _fetched(spark, d).select(
         "page_id",
         "url",
         F.col("html").endswith("</html>").alias("closed"),

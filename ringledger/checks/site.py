@@ -50,7 +50,7 @@ def extract_index(spark, d):
         date=F.date_format("o_orderdate", "MMMM d, yyyy"),
         place=F.col("o_orderpriority"),
     )
-    rows = table(spark, d, "orders").select(key.alias("number"), row.alias("row"))
+    rows = extract.spread(table(spark, d, "orders"), "o_orderkey").select(key.alias("number"), row.alias("row"))
     return extract.index_events(_pages(rows, 50, f'<tr class="{LIST_ROW}"><td></td></tr>'))
 
 
@@ -65,7 +65,7 @@ def extract_links(spark, d):
     linked = _html(f'<tr class="{LIST_ROW}"><td><a href="http://site.test/{{k}}">Night {{k}}</a></td></tr>', k=key)
     bare = F.lit(f'<tr class="{LIST_ROW}"><td>no link</td></tr>')
     row = F.when(key % 7 == 0, bare).otherwise(linked)
-    rows = table(spark, d, "orders").select(key.alias("number"), row.alias("row"))
+    rows = extract.spread(table(spark, d, "orders"), "o_orderkey").select(key.alias("number"), row.alias("row"))
     return extract.index_links(_pages(rows, 50, f'<tr class="{LIST_ROW}"><td></td></tr>'))
 
 
@@ -96,7 +96,7 @@ def extract_directory(spark, d):
     cells = F.concat(*[_html(f'<td class="{LIST_CELL}">\n {{t}} </td>', t=t) for t in texts])
     short = F.lit(f'<td class="{LIST_CELL}">retired</td>')
     row = _html(f'<tr class="{LIST_ROW}">{{c}}</tr>', c=F.when(F.col("c_nationkey") % 5 == 0, short).otherwise(cells))
-    rows = table(spark, d, "customer").select(key.alias("number"), row.alias("row"))
+    rows = extract.spread(table(spark, d, "customer"), "c_custkey").select(key.alias("number"), row.alias("row"))
     return extract.directory_fighters(_pages(rows, 100, ""))
 
 
@@ -134,7 +134,7 @@ def extract_card(spark, d):
         r=key % 5 + 1,
         s=key % 50 + 10,
     )
-    rows = table(spark, d, "orders").select(key.alias("number"), row.alias("row"))
+    rows = extract.spread(table(spark, d, "orders"), "o_orderkey").select(key.alias("number"), row.alias("row"))
     pages = _pages(rows, 20, f'<tr class="{CARD_ROW}"><th>W/L</th></tr>')
     named = pages.select(
         F.concat(F.lit("Card "), "page").alias("event_name"), F.col("page").cast("int").alias("event_position"), "html"
@@ -169,7 +169,8 @@ def _fight_pages(spark, d) -> DataFrame:
     tables = [_html(f'<table><tbody class="{CARD_BODY}">{{b}}</tbody></table>', b=b) for b in bodies]
     kept = tables[:3] + [F.when(F.col("c_nationkey") % 6 == 0, "").otherwise(tables[3])]
     page = F.concat(F.lit("<html>"), *kept, F.lit("</html>"))
-    return table(spark, d, "customer").select(c.cast("string").alias("event"), F.lit(1).alias("fight_id"), page.alias("html"))
+    customers = extract.spread(table(spark, d, "customer"), "c_custkey")
+    return customers.select(c.cast("string").alias("event"), F.lit(1).alias("fight_id"), page.alias("html"))
 
 
 def _sections(spark, d) -> DataFrame:

@@ -13,8 +13,12 @@ from pyspark.sql import functions as F
 from ringledger.functions.text import trimmed
 from ringledger.values import BLANKS
 
+# Pieces of patterns. Loops are possessive where nothing that follows could match inside them, so that a long tag or
+# page is read once from left to right.
 # rest of a tag; a quoted value may hold any character
-_REST = r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*"""
+_REST = r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+"""
+# attributes of a tag before the one that is looked for
+_BEFORE = r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*?"""
 _TAG = rf"<[/!a-zA-Z]{_REST}>"
 _MARK = "\x01"
 
@@ -27,33 +31,35 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
 def _class_test(name: str) -> str:
     """Look-ahead inside an opening tag. Two words or more must be the whole attribute, one word any part of it."""
     if " " in name:
-        return rf"""(?={_REST}?\sclass\s*=\s*["']{name}["'])"""
-    return rf"""(?={_REST}?\sclass\s*=\s*["'](?:[^"']*\s)?{name}(?:\s[^"']*)?["'])"""
+        return rf"""(?={_BEFORE}\sclass\s*=\s*["']{name}["'])"""
+    return rf"""(?={_BEFORE}\sclass\s*=\s*["'](?:[^"']*\s)?{name}(?:\s[^"']*)?["'])"""
 
 
-def _opening(tag: str, cls: str | None) -> str:
-    return rf"<{tag}(?=[\s>/]){_class_test(cls) if cls else ''}{_REST}>"
+def _element(tag: str, cls: str | None) -> str:
+    """Pattern of an element up to the first closing tag of its name."""
+    opening = rf"<{tag}(?=[\s>/]){_class_test(cls) if cls else ''}{_REST}>"
+    return rf"(?i){opening}[^<]*+(?:<(?!/{tag}\s*>)[^<]*+)*+</{tag}\s*>"
 
 
 def markup(page: Column) -> Column:
     """Page text without comments, scripts and styles."""
-    return F.regexp_replace(page, r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", "")
+    return F.regexp_replace(page, r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)", "")
 
 
 def elements(fragment: Column, tag: str, cls: str | None = None) -> Column:
     """All elements of a tag, in page order."""
-    return F.regexp_extract_all(fragment, F.lit(rf"(?is){_opening(tag, cls)}.*?</{tag}\s*>"), F.lit(0))
+    return F.regexp_extract_all(fragment, F.lit(_element(tag, cls)), F.lit(0))
 
 
 def first(fragment: Column, tag: str, cls: str | None = None) -> Column:
     """First element of a tag, NULL if there is none."""
-    found = F.regexp_extract(fragment, rf"(?is){_opening(tag, cls)}.*?</{tag}\s*>", 0)
+    found = F.regexp_extract(fragment, _element(tag, cls), 0)
     return _once(found, lambda x: F.when(x != "", x))
 
 
 def attribute(fragment: Column, name: str) -> Column:
     """Attribute of the fragment's own tag, NULL if it is absent."""
-    quoted = rf"""(?is)^<[a-z0-9]+(?=[\s>/]){_REST}?\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    quoted = rf"""(?is)^<[a-z0-9]+(?=[\s>/]){_BEFORE}\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
     # an empty value is found with its quotes, so no text means no attribute
     bare = _once(F.regexp_extract(fragment, quoted, 1), lambda x: F.when(x != "", F.regexp_replace(x, "^[\"']|[\"']$", "")))
     return entities(bare)

@@ -26,6 +26,15 @@ from ringledger.values import (
 )
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A scan with fewer partitions than cores is spread over the cores; a larger one stays as it is.
+
+    Extraction works long on few bytes, so a table of one file would keep most cores idle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def numbered(
     df: DataFrame, items: Column, item: str, number: str, skip: int = 0, oldest_first: bool = False
 ) -> DataFrame:
