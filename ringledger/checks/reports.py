@@ -127,12 +127,12 @@ _MESSAGES = f"""{_FIGHTS}, {_AWARDS},
       WHEN 0 THEN 'Performance Of The Night' WHEN 1 THEN 'Ko Of The Night' ELSE 'Submission Of The Night' END
       || ': ' || matchup, chr(10) ORDER BY type_no, fight_id) AS t
       FROM awards WHERE event_name = (SELECT event_name FROM event) GROUP BY ALL),
-    messages AS (SELECT event_name, 1 AS kind, 0::BIGINT AS part, '<b>\U0001f3df️ Last UFC Event:</b>' || chr(10)
+    messages AS (SELECT event_name, 1 AS kind, 0::BIGINT AS part, '<b>🏟️ Last UFC Event:</b>' || chr(10)
       || 'Event: ' || event_name || chr(10) || 'Location: ' || location || chr(10) || 'Date: ' || date AS text FROM event
     UNION ALL SELECT event_name, 2, (-p)::BIGINT, CASE WHEN p = (SELECT max(p) FROM card)
-      THEN '<b>\U0001f94a Fight Card Results:</b>' || chr(10) ELSE '' END || t FROM card
+      THEN '<b>🥊 Fight Card Results:</b>' || chr(10) ELSE '' END || t FROM card
     UNION ALL SELECT event_name, 3, p::BIGINT, CASE WHEN p = (SELECT min(p) FROM won)
-      THEN '<b>\U0001f3c6 Event Highlights:</b>' || chr(10) ELSE '' END || t FROM won)"""
+      THEN '<b>🏆 Event Highlights:</b>' || chr(10) ELSE '' END || t FROM won)"""
 
 
 @check(f"WITH {_MESSAGES} SELECT event_name, kind, part, text FROM messages")

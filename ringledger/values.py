@@ -20,9 +20,9 @@ AWARDS = [
 ]
 
 # Message heads of the event report.
-EVENT_HEAD = "<b>\U0001f3df️ Last UFC Event:</b>\n"
-CARD_HEAD = "<b>\U0001f94a Fight Card Results:</b>\n"
-AWARDS_HEAD = "<b>\U0001f3c6 Event Highlights:</b>\n"
+EVENT_HEAD = "<b>🏟️ Last UFC Event:</b>\n"
+CARD_HEAD = "<b>🥊 Fight Card Results:</b>\n"
+AWARDS_HEAD = "<b>🏆 Event Highlights:</b>\n"
 
 # Image names inside a fight row and the flag column each one sets.
 ROW_MARKERS = [

@@ -58,12 +58,12 @@ CARD = [
 def test_report(events, fights):
     got = rows(latest_report(events, fights).select("kind", "part", "text"))
     assert got == [
-        (1, 0, "<b>\U0001f3df️ Last UFC Event:</b>\nEvent: Burns, Morales\nLocation: Las Vegas, USA\nDate: 2025-05-17"),
-        (2, 0, "<b>\U0001f94a Fight Card Results:</b>\n" + "\n\n".join(CARD)),
+        (1, 0, "<b>🏟️ Last UFC Event:</b>\nEvent: Burns, Morales\nLocation: Las Vegas, USA\nDate: 2025-05-17"),
+        (2, 0, "<b>🥊 Fight Card Results:</b>\n" + "\n\n".join(CARD)),
         (
             3,
             0,
-            "<b>\U0001f3c6 Event Highlights:</b>\nPerformance Of The Night: Michael M vs Gilbert B\n"
+            "<b>🏆 Event Highlights:</b>\nPerformance Of The Night: Michael M vs Gilbert B\n"
             "Ko Of The Night: Michael M vs Gilbert B\nSubmission Of The Night: Ann A vs Bea B",
         ),
     ]
@@ -71,7 +71,7 @@ def test_report(events, fights):
 
 def test_report_without_fights_has_head_and_empty_card(events, fights):
     got = rows(latest_report(events, fights.limit(0)).select("kind", "text"))
-    assert [k for k, _ in got] == [1, 2] and got[1][1] == "<b>\U0001f94a Fight Card Results:</b>\n"
+    assert [k for k, _ in got] == [1, 2] and got[1][1] == "<b>🥊 Fight Card Results:</b>\n"
 
 
 def test_long_card_in_parts_is_whole(spark):
