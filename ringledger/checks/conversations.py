@@ -46,7 +46,7 @@ def recent_turns_nonblank(spark, d):
 def last_mention(spark, d):
     e = table(spark, d, "events")
     named = F.when(F.col("event_type") == "purchase", F.col("props"))
-    rows = conversation.last_mention(e, named, ["user_id"], _micros(), ["ts", "event_id"], rows_per_block=100_000)
+    rows = conversation.last_mention(e, named, ["user_id"], _micros(), ["ts", "event_id"], rows_per_block=50)
     return rows.select("event_id", "user_id", "mention")
 
 
@@ -57,7 +57,7 @@ def last_mention(spark, d):
 def session_by_reset(spark, d):
     e = table(spark, d, "events")
     reset = F.col("event_type") == "signup"
-    rows = conversation.sessions(e, reset, ["user_id"], _micros(), ["ts", "event_id"], rows_per_block=100_000)
+    rows = conversation.sessions(e, reset, ["user_id"], _micros(), ["ts", "event_id"], rows_per_block=50)
     return rows.select("event_id", "user_id", "session")
 
 
@@ -71,7 +71,7 @@ def kept_per_session(spark, d):
     """Kept messages of every session of a user: a reset starts an empty context."""
     e = table(spark, d, "events").select("user_id", "event_id", "ts", "event_type")
     reset = F.col("event_type") == "signup"
-    rows = conversation.sessions(e, reset, ["user_id"], _micros(), ["ts", "event_id"], rows_per_block=100_000)
+    rows = conversation.sessions(e, reset, ["user_id"], _micros(), ["ts", "event_id"], rows_per_block=50)
     kept = conversation.kept_messages(rows, ["user_id", "session"], ["ts", "event_id"])
     return kept.select("user_id", "session", "event_id", "back")
 

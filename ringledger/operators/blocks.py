@@ -1,46 +1,70 @@
 """Ordered per-key state for keys of any size.
 
-A plain window keeps all rows of a key in one task. Here a key is cut into blocks along its ordering position.
-Windows run per (key, block); what a block needs from earlier ones comes from a small table with one row per
-(key, block), joined back on the same columns, so the rows are shuffled once.
+A plain window keeps all rows of a key in one task. Here a key with very many rows is cut into blocks along its ordering
+position. Windows run per (key, block), and what a block needs from the earlier ones of its key comes from a table with
+one row per block. The rows are shuffled once. The input is read three times: give a stored table if it is expensive.
+
+Only a key with over 1/100,000 of all rows is ever cut, so there are fewer than 100,000 such keys and fewer than 200,000
+blocks of them, whatever the size of the input. That bounds what is broadcast.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BLOCK = 1_000_000
+MOST_LARGE_KEYS = 100_000
 
 
-def with_block(df: DataFrame, position: Column, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """Adds `_block`, which never falls as the whole-number position rises.
-
-    The position range of the table is cut into as many equal parts as the table has blocks of rows. Count and range
-    are exact, so a task that runs again computes the same blocks.
-    """
-    at = df.agg(
-        F.struct(
-            F.min(position).cast("double").alias("low"),
-            F.max(position).cast("double").alias("high"),
-            F.ceil(F.count(F.lit(1)) / rows_per_block).cast("double").alias("blocks"),
-        ).alias("at")
-    ).scalar()
-    share = (position.cast("double") - at["low"]) / (at["high"] - at["low"] + 1)
-    return df.withColumn("_block", F.coalesce(F.floor(share * at["blocks"]), F.lit(0).cast("bigint")))
-
+def large_keys(df: DataFrame, key: str, position: Column, rows_per_block: int) -> DataFrame:
+    """Keys to be cut, with the range of their positions and the number of blocks. All values are exact."""
+    least = F.greatest(F.lit(float(rows_per_block)), df.agg(F.count(F.lit(1)) / MOST_LARGE_KEYS).scalar())
+    sizes = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(position).cast("double").alias("_low"),
+        F.max(position).cast("double").alias("_high"),
+    )
+    return sizes.filter(F.col("_n") > least).select(key, "_low", "_high", F.ceil(F.col("_n") / least).alias("_blocks"))
 
-def _earlier():
-    return Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
 
+def with_block(df: DataFrame, large: DataFrame, key: str, position: Column, how: str = "left") -> DataFrame:
+    """Adds `_block`, which never falls as the whole-number position rises; 0 for all rows of a key that is not large.
 
-def _running(order: Sequence[str]):
-    return Window.partitionBy("_key", "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    The range of a large key is cut into equal parts. A task that runs again computes the same blocks.
+    """
+    share = (position.cast("double") - F.col("_low")) / (F.col("_high") - F.col("_low") + 1)
+    block = F.coalesce(F.floor(share * F.col("_blocks")), F.lit(0).cast("bigint"))
+    return df.join(F.broadcast(large), key, how).withColumn("_block", block).drop("_low", "_high", "_blocks")
 
 
-def _blocked(df: DataFrame, name: str, value: Column, keys: Sequence[str], position: Column, rows_per_block: int):
-    # one struct key, so that rows with NULL keys meet their own carried value in the join
-    return with_block(df.select("*", value.alias(name), F.struct(*keys).alias("_key")), position, rows_per_block)
+def _running(
+    df: DataFrame,
+    keys: Sequence[str],
+    position: Column,
+    order: Sequence[str],
+    name: str,
+    value: Column,
+    rows_per_block: int,
+    in_block: Column,
+    of_block: Column,
+    of_earlier: Callable[[Column], Column],
+    combine: Callable[[Column, Column], Column],
+) -> DataFrame:
+    # one struct key, so that rows with NULL keys meet their own state in the joins
+    keyed = df.select("*", value.alias(name), F.struct(*keys).alias("_key"))
+    large = large_keys(keyed, "_key", position, rows_per_block)
+    earlier = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = with_block(keyed, large, "_key", position, "inner").groupBy("_key", "_block").agg(of_block.alias("_end"))
+    carried = blocks.select("_key", "_block", of_earlier(F.col("_end")).over(earlier).alias("_carried"))
+    here = Window.partitionBy("_key", "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        with_block(keyed, large, "_key", position)
+        .withColumn(name, in_block.over(here))
+        .join(F.broadcast(carried), ["_key", "_block"], "left")
+        .withColumn(name, combine(F.col(name), F.col("_carried")))
+        .select(*df.columns, name)
+    )
 
 
 def carry_forward(
@@ -52,16 +76,20 @@ def carry_forward(
     name: str,
     rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
-    """Last non-NULL value up to each row. `order` must rise with `position`."""
-    rows = _blocked(df, name, value, keys, position, rows_per_block)
-    when_given = F.when(F.col(name).isNotNull(), F.struct(*order))
-    ends = rows.groupBy("_key", "_block").agg(F.max_by(F.col(name), when_given).alias("_end"))
-    carried = ends.select("_key", "_block", F.last("_end", ignorenulls=True).over(_earlier()).alias("_carried"))
-    return (
-        rows.withColumn(name, F.last(name, ignorenulls=True).over(_running(order)))
-        .join(carried, ["_key", "_block"], "left")
-        .withColumn(name, F.coalesce(F.col(name), F.col("_carried")))
-        .select(*df.columns, name)
+    """Last non-NULL value up to each row. `order` must rise with the whole-number `position`."""
+    given = F.when(F.col(name).isNotNull(), F.struct(*order))
+    return _running(
+        df,
+        keys,
+        position,
+        order,
+        name,
+        value,
+        rows_per_block,
+        in_block=F.last(name, ignorenulls=True),
+        of_block=F.max_by(F.col(name), given),
+        of_earlier=lambda end: F.last(end, ignorenulls=True),
+        combine=lambda here, carried: F.coalesce(here, carried),
     )
 
 
@@ -74,13 +102,17 @@ def running_sum(
     name: str,
     rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
-    """Sum of a whole-number value up to and including each row. `order` must rise with `position`."""
-    rows = _blocked(df, name, value.cast("bigint"), keys, position, rows_per_block)
-    sums = rows.groupBy("_key", "_block").agg(F.sum(name).alias("_sum"))
-    carried = sums.select("_key", "_block", F.sum("_sum").over(_earlier()).alias("_carried"))
-    return (
-        rows.withColumn(name, F.sum(name).over(_running(order)))
-        .join(carried, ["_key", "_block"], "left")
-        .withColumn(name, F.col(name) + F.coalesce(F.col("_carried"), F.lit(0)))
-        .select(*df.columns, name)
+    """Sum of a whole-number value up to and including each row. `order` must rise with the whole-number `position`."""
+    return _running(
+        df,
+        keys,
+        position,
+        order,
+        name,
+        value.cast("bigint"),
+        rows_per_block,
+        in_block=F.sum(name),
+        of_block=F.sum(name),
+        of_earlier=F.sum,
+        combine=lambda here, carried: here + F.coalesce(carried, F.lit(0)),
     )

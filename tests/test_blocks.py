@@ -35,12 +35,29 @@ def test_running_state(spark, rows_per_block):
     assert {r.i: r.n for r in summed.collect()} == want_n
 
 
-def test_blocks_rise_with_position_and_split_a_large_key(spark):
-    df = spark.range(1000).select(F.lit("hot").alias("k"), F.col("id").alias("at"))
-    got = blocks.with_block(df, F.col("at"), 100).collect()
-    numbers = [r._block for r in sorted(got, key=lambda r: r.at)]
-    assert numbers == sorted(numbers) and set(numbers) == set(range(10))
-    assert max(numbers.count(b) for b in set(numbers)) == 100
+def test_only_large_keys_are_cut_and_blocks_rise_with_the_position(spark):
+    hot = spark.range(1000).select(F.lit("hot").alias("k"), F.col("id").alias("at"))
+    cold = spark.range(90).select(F.concat(F.lit("k"), F.col("id") % 9).alias("k"), (F.col("id") * 7).alias("at"))
+    df = hot.union(cold)
+    large = blocks.large_keys(df, "k", F.col("at"), 100)
+    assert [(r.k, r._blocks) for r in large.collect()] == [("hot", 10)]
+    got = blocks.with_block(df, large, "k", F.col("at")).collect()
+    numbers = [r._block for r in sorted(got, key=lambda r: r.at) if r.k == "hot"]
+    assert numbers == sorted(numbers) and {numbers.count(b) for b in range(10)} == {100}
+    assert {r._block for r in got if r.k != "hot"} == {0}
+
+
+def test_rows_are_shuffled_once(spark, tmp_path):
+    spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("at"), F.lit("x").alias("v")).write.parquet(
+        str(tmp_path / "t")
+    )
+    df = spark.read.parquet(str(tmp_path / "t"))
+    seen = blocks.carry_forward(df, F.col("v"), ["k"], F.col("at"), ["at"], "seen", 100)
+    lines = seen._jdf.queryExecution().executedPlan().toString().split("\n")
+    # the exchanges above the row scan, which is the one that keeps all columns, and not below a broadcast
+    main = [x for x in lines if x.lstrip(" :+-*()0123456789").startswith(("Exchange", "BroadcastExchange", "Window"))]
+    assert sum("Window [last(v" in x or "Window [last(seen" in x for x in main) == 1
+    assert "SortMergeJoin" not in "".join(lines)
 
 
 def test_empty_table(spark):
