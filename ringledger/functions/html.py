@@ -5,7 +5,7 @@ for the rows, cells and lines of the result pages.
 """
 
 from collections.abc import Callable
-from html.entities import html5
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -61,38 +61,48 @@ def attribute(fragment: Column, name: str) -> Column:
     """Attribute of the fragment's own tag, NULL if it is absent."""
     quoted = rf"""(?is)^<[a-z0-9]+(?=[\s>/]){_BEFORE}\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
     # an empty value is found with its quotes, so no text means no attribute
-    bare = _once(F.regexp_extract(fragment, quoted, 1), lambda x: F.when(x != "", F.regexp_replace(x, "^[\"']|[\"']$", "")))
-    return entities(bare)
+    value = F.regexp_extract(fragment, quoted, 1)
+    bare = _once(value, lambda x: F.when(x != "", F.regexp_replace(x, "^[\"']|[\"']$", "")))
+    return entities(bare, closed=True)
 
 
-# names without the closing semicolon in the standard table are left out: pages close their entities
-_NAMED = {name[:-1]: char for name, char in html5.items() if name.endswith(";") and len(name) <= 7 and name.isascii()}
-_COMMON = {k: v for k, v in _NAMED.items() if len(v) == 1 and ord(v) < 256}
+def _table(pairs: dict[str, str]) -> Column:
+    """Constant map, written as one text so that it adds one node to the plan."""
+    return F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in pairs.items())), F.lit("\x01"), F.lit("\x02"))
 
 
-def _code_point(number: Column) -> Column:
-    return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+# the entity names of HTML 4, and the byte values that old pages use with the meaning of the Windows code page
+_NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+_WINDOWS = {str(b): c for b in range(128, 160) if (c := bytes([b]).decode("cp1252", "ignore"))}
+_NO_CHARACTER = "\ufffd"
+
+
+def _character(number: Column) -> Column:
+    valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    windows = F.try_element_at(_table(_WINDOWS), number.cast("string"))
+    plain = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    return F.when(valid, F.coalesce(windows, plain)).otherwise(_NO_CHARACTER)
 
 
 def _entity(token: Column) -> Column:
-    body = F.substring(token, 2, 12)
-    name = F.rtrim(body, F.lit(";"))
-    table = F.create_map(*[F.lit(x) for pair in _COMMON.items() for x in pair])
-    return F.coalesce(
-        F.when(token.rlike("^&#[0-9]{1,7};$"), _code_point(F.substring(name, 2, 7).try_cast("bigint"))),
-        F.when(
-            token.rlike("^&#[xX][0-9a-fA-F]{1,6};$"), _code_point(F.conv(F.substring(name, 3, 6), 16, 10).cast("bigint"))
-        ),
-        F.when(token.rlike("^&[A-Za-z0-9]+;$"), F.try_element_at(table, name)),
-        token,
+    name = F.rtrim(F.substring(token, 2, 12), F.lit(";"))
+    return (
+        F.when(~token.startswith("&"), token)
+        .when(token.rlike("^&#[0-9]{1,9};?$"), _character(F.substring(name, 2, 9).try_cast("bigint")))
+        .when(token.rlike("^&#[xX][0-9a-fA-F]{1,8};?$"), _character(F.conv(F.substring(name, 3, 8), 16, 10).cast("bigint")))
+        .otherwise(F.coalesce(F.try_element_at(_table(_NAMED), name), token))
     )
 
 
-def entities(text: Column) -> Column:
-    """Character references decoded in one pass, so that a decoded `&` starts no other reference."""
+def entities(text: Column, closed: bool = False) -> Column:
+    """Character references decoded in one pass, so that a decoded `&` starts no other reference.
+
+    The closing semicolon may be missing unless `closed`, as it is for attributes, where `&` also parts parameters.
+    """
+    end = ";" if closed else ";?"
 
     def decoded(x: Column) -> Column:
-        tokens = F.regexp_extract_all(x, F.lit("&[#A-Za-z0-9]+;|[^&]+|&"), F.lit(0))
+        tokens = F.regexp_extract_all(x, F.lit(f"&#?[A-Za-z0-9]+{end}|[^&]+|&"), F.lit(0))
         return F.when(x.contains("&"), F.array_join(F.transform(tokens, _entity), "")).otherwise(x)
 
     return _once(text, decoded)

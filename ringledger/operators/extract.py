@@ -128,9 +128,8 @@ def card_fights(pages: DataFrame) -> DataFrame:
     )
     method = F.transform(html.elements(F.get("cells", F.lit(7)), "p"), html.text)
     parsed = parsed.withColumn("how", method)
-    readable = (
-        (F.size("names") >= 2) & F.col("flag").isNotNull() & (F.size("cells") >= 10) & (F.coalesce(F.size("how"), F.lit(0)) >= 2)
-    )
+    complete = (F.size("names") >= 2) & (F.size("cells") >= 10) & (F.coalesce(F.size("how"), F.lit(0)) >= 2)
+    readable = complete & F.col("flag").isNotNull()
     first = F.get("names", F.lit(0))
     return parsed.select(
         "event_name",
@@ -205,14 +204,12 @@ def fight_sections(pages: DataFrame) -> DataFrame:
     keep = [c for c in pages.columns if c != "html"]
     body = html.elements(html.markup(F.col("html")), "tbody", CARD_BODY)
     b = [F.get("_bodies", F.lit(k)) for k in range(4)]
-    cells = (
-        pages.select(*keep, body.alias("_bodies"))
-        .select(
-            *keep,
-            *[_stacked(html.first(b[k], "tr", CARD_ROW)).alias(f"_cells{k}") for k in (0, 2)],
-            *[F.transform(F.regexp_extract_all(b[k], F.lit(_HEADED_ROW), F.lit(0)), _headed).alias(f"_cells{k}") for k in (1, 3)],
-            *[F.regexp_count(b[k], F.lit(f"(?is){_HEADING}")).alias(f"_headings{k}") for k in (1, 3)],
-        )
+    headed = {k: F.regexp_extract_all(b[k], F.lit(_HEADED_ROW), F.lit(0)) for k in (1, 3)}
+    cells = pages.select(*keep, body.alias("_bodies")).select(
+        *keep,
+        *[_stacked(html.first(b[k], "tr", CARD_ROW)).alias(f"_cells{k}") for k in (0, 2)],
+        *[F.transform(headed[k], _headed).alias(f"_cells{k}") for k in (1, 3)],
+        *[F.regexp_count(b[k], F.lit(f"(?is){_HEADING}")).alias(f"_headings{k}") for k in (1, 3)],
     )
 
     def overall(k: int, at: tuple[int, int]) -> Column:

@@ -71,7 +71,12 @@ def fight_line(f: dict[str, Column]) -> Column:
 
 def event_head(name: Column, location: Column, date: Column) -> Column:
     return F.concat(
-        F.lit(EVENT_HEAD + "Event: "), _shown(name), F.lit("\nLocation: "), _shown(location), F.lit("\nDate: "), _shown(date)
+        F.lit(EVENT_HEAD + "Event: "),
+        _shown(name),
+        F.lit("\nLocation: "),
+        _shown(location),
+        F.lit("\nDate: "),
+        _shown(date),
     )
 
 
@@ -123,7 +128,10 @@ def card_lines(fights: DataFrame) -> DataFrame:
 
 def tagged(df: DataFrame, keep: Sequence[str], tags: Sequence[tuple[Column, str]], value: Column) -> DataFrame:
     """One row per true condition, with its tag and the tag's place in the list; a single scan of `df`."""
-    options = [F.when(cond, F.struct(F.lit(i).alias("type_no"), F.lit(t).alias("type"))) for i, (cond, t) in enumerate(tags)]
+    options = [
+        F.when(condition, F.struct(F.lit(i).alias("type_no"), F.lit(text).alias("type")))
+        for i, (condition, text) in enumerate(tags)
+    ]
     picked = F.explode(F.array_compact(F.array(*options))).alias("tag")
     return df.select(*keep, value.alias("matchup"), picked).select(*keep, "tag.type_no", "tag.type", "matchup")
 

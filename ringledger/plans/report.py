@@ -37,7 +37,7 @@ def outbox(recipients: DataFrame, messages: DataFrame) -> DataFrame:
 
 
 def stored_outbox(spark: SparkSession, recipients: DataFrame, messages: DataFrame, path: str) -> DataFrame:
-    """Outbox over messages that are written first: they are computed once, and Spark knows the size of what it joins."""
+    """Outbox over messages that are written first: computed once, and of a size that Spark knows for the join."""
     files.overwrite(messages, path)
     return outbox(recipients, spark.read.parquet(path))
 

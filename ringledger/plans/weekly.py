@@ -128,8 +128,9 @@ def load_events(job: Job) -> int:
     # the later steps need the same list, by any link of a row
     job.stage(extract.index_links(index), "links")
     listed = job.stage(extract.index_events(index), "events")
-    unreadable = F.concat_ws("#", F.lit("index"), "position").alias("key")
-    job.reject(listed.filter(~F.col("readable")).select(unreadable, F.lit("no date or place").alias("reason")), "events")
+    place = F.concat_ws("#", F.lit("index"), "position").alias("key")
+    unreadable = listed.filter(~F.col("readable")).select(place, F.lit("no date or place").alias("reason"))
+    job.reject(unreadable, "events")
     listed = listed.filter("readable")
     mark = last_value(job.earlier("events"), "event_name", ["run", "position"]).scalar()
     new = since_bookmark(listed, "event_name", "position", mark)
@@ -175,7 +176,8 @@ def load_fights(job: Job) -> int:
     unreadable = rows.filter(~F.col("readable")).select(unreadable, F.lit("part of fight row absent").alias("reason"))
     # the few new addresses are looked up in the page table, not the other way round
     fetched = job.pages.select(F.col("url").alias("link")).join(new.select("link"), "link", "left_semi")
-    missing = new.join(fetched, "link", "left_anti").select(F.col("event_name").alias("key"), F.lit("no page").alias("reason"))
+    missing = new.join(fetched, "link", "left_anti")
+    missing = missing.select(F.col("event_name").alias("key"), F.lit("no page").alias("reason"))
     job.reject(unreadable.unionByName(missing), "fights")
     kept = missing_to_null(rows.filter("readable"), MISSING_IN_FIGHTS)
     kept = kept.withColumn("fight_id", F.col("fight_id").cast("string"))

@@ -21,6 +21,8 @@ def page_frame(spark, *pages):
         ("<p>&#233;&#xE9;&eacute;&#8364;</p>", "ééé€", "ééé€"),
         ("<p>&amp;lt;b&amp;gt; &lt;i&gt;</p>", "&lt;b&gt; <i>", "&lt;b&gt; <i>"),
         ("<p>&amp;#38;lt; &unknown; a & b &</p>", "&#38;lt; &unknown; a & b &", "&#38;lt; &unknown; a & b &"),
+        ("<p>&copy 2025 &rsquo;&ndash;&#150; R&R, AT&T</p>", "© 2025 ’–– R&R, AT&T", "© 2025 ’–– R&R, AT&T"),
+        ("<p>&#0;&#xD800;&#9999999;&#39;&#x27</p>", "\ufffd\ufffd\ufffd''", "\ufffd\ufffd\ufffd''"),
         ('<p title="a > b">x</p>', "x", "x"),
         ("<p>3 < 4</p>", "3 < 4", "3 < 4"),
         ("<p></p>", "", ""),
@@ -47,6 +49,7 @@ def test_elements_by_class(spark):
     "tag, expected",
     [
         ('<a class="x" href="/y?a=1&amp;b=2">t</a>', "/y?a=1&b=2"),
+        ('<a href="/y?a=1&lt=2&copy=3">t</a>', "/y?a=1&lt=2&copy=3"),
         ("<a href='/y'>t</a>", "/y"),
         ("<a href=/y>t</a>", "/y"),
         ('<a href="">t</a>', ""),
