@@ -11,7 +11,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ringledger.functions.text import trimmed
-from ringledger.values import BLANKS
 
 # Pieces of patterns. Loops are possessive where nothing that follows could match inside them, so that a long tag or
 # page is read once from left to right.
@@ -122,4 +121,4 @@ def tight_text(fragment: Column) -> Column:
         nodes = F.transform(F.split(x, _MARK), trimmed)
         return F.when(x.contains(_MARK), F.array_join(nodes, "")).otherwise(x)
 
-    return _once(F.btrim(marked, F.lit(BLANKS + _MARK)), joined)
+    return _once(trimmed(marked, _MARK), joined)

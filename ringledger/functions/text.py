@@ -18,9 +18,9 @@ def preview(role: Column, content: Column, chars: int = PREVIEW_CHARS) -> Column
     return F.concat(F.lit("- "), role, F.lit(": "), F.substring(content, 1, chars), F.lit("..."))
 
 
-def trimmed(c: Column) -> Column:
-    """Without blanks at both ends."""
-    return F.btrim(c, F.lit(BLANKS))
+def trimmed(c: Column, also: str = "") -> Column:
+    """Without blanks, and characters of `also`, at both ends. A pattern is faster here than `btrim` with a set."""
+    return F.regexp_replace(c, rf"\A[{BLANKS}{also}]+|[{BLANKS}{also}]+\z", "")
 
 
 def strip_fences(c: Column) -> Column:

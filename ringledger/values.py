@@ -55,8 +55,9 @@ PROMPT_MESSAGES = 3
 SUMMARY_MESSAGES = 5
 PREVIEW_CHARS = 100
 
-# Characters that count as blank when text is trimmed: all that are blank in Unicode.
-BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+# Characters that count as blank when text is trimmed, as the inside of a pattern's character class: all that are blank
+# in Unicode.
+BLANKS = "\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 # Date text of raw events.
 EVENT_DATE_FORMAT = "MMMM d, yyyy"

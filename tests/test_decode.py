@@ -110,3 +110,10 @@ def test_csv_round_trip_makes_empty_text_null(spark, tmp_path):
     df = spark.createDataFrame([("a", "", None), ("b", 'x"y', "z")], "k string, e string, n string")
     files.write_csv(df, str(tmp_path / "t"))
     assert sorted(files.read_csv(spark, str(tmp_path / "t"), df.schema).collect()) == [("a", None, None), ("b", 'x"y', "z")]
+
+
+def test_blanks_are_those_of_unicode(spark):
+    blank = "".join(c for c in map(chr, range(0x3100)) if c.isspace())
+    others = "".join(c for c in map(chr, range(1, 0x3100)) if not c.isspace())
+    assert one(spark, blank, text.trimmed) == ""
+    assert one(spark, blank + others + blank, text.trimmed) == others
