@@ -58,17 +58,20 @@ def _index_rows(pages: DataFrame) -> DataFrame:
 
 def index_events(pages: DataFrame) -> DataFrame:
     """Event list, oldest first by `position`. `readable` is false where date or place is absent."""
-    link = html.first(F.col("row"), "a", LIST_LINK)
-    return _index_rows(pages).select(
-        html.text(link).alias("event_name"),
-        html.text(html.first(F.col("row"), "span", LIST_DATE)).alias("date"),
-        html.text(html.first(F.col("row"), "td", LIST_PLACE)).alias("location"),
-        html.attribute(link, "href").alias("link"),
-        F.col("position"),
-        (
-            html.first(F.col("row"), "span", LIST_DATE).isNotNull()
-            & html.first(F.col("row"), "td", LIST_PLACE).isNotNull()
-        ).alias("readable"),
+    row = F.col("row")
+    parts = _index_rows(pages).select(
+        "position",
+        html.first(row, "a", LIST_LINK).alias("_link"),
+        html.first(row, "span", LIST_DATE).alias("_date"),
+        html.first(row, "td", LIST_PLACE).alias("_place"),
+    )
+    return parts.select(
+        html.text(F.col("_link")).alias("event_name"),
+        html.text(F.col("_date")).alias("date"),
+        html.text(F.col("_place")).alias("location"),
+        html.attribute(F.col("_link"), "href").alias("link"),
+        "position",
+        (F.col("_date").isNotNull() & F.col("_place").isNotNull()).alias("readable"),
     )
 
 

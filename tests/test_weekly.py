@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ringledger.plans import weekly
 from ringledger.plans.weekly import Folders, Job
 from ringledger.sources import files
-from ringledger.schemas import PAGES, PAIR_STATS
+from ringledger.schemas import PAGES, PAIR_STATS, WAREHOUSE
 from ringledger.operators import records
 from tests import site
 from tests.conftest import rows
@@ -97,6 +97,10 @@ def test_three_runs_and_a_repeat(spark, make):
     after = {t: rows(warehouse(third, t).drop("last_run", "last_updated")) for t in before}
     assert after == before and {t: len(v) for t, v in after.items()} == {"events": 4, "fights": 8, "fight_stats": 8, "round_stats": 16}
 
+    loaded = {}
+    weekly.load_warehouse(third, write=lambda df, name: loaded.update({name: df.schema.names}))
+    assert loaded == {name: schema.names for name, schema in WAREHOUSE.items()}
+
     sent = spark.read.parquet(third.folders.at("notifications"))
     assert rows(sent.select("event_name")) == [("Night 2, part",), ("Night 4, part",)]
     box = spark.read.parquet(third.folders.at("outbox"))
