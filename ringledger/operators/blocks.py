@@ -5,7 +5,7 @@ position. Windows run per (key, block), and what a block needs from the earlier
 one row per block. The rows are shuffled once. The input is read three times: give a stored table if it is expensive.
 
 Only a key with over 1/100,000 of all rows is ever cut, so there are fewer than 100,000 such keys and fewer than 200,000
-blocks of them, whatever the size of the input. That bounds what is broadcast.
+blocks of them, whatever the size of the input. The table of the large keys is therefore small enough to be broadcast.
 """
 
 from collections.abc import Callable, Sequence
@@ -61,7 +61,8 @@ def _running(
     return (
         with_block(keyed, large, "_key", position)
         .withColumn(name, in_block.over(here))
-        .join(F.broadcast(carried), ["_key", "_block"], "left")
+        # the rows are partitioned by these columns already, so that they are not shuffled again if `carried` is large
+        .join(carried, ["_key", "_block"], "left")
         .withColumn(name, combine(F.col(name), F.col("_carried")))
         .select(*df.columns, name)
     )

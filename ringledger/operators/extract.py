@@ -43,9 +43,8 @@ def numbered(
     `oldest_first` counts from the other end, for pages that list the newest first.
     """
     # the outer form, since Spark puts a filter that computes the items once more below the plain one
-    rows = df.withColumn("_items", items).select(
-        *df.columns, F.size("_items").alias("_n"), F.posexplode_outer("_items").alias("_at", item)
-    )
+    counted = df.withColumn("_items", items).withColumn("_n", F.size("_items"))
+    rows = counted.select(*df.columns, "_n", F.posexplode_outer("_items").alias("_at", item))
     place = (F.col("_n") - F.col("_at")) if oldest_first else (F.col("_at") + 1 - skip)
     return rows.filter(F.col("_at") >= skip).withColumn(number, place).drop("_n", "_at")
 
