@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +27,11 @@ def build_session(name: str = "ringledger", master: str | None = None, **setting
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="ringledger-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under the cluster's `spark.checkpoint.dir`.
 
@@ -36,6 +42,5 @@ def shared_folder(spark: SparkSession) -> str:
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="ringledger-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/ringledger/{uuid.uuid4().hex}"
