@@ -57,14 +57,14 @@ def extract_index(spark, d):
 @check(
     """SELECT 'Night ' || o_orderkey AS event_name, 'http://site.test/' || o_orderkey AS link,
     (row_number() OVER (PARTITION BY o_orderkey // 50 ORDER BY o_orderkey))::INT AS position
-    FROM orders QUALIFY o_orderkey % 7 > 0"""
+    FROM orders QUALIFY o_orderstatus <> 'P'"""
 )
 def extract_links(spark, d):
     """Linked rows of the event list; rows without a link keep their place but are left out."""
     key = F.col("o_orderkey")
     linked = _html(f'<tr class="{LIST_ROW}"><td><a href="http://site.test/{{k}}">Night {{k}}</a></td></tr>', k=key)
     bare = F.lit(f'<tr class="{LIST_ROW}"><td>no link</td></tr>')
-    row = F.when(key % 7 == 0, bare).otherwise(linked)
+    row = F.when(F.col("o_orderstatus") == "P", bare).otherwise(linked)
     rows = table(spark, d, "orders").select(key.alias("number"), row.alias("row"))
     return extract.index_links(_pages(rows, 50, f'<tr class="{LIST_ROW}"><td></td></tr>'))
 
@@ -75,7 +75,7 @@ def extract_links(spark, d):
     CASE WHEN c_custkey % 4 > 0 THEN '7' || c_custkey % 10 || '.0' END AS reach, 'Orthodox' AS stance,
     (c_custkey % 30)::VARCHAR AS wins, (c_custkey % 20)::VARCHAR AS losses, (c_custkey % 3)::VARCHAR AS draws,
     CASE WHEN c_acctbal > 5000 THEN 'Yes' ELSE '' END AS belt, 'http://site.test/f' || c_custkey AS link
-    FROM customer WHERE c_nationkey % 5 > 0"""
+    FROM customer WHERE c_mktsegment <> 'MACHINERY'"""
 )
 def extract_directory(spark, d):
     """Fighter directory pages; rows with too few cells are left out."""
@@ -95,21 +95,21 @@ def extract_directory(spark, d):
     ]
     cells = F.concat(*[_html(f'<td class="{LIST_CELL}">\n {{t}} </td>', t=t) for t in texts])
     short = F.lit(f'<td class="{LIST_CELL}">retired</td>')
-    row = _html(f'<tr class="{LIST_ROW}">{{c}}</tr>', c=F.when(F.col("c_nationkey") % 5 == 0, short).otherwise(cells))
+    row = _html(f'<tr class="{LIST_ROW}">{{c}}</tr>', c=F.when(F.col("c_mktsegment") == "MACHINERY", short).otherwise(cells))
     rows = table(spark, d, "customer").select(key.alias("number"), row.alias("row"))
     return extract.directory_fighters(_pages(rows, 100, ""))
 
 
 @check(
     """SELECT 'Card ' || o_orderkey // 20 AS event_name, (row_number() OVER (PARTITION BY o_orderkey // 20
-      ORDER BY o_orderkey DESC))::INT AS fight_id, CASE WHEN o_orderstatus = 'F' AND o_orderkey % 6 > 0
+      ORDER BY o_orderkey DESC))::INT AS fight_id, CASE WHEN o_orderstatus = 'F' AND o_orderpriority <> '5-LOW'
       THEN 'Red ' || o_custkey ELSE 'nc' END AS fight_result, 'Red ' || o_custkey AS fighter_1, 'Blue ' || o_orderkey AS fighter_2, substr(o_orderpriority, 3)
       AS weight_class, 'KO/TKO' AS method, CASE WHEN o_orderkey % 2 = 0 THEN 'Punches' ELSE '' END AS description,
     (o_orderkey % 5 + 1)::VARCHAR AS round, '4:' || (10 + o_orderkey % 50) AS time,
     (o_orderkey % 3 = 0)::INT AS championship_fight, 0 AS fight_of_the_night, (o_totalprice > 300000)::INT
       AS performance_of_the_night, 0 AS sub_of_the_night, 0 AS ko_of_the_night,
     CASE WHEN o_orderkey % 4 > 0 THEN 'http://site.test/d' || o_orderkey END AS fight_stats_link,
-    (o_orderkey // 20)::INT AS event_position, o_orderkey % 6 > 0 AS readable FROM orders"""
+    (o_orderkey // 20)::INT AS event_position, o_orderpriority <> '5-LOW' AS readable FROM orders"""
 )
 def extract_card(spark, d):
     """Event pages of fights; a row without the result flag is not readable."""
@@ -125,7 +125,7 @@ def extract_card(spark, d):
         '<p><a class="b-link" href="#">\nBlue {k}</a></p></td><td></td><td></td><td></td><td></td><td><p> {w} {icons}</p></td>'
         "<td><p>KO/TKO</p><p> {how} </p></td><td><p>{r}</p></td><td><p>\n4:{s}</p></td></tr>",
         link=link,
-        flag=F.when(key % 6 == 0, "").otherwise(_html('<i class="b-flag"><i class="b-flag__text">{f}</i></i>', f=flag)),
+        flag=F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise(_html('<i class="b-flag"><i class="b-flag__text">{f}</i></i>', f=flag)),
         c=F.col("o_custkey"),
         k=key,
         w=F.expr("substr(o_orderpriority, 3)"),
@@ -167,7 +167,7 @@ def _fight_pages(spark, d) -> DataFrame:
     # two columns that the strike sections do not use stand before the six that they do
     bodies = [section(len(TOTALS)), rounds(len(TOTALS)), section(len(STRIKES) + 2), rounds(len(STRIKES) + 2)]
     tables = [_html(f'<table><tbody class="{CARD_BODY}">{{b}}</tbody></table>', b=b) for b in bodies]
-    kept = tables[:3] + [F.when(F.col("c_nationkey") % 6 == 0, "").otherwise(tables[3])]
+    kept = tables[:3] + [F.when(F.col("c_acctbal") > 0, tables[3]).otherwise("")]
     page = F.concat(F.lit("<html>"), *kept, F.lit("</html>"))
     customers = extract.spread(table(spark, d, "customer"), "c_custkey")
     return customers.select(c.cast("string").alias("event"), F.lit(1).alias("fight_id"), page.alias("html"))
@@ -185,7 +185,7 @@ def _values(names: list[str], skip: int, mark: str) -> str:
 
 
 _STAT_SQL = """SELECT c_custkey::VARCHAR AS event, 1 AS fight_id, corner || ' ' || c_custkey AS fighter, {totals}, {strikes}
-    FROM customer, (VALUES ('Red', ''), ('Blue', '-')) v(corner, m) WHERE c_nationkey % 6 > 0"""
+    FROM customer, (VALUES ('Red', ''), ('Blue', '-')) v(corner, m) WHERE c_acctbal > 0"""
 
 
 @check(_STAT_SQL.format(totals=_values(TOTALS, 0, "m"), strikes=_values(STRIKES, 2, "m")))
@@ -201,7 +201,7 @@ def extract_fight_stats(spark, d):
 @check(
     f"""SELECT c_custkey::VARCHAR AS event, 1 AS fight_id, 'Round ' || r AS round, corner || ' ' || c_custkey AS fighter,
     {_values(TOTALS, 0, "(sign || r)")}, {_values(STRIKES, 2, "(sign || r)")}
-    FROM (SELECT *, unnest(range(1, c_custkey % 3 + 2)) AS r FROM customer WHERE c_nationkey % 6 > 0),
+    FROM (SELECT *, unnest(range(1, c_custkey % 3 + 2)) AS r FROM customer WHERE c_acctbal > 0),
     (VALUES ('Red', ''), ('Blue', '-')) v(corner, sign)"""
 )
 def extract_round_stats(spark, d):
@@ -212,7 +212,7 @@ def extract_round_stats(spark, d):
     return left_join(totals, strikes, [*keys, "round", "fighter"])
 
 
-@check("SELECT c_custkey::VARCHAR AS event, c_nationkey % 6 > 0 AS readable FROM customer")
+@check("SELECT c_custkey::VARCHAR AS event, c_acctbal > 0 AS readable FROM customer")
 def extract_rejects(spark, d):
     """Which fight pages can be read."""
     return extract.fight_sections(_fight_pages(spark, d)).select("event", "readable")

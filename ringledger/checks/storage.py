@@ -25,15 +25,15 @@ def csv_typed_scan(spark, d):
     return files.read_csv(spark, path, schema, long_dates=True)
 
 
-@check("SELECT event_id, user_id, event_type, CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END AS run FROM events")
+@check("SELECT event_id, user_id, event_type, CASE WHEN event_type IN ('signup', 'error') THEN 'a' ELSE 'b' END AS run FROM events")
 def append_increment(spark, d):
     """Two runs, the second one repeated and followed by an empty one."""
     path = shared_folder(spark)
     e = table(spark, d, "events").select("event_id", "user_id", "event_type")
-    files.write_slice(e.filter("event_id % 2 = 0"), path, "a")
-    files.write_slice(e.filter("event_id % 4 = 1"), path, "b")
-    files.write_slice(e.filter("event_id % 2 = 1"), path, "b")
-    files.write_slice(e.filter("event_id < 0"), path, "c")
+    files.write_slice(e.filter("event_type IN ('signup', 'error')"), path, "a")
+    files.write_slice(e.filter("event_type = 'view'"), path, "b")
+    files.write_slice(e.filter("event_type NOT IN ('signup', 'error')"), path, "b")
+    files.write_slice(e.filter("event_type = 'none'"), path, "c")
     return files.read_slices(spark, path, e.schema)
 
 

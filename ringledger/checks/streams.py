@@ -14,12 +14,15 @@ _MESSAGE = """user_id::VARCHAR AS user_id, 'u' || user_id AS username,
     strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp, (event_type = 'signup')::INT AS subscribe"""
 
 
+_EARLY = "ts < TIMESTAMP_NTZ '2024-01-16'"
+
+
 def _messages(spark, d):
     name = F.concat(F.lit("u"), "user_id")
     value = actions.encoded(
         F.col("user_id").cast("string"), name, F.col("event_type") == "signup", iso_text(F.col("ts"))
     )
-    return table(spark, d, "events").select("event_id", "event_type", value.alias("value"))
+    return table(spark, d, "events").select("ts", "event_type", value.alias("value"))
 
 
 def _publish(messages, folder):
@@ -35,12 +38,12 @@ def stream_json_ingest(spark, d):
     return actions.read_slices(spark, f"{base}/out", _COLUMNS).drop("batch_id")
 
 
-@check(f"SELECT {_MESSAGE}, CASE WHEN event_id % 2 = 0 THEN 0 ELSE 1 END::BIGINT AS batch_id FROM events")
+@check(f"SELECT {_MESSAGE}, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END::BIGINT AS batch_id FROM events")
 def stream_restart(spark, d):
     """Messages that arrive after a stop are taken up from the checkpoint, the earlier ones not again."""
     base = shared_folder(spark)
-    for half in (0, 1):
-        _publish(_messages(spark, d).filter(F.col("event_id") % 2 == half), f"{base}/in")
+    for half in (_EARLY, f"NOT {_EARLY}"):
+        _publish(_messages(spark, d).filter(half), f"{base}/in")
         rows = actions.parsed(actions.file_messages(spark, f"{base}/in"))
         actions.run_once(rows, actions.slice_writer(f"{base}/out"), f"{base}/checkpoint")
     return actions.read_slices(spark, f"{base}/out", _COLUMNS)
@@ -51,9 +54,10 @@ def stream_restart(spark, d):
 )
 def stream_rejects(spark, d):
     base = shared_folder(spark)
-    bad = table(spark, d, "events").select(F.concat(F.lit('cut off {"user_id":"'), "user_id", F.lit('"')).alias("value"), "event_type")
-    good = _messages(spark, d).filter("event_type != 'view'")
-    _publish(good.select("value").unionByName(bad.filter("event_type = 'view'").select("value")), f"{base}/in")
+    cut = F.concat(F.lit('cut off {"user_id":"'), "user_id", F.lit('"')).alias("value")
+    bad = table(spark, d, "events").filter("event_type = 'view'").select(cut)
+    good = _messages(spark, d).filter("event_type != 'view'").select("value")
+    _publish(good.unionByName(bad), f"{base}/in")
     write = actions.rejecting_writer(f"{base}/out", f"{base}/rejects")
     actions.run_once(actions.file_messages(spark, f"{base}/in"), write, f"{base}/checkpoint")
     return actions.read_slices(spark, f"{base}/rejects", {"message": "string"}).drop("batch_id")
@@ -66,8 +70,9 @@ def stream_rejects(spark, d):
 def stream_current_subscribers(spark, d):
     """State kept from the stream over a restart; every batch stores the users it changed."""
     base = shared_folder(spark)
-    for half in (1, 0):
-        _publish(_messages(spark, d).filter(F.col("event_id") % 2 == half), f"{base}/in")
+    # the later half comes first, so that late actions must not undo newer ones
+    for half in (f"NOT {_EARLY}", _EARLY):
+        _publish(_messages(spark, d).filter(half), f"{base}/in")
         rows = actions.parsed(actions.file_messages(spark, f"{base}/in"))
         states = actions.subscriber_states(rows, "user_id", "action", ["timestamp"]).select("user_id", "action")
         actions.run_once(states, actions.slice_writer(f"{base}/out"), f"{base}/checkpoint", mode="update")
