@@ -118,7 +118,7 @@ def tight_text(fragment: Column) -> Column:
     marked = entities(F.regexp_replace(fragment, _TAG, _MARK))
 
     def joined(x: Column) -> Column:
-        nodes = F.transform(F.split(x, _MARK), trimmed)
+        nodes = F.transform(F.split(x, _MARK), lambda node: trimmed(node))
         return F.when(x.contains(_MARK), F.array_join(nodes, "")).otherwise(x)
 
-    return _once(trimmed(marked, _MARK), joined)
+    return _once(trimmed(marked, also=_MARK), joined)

@@ -18,7 +18,7 @@ def preview(role: Column, content: Column, chars: int = PREVIEW_CHARS) -> Column
     return F.concat(F.lit("- "), role, F.lit(": "), F.substring(content, 1, chars), F.lit("..."))
 
 
-def trimmed(c: Column, also: str = "") -> Column:
+def trimmed(c: Column, *, also: str = "") -> Column:
     """Without blanks, and characters of `also`, at both ends.
 
     The pattern runs to the end of the text and back over the blanks there, which is faster than `btrim` with a set.

@@ -38,6 +38,8 @@ RAW = {
     "fight_stats": _raw(FIGHT_STATS, "event_position"),
     "round_stats": _raw(ROUND_STATS, "event_position"),
 }
+# all that a row of the event list says: rows without a link have no name
+EVENT_KEY = ["event_name", "date", "location", "link"]
 
 
 @dataclass(frozen=True)
@@ -134,7 +136,7 @@ def load_events(job: Job) -> int:
     listed = listed.filter("readable")
     mark = last_value(job.earlier("events"), "event_name", ["run", "position"]).scalar()
     new = since_bookmark(listed, "event_name", "position", mark)
-    new = not_yet_stored(missing_to_null(new, MISSING), job.other_runs("events"), ["event_name", "link"])
+    new = not_yet_stored(missing_to_null(new, MISSING), job.other_runs("events"), EVENT_KEY)
     now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
     n = job.store(files.stamped(new, "last_updated", now), "events").count()
     newest = _value(last_value(listed, "event_name", ["position"]))
