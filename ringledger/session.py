@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # questions arrive as SQL with quoted column names, which would otherwise be read as text
+    "spark.sql.ansi.doubleQuotedIdentifiers": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

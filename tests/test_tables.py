@@ -23,6 +23,11 @@ def test_only_one_select_runs(spark, text):
     assert spark.table("people").count() == 2
 
 
+def test_quoted_names_are_columns(spark):
+    got = tables.select(spark, """SELECT "name" || '!' AS shout FROM people WHERE "n" = '1' AND name ILIKE 'a%'""")
+    assert got.collect() == [("Ann!",)]
+
+
 def test_follow_up_reads_the_last_result(spark):
     tables.answer(spark, "SELECT * FROM people WHERE n = 2")
     assert [r.name for r in tables.select(spark, "SELECT name FROM last_query_result").collect()] == ["Bea"]
