@@ -23,6 +23,7 @@ def page_frame(spark, *pages):
         ("<p>&amp;#38;lt; &unknown; a & b &</p>", "&#38;lt; &unknown; a & b &", "&#38;lt; &unknown; a & b &"),
         ("<p>&copy 2025 &rsquo;&ndash;&#150; R&R, AT&T</p>", "© 2025 ’–– R&R, AT&T", "© 2025 ’–– R&R, AT&T"),
         ("<p>&#0;&#xD800;&#9999999;&#39;&#x27</p>", "\ufffd\ufffd\ufffd''", "\ufffd\ufffd\ufffd''"),
+        ("<title>cut off &amp;&amp</title>", "cut off &&", "cut off &&"),
         ('<p title="a > b">x</p>', "x", "x"),
         ("<p>3 < 4</p>", "3 < 4", "3 < 4"),
         ("<p></p>", "", ""),
