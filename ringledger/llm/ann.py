@@ -28,7 +28,7 @@ NEIGHBOURS = 20
 SAMPLE = 8_192
 TREES = 12
 LEAF_SAMPLE = 128
-SHARE = 0.65
+SHARE = 0.8
 BLOCK_VECTORS = 8_192
 BLOCK_QUERIES = 2_048
 

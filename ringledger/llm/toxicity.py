@@ -1,10 +1,10 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Confirmed toxic documents are the positives; all other text of the learning fold is unlabelled. The risk of a linear model
-is pi E+[l(f)] + max(0, Eu[l(-f)] - pi E+[l(-f)]), pi being the share of toxic documents; where the second term falls below
+is pi E+[l(f)] + max(0, Eu[l(-f)] - pi E+[l(-f)]), with the sigmoid loss l and pi the share of toxic documents; where the second term falls below
 zero, the step goes against it, so the model cannot win by calling positives' likeness negative. Features are whether a word
-or the beginning of a word occurs. An L1 step keeps features that say nothing at weight zero, so long clean documents do not
-add up to a toxic one.
+or the beginning of a word occurs, kept where it is clearly commoner among positives than among the unlabelled; the others
+would leave noise that adds up in long clean documents.
 
 The model is fitted in numpy on a bounded sample (`POSITIVES`, `UNLABELLED`, by the hash of the id) and scores all documents
 in one pass without a shuffle.
@@ -19,14 +19,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringledger.llm.common import Adam, agreed_labels, bounded_batches, first_by_hash, logistic, sigmoid
+from ringledger.llm.common import Adam, agreed_labels, bounded_batches, first_by_hash, sigmoid
 
 POSITIVES = 2_000
 UNLABELLED = 4_000
 THRESHOLD = 0.3
 STEPS = 200
-MIN_DOCUMENTS = 4
-L1 = 0.0004
+MIN_DOCUMENTS, MIN_SHARE = 3, 0.03
+APART, RATIO = 5.0, 3.0
+L2 = 1e-4
 PREFIXES = (4, 5, 6)
 KEPT_WORDS = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -66,36 +67,59 @@ class Model:
         return sigmoid(out)
 
 
+def telling(positive: np.ndarray, unlabelled: np.ndarray, n: int, m: int) -> np.ndarray:
+    """Whether a feature held by so many of n positives and m unlabelled documents is clearly commoner among positives.
+
+    At weight zero the slope of the risk by a feature's weight is proportional to this difference of shares.
+    """
+    p, u = positive / n, unlabelled / max(1, m)
+    noise = np.sqrt((u + 1 / (m + 1)) * (1 / n + 1 / max(1, m)))
+    return (positive >= max(MIN_DOCUMENTS, MIN_SHARE * n)) & (p - u > APART * noise) & (p > RATIO * u)
+
+
+def _columns(documents: list[np.ndarray], names: np.ndarray) -> list[np.ndarray]:
+    """For each document the places of its features in `names`, those that are there."""
+    flat = np.concatenate(documents) if documents else np.zeros(0, np.uint32)
+    at = np.minimum(np.searchsorted(names, flat), max(0, len(names) - 1))
+    there = names[at] == flat if len(names) else np.zeros(len(flat), bool)
+    ends = np.cumsum([len(d) for d in documents])
+    return [c[t] for c, t in zip(np.split(at, ends[:-1]), np.split(there, ends[:-1]), strict=True)]
+
+
+def _once(documents: list[np.ndarray]) -> list[np.ndarray]:
+    """Without copies, which would make a chance word of one text look like a rule."""
+    return [np.frombuffer(b, np.uint32) for b in sorted({d.tobytes() for d in documents})]
+
+
 def fit_weights(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Model:
     """The model of least non-negative risk; each document is an array of distinct feature hashes."""
-    documents = [*positive, *unlabelled]
-    names, counts = np.unique(np.concatenate(documents), return_counts=True)
-    names = names[counts >= MIN_DOCUMENTS]
-    sizes, columns = [], []
-    for d in documents:
-        at = np.searchsorted(names, d)
-        at = at[(at < len(names)) & (names[np.minimum(at, len(names) - 1)] == d)] if len(names) else at[:0]
-        columns.append(at)
-        sizes.append(len(at))
-    column, row = np.concatenate(columns), np.repeat(np.arange(len(documents)), sizes)
-    n = len(positive)
-    is_positive = np.arange(len(documents)) < n
-    weights, bias = np.zeros(len(names)), np.log(prior / (1 - prior))
-    steps, bias_steps = Adam(0.1), Adam(0.02)
+    positive, unlabelled = _once(positive), _once(unlabelled)
+    n, m = len(positive), len(unlabelled)
+    names, counts = np.unique(np.concatenate(positive), return_counts=True)
+    names, counts = names[counts >= MIN_DOCUMENTS], counts[counts >= MIN_DOCUMENTS]
+    columns = _columns([*positive, *unlabelled], names)
+    among = np.bincount(np.concatenate([names[:0].astype(np.int64), *columns[n:]]), minlength=len(names))
+    kept = telling(counts, among, n, m)
+    place = np.cumsum(kept) - 1
+    columns = [place[c[kept[c]]] for c in columns]
+    # the slope at zero tells how to begin: log odds of the shares
+    weights = np.log(((counts + 0.5) / (n + 1) / ((among + 0.5) / (m + 1)))[kept])
+    names, bias = names[kept], float(np.log(prior / (1 - prior)) - 1)
+    column, row = np.concatenate(columns), np.repeat(np.arange(n + m), [len(c) for c in columns])
+    is_positive = np.arange(n + m) < n
+    steps, bias_steps = Adam(0.02), Adam(0.02)
     for _ in range(STEPS):
-        f = bias + np.bincount(row, weights=weights[column], minlength=len(documents))
+        f = bias + np.bincount(row, weights=weights[column], minlength=n + m)
         p = sigmoid(f)
-        rest = logistic(f[n:]).mean() - prior * logistic(f[:n]).mean()
+        slope = p * (1 - p)  # of the sigmoid loss, which is bounded, so that no document outweighs the rest
+        rest = (p[n:].mean() if m else 0.0) - prior * p[:n].mean()
         # derivatives by f: of the positives' risk, and of the estimate of the negatives' risk
-        toward = np.where(is_positive, prior * (p - 1) / n, 0.0)
-        negative = np.where(is_positive, -prior * p / n, p / max(1, len(documents) - n))
+        toward = np.where(is_positive, -prior * slope / n, 0.0)
+        negative = np.where(is_positive, -prior * slope / n, slope / max(1, m))
         by_f = toward + negative if rest >= 0 else -negative
-        gradient = np.bincount(column, weights=by_f[row], minlength=len(names))
-        weights -= steps.step(gradient + 1e-6 * weights)
-        weights = np.sign(weights) * np.maximum(0.0, np.abs(weights) - L1 * (np.abs(gradient) < L1))
-        bias -= bias_steps.step(np.array([by_f.sum()]))[0]
-    held = np.abs(weights) > 0.25
-    return Model({int(k): float(w) for k, w in zip(names[held], weights[held], strict=True)}, float(bias))
+        weights = weights - steps.step(np.bincount(column, weights=by_f[row], minlength=len(names)) + L2 * weights)
+        bias -= float(bias_steps.step(np.array([by_f.sum()]))[0])
+    return Model({int(k): float(w) for k, w in zip(names, weights, strict=True)}, bias)
 
 
 def fit_toxicity(
