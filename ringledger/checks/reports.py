@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ringledger.checks.registry import check, table
 from ringledger.operators import report
-from ringledger.plans.report import latest_report, stored_outbox
+from ringledger.plans.report import deliveries, latest_report, stored_outbox
 from ringledger.session import shared_folder
 
 # orders as fights
@@ -97,12 +97,12 @@ def report_lines(spark, d):
 
 
 @check(
-    f"""WITH {_FIGHTS} SELECT event_name, (fight_id // 10000)::BIGINT AS part,
-    string_agg({_LINE}, chr(10) || chr(10) ORDER BY fight_id DESC) AS card FROM fights GROUP BY event_name, fight_id // 10000"""
+    f"""WITH {_FIGHTS} SELECT event_name, string_agg({_LINE}, chr(10) || chr(10) ORDER BY fight_id DESC) AS card
+    FROM fights GROUP BY event_name"""
 )
 def report_card_text(spark, d):
     lines = report.card_lines(_fights(spark, d))
-    return report.joined_lines(lines, ["event_name"], "line", "fight_id", "\n\n", "fight_id DESC", "card")
+    return report.joined_lines(lines, ["event_name"], "line", "\n\n", "fight_id DESC", "card")
 
 
 @check(f"WITH {_FIGHTS}, {_AWARDS} SELECT type, matchup FROM awards")
@@ -120,31 +120,30 @@ def highlight_stack(spark, d):
 _MESSAGES = f"""{_FIGHTS}, {_AWARDS},
     event AS (SELECT c_name AS event_name, c_mktsegment AS location, max(o_orderdate)::DATE AS date
       FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL ORDER BY date DESC, event_name LIMIT 1),
-    card AS (SELECT event_name, fight_id // 10000 AS p,
-      string_agg({_LINE}, chr(10) || chr(10) ORDER BY fight_id DESC) AS t
-      FROM fights WHERE event_name = (SELECT event_name FROM event) GROUP BY ALL),
-    won AS (SELECT event_name, fight_id // 10000 AS p, string_agg(CASE type_no
+    card AS (SELECT string_agg({_LINE}, chr(10) || chr(10) ORDER BY fight_id DESC) AS t
+      FROM fights WHERE event_name = (SELECT event_name FROM event)),
+    won AS (SELECT string_agg(CASE type_no
       WHEN 0 THEN 'Performance Of The Night' WHEN 1 THEN 'Ko Of The Night' ELSE 'Submission Of The Night' END
       || ': ' || matchup, chr(10) ORDER BY type_no, fight_id) AS t
-      FROM awards WHERE event_name = (SELECT event_name FROM event) GROUP BY ALL),
-    messages AS (SELECT event_name, 1 AS kind, 0::BIGINT AS part, '<b>🏟️ Last UFC Event:</b>' || chr(10)
-      || 'Event: ' || event_name || chr(10) || 'Location: ' || location || chr(10) || 'Date: ' || date AS text FROM event
-    UNION ALL SELECT event_name, 2, (-p)::BIGINT, CASE WHEN p = (SELECT max(p) FROM card)
-      THEN '<b>🥊 Fight Card Results:</b>' || chr(10) ELSE '' END || t FROM card
-    UNION ALL SELECT event_name, 3, p::BIGINT, CASE WHEN p = (SELECT min(p) FROM won)
-      THEN '<b>🏆 Event Highlights:</b>' || chr(10) ELSE '' END || t FROM won)"""
+      FROM awards WHERE event_name = (SELECT event_name FROM event)),
+    messages AS (SELECT event_name, 1 AS kind, '<b>🏟️ Last UFC Event:</b>' || chr(10) || 'Event: ' || event_name
+      || chr(10) || 'Location: ' || location || chr(10) || 'Date: ' || date AS text FROM event
+    UNION ALL SELECT event_name, 2, '<b>🥊 Fight Card Results:</b>' || chr(10) || coalesce(t, '') FROM event, card
+    UNION ALL SELECT event_name, 3, '<b>🏆 Event Highlights:</b>' || chr(10) || t FROM event, won WHERE t IS NOT NULL)"""
 
 
-@check(f"WITH {_MESSAGES} SELECT event_name, kind, part, text FROM messages")
+@check(f"WITH {_MESSAGES} SELECT event_name, kind, text FROM messages")
 def latest_entity_report(spark, d):
     return latest_report(_events(spark, d), _fights(spark, d))
 
 
 @check(
-    f"""WITH {_MESSAGES} SELECT user_id::VARCHAR AS user_id, event_name, kind, part, kind || '/' || part AS message_id,
-    text FROM (SELECT DISTINCT user_id FROM events WHERE event_type = 'signup'), messages"""
+    f"""WITH {_MESSAGES} SELECT user_id::VARCHAR AS user_id, event_name, kind, text
+    FROM (SELECT DISTINCT user_id FROM events WHERE event_type = 'signup'), messages"""
 )
 def report_outbox(spark, d):
+    """Recipients with the keys of the messages, and the texts joined from their one copy."""
     users = table(spark, d, "events").filter("event_type = 'signup'").select(F.col("user_id").cast("string")).distinct()
-    messages = latest_report(_events(spark, d), _fights(spark, d))
-    return stored_outbox(spark, users, messages, shared_folder(spark))
+    path = shared_folder(spark)
+    box = stored_outbox(spark, users, latest_report(_events(spark, d), _fights(spark, d)), path)
+    return deliveries(box, spark.read.parquet(path))

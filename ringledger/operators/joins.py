@@ -21,31 +21,38 @@ def rows_of_one(df: DataFrame, key: str, one_row: DataFrame, value: str) -> Data
     return df.filter(F.col(key) == one_row.select(value).scalar())
 
 
-def fan_out(recipients: DataFrame, messages: DataFrame, message_id: str) -> DataFrame:
-    """One row per recipient and message.
+def fan_out(recipients: DataFrame, messages: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per recipient and message, holding the message's keys only.
 
-    Only the message ids pass through a scalar. The texts come by an equi-join, which broadcasts a message table
-    under Spark's broadcast threshold and otherwise splits its large partitions.
+    Messages are the few of one report, and their keys pass through a scalar; texts are stored once and joined by
+    `with_text` when they are delivered.
     """
-    ids = messages.agg(F.collect_set(message_id).alias("ids")).scalar()
-    return recipients.select("*", F.explode(ids).alias(message_id)).join(messages, message_id)
+    ids = messages.agg(F.collect_set(F.struct(*keys))).scalar()
+    return recipients.select("*", F.explode(ids).alias("_message")).select(*recipients.columns, "_message.*")
 
 
-def latest_match(dim: DataFrame, dim_key: Column, facts: DataFrame, fact_key: str, take: str, order: Sequence[str]):
+def with_text(outbox: DataFrame, messages: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of an outbox with the texts of their messages."""
+    return outbox.join(messages, list(keys))
+
+
+def latest_match(
+    dim: DataFrame, dim_key: Column, facts: DataFrame, fact_key: str, take: str, order: Sequence[str], how: str = "inner"
+) -> DataFrame:
     """For each dimension row, one column of its latest fact row. Facts are reduced to a row per key first."""
     latest = facts.groupBy(F.col(fact_key).alias("_fk")).agg(F.max_by(F.col(take), F.struct(*order)).alias(take))
-    return dim.withColumn("_dk", dim_key).join(latest, F.col("_dk") == F.col("_fk")).drop("_dk", "_fk")
+    return dim.withColumn("_dk", dim_key).join(latest, F.col("_dk") == F.col("_fk"), how).drop("_dk", "_fk")
 
 
 def champions(fighters: DataFrame, title_fights: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Current champions with the class of their latest title fight.
+    """Current champions with the class of their latest title fight; NULL if none is stored.
 
     `title_fights` has one row per side, as `two_sides` gives, of championship fights only.
     """
     holders = fighters.filter(F.col("belt") == "Yes").select(
         F.concat_ws(" ", "first_name", "last_name").alias("champion")
     )
-    return latest_match(holders, F.col("champion"), title_fights, "fighter", "weight_class", order).select(
+    return latest_match(holders, F.col("champion"), title_fights, "fighter", "weight_class", order, "left").select(
         "champion", F.col("weight_class").alias("division")
     )
 

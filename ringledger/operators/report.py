@@ -18,8 +18,6 @@ from ringledger.values import (
     WIN_FLAG,
 )
 
-LINES_PER_PART = 10_000
-
 
 def result_from_flag(flag: Column, first: Column) -> Column:
     """Recorded result of a fight: the first name on a win, otherwise no contest."""
@@ -80,34 +78,14 @@ def event_head(name: Column, location: Column, date: Column) -> Column:
     )
 
 
-def part_of(number: Column, lines_per_part: int = LINES_PER_PART) -> Column:
-    """Part of a text that a line number belongs to."""
-    return F.floor(number / lines_per_part)
-
-
 def _joined(line: str, separator: str, order: str) -> Column:
     quoted = separator.replace("\n", "\\n")
     return F.expr(f"listagg({line}, '{quoted}') WITHIN GROUP (ORDER BY {order})")
 
 
-def joined_lines(
-    df: DataFrame,
-    keys: Sequence[str],
-    line: str,
-    number: str,
-    separator: str,
-    order: str,
-    name: str,
-    lines_per_part: int = LINES_PER_PART,
-) -> DataFrame:
-    """Lines of each key as text, in parts by ranges of the line number, which is unique within a key.
-
-    A card has far fewer lines than a part, so it is one text. A key with any number of lines is cut into parts of
-    at most `lines_per_part` line numbers, so no task builds an unbounded text; joined in the order of `part` they
-    are the whole text. `order` is an SQL sort list over the columns of `df`.
-    """
-    part = part_of(F.col(number), lines_per_part).alias("part")
-    return df.groupBy(*keys, part).agg(_joined(line, separator, order).alias(name))
+def joined_lines(df: DataFrame, keys: Sequence[str], line: str, separator: str, order: str, name: str) -> DataFrame:
+    """Lines of each key as one text. `order` is an SQL sort list over the columns of `df`."""
+    return df.groupBy(*keys).agg(_joined(line, separator, order).alias(name))
 
 
 def _card_line() -> Column:
@@ -155,44 +133,33 @@ def award_line(type_: Column, matchup_: Column) -> Column:
     return F.concat(title_case(type_), F.lit(": "), _shown(matchup_))
 
 
-def report_messages(event: DataFrame, fights: DataFrame, lines_per_part: int = LINES_PER_PART) -> DataFrame:
+def report_messages(event: DataFrame, fights: DataFrame) -> DataFrame:
     """Messages of one event: head, card and, if there are any, awards.
 
-    `event` has one row. Columns: event_name, kind (1 to 3), part, text. Card and awards come from one pass over the
-    fights; the parts that begin a message come from a second one over fight numbers and flags only.
+    `event` has one row. Columns: event_name, kind (1 to 3), text. Card and awards come from one pass over the fights.
+    A card without fights is sent as its head.
     """
-    of_event = fights.filter(F.col("event_name") == event.select("event_name").scalar())
-    part = part_of(F.col("fight_id"), lines_per_part)
+    name = event.select("event_name").scalar()
     vs = matchup(F.col("fighter_1"), F.col("fighter_2"))
     won = [F.when(F.col(flag) == 1, award_line(F.lit(text), vs)).alias(flag) for flag, text in AWARDS]
     flags = [flag for flag, _ in AWARDS]
     texts = (
-        of_event.select("event_name", "fight_id", part.alias("part"), _card_line().alias("line"), *won)
-        .groupBy("event_name", "part")
+        fights.filter(F.col("event_name") == name)
+        .select("fight_id", _card_line().alias("line"), *won)
         .agg(
             _joined("line", "\n\n", "fight_id DESC").alias("card"),
             *[_joined(flag, "\n", "fight_id").alias(flag) for flag in flags],
         )
     )
-    any_award = F.greatest(*[F.coalesce(F.col(flag), F.lit(0)) for flag in flags]) == 1
-    begin = of_event.agg(F.struct(F.max(part).alias("card"), F.min(F.when(any_award, part)).alias("awards"))).scalar()
 
-    def message(kind: int, place: Column, first: Column, head: str, text: Column) -> Column:
-        whole = F.when(F.col("part") == first, F.concat(F.lit(head), text)).otherwise(text)
-        return F.struct(F.lit(kind).alias("kind"), place.alias("part"), whole.alias("text"))
+    def message(kind: int, head: str, text: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.concat(F.lit(head), text).alias("text"))
 
     awards_text = F.concat_ws("\n", *flags)
     messages = F.array(
-        # parts run against the fight number, as the lines within a part do
-        message(2, -F.col("part"), begin["card"], CARD_HEAD, F.col("card")),
-        message(3, F.col("part"), begin["awards"], AWARDS_HEAD, F.when(awards_text != "", awards_text)),
+        message(2, CARD_HEAD, F.coalesce(F.col("card"), F.lit(""))),
+        message(3, AWARDS_HEAD, F.when(awards_text != "", awards_text)),
     )
-    of_fights = texts.select("event_name", F.inline(messages)).filter(F.col("text").isNotNull())
-
-    def single(kind: int, text: Column) -> list:
-        return ["event_name", F.lit(kind).alias("kind"), F.lit(0).cast("bigint").alias("part"), text.alias("text")]
-
-    head = event.select(*single(1, event_head(F.col("event_name"), F.col("location"), F.col("date"))))
-    # a card without fights is sent as its head
-    empty = event.filter(begin["card"].isNull()).select(*single(2, F.lit(CARD_HEAD)))
-    return head.unionByName(of_fights).unionByName(empty)
+    of_fights = texts.select(name.alias("event_name"), F.inline(messages)).filter("event_name IS NOT NULL AND text IS NOT NULL")
+    head = event_head(F.col("event_name"), F.col("location"), F.col("date"))
+    return event.select("event_name", F.lit(1).alias("kind"), head.alias("text")).unionByName(of_fights)

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringledger.operators.incremental import unsent
-from ringledger.operators.joins import fan_out
+from ringledger.operators.joins import fan_out, with_text
 from ringledger.operators.latest import current_subscribers, top_row
 from ringledger.operators.report import report_messages
 from ringledger.schemas import NOTIFICATIONS
 from ringledger.sources import files
+from ringledger.streaming import actions
 
 
 def latest_event(events: DataFrame) -> DataFrame:
@@ -22,26 +23,45 @@ def latest_report(events: DataFrame, fights: DataFrame) -> DataFrame:
     return report_messages(latest_event(events), fights)
 
 
-def subscribers(actions: DataFrame) -> DataFrame:
+def subscribers(log: DataFrame) -> DataFrame:
     """Users subscribed now. Timestamps are compared as times, which their text need not be."""
-    timed = actions.withColumn("_at", F.col("timestamp").try_cast("timestamp"))
-    return current_subscribers(timed, "user_id", "action", ["_at", "timestamp", "action"])
+    return current_subscribers(actions.timed(log), "user_id", "action", ["time", "timestamp", "action"])
+
+
+STATE_COLUMNS = {"user_id": "string", "action": "string", "at": "struct<time:timestamp,timestamp:string>"}
+
+
+def streamed_subscribers(spark: SparkSession, base: str) -> DataFrame:
+    """Users subscribed now, from the states a stream keeps below `base`: the newest snapshot and what came after it."""
+    return actions.subscribed(actions.current_states(spark, base, "user_id", "action", STATE_COLUMNS), "user_id", "action")
+
+
+def keep_subscribers(messages: DataFrame, base: str, checkpoint: str) -> None:
+    """Take up the action messages that have arrived into the states below `base`."""
+    rows = actions.timed(messages.filter("user_id IS NOT NULL"))
+    states = actions.subscriber_states(rows, "user_id", "action", ["time", "timestamp"])
+    actions.run_once(states, actions.slice_writer(f"{base}/slices"), checkpoint, mode="update")
+
+
+MESSAGE = ["event_name", "kind"]
 
 
 def outbox(recipients: DataFrame, messages: DataFrame) -> DataFrame:
-    """One row per recipient and message; order by (kind, part) to send."""
-    numbered = messages.withColumn("message_id", F.concat_ws("/", "kind", "part"))
-    return fan_out(recipients, numbered, "message_id").select(
-        "user_id", "event_name", "kind", "part", "message_id", "text"
-    )
+    """(user_id, event_name, kind) for each recipient and message; order by kind to send."""
+    return fan_out(recipients.select("user_id"), messages, MESSAGE)
 
 
 def stored_outbox(spark: SparkSession, recipients: DataFrame, messages: DataFrame, path: str) -> DataFrame:
-    """Outbox over messages that are written first: computed once, and of a size that Spark knows for the join."""
+    """Outbox over messages that are written first, so that they are computed once."""
     files.overwrite(messages, path)
     return outbox(recipients, spark.read.parquet(path))
 
 
+def deliveries(box: DataFrame, messages: DataFrame) -> DataFrame:
+    """What is to be sent: the rows of an outbox with their texts, which are stored once per event."""
+    return with_text(box, messages, MESSAGE).select("user_id", *MESSAGE, "text")
+
+
 def notify(spark: SparkSession, warehouse: str, recipients: DataFrame, sent_path: str, outbox_path: str) -> bool:
     """Write the outbox of the latest event unless it was notified before; True if it was written.
 

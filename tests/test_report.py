@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ringledger.operators import joins, latest, records, report
-from ringledger.plans.report import latest_event, latest_report, outbox, subscribers
+from ringledger.plans.report import deliveries, latest_event, latest_report, outbox, stored_outbox, subscribers
 from ringledger.schemas import EVENTS, FIGHTERS, FIGHTS
 from tests.conftest import rows
 
@@ -56,13 +56,12 @@ CARD = [
 
 
 def test_report(events, fights):
-    got = rows(latest_report(events, fights).select("kind", "part", "text"))
+    got = rows(latest_report(events, fights).select("kind", "text"))
     assert got == [
-        (1, 0, "<b>🏟️ Last UFC Event:</b>\nEvent: Burns, Morales\nLocation: Las Vegas, USA\nDate: 2025-05-17"),
-        (2, 0, "<b>🥊 Fight Card Results:</b>\n" + "\n\n".join(CARD)),
+        (1, "<b>🏟️ Last UFC Event:</b>\nEvent: Burns, Morales\nLocation: Las Vegas, USA\nDate: 2025-05-17"),
+        (2, "<b>🥊 Fight Card Results:</b>\n" + "\n\n".join(CARD)),
         (
             3,
-            0,
             "<b>🏆 Event Highlights:</b>\nPerformance Of The Night: Michael M vs Gilbert B\n"
             "Ko Of The Night: Michael M vs Gilbert B\nSubmission Of The Night: Ann A vs Bea B",
         ),
@@ -74,12 +73,29 @@ def test_report_without_fights_has_head_and_empty_card(events, fights):
     assert [k for k, _ in got] == [1, 2] and got[1][1] == "<b>🥊 Fight Card Results:</b>\n"
 
 
-def test_long_card_in_parts_is_whole(spark):
-    lines = spark.range(1, 1001).select(F.lit("e").alias("event"), "id", F.concat(F.lit("line "), "id").alias("line"))
-    parts = report.joined_lines(lines, ["event"], "line", "id", "\n\n", "id DESC", "text", lines_per_part=64)
-    got = [r.text for r in sorted(parts.collect(), key=lambda r: -r.part)]
-    assert max(t.count("\n\n") for t in got) < 64
-    assert "\n\n".join(got) == "\n\n".join(f"line {i}" for i in range(1000, 0, -1))
+def test_long_card_is_one_text(spark, events):
+    """Numbers far apart and thousands of lines: one text per event, awards by kind over the whole card."""
+    number = F.col("id") * 1_000 + 1
+    base = {c.name: F.lit(None).cast(c.dataType) for c in FIGHTS.fields}
+    base |= {"event_name": F.lit("Burns, Morales"), "fight_id": number.cast("int"), "fighter_1": F.concat(F.lit("A"), "id")}
+    base |= {"fighter_2": F.lit("B"), "method": F.lit("KO"), "round": F.lit(1), "time": F.lit("1:00"), "weight_class": F.lit("W")}
+    base |= {flag: (F.col("id") % 2 == k % 2).cast("int") for k, (flag, _) in enumerate(report.AWARDS)}
+    long = spark.range(3_000).select(*[base[c].alias(c) for c in FIGHTS.names])
+    got = {r.kind: r.text for r in latest_report(events, long).collect()}
+    assert sorted(got) == [1, 2, 3] and got[2].count("\n\n") == 2_999
+    kinds = [line.split(" Of ")[0] for line in got[3].split("\n")[1:]]
+    assert kinds == ["Performance"] * 1_500 + ["Ko"] * 1_500 + ["Submission"] * 1_500
+    lines = report.card_lines(long)
+    texts = report.joined_lines(lines, ["event_name"], "line", "\n\n", "fight_id DESC", "text").collect()
+    assert len(texts) == 1 and texts[0].text == got[2].split("\n", 1)[1]
+
+
+def test_texts_are_stored_once(spark, events, fights, tmp_path):
+    users = spark.range(50).select(F.col("id").cast("string").alias("user_id"))
+    box = stored_outbox(spark, users, latest_report(events, fights), str(tmp_path / "m"))
+    assert box.columns == ["user_id", "event_name", "kind"] and box.count() == 150
+    sent = deliveries(box, spark.read.parquet(str(tmp_path / "m")))
+    assert sent.count() == 150 and sent.filter("text IS NULL").count() == 0
 
 
 def test_literal_winner_rule_is_wrong(fights):
@@ -142,10 +158,11 @@ def test_champions(spark, fights):
     def fighter(first, last, belt):
         return tuple({"first_name": first, "last_name": last, "belt": belt}.get(n) for n in FIGHTERS.names)
 
-    people = spark.createDataFrame([fighter("Ann", "A", "Yes"), fighter("Bea", "B", None)], FIGHTERS)
+    people = [fighter("Ann", "A", "Yes"), fighter("Bea", "B", None), fighter("Eve", "E", "Yes")]
+    people = spark.createDataFrame(people, FIGHTERS)
     title = fights.filter("championship_fight = 1").withColumn("n", F.when(F.col("event_name") == "Older", 0).otherwise(1))
     sides = records.two_sides(title, "fighter_1", "fighter_2", "fight_result", ["weight_class", "n", "fight_id"])
-    assert rows(joins.champions(people, sides, ["n", "fight_id"])) == [("Ann A", "Welterweight")]
+    assert rows(joins.champions(people, sides, ["n", "fight_id"])) == [("Ann A", "Welterweight"), ("Eve E", None)]
 
 
 def test_closest_name(spark):
