@@ -1,12 +1,13 @@
 """Column functions on whole tables: text is built from columns and decoded back."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ringledger.checks.registry import check, table
 from ringledger.functions import decode, text
 from ringledger.sources import files
 from ringledger.sources.tables import records
-from ringledger.streaming.actions import encoded
+from ringledger.streaming.actions import encoded, parsed
 
 
 @check(
@@ -145,7 +146,7 @@ def body_decode(spark, d):
 @check("SELECT event_id, json_extract_string(props, '$.k')::INT AS k FROM events")
 def json_decode_props(spark, d):
     e = table(spark, d, "events")
-    return e.select("event_id", F.from_json("props", "k int").alias("data")).select("event_id", "data.*")
+    return parsed(e, T.StructType.fromDDL("k int"), "props", keep=["event_id"])
 
 
 @check(
@@ -173,10 +174,7 @@ def json_parse_message(spark, d):
             )
         ).alias("value"),
     )
-    schema = "user_id string, username string, action string, timestamp string, subscribe int"
-    return e.select("event_id", F.from_json("value", schema).alias("m")).select(
-        "event_id", "m.user_id", "m.action", "m.subscribe"
-    )
+    return parsed(e, keep=["event_id"]).select("event_id", "user_id", "action", "subscribe")
 
 
 @check(

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ringledger.checks.registry import check, table
 from ringledger.functions.text import iso_text
+from ringledger.plans import report
 from ringledger.schemas import ACTION
 from ringledger.session import shared_folder
 from ringledger.streaming import actions
@@ -35,7 +36,7 @@ def stream_json_ingest(spark, d):
     _publish(_messages(spark, d), f"{base}/in")
     rows = actions.parsed(actions.file_messages(spark, f"{base}/in"))
     actions.run_once(rows, actions.slice_writer(f"{base}/out"), f"{base}/checkpoint")
-    return actions.read_slices(spark, f"{base}/out", _COLUMNS).drop("batch_id")
+    return actions.read_slices(spark, f"{base}/out", _COLUMNS).drop("query", "batch_id")
 
 
 @check(f"SELECT {_MESSAGE}, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END::BIGINT AS batch_id FROM events")
@@ -46,7 +47,7 @@ def stream_restart(spark, d):
         _publish(_messages(spark, d).filter(half), f"{base}/in")
         rows = actions.parsed(actions.file_messages(spark, f"{base}/in"))
         actions.run_once(rows, actions.slice_writer(f"{base}/out"), f"{base}/checkpoint")
-    return actions.read_slices(spark, f"{base}/out", _COLUMNS)
+    return actions.read_slices(spark, f"{base}/out", _COLUMNS).drop("query")
 
 
 @check(
@@ -60,7 +61,7 @@ def stream_rejects(spark, d):
     _publish(good.unionByName(bad), f"{base}/in")
     write = actions.rejecting_writer(f"{base}/out", f"{base}/rejects")
     actions.run_once(actions.file_messages(spark, f"{base}/in"), write, f"{base}/checkpoint")
-    return actions.read_slices(spark, f"{base}/rejects", {"message": "string"}).drop("batch_id")
+    return actions.read_slices(spark, f"{base}/rejects", {"message": "string"}).drop("query", "batch_id")
 
 
 @check(
@@ -68,13 +69,14 @@ def stream_rejects(spark, d):
     ORDER BY user_id, ts DESC, event_id DESC) WHERE event_type = 'signup'"""
 )
 def stream_current_subscribers(spark, d):
-    """State kept from the stream over a restart; every batch stores the users it changed."""
+    """State kept from the stream over a restart; every batch stores the users it changed, and a snapshot holds the
+    batches before it."""
     base = shared_folder(spark)
     # the later half comes first, so that late actions must not undo newer ones
     for half in (f"NOT {_EARLY}", _EARLY):
         _publish(_messages(spark, d).filter(half), f"{base}/in")
         rows = actions.parsed(actions.file_messages(spark, f"{base}/in"))
-        states = actions.subscriber_states(rows, "user_id", "action", ["timestamp"]).select("user_id", "action")
-        actions.run_once(states, actions.slice_writer(f"{base}/out"), f"{base}/checkpoint", mode="update")
-    slices = actions.read_slices(spark, f"{base}/out", {"user_id": "string", "action": "string"})
-    return actions.latest_states(slices, "user_id", "action")
+        report.keep_subscribers(rows, f"{base}/state", f"{base}/checkpoint")
+        if half != _EARLY:
+            actions.take_snapshot(spark, f"{base}/state", "user_id", "action", report.STATE_COLUMNS)
+    return report.streamed_subscribers(spark, f"{base}/state")

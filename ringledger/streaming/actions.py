@@ -1,13 +1,16 @@
 """JSON actions: source, parsing, and sinks that survive a repeated batch."""
 
-from collections.abc import Callable, Mapping
+import json
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ringledger.operators.latest import newest_slice
 from ringledger.schemas import ACTION
+from ringledger.sources.files import read_table
 from ringledger.values import SUBSCRIBE, UNSUBSCRIBE
 
 KAFKA = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
@@ -27,9 +30,11 @@ def file_messages(spark: SparkSession, folder: str, files_per_batch: int | None
     return reader.load(folder)
 
 
-def parsed(messages: DataFrame, schema: T.StructType = ACTION, value: str = "value") -> DataFrame:
-    """Message text to columns; a malformed message is a row of NULLs."""
-    return messages.select(F.from_json(value, schema).alias("data")).select("data.*")
+def parsed(
+    messages: DataFrame, schema: T.StructType = ACTION, value: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Message text to columns, behind the columns to keep; a malformed message is a row of NULLs."""
+    return messages.select(*keep, F.from_json(value, schema).alias("_data")).select(*keep, "_data.*")
 
 
 def split_rejects(messages: DataFrame, schema: T.StructType = ACTION, value: str = "value"):
@@ -62,80 +67,163 @@ def publish(messages: DataFrame, servers: str, topic: str, **options) -> None:
     messages.select("value").write.format("kafka").options(**settings).save()
 
 
-def slice_writer(folder: str) -> Callable[[DataFrame, int], None]:
-    """Batch sink to Parquet: a batch that is replayed overwrites its own slice."""
+#: Writes a batch to its place, the name of a slice that no other batch of any query has.
+Writer = Callable[[DataFrame, str], None]
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+
+def slice_writer(folder: str) -> Writer:
+    """Batch sink to Parquet: a batch that is replayed overwrites its own slice, and no other query's."""
+
+    def write(batch: DataFrame, place: str) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/{place}")
 
     return write
 
 
-def rejecting_writer(folder: str, rejects: str, schema: T.StructType = ACTION) -> Callable[[DataFrame, int], None]:
+def rejecting_writer(folder: str, rejects: str, schema: T.StructType = ACTION) -> Writer:
     """Batch sink that stores readable messages and the text of malformed ones apart."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, place: str) -> None:
         batch.persist()
         try:
             rows, bad = split_rejects(batch, schema)
-            slice_writer(folder)(rows, batch_id)
-            slice_writer(rejects)(bad, batch_id)
+            slice_writer(folder)(rows, place)
+            slice_writer(rejects)(bad, place)
         finally:
             batch.unpersist()
 
     return write
 
 
-def jdbc_writer(url: str, table: str, **options) -> Callable[[DataFrame, int], None]:
+def jdbc_writer(url: str, table: str, **options) -> Writer:
     """Batch sink that appends to a database table.
 
     A replayed batch is appended again, as a database cannot overwrite one batch. `ever_subscribed` and
     `current_subscribers` give the same users for repeated rows.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, place: str) -> None:
         batch.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
 
     return write
 
 
-def console_writer() -> Callable[[DataFrame, int], None]:
-    """Print every row of a batch in full, for watching a stream by eye."""
-    return lambda batch, batch_id: batch.show(truncate=False)
+def console_writer() -> Writer:
+    """Print every row of a batch in full, for watching a stream by eye; rows come to the driver part by part."""
+
+    def write(batch: DataFrame, place: str) -> None:
+        for row in batch.toLocalIterator():
+            print(place, *row, sep=" | ")
+
+    return write
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the query that a checkpoint belongs to. It lives as long as the checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def start(
     rows: DataFrame,
-    write: Callable[[DataFrame, int], None],
+    write: Writer,
     checkpoint: str,
     mode: str = "append",
     once: bool = False,
 ) -> StreamingQuery:
-    """Start a stream into a batch sink. `once` takes what is there and ends; otherwise the default trigger runs on."""
-    writer = rows.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint)
+    """Start a stream into a batch sink. `once` takes what is there and ends; otherwise the default trigger runs on.
+
+    A new checkpoint counts its batches from 0 again, so a slice is named by the query's id as well.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        write(batch, f"query={query_id(batch.sparkSession, checkpoint)}/batch_id={batch_id}")
+
+    writer = rows.writeStream.foreachBatch(sink).outputMode(mode).option("checkpointLocation", checkpoint)
     if once:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
-def run_once(rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
+def run_once(rows: DataFrame, write: Writer, checkpoint: str, mode: str = "append") -> None:
     start(rows, write, checkpoint, mode, once=True).awaitTermination()
 
 
+def timed(actions: DataFrame, text: str = "timestamp") -> DataFrame:
+    """Actions with the column `time`: their time text as a timestamp, so that its form does not decide the order."""
+    return actions.withColumn("time", F.col(text).try_cast("timestamp"))
+
+
 def subscriber_states(actions: DataFrame, user: str, action: str, order: list[str]) -> DataFrame:
-    """Streaming aggregate: latest action and its place per user. Its state is one row per user."""
+    """Streaming aggregate: latest action and its place `at` per user. Its state is one row per user."""
     return actions.groupBy(user).agg(
         F.max_by(F.col(action), F.struct(*order)).alias(action), F.max(F.struct(*order)).alias("at")
     )
 
 
 def read_slices(spark: SparkSession, folder: str, columns: Mapping[str, str]) -> DataFrame:
-    """Stored batches with the given columns and `batch_id`."""
-    ddl = ", ".join([*(f"`{n}` {t}" for n, t in columns.items()), "batch_id bigint"])
-    return spark.read.schema(ddl).parquet(folder)
+    """Stored batches with the given columns, `query` and `batch_id`; empty if none is stored."""
+    ddl = ", ".join([*(f"`{n}` {t}" for n, t in columns.items()), "query string, batch_id bigint"])
+    return read_table(spark, folder, T.StructType.fromDDL(ddl))
 
 
-def latest_states(slices: DataFrame, user: str, action: str, wanted: str = SUBSCRIBE) -> DataFrame:
-    """Users whose state in their newest batch is subscribed. Each batch holds the users it changed."""
-    last = slices.groupBy(user).agg(F.max_by(F.col(action), F.col("batch_id")).alias(action))
-    return last.filter(F.col(action) == wanted).select(user)
+def latest_states(slices: DataFrame, user: str, action: str) -> DataFrame:
+    """(user, action, at) of each user's latest state over all slices: by the time of the action, whichever batch or query
+    stored it."""
+    picked = slices.groupBy(user).agg(F.max_by(F.struct(action, "at"), F.struct("at", action)).alias("_state"))
+    return picked.select(user, "_state.*")
+
+
+def subscribed(states: DataFrame, user: str, action: str, wanted: str = SUBSCRIBE) -> DataFrame:
+    return states.filter(F.col(action) == wanted).select(user)
+
+
+_MARKS = "query string, batch_id bigint, snapshot bigint"
+
+
+def _newest_snapshot(spark: SparkSession, base: str) -> tuple[int | None, dict[str, int]]:
+    """Number of the newest complete snapshot, and the last batch of each query it holds."""
+    marks = read_table(spark, f"{base}/snapshot_marks", T.StructType.fromDDL(_MARKS))
+    rows = newest_slice(marks, "snapshot").collect()  # a row per query
+    return (rows[0]["snapshot"] if rows else None), {r["query"]: r["batch_id"] for r in rows}
+
+
+def current_states(spark: SparkSession, base: str, user: str, action: str, columns: Mapping[str, str]) -> DataFrame:
+    """(user, action, at) from the newest snapshot and the slices after it; earlier slices are not read."""
+    number, marks = _newest_snapshot(spark, base)
+    slices = read_slices(spark, f"{base}/slices", columns)
+    if number is None:
+        return latest_states(slices, user, action)
+    # conditions on partition columns: the slices that the snapshot holds are pruned
+    later = ~F.col("query").isin(list(marks))
+    for query, batch in marks.items():
+        later = later | ((F.col("query") == query) & (F.col("batch_id") > batch))
+    snapshot = spark.read.schema(", ".join(f"`{n}` {t}" for n, t in columns.items()))
+    snapshot = snapshot.parquet(f"{base}/snapshots/snapshot={number}")
+    return latest_states(slices.filter(later).select(*columns).unionByName(snapshot), user, action)
+
+
+def take_snapshot(spark: SparkSession, base: str, user: str, action: str, columns: Mapping[str, str]) -> None:
+    """Store the current states as one table, so that reading them costs the users, not all updates ever made.
+
+    The marks are written last: a snapshot without marks does not count, and a repeat replaces it. Batches that arrive
+    meanwhile are after the marks.
+    """
+    number, marks = _newest_snapshot(spark, base)
+    slices = read_slices(spark, f"{base}/slices", columns)
+    done = slices.groupBy("query").agg(F.max("batch_id").alias("batch_id")).collect()  # a row per query
+    if not done:
+        return
+    upto = F.lit(False)
+    for r in done:
+        upto = upto | ((F.col("query") == r["query"]) & (F.col("batch_id") <= r["batch_id"]))
+    known = slices.filter(upto).select(*columns)
+    if number is not None:
+        before = ~F.col("query").isin(list(marks))
+        for query, batch in marks.items():
+            before = before | ((F.col("query") == query) & (F.col("batch_id") > batch))
+        old = spark.read.schema(", ".join(f"`{n}` {t}" for n, t in columns.items()))
+        known = slices.filter(upto & before).select(*columns).unionByName(old.parquet(f"{base}/snapshots/snapshot={number}"))
+    new = 0 if number is None else number + 1
+    latest_states(known, user, action).write.mode("overwrite").parquet(f"{base}/snapshots/snapshot={new}")
+    rows = spark.createDataFrame([(r["query"], r["batch_id"]) for r in done], "query string, batch_id bigint")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{base}/snapshot_marks/snapshot={new}")

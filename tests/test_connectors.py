@@ -51,7 +51,7 @@ def test_jdbc_overwrite_keeps_the_table_definition():
 
 def test_jdbc_batches_are_appended():
     df = Recorder()
-    actions.jdbc_writer("jdbc:x", "user_actions", user="u")(df, 3)
+    actions.jdbc_writer("jdbc:x", "user_actions", user="u")(df, "batch_id=3")
     assert df.set == {"format": "jdbc", "url": "jdbc:x", "dbtable": "user_actions", "user": "u", "mode": "append", "saved": True}
 
 

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from ringledger.plans import report
 from ringledger.schemas import ACTION
 from ringledger.sources import tables
 from ringledger.streaming import actions
@@ -61,8 +62,8 @@ def test_batch_that_is_replayed_after_a_failure_is_stored_once(spark, tmp_path):
     put(spark, f"{base}/in", message("1", "subscribe", "a"), message("2", "subscribe", "b"))
     write = actions.slice_writer(f"{base}/out")
 
-    def failing(batch, batch_id):
-        write(batch, batch_id)
+    def failing(batch, place):
+        write(batch, place)
         raise RuntimeError("lost after the write")
 
     with pytest.raises(Exception, match="lost after the write"):
@@ -80,21 +81,58 @@ def test_rejects_are_kept(spark, tmp_path):
     assert rows(actions.read_slices(spark, f"{base}/bad", {"message": "string"}).select("message")) == [("broken {",)]
 
 
-def test_subscriber_state_over_runs(spark, tmp_path):
+def test_new_checkpoint_over_an_old_folder_loses_nothing(spark, tmp_path):
     base = str(tmp_path)
+    put(spark, f"{base}/in", message("1", "subscribe", "a"), message("2", "subscribe", "a"))
+    actions.run_once(actions.parsed(actions.file_messages(spark, f"{base}/in")), actions.slice_writer(f"{base}/out"), f"{base}/cp")
+    put(spark, f"{base}/later", message("3", "subscribe", "b"))
+    actions.run_once(actions.parsed(actions.file_messages(spark, f"{base}/later")), actions.slice_writer(f"{base}/out"), f"{base}/cp2")
+    got = actions.read_slices(spark, f"{base}/out", COLUMNS)
+    assert rows(got.select("user_id", "batch_id")) == [("1", 0), ("2", 0), ("3", 0)]
+    assert got.select("query").distinct().count() == 2
 
-    def run(*lines):
+
+def test_console_prints_every_row(spark, capsys):
+    actions.console_writer()(spark.range(30).toDF("n"), "batch_id=0")
+    assert len(capsys.readouterr().out.splitlines()) == 30
+
+
+@pytest.mark.parametrize("snapshots", [False, True])
+def test_subscriber_state_over_runs(spark, tmp_path, snapshots):
+    base = str(tmp_path)
+    state = f"{base}/state"
+
+    def run(*lines, checkpoint="cp"):
         put(spark, f"{base}/in", *lines)
-        stream = actions.parsed(actions.file_messages(spark, f"{base}/in"))
-        states = actions.subscriber_states(stream, "user_id", "action", ["timestamp"]).select("user_id", "action")
-        actions.run_once(states, actions.slice_writer(f"{base}/out"), f"{base}/cp", mode="update")
-        slices = actions.read_slices(spark, f"{base}/out", {"user_id": "string", "action": "string"})
-        return rows(actions.latest_states(slices, "user_id", "action"))
-
-    assert run(message("1", "subscribe", "2"), message("2", "subscribe", "2")) == [("1",), ("2",)]
-    # an older action that arrives late does not undo a newer one
-    assert run(message("1", "unsubscribe", "1"), message("2", "unsubscribe", "3")) == [("1",)]
-    assert run(message("2", "subscribe", "4")) == [("1",), ("2",)]
+        report.keep_subscribers(actions.parsed(actions.file_messages(spark, f"{base}/in")), state, f"{base}/{checkpoint}")
+        got = rows(report.streamed_subscribers(spark, state))
+        if snapshots:
+            actions.take_snapshot(spark, state, "user_id", "action", report.STATE_COLUMNS)
+            assert rows(report.streamed_subscribers(spark, state)) == got
+        return got
+
+    assert rows(report.streamed_subscribers(spark, state)) == []
+    assert run(message("1", "subscribe", "2025-01-02"), message("2", "subscribe", "2025-01-02")) == [("1",), ("2",)]
+    # an older action that arrives late does not undo a newer one; times count, not their text
+    assert run(message("1", "unsubscribe", "2025-01-01"), message("2", "unsubscribe", "2025-01-02T00:00:00.5")) == [("1",)]
+    assert run(message("2", "subscribe", "2025-01-10")) == [("1",), ("2",)]
+    # a new checkpoint reads everything again and changes nothing
+    assert run(message("1", "unsubscribe", "2025-01-09"), checkpoint="cp2") == [("2",)]
+
+
+def test_state_reads_the_snapshot_and_later_slices_only(spark, tmp_path):
+    base, state = str(tmp_path), f"{tmp_path}/state"
+    for day in ("01", "02", "03"):
+        put(spark, f"{base}/in", message(day, "subscribe", f"2025-01-{day}"))
+        report.keep_subscribers(actions.parsed(actions.file_messages(spark, f"{base}/in")), state, f"{base}/cp")
+        if day == "02":
+            actions.take_snapshot(spark, state, "user_id", "action", report.STATE_COLUMNS)
+    read = actions.current_states(spark, state, "user_id", "action", report.STATE_COLUMNS)
+    assert rows(read.select("user_id")) == [("01",), ("02",), ("03",)]
+    scanned = {f.split("/state/")[1].rsplit("/", 1)[0] for f in read.select("user_id", "action").inputFiles()}
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(NOT" in plan or "batch_id" in plan
+    assert any(s.startswith("snapshots/") for s in scanned)
 
 
 def test_actions_table_is_created_once(spark, tmp_path):
