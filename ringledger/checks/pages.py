@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ringledger.checks.registry import check, table
 from ringledger.functions import html
-from ringledger.operators.extract import numbered, spread
+from ringledger.operators.extract import numbered, picture_flag, row_flags, spread
 
 _BODY = r"regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g')"
 _LI = r"(?is)<li(?:\s[^>]*)?>.*?</li\s*>"
@@ -15,7 +15,7 @@ _WORDS = r"regexp_replace({}, '<[/!a-zA-Z][^>]*>', '', 'g')"
 def _sql_text(fragment: str) -> str:
     plain = _WORDS.format(fragment)
     for name, char in (("quot", '"'), ("lt", "<"), ("gt", ">"), ("copy", "©"), ("middot", "·"), ("amp", "&")):
-        plain = f"replace({plain}, '&{name};', '{char}')"
+        plain = f"regexp_replace({plain}, '&{name};?', '{char}', 'g')"
     return rf"regexp_replace({plain}, '^\s+|\s+$', '', 'g')"
 
 
@@ -131,9 +131,8 @@ def html_title_text(spark, d):
 )
 def html_marker_flags(spark, d):
     marks = [("ad", 'class="ad"'), ("quoted", "&quot;"), ("broken", "<br>"), ("scripted", "track(")]
-    flags = [F.col("html").contains(mark).cast("int").alias(name) for name, mark in marks]
-    picture = F.when(F.col("html").rlike(r"(?i)<img[\s>/]"), "Yes").otherwise("").alias("picture")
-    return _pages(spark, d).select("page_id", *flags, picture)
+    page = F.col("html")
+    return _pages(spark, d).select("page_id", *row_flags(page, marks), picture_flag(page).alias("picture"))
 
 
 @check(

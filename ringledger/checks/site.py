@@ -15,7 +15,7 @@ from ringledger.sources import files
 from ringledger.values import CARD_BODY, CARD_CELL, CARD_ROW, LIST_CELL, LIST_DATE, LIST_LINK, LIST_PLACE, LIST_ROW
 
 
-def _html(template: str, **parts: Column) -> Column:
+def filled_in(template: str, **parts: Column) -> Column:
     """Template with `{name}` replaced by columns."""
     pieces = []
     for chunk in template.split("{"):
@@ -26,7 +26,7 @@ def _html(template: str, **parts: Column) -> Column:
     return F.concat(*pieces)
 
 
-def _pages(rows: DataFrame, size: int, head: str) -> DataFrame:
+def pages_of(rows: DataFrame, size: int, head: str) -> DataFrame:
     """Pages of `size` consecutive numbers; `rows` has number and row. Rows stand in falling order of the number."""
     body = F.expr("listagg(row, '') WITHIN GROUP (ORDER BY number DESC)")
     page = F.floor(F.col("number") / size).alias("page")
@@ -43,7 +43,7 @@ def _pages(rows: DataFrame, size: int, head: str) -> DataFrame:
 def extract_index(spark, d):
     """Event list pages, newest first."""
     key = F.col("o_orderkey")
-    row = _html(
+    row = filled_in(
         f'<tr class="{LIST_ROW}"><td class="{LIST_CELL}"><a href="http://site.test/{{k}}" class="{LIST_LINK}">\n Night {{k}} '
         f'</a><span class="{LIST_DATE}"> {{date}}\n</span></td><td class="{LIST_PLACE}">\n Hall &amp; {{place}}</td></tr>',
         k=key,
@@ -51,7 +51,7 @@ def extract_index(spark, d):
         place=F.col("o_orderpriority"),
     )
     rows = table(spark, d, "orders").select(key.alias("number"), row.alias("row"))
-    return extract.index_events(_pages(rows, 50, f'<tr class="{LIST_ROW}"><td></td></tr>'))
+    return extract.index_events(pages_of(rows, 50, f'<tr class="{LIST_ROW}"><td></td></tr>'))
 
 
 @check(
@@ -62,11 +62,11 @@ def extract_index(spark, d):
 def extract_links(spark, d):
     """Linked rows of the event list; rows without a link keep their place but are left out."""
     key = F.col("o_orderkey")
-    linked = _html(f'<tr class="{LIST_ROW}"><td><a href="http://site.test/{{k}}">Night {{k}}</a></td></tr>', k=key)
+    linked = filled_in(f'<tr class="{LIST_ROW}"><td><a href="http://site.test/{{k}}">Night {{k}}</a></td></tr>', k=key)
     bare = F.lit(f'<tr class="{LIST_ROW}"><td>no link</td></tr>')
     row = F.when(F.col("o_orderstatus") == "P", bare).otherwise(linked)
     rows = table(spark, d, "orders").select(key.alias("number"), row.alias("row"))
-    return extract.index_links(_pages(rows, 50, f'<tr class="{LIST_ROW}"><td></td></tr>'))
+    return extract.index_links(pages_of(rows, 50, f'<tr class="{LIST_ROW}"><td></td></tr>'))
 
 
 @check(
@@ -79,25 +79,30 @@ def extract_links(spark, d):
 )
 def extract_directory(spark, d):
     """Fighter directory pages; rows with too few cells are left out."""
+    return extract.directory_fighters(directory_pages(spark, d))
+
+
+def directory_pages(spark, d) -> DataFrame:
+    """A hundred customers to a page, those of one segment without cells."""
     key = F.col("c_custkey")
     texts = [
-        _html('<a href="http://site.test/f{k}">{s}</a>', k=key, s=F.col("c_mktsegment")),
+        filled_in('<a href="http://site.test/f{k}">{s}</a>', k=key, s=F.col("c_mktsegment")),
         F.col("c_name"),
         F.when(key % 2 == 0, "Mc &quot;X&quot;").otherwise(""),
-        _html("6' {i}\"", i=key % 12),
-        _html("{w} lbs.", w=key % 300),
-        F.when(key % 4 == 0, "--").otherwise(_html('7{r}.0"', r=key % 10)),
+        filled_in("6' {i}\"", i=key % 12),
+        filled_in("{w} lbs.", w=key % 300),
+        F.when(key % 4 == 0, "--").otherwise(filled_in('7{r}.0"', r=key % 10)),
         F.lit("Orthodox"),
         key % 30,
         key % 20,
         key % 3,
         F.when(F.col("c_acctbal") > 5000, '<img src="belt.png">').otherwise(""),
     ]
-    cells = F.concat(*[_html(f'<td class="{LIST_CELL}">\n {{t}} </td>', t=t) for t in texts])
+    cells = F.concat(*[filled_in(f'<td class="{LIST_CELL}">\n {{t}} </td>', t=t) for t in texts])
     short = F.lit(f'<td class="{LIST_CELL}">retired</td>')
-    row = _html(f'<tr class="{LIST_ROW}">{{c}}</tr>', c=F.when(F.col("c_mktsegment") == "MACHINERY", short).otherwise(cells))
+    row = filled_in(f'<tr class="{LIST_ROW}">{{c}}</tr>', c=F.when(F.col("c_mktsegment") == "MACHINERY", short).otherwise(cells))
     rows = table(spark, d, "customer").select(key.alias("number"), row.alias("row"))
-    return extract.directory_fighters(_pages(rows, 100, ""))
+    return pages_of(rows, 100, "")
 
 
 @check(
@@ -115,17 +120,17 @@ def extract_card(spark, d):
     """Event pages of fights; a row without the result flag is not readable."""
     key = F.col("o_orderkey")
     flag = F.when(F.col("o_orderstatus") == "F", "win").otherwise("draw")
-    link = F.when(key % 4 > 0, _html(' data-link="http://site.test/d{k}"', k=key)).otherwise("")
+    link = F.when(key % 4 > 0, filled_in(' data-link="http://site.test/d{k}"', k=key)).otherwise("")
     icons = F.concat(
         F.when(key % 3 == 0, '<img src="belt.png">').otherwise(""),
         F.when(F.col("o_totalprice") > 300000, '<img src="perf.png">').otherwise(""),
     )
-    row = _html(
+    row = filled_in(
         f'<tr class="{CARD_ROW} js"{{link}}><td>{{flag}}</td><td><p><a class="b-link" href="#"> Red {{c}} </a></p>'
         '<p><a class="b-link" href="#">\nBlue {k}</a></p></td><td></td><td></td><td></td><td></td><td><p> {w} {icons}</p></td>'
         "<td><p>KO/TKO</p><p> {how} </p></td><td><p>{r}</p></td><td><p>\n4:{s}</p></td></tr>",
         link=link,
-        flag=F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise(_html('<i class="b-flag"><i class="b-flag__text">{f}</i></i>', f=flag)),
+        flag=F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise(filled_in('<i class="b-flag"><i class="b-flag__text">{f}</i></i>', f=flag)),
         c=F.col("o_custkey"),
         k=key,
         w=F.expr("substr(o_orderpriority, 3)"),
@@ -135,38 +140,38 @@ def extract_card(spark, d):
         s=key % 50 + 10,
     )
     rows = table(spark, d, "orders").select(key.alias("number"), row.alias("row"))
-    pages = _pages(rows, 20, f'<tr class="{CARD_ROW}"><th>W/L</th></tr>')
+    pages = pages_of(rows, 20, f'<tr class="{CARD_ROW}"><th>W/L</th></tr>')
     named = pages.select(
         F.concat(F.lit("Card "), "page").alias("event_name"), F.col("page").cast("int").alias("event_position"), "html"
     )
     return extract.card_fights(named)
 
 
-def _fight_pages(spark, d) -> DataFrame:
+def fight_pages(spark, d) -> DataFrame:
     """A fight page per customer, with one to three rounds and two fighters."""
     c = F.col("c_custkey")
     cell = f'<td class="{CARD_CELL}">{{a}}</td>'
 
     def row(first: list[Column], second: list[Column]) -> Column:
-        stacked = [_html(cell, a=_html("<p>\n {x} </p><p>{y}</p>", x=x, y=y)) for x, y in zip(first, second)]
-        return _html(f'<tr class="{CARD_ROW}">{{c}}</tr>', c=F.concat(*stacked))
+        stacked = [filled_in(cell, a=filled_in("<p>\n {x} </p><p>{y}</p>", x=x, y=y)) for x, y in zip(first, second)]
+        return filled_in(f'<tr class="{CARD_ROW}">{{c}}</tr>', c=F.concat(*stacked))
 
     def line(corner: str, n: int, mark: Column) -> list[Column]:
-        return [_html(f"{corner} {{c}}", c=c), *[_html(f"{{m}}{i} of {{c}}", m=mark, c=c) for i in range(n)]]
+        return [filled_in(f"{corner} {{c}}", c=c), *[filled_in(f"{{m}}{i} of {{c}}", m=mark, c=c) for i in range(n)]]
 
     def section(n: int) -> Column:
         return row(line("Red", n, F.lit("")), line("Blue", n, F.lit("-")))
 
     def rounds(n: int) -> Column:
         def one(r: Column) -> Column:
-            head = _html('<thead><tr><th colspan="10">\n Round {r} </th></tr></thead>', r=r)
+            head = filled_in('<thead><tr><th colspan="10">\n Round {r} </th></tr></thead>', r=r)
             return F.concat(head, row(line("Red", n, r), line("Blue", n, F.negative(r))))
 
         return F.array_join(F.transform(F.sequence(F.lit(1), (c % 3 + 1).cast("int")), one), "")
 
     # two columns that the strike sections do not use stand before the six that they do
     bodies = [section(len(TOTALS)), rounds(len(TOTALS)), section(len(STRIKES) + 2), rounds(len(STRIKES) + 2)]
-    tables = [_html(f'<table><tbody class="{CARD_BODY}">{{b}}</tbody></table>', b=b) for b in bodies]
+    tables = [filled_in(f'<table><tbody class="{CARD_BODY}">{{b}}</tbody></table>', b=b) for b in bodies]
     kept = tables[:3] + [F.when(F.col("c_acctbal") > 0, tables[3]).otherwise("")]
     page = F.concat(F.lit("<html>"), *kept, F.lit("</html>"))
     customers = extract.spread(table(spark, d, "customer"), "c_custkey")
@@ -176,7 +181,7 @@ def _fight_pages(spark, d) -> DataFrame:
 def _sections(spark, d) -> DataFrame:
     """Sections of the readable pages, stored as the weekly load does, since several tables are read from them."""
     path = shared_folder(spark)
-    files.overwrite(extract.fight_sections(_fight_pages(spark, d)), path)
+    files.overwrite(extract.fight_sections(fight_pages(spark, d)), path)
     return spark.read.parquet(path).filter("readable")
 
 
@@ -215,4 +220,4 @@ def extract_round_stats(spark, d):
 @check("SELECT c_custkey::VARCHAR AS event, c_acctbal > 0 AS readable FROM customer")
 def extract_rejects(spark, d):
     """Which fight pages can be read."""
-    return extract.fight_sections(_fight_pages(spark, d)).select("event", "readable")
+    return extract.fight_sections(fight_pages(spark, d)).select("event", "readable")

@@ -5,12 +5,13 @@ for the rows, cells and lines of the result pages.
 """
 
 from collections.abc import Callable
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ringledger.functions.text import trimmed
+from ringledger.values import BLANKS
 
 # Pieces of patterns. Loops are possessive where nothing that follows could match inside them, so that a long tag or
 # page is read once from left to right.
@@ -70,38 +71,64 @@ def _table(pairs: dict[str, str]) -> Column:
     return F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in pairs.items())), F.lit("\x01"), F.lit("\x02"))
 
 
-# the entity names of HTML 4, and the byte values that old pages use with the meaning of the Windows code page
-_NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+# the names that pages use most, those of HTML 4, and all others; names that need no semicolon are short
+_COMMON = {f"{name};": chr(code) for name, code in name2codepoint.items()} | {"apos;": "'"}
+_NAMED = {name: text for name, text in html5.items() if name.endswith(";") and name not in _COMMON}
+_OPEN = {name: text for name, text in html5.items() if not name.endswith(";")}
+_SHORTEST, _LONGEST = min(map(len, _OPEN)), max(map(len, _OPEN))
+# byte values that old pages use with the meaning of the Windows code page
 _WINDOWS = {str(b): c for b in range(128, 160) if (c := bytes([b]).decode("cp1252", "ignore"))}
 _NO_CHARACTER = "\ufffd"
+_REFERENCE = "&#[0-9]+{end}|&#[xX][0-9a-fA-F]+{end}|&[A-Za-z][A-Za-z0-9]*{end}"
 
 
 def _character(number: Column) -> Column:
+    """The character of a reference by number, as HTML parsers read it; numbers of no character give none."""
     valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    control = number.between(0x1, 0x8) | (number == 0xB) | number.between(0xE, 0x1F) | (number == 0x7F)
+    no_text = control | number.between(0xFDD0, 0xFDEF) | ((number % 0x10000) >= 0xFFFE)
     windows = F.try_element_at(_table(_WINDOWS), number.cast("string"))
     plain = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    return F.when(valid, F.coalesce(windows, plain)).otherwise(_NO_CHARACTER)
+    return F.when(~valid, _NO_CHARACTER).when(no_text, "").otherwise(F.coalesce(windows, plain))
+
+
+def _number(digits: Column, longest: int, value: Callable[[Column], Column]) -> Column:
+    """Value of digits without leading zeros; more digits than any character has stand for a number too large."""
+    return F.when(F.length(digits) <= longest, F.coalesce(value(digits), F.lit(0))).otherwise(0x110000).cast("bigint")
+
+
+def _named(token: Column) -> Column:
+    """A reference by name; without a semicolon the longest name that it begins with."""
+    name = F.substring(token, 2, 40)
+    begun = [
+        F.concat(F.try_element_at(_table(_OPEN), F.substring(token, 2, n)), token.substr(F.lit(n + 2), F.length(token)))
+        for n in range(_LONGEST, _SHORTEST - 1, -1)
+    ]
+    known = F.coalesce(F.try_element_at(_table(_COMMON), name), F.try_element_at(_table(_NAMED), name))
+    return F.coalesce(known, *begun, token)
 
 
 def _entity(token: Column) -> Column:
-    name = F.rtrim(F.substring(token, 2, 12), F.lit(";"))
+    decimal = F.regexp_extract(token, "^&#0*([0-9]*)", 1)
+    hexadecimal = F.regexp_extract(token, "^&#[xX]0*([0-9a-fA-F]*)", 1)
     return (
         F.when(~token.startswith("&"), token)
-        .when(token.rlike("^&#[0-9]{1,9};?$"), _character(F.substring(name, 2, 9).try_cast("bigint")))
-        .when(token.rlike("^&#[xX][0-9a-fA-F]{1,8};?$"), _character(F.conv(F.substring(name, 3, 8), 16, 10).cast("bigint")))
-        .otherwise(F.coalesce(F.try_element_at(_table(_NAMED), name), token))
+        .when(token.rlike("^&#[0-9]"), _character(_number(decimal, 9, lambda x: x.try_cast("bigint"))))
+        .when(token.rlike("^&#[xX]"), _character(_number(hexadecimal, 8, lambda x: F.conv(x, 16, 10).try_cast("bigint"))))
+        .otherwise(_named(token))
     )
 
 
 def entities(text: Column, closed: bool = False) -> Column:
     """Character references decoded in one pass, so that a decoded `&` starts no other reference.
 
-    The closing semicolon may be missing unless `closed`, as it is for attributes, where `&` also parts parameters.
+    All names of HTML 5 and numbers of any length are known. The closing semicolon may be missing unless `closed`, as it
+    is for attributes, where `&` also parts parameters.
     """
-    end = ";" if closed else ";?"
+    reference = _REFERENCE.format(end=";" if closed else ";?")
 
     def decoded(x: Column) -> Column:
-        tokens = F.regexp_extract_all(x, F.lit(f"&#?[A-Za-z0-9]+{end}|[^&]+|&"), F.lit(0))
+        tokens = F.regexp_extract_all(x, F.lit(f"{reference}|[^&]+|&"), F.lit(0))
         return F.when(x.contains("&"), F.array_join(F.transform(tokens, _entity), "")).otherwise(x)
 
     return _once(text, decoded)
@@ -122,3 +149,40 @@ def tight_text(fragment: Column) -> Column:
         return F.when(x.contains(_MARK), F.array_join(nodes, "")).otherwise(x)
 
     return _once(trimmed(marked, also=_MARK), joined)
+
+
+_CELL, _LINE, _LINE_END, _CELL_END = "\x02", "\x03", "\x04", "\x05"
+
+
+def stacked_cells(row: Column, cls: str) -> Column:
+    """Cells (`td` of a class) of a row, each as the list of its lines (`p`), in the form of `tight_text`.
+
+    The tags become marks in a few passes over the whole row, so that a cell costs one more pattern and a line none. Rows
+    with character references, or with characters that are marks here, are read line by line.
+    """
+    blank = f"[{BLANKS}]*+"
+    cell = rf"(?i){blank}<td(?=[\s>/]){_class_test(cls)}{_REST}>{blank}"
+    ends = rf"(?i){blank}</p\s*>", rf"(?i){blank}</td\s*>"
+
+    def in_passes(x: Column) -> Column:
+        marked = F.regexp_replace(x, cell, _CELL)
+        marked = F.regexp_replace(marked, rf"(?i){blank}<p(?=[\s>/]){_REST}>{blank}", _LINE)
+        for pattern, mark in zip(ends, (_LINE_END, _CELL_END), strict=True):
+            marked = F.regexp_replace(marked, pattern, mark)
+        bare = F.regexp_replace(marked, rf"{blank}(?:{_TAG}{blank})+", "")
+        cells = F.regexp_extract_all(bare, F.lit(f"{_CELL}([^{_CELL_END}]*+){_CELL_END}"), F.lit(1))
+        # what is left of inner tags are marks
+        inner = _CELL + _LINE + _CELL_END
+        return F.transform(
+            cells,
+            lambda c: F.transform(
+                F.regexp_extract_all(c, F.lit(f"{_LINE}([^{_LINE_END}]*+){_LINE_END}"), F.lit(1)),
+                lambda line: F.translate(line, inner, ""),
+            ),
+        )
+
+    def line_by_line(x: Column) -> Column:
+        return F.transform(elements(x, "td", cls), lambda c: F.transform(elements(c, "p"), tight_text))
+
+    odd = f"[&{_MARK}{_CELL}{_LINE}{_LINE_END}{_CELL_END}]"
+    return _once(row, lambda x: F.when(x.rlike(odd), line_by_line(x)).otherwise(in_passes(x)))

@@ -105,7 +105,7 @@ def directory_fighters(pages: DataFrame) -> DataFrame:
         t(7).alias("wins"),
         t(8).alias("losses"),
         t(9).alias("draws"),
-        F.when(F.col("cells")[10].rlike(r"(?i)<img[\s>/]"), CHAMPION).otherwise("").alias("belt"),
+        picture_flag(F.col("cells")[10]).alias("belt"),
         html.attribute(html.first(F.col("cells")[0], "a"), "href").alias("link"),
     )
 
@@ -116,6 +116,16 @@ def _card_rows(pages: DataFrame) -> DataFrame:
     return numbered(pages.select("event_name", "event_position", "html"), rows, "row", "fight_id", skip=1).drop("html")
 
 
+def row_flags(row: Column, markers: list[tuple[str, str]] = ROW_MARKERS) -> list[Column]:
+    """A 0/1 column for each marker text that a row may hold."""
+    return [row.contains(mark).cast("int").alias(flag) for flag, mark in markers]
+
+
+def picture_flag(cell: Column) -> Column:
+    """`Yes` for a cell with a picture, otherwise empty."""
+    return F.when(cell.rlike(r"(?i)<img[\s>/]"), CHAMPION).otherwise("")
+
+
 def card_fights(pages: DataFrame) -> DataFrame:
     """Fights of event pages (event_name, event_position, html). `readable` is false where a needed part is absent."""
     row = F.col("row")
@@ -144,7 +154,7 @@ def card_fights(pages: DataFrame) -> DataFrame:
         F.get("how", F.lit(1)).alias("description"),
         html.text(F.get("cells", F.lit(8))).alias("round"),
         html.text(F.get("cells", F.lit(9))).alias("time"),
-        *[F.col("row").contains(mark).cast("int").alias(flag) for flag, mark in ROW_MARKERS],
+        *row_flags(F.col("row")),
         html.attribute(row, "data-link").alias("fight_stats_link"),
         "event_position",
         F.coalesce(readable, F.lit(False)).alias("readable"),
@@ -163,13 +173,6 @@ _TOTALS_AT = (1, len(TOTALS))
 _STRIKES_AT = (3, len(STRIKES))
 
 
-def _stacked(row: Column) -> Column:
-    """Cells of a row, each as the list of its lines (one line per fighter)."""
-    return F.transform(
-        html.elements(row, "td", CARD_CELL), lambda cell: F.transform(html.elements(cell, "p"), html.tight_text)
-    )
-
-
 def _per_fighter(cells: Column, label: Column, at: tuple[int, int]) -> Column:
     """Transposed cells: struct(round, fighter, values) per fighter; NULL if a value is absent."""
     start, count = at
@@ -186,7 +189,8 @@ def _per_fighter(cells: Column, label: Column, at: tuple[int, int]) -> Column:
     return F.when(F.size(fighters) == 0, F.slice(rows, 1, 0)).when(complete, rows)
 
 
-_HEADING = r"<th\b[^>]*>[^<]*Round[^<]*</th\s*>"
+# the word of a heading is written in this case only
+_HEADING = r"<th\b[^>]*>[^<]*(?-i:Round)[^<]*</th\s*>"
 _HEADED_ROW = rf"(?is){_HEADING}.*?</thead\s*>.*?<tr\b.*?</tr\s*>"
 
 
@@ -194,7 +198,7 @@ def _headed(part: Column) -> Column:
     """Label and stacked cells of the row below a round heading."""
     row = F.regexp_extract(part, r"(?is)</thead\s*>.*?(<tr\b.*?</tr\s*>)", 1)
     label = html.tight_text(F.regexp_extract(part, f"(?is){_HEADING}", 0))
-    return F.struct(label.alias("label"), _stacked(row).alias("cells"))
+    return F.struct(label.alias("label"), html.stacked_cells(row, CARD_CELL).alias("cells"))
 
 
 def fight_sections(pages: DataFrame) -> DataFrame:
@@ -209,7 +213,7 @@ def fight_sections(pages: DataFrame) -> DataFrame:
     headed = {k: F.regexp_extract_all(b[k], F.lit(_HEADED_ROW), F.lit(0)) for k in (1, 3)}
     cells = pages.select(*keep, body.alias("_bodies")).select(
         *keep,
-        *[_stacked(html.first(b[k], "tr", CARD_ROW)).alias(f"_cells{k}") for k in (0, 2)],
+        *[html.stacked_cells(html.first(b[k], "tr", CARD_ROW), CARD_CELL).alias(f"_cells{k}") for k in (0, 2)],
         *[F.transform(headed[k], _headed).alias(f"_cells{k}") for k in (1, 3)],
         *[F.regexp_count(b[k], F.lit(f"(?is){_HEADING}")).alias(f"_headings{k}") for k in (1, 3)],
     )

@@ -27,6 +27,7 @@ def page_frame(spark, *pages):
         ('<p title="a > b">x</p>', "x", "x"),
         ("<p>3 < 4</p>", "3 < 4", "3 < 4"),
         ("<p></p>", "", ""),
+        ("<p>&lowbar;&check;&#0000000065;&#x000041;&notit;&#65b</p>", "_✓AA¬it;Ab", "_✓AA¬it;Ab"),
     ],
 )
 def test_text(spark, given, end_trimmed, tight):
@@ -161,6 +162,29 @@ def test_fight_sections(spark):
     ]
 
 
+def test_round_headings_are_written_with_a_capital(spark):
+    page = good_page().replace("Round 2 </th>", "around it </th>")
+    loud = good_page().replace("Round 2 </th>", "ROUND 2 </th>")
+    pages = spark.createDataFrame([("N", 1, page), ("N", 2, loud)], "event string, fight_id int, html string")
+    got = extract.section_rows(extract.fight_sections(pages), "round_totals", TOTALS, ["fight_id"], True)
+    assert rows(got.select("fight_id", "round").distinct()) == [(1, "Round 1"), (2, "Round 1")]
+
+
+def test_cells_in_passes_and_line_by_line_agree(spark):
+    cells = [
+        "<td class='c'><p>\n one <b> two </b>three</p><p>4</p></td>",
+        '<td class="b c" title="a > b"><p class="x">a\xa0b</p>lost<P>\u2003B </P></td>',
+        "<td class='d'><p>not this</p></td><td class='c'>bare</td>",
+        "<td class='c'><p>open<p>nested</p></p></td>",
+        "<td class='c'><pre>x</pre><p></p><p>3 < 4</p></td>",
+    ]
+    plain = "<tr>" + "".join(cells) + "</tr>"
+    # a reference outside the cells makes the row be read line by line
+    df = spark.createDataFrame([(plain,), (plain.replace("<tr>", "<tr>&amp;"),)], "html string")
+    fast, slow = [r[0] for r in df.select(html.stacked_cells(F.col("html"), "c")).collect()]
+    assert fast == slow == [["onetwothree", "4"], ["a\xa0b", "B"], [], ["opennested"], ["", "3 < 4"]]
+
+
 def test_no_python_worker_in_extraction(spark):
     pages = spark.createDataFrame([("N", 1, "")], "event string, fight_id int, html string")
     plan = extract.fight_sections(pages)._jdf.queryExecution().executedPlan().toString()
