@@ -4,11 +4,13 @@ from pyspark.sql import functions as F
 
 from ringledger.checks.registry import check, table
 from ringledger.operators import incremental, joins, latest
+from ringledger.session import shared_folder
 from ringledger.sources import tables
 
 
 @check("SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase' AND value > 50")
 def param_filter(spark, d):
+    spark = tables.question_session(spark)
     tables.register_views(spark, d, ["events"], ".parquet")
     sql = "SELECT event_id, user_id, value FROM events WHERE event_type = :kind AND value > :least"
     return tables.select(spark, sql, {"kind": "purchase", "least": 50})
@@ -19,6 +21,7 @@ def param_filter(spark, d):
     FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name"""
 )
 def sql_view_query(spark, d):
+    spark = tables.question_session(spark)
     tables.register_views(spark, d, ["customer", "nation"], ".parquet")
     return tables.select(
         spark,
@@ -32,12 +35,17 @@ def sql_view_query(spark, d):
     WHERE o_orderstatus = 'F' GROUP BY o_custkey HAVING count(*) >= 3"""
 )
 def sql_followup_view(spark, d):
+    spark = tables.question_session(spark)
     tables.register_views(spark, d, ["orders"], ".parquet")
-    tables.answer(spark, "SELECT * FROM orders WHERE o_orderstatus = :status", {"status": "F"})
-    return tables.select(
+    store = shared_folder(spark)
+    tables.answer(spark, "SELECT * FROM orders WHERE o_orderstatus = :status", store, {"status": "F"})
+    # an empty answer leaves the last result as it is
+    tables.answer(spark, "SELECT * FROM orders WHERE o_orderkey < 0", store)
+    return tables.answer(
         spark,
         "SELECT o_custkey, count(*) AS orders, max(o_orderkey) AS last_order FROM last_query_result "
         "GROUP BY o_custkey HAVING count(*) >= 3",
+        store,
     )
 
 
@@ -46,8 +54,10 @@ def sql_followup_view(spark, d):
     UNION ALL SELECT 'No results found.' WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_size > 40)"""
 )
 def sql_records(spark, d):
+    spark = tables.question_session(spark)
     tables.register_views(spark, d, ["part"], ".parquet")
-    rows = tables.select(spark, "SELECT p_partkey, p_brand FROM part WHERE p_size > :size", {"size": 40})
+    sql = "SELECT p_partkey, p_brand FROM part WHERE p_size > :size"
+    rows = tables.answer(spark, sql, shared_folder(spark), {"size": 40})
     return tables.records_or_message(rows)
 
 
@@ -126,16 +136,12 @@ def ever_subscribed(spark, d):
     return latest.ever_subscribed(table(spark, d, "events"), "user_id", "event_type", "signup")
 
 
-_ACTIONS = "event_type IN ('signup', 'error')"
-
-
 @check(
-    f"""SELECT user_id FROM (SELECT DISTINCT ON (user_id) user_id, event_type FROM events WHERE {_ACTIONS}
-    ORDER BY user_id, ts DESC, event_id DESC) WHERE event_type = 'signup'"""
+    """SELECT user_id FROM (SELECT DISTINCT ON (user_id) user_id, event_type FROM events ORDER BY user_id, ts DESC, event_id DESC) WHERE event_type = 'signup'"""
 )
 def current_subscribers(spark, d):
-    actions = table(spark, d, "events").filter(_ACTIONS)
-    return latest.current_subscribers(actions, "user_id", "event_type", ["ts", "event_id"], "signup")
+    """As in the stream: every action but a signup ends the subscription."""
+    return latest.current_subscribers(table(spark, d, "events"), "user_id", "event_type", ["ts", "event_id"], "signup")
 
 
 _A = """a AS (SELECT l_suppkey, l_returnflag, l_linestatus, sum(l_quantity) AS quantity FROM lineitem
@@ -194,7 +200,8 @@ def left_join_null_safe(spark, d):
 def fanout_outbox(spark, d):
     users = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"))
     messages = table(spark, d, "region").select(F.col("r_regionkey").alias("message_id"), F.col("r_name").alias("text"))
-    return joins.fan_out(users, messages, "message_id").select("user_id", "message_id", "text")
+    outbox = joins.fan_out(users, messages, ["message_id"])
+    return joins.with_text(outbox, messages, ["message_id"]).select("user_id", "message_id", "text")
 
 
 @check(
@@ -218,17 +225,22 @@ def append_new_only(spark, d):
 
 
 @check(
-    """SELECT c_name AS holder, o_orderpriority AS division FROM customer JOIN
+    """SELECT c_mktsegment || ' ' || c_name AS champion, o_orderpriority AS division FROM customer LEFT JOIN
     (SELECT o_custkey, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS o_orderpriority FROM orders
       WHERE o_orderstatus = 'F' GROUP BY o_custkey) ON o_custkey = c_custkey WHERE c_acctbal > 5000"""
 )
 def dim_fact_latest_lookup(spark, d):
-    holders = table(spark, d, "customer").filter("c_acctbal > 5000").select("c_custkey", F.col("c_name").alias("holder"))
-    orders = table(spark, d, "orders").filter("o_orderstatus = 'F'")
-    found = joins.latest_match(
-        holders, F.col("c_custkey"), orders, "o_custkey", "o_orderpriority", ["o_orderdate", "o_orderkey"]
+    """Customers with a high balance as champions, their orders of one status as title fights."""
+    people = table(spark, d, "customer").select(
+        "c_custkey",
+        F.col("c_mktsegment").alias("first_name"),
+        F.col("c_name").alias("last_name"),
+        F.when(F.col("c_acctbal") > 5000, "Yes").alias("belt"),
     )
-    return found.select("holder", F.col("o_orderpriority").alias("division"))
+    names = people.select("c_custkey", F.concat_ws(" ", "first_name", "last_name").alias("fighter"))
+    orders = table(spark, d, "orders").filter("o_orderstatus = 'F'").withColumnRenamed("o_orderpriority", "weight_class")
+    fights = orders.join(names, F.col("o_custkey") == F.col("c_custkey"))
+    return joins.champions(people, fights, ["o_orderdate", "o_orderkey"])
 
 
 _ASKED = ["smal rign", "blue bolts", "gren gadgt", "Large Pipe"]

@@ -6,7 +6,8 @@ from pyspark.sql import types as T
 from ringledger.checks.registry import check, table
 from ringledger.functions.decode import typed
 from ringledger.functions.text import iso_text
-from ringledger.operators.latest import last_value
+from ringledger.operators.latest import last_value, newest_slice
+from ringledger.schemas import AUDIT
 from ringledger.session import shared_folder
 from ringledger.sources import files, tables
 
@@ -64,7 +65,7 @@ def state_roundtrip(spark, d):
 
 
 @check(
-    """SELECT r.run, count(e.event_id) AS new_rows, max(e.event_id) AS last_key,
+    """SELECT r.run, count(e.event_id) AS new_rows, max(e.event_id)::VARCHAR AS last_key,
     CASE WHEN count(e.event_id) = 0 THEN 'nothing new' ELSE 'success' END AS status
     FROM (SELECT unnest(range(min(ts)::DATE, (max(ts)::DATE + INTERVAL 1 DAY)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS run
       FROM events) r LEFT JOIN events e ON e.ts::DATE = r.run AND e.event_type = 'purchase' AND e.value > 60
@@ -82,9 +83,17 @@ def run_audit_counts(spark, d):
     n = F.coalesce("n", F.lit(0).cast("bigint"))
     audit = e.agg(F.struct(F.min("ts").alias("lo"), F.max("ts").alias("hi")).alias("s"))
     runs = audit.select(F.explode(F.sequence(F.to_date("s.lo"), F.to_date("s.hi"))).alias("run"))
-    return runs.join(counts, "run", "left").select(
-        "run", n.alias("new_rows"), "last_key", F.when(n == 0, "nothing new").otherwise("success").alias("status")
+    lines = runs.join(counts, "run", "left").select(
+        F.date_format("run", "yyyy-MM-dd").alias("job"),
+        F.col("run").alias("timestamp"),
+        F.lit(0.0).alias("duration_s"),
+        n.alias("new_rows"),
+        "last_key",
+        F.when(n == 0, "nothing new").otherwise("success").alias("status"),
     )
+    path = shared_folder(spark)
+    files.append_audit(lines, path)
+    return files.read_table(spark, path, AUDIT).select(F.to_date("job").alias("run"), "new_rows", "last_key", "status")
 
 
 @check(
@@ -107,17 +116,25 @@ def warehouse_roundtrip(spark, d):
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     stored = files.read_slices(spark, f"{path}/raw", text)
     files.overwrite(typed(stored, schema), f"{path}/warehouse/loaded_customer")
+    spark = tables.question_session(spark)
     tables.register_views(spark, f"{path}/warehouse", ["loaded_customer"])
     return tables.select(spark, "SELECT * FROM loaded_customer")
 
 
-@check("SELECT user_id, max(event_type) AS last_kind FROM events GROUP BY user_id")
+@check(
+    """SELECT arg_max(event_type, (ts, event_id)) AS last_kind, NULL::VARCHAR AS none FROM events
+    WHERE ts < TIMESTAMP '2024-01-20'"""
+)
 def bookmark_of_stored_table(spark, d):
-    """Bookmark read from a stored table; a table that does not exist yet has none."""
+    """Bookmark of the newest run that has rows, in the order of the rows' places; a table that is not there has none."""
     path = shared_folder(spark)
-    e = table(spark, d, "events").select("user_id", "event_type")
-    files.write_slice(e, path, "1")
-    stored = files.read_slices(spark, path, e.schema)
-    absent = files.read_slices(spark, f"{path}-absent", e.schema)
-    both = stored.unionByName(absent)
-    return last_value(both, "event_type", ["event_type"], ["user_id"]).withColumnRenamed("event_type", "last_kind")
+    e = table(spark, d, "events").select("event_type", "ts", "event_id")
+    for run, rows in {"1": "ts < '2024-01-10'", "2": "ts >= '2024-01-10' AND ts < '2024-01-20'", "3": "false"}.items():
+        files.write_slice(e.filter(rows), path, run)
+
+    def mark(at):
+        rows = newest_slice(files.read_slices(spark, at, e.schema), "run")
+        return last_value(rows, "event_type", ["run", "ts", "event_id"])
+
+    stored = mark(path).withColumnRenamed("event_type", "last_kind")
+    return stored.withColumn("none", mark(f"{path}-absent").scalar())

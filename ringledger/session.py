@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # questions arrive as SQL with quoted column names, which would otherwise be read as text
     "spark.sql.ansi.doubleQuotedIdentifiers": "true",
+    # a question reads registered views, never files by their path
+    "spark.sql.runSQLOnFiles": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -11,18 +11,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ringledger.schemas import AUDIT, STATE
+from ringledger.session import shared_folder
 from ringledger.values import EVENT_DATE_FORMAT
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, long_dates: bool = False) -> DataFrame:
+CORRUPT = "_corrupt"
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, long_dates: bool = False, line_breaks: bool = False
+) -> DataFrame:
     """Typed scan of CSV with a header. Timestamps use the default ISO form; quotes inside a cell are doubled.
 
-    `long_dates` reads dates written like "March 11, 1994".
+    `long_dates` reads dates written like "March 11, 1994". `line_breaks` allows them inside quoted cells; a file is then
+    read by one task. A row that does not fit the schema is kept, with NULL for what cannot be read; `csv_rejects` lists
+    these rows.
     """
-    reader = spark.read.option("header", True).option("escape", '"').schema(schema)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks).schema(schema)
     if long_dates:
         reader = reader.option("dateFormat", EVENT_DATE_FORMAT)
-    return reader.csv(path)
+    return reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+
+
+def csv_rejects(
+    spark: SparkSession, path: str, schema: T.StructType, long_dates: bool = False, line_breaks: bool = False
+) -> DataFrame:
+    """Text of the CSV rows with too few or too many cells, or with a cell that is not of its column's type."""
+    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    rows = read_csv(spark, path, wide, long_dates, line_breaks)
+    # whether a row fits is only known when all its columns are read, so these few rows are stored first
+    place = shared_folder(spark)
+    rows.filter(F.col(CORRUPT).isNotNull()).write.parquet(place)
+    return spark.read.schema(wide).parquet(place).select(F.col(CORRUPT).alias("row"))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -69,13 +89,18 @@ def write_state(spark: SparkSession, path: str, last_run: str, duration_s: float
     row.coalesce(1).write.mode("overwrite").json(path)
 
 
+def append_audit(rows: DataFrame, path: str) -> None:
+    """Add lines of finished job runs, with the columns of the audit table."""
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in AUDIT.fields]
+    rows.select(*columns).coalesce(1).write.mode("append").parquet(path)
+
+
 def write_audit(
     spark: SparkSession, path: str, job: str, duration_s: float, new_rows: int, last_key: str | None, status: str
 ) -> None:
     """One line per job run, also for a run without new rows and for a failed one."""
     now = datetime.now(timezone.utc)
-    row = spark.createDataFrame([(job, now, duration_s, new_rows, last_key, status)], AUDIT)
-    row.coalesce(1).write.mode("append").parquet(path)
+    append_audit(spark.createDataFrame([(job, now, duration_s, new_rows, last_key, status)], AUDIT), path)
 
 
 def stamped(df: DataFrame, column: str, value: Column | str | None) -> DataFrame:

@@ -1,5 +1,7 @@
 """SQL over the stored tables: views, one bounded SELECT, and the last result as a view."""
 
+import re
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ringledger.functions.decode import typed
 from ringledger.schemas import WAREHOUSE
+from ringledger.sources.files import exists
 
 LAST_RESULT = "last_query_result"
 NO_ROWS = "No results found."
@@ -18,15 +21,82 @@ def register_views(spark: SparkSession, folder: str, names: Iterable[str] = tupl
         spark.read.parquet(f"{folder}/{name}{suffix}").createOrReplaceTempView(name)
 
 
-def select(spark: SparkSession, sql: str, args: Mapping | None = None) -> DataFrame:
-    """Run one SELECT. Commands and several statements are syntax errors inside a subquery and never run."""
-    return spark.sql(f"SELECT * FROM (\n{sql.strip().rstrip(';')}\n) AS answer", args=dict(args or {}))
+# Functions that run code of the machine, and the settings that questions depend on.
+REFUSED = ["reflect", "try_reflect", "java_method"]
+NEEDED = {
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.ansi.doubleQuotedIdentifiers": "true",
+    "spark.sql.runSQLOnFiles": "false",
+}
+
+
+def question_session(spark: SparkSession) -> SparkSession:
+    """A session beside the given one for the questions of one user: with the settings they need and views of its own."""
+    session = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        session.conf.set(key, spark.conf.get(key))
+    for key, value in NEEDED.items():
+        session.conf.set(key, value)
+    return session
+
+
+def _verify_settings(spark: SparkSession) -> None:
+    wrong = [f"{k} = {v}" for k, v in NEEDED.items() if spark.conf.get(k).lower() != v]
+    if wrong:
+        raise ValueError(f"questions need a session with {', '.join(wrong)}")
+
+
+def _verify_plan(result: DataFrame, views: Iterable[str] | None) -> None:
+    """Refuse what the analysed plan reads besides views, and calls of the machine."""
+    plan = result._jdf.queryExecution().analyzed().toString()
+    if found := [f for f in REFUSED if re.search(rf"\b{f}\(", plan)]:
+        raise PermissionError(f"not allowed in a question: {', '.join(found)}")
+    if found := re.findall(r"(?:SubqueryAlias|Relation|RelationV2) (spark_catalog\.\S+)", plan):
+        raise PermissionError(f"not a registered view: {', '.join(sorted(set(found)))}")
+    used = set(re.findall(r"View \(`([^`]+)`", plan))
+    if views is not None and (found := used - {*views, LAST_RESULT}):
+        raise PermissionError(f"not a view of this question: {', '.join(sorted(found))}")
+
+
+def select(spark: SparkSession, sql: str, args: Mapping | None = None, views: Iterable[str] | None = None) -> DataFrame:
+    """One SELECT over registered views, of the session or only the given ones.
+
+    Commands and several statements are syntax errors inside a subquery and never run. Files by path, catalog tables and
+    calls of the machine are refused. The session must have the settings in `NEEDED`, as `build_session` makes it:
+    otherwise a quoted column name would silently be text.
+    """
+    _verify_settings(spark)
+    result = spark.sql(f"SELECT * FROM (\n{sql.strip().rstrip(';')}\n) AS answer", args=dict(args or {}))
+    _verify_plan(result, views)
+    return result
 
 
-def answer(spark: SparkSession, sql: str, args: Mapping | None = None) -> DataFrame:
-    """As `select`, and keep the result as the view `last_query_result` for a follow-up query."""
-    result = select(spark, sql, args)
-    result.createOrReplaceTempView(LAST_RESULT)
+def last_result(spark: SparkSession, store: str) -> DataFrame | None:
+    """The last result with rows that was stored below `store`, the shared folder of one user."""
+    if not exists(spark, f"{store}/last"):
+        return None
+    return spark.read.parquet(spark.read.text(f"{store}/last").first()[0])
+
+
+def answer(
+    spark: SparkSession, sql: str, store: str, args: Mapping | None = None, views: Iterable[str] | None = None
+) -> DataFrame:
+    """As `select`, run once and stored below `store`, the shared folder of one user.
+
+    The question sees the user's last result as the view `last_query_result`; a result with rows takes its place, an empty
+    one leaves it.
+    """
+    before = last_result(spark, store)
+    if before is not None:
+        before.createOrReplaceTempView(LAST_RESULT)
+    result = select(spark, sql, args, views)
+    names = [n if result.columns.index(n) == i else f"{n}_{i + 1}" for i, n in enumerate(result.columns)]
+    result = result.toDF(*names)  # a question may name two columns alike, a stored table may not
+    path = f"{store}/{uuid.uuid4().hex}"
+    result.withColumns({n: F.col(f"`{n}`").cast("string") for n, kind in result.dtypes if kind == "void"}).write.parquet(path)
+    result = spark.read.parquet(path)
+    if not result.isEmpty():
+        spark.createDataFrame([(path,)], "value string").coalesce(1).write.mode("overwrite").text(f"{store}/last")
     return result
 
 
@@ -36,7 +106,7 @@ def records(result: DataFrame) -> DataFrame:
 
 
 def records_or_message(result: DataFrame) -> DataFrame:
-    """The records, or one row with the message for an empty result."""
+    """The records, or one row with the message for an empty result; `result` should be a stored one, as of `answer`."""
     rows = records(result)
     none = result.limit(1).agg(F.count(F.lit(1)).alias("n")).filter("n = 0").select(F.lit(NO_ROWS).alias("record"))
     return rows.unionByName(none)

@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ringledger.functions import decode, text
 from ringledger.schemas import FIGHTERS
@@ -117,3 +118,14 @@ def test_blanks_are_those_of_unicode(spark):
     others = "".join(c for c in map(chr, range(1, 0x3100)) if not c.isspace())
     assert one(spark, blank, text.trimmed) == ""
     assert one(spark, blank + others + blank, text.trimmed) == others
+
+
+def test_csv_rows_that_do_not_fit_are_listed(spark, tmp_path):
+    lines = ["a,n", "x,1", "short", "long,2,more", "y,text", '"two\nlines",3']
+    (tmp_path / "t.csv").write_text("\n".join(lines) + "\n")
+    schema = T.StructType.fromDDL("a string, n int")
+    kept = files.read_csv(spark, str(tmp_path), schema, line_breaks=True)
+    got = sorted(((r.a, r.n) for r in kept.collect()), key=repr)
+    assert got == [("long", 2), ("short", None), ("two\nlines", 3), ("x", 1), ("y", None)]
+    bad = files.csv_rejects(spark, str(tmp_path), schema, line_breaks=True)
+    assert sorted(r.row.strip() for r in bad.collect()) == ["long,2,more", "short", "y,text"]

@@ -1,5 +1,5 @@
 import pytest
-from pyspark.errors import ParseException
+from pyspark.errors import AnalysisException, ParseException
 
 from ringledger.sources import tables
 
@@ -28,9 +28,55 @@ def test_quoted_names_are_columns(spark):
     assert got.collect() == [("Ann!",)]
 
 
-def test_follow_up_reads_the_last_result(spark):
-    tables.answer(spark, "SELECT * FROM people WHERE n = 2")
-    assert [r.name for r in tables.select(spark, "SELECT name FROM last_query_result").collect()] == ["Bea"]
+def test_settings_are_verified(spark):
+    spark.conf.set("spark.sql.ansi.doubleQuotedIdentifiers", "false")
+    try:
+        with pytest.raises(ValueError, match="doubleQuotedIdentifiers"):
+            tables.select(spark, 'SELECT "name" FROM people')
+    finally:
+        spark.conf.set("spark.sql.ansi.doubleQuotedIdentifiers", "true")
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "SELECT reflect('java.lang.System', 'getProperty', 'user.name') AS x",
+        "SELECT n FROM people WHERE name = java_method('java.lang.System', 'getProperty', 'user.name')",
+        "SELECT * FROM csv.`/etc/passwd`",
+        "SELECT * FROM stored_elsewhere",
+        "SELECT (SELECT max(a) FROM stored_elsewhere) AS x FROM people",
+    ],
+)
+def test_questions_are_confined_to_views(spark, text):
+    spark.sql("CREATE TABLE IF NOT EXISTS stored_elsewhere (a INT) USING parquet")
+    try:
+        with pytest.raises((PermissionError, AnalysisException)):
+            tables.select(spark, text)
+    finally:
+        spark.sql("DROP TABLE stored_elsewhere")
+
+
+def test_only_the_given_views(spark):
+    spark.range(3).createOrReplaceTempView("others")
+    assert tables.select(spark, "SELECT * FROM people", views=["people"]).count() == 2
+    with pytest.raises(PermissionError, match="others"):
+        tables.select(spark, "SELECT * FROM people JOIN others ON n = id", views=["people"])
+
+
+def test_follow_up_reads_the_last_result_of_the_user(spark, tmp_path):
+    one, two = str(tmp_path / "1"), str(tmp_path / "2")
+    tables.answer(spark, "SELECT * FROM people WHERE n = 2", one)
+    tables.answer(spark, "SELECT * FROM people WHERE n = 1", two)
+    follow = "SELECT name FROM last_query_result"
+    assert [r.name for r in tables.answer(spark, follow, one).collect()] == ["Bea"]
+    assert [r.name for r in tables.answer(spark, follow, two).collect()] == ["Ann"]
+    assert tables.answer(spark, "SELECT * FROM people WHERE n = 9", two).collect() == []
+    assert [r.name for r in tables.answer(spark, follow, two).collect()] == ["Ann"]
+
+
+def test_columns_of_one_name_are_stored(spark, tmp_path):
+    got = tables.answer(spark, "SELECT n, n, NULL AS nothing FROM people WHERE n = 1", str(tmp_path))
+    assert got.collect() == [(1, 1, None)] and got.columns == ["n", "n_2", "nothing"]
 
 
 def test_records_keep_nulls_and_an_empty_result_says_so(spark):
