@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from ringledger.checks.registry import check, table
 from ringledger.operators import conversation
+from ringledger.session import shared_folder
+from ringledger.sources import tables
 
 
 def _micros():
@@ -76,6 +78,20 @@ def kept_per_session(spark, d):
     return kept.select("user_id", "session", "event_id", "back")
 
 
+@check(
+    """SELECT c_mktsegment, arg_max(c_name, (c_acctbal, c_custkey)) AS mention FROM customer WHERE c_mktsegment = 'BUILDING'
+    GROUP BY ALL"""
+)
+def mention_of_last_result(spark, d):
+    """A question's stored result, and the name that its last row mentions."""
+    spark = tables.question_session(spark)
+    tables.register_views(spark, d, ["customer"], ".parquet")
+    sql = "SELECT c_mktsegment, c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment = :segment"
+    result = tables.answer(spark, sql, shared_folder(spark), {"segment": "BUILDING"})
+    mention = conversation.mention_of_result(result, ["c_acctbal", "c_custkey"])
+    return result.select("c_mktsegment").distinct().withColumn("mention", mention.scalar())
+
+
 @check("SELECT c_custkey, c_name AS mention FROM customer")
 def mentioned_columns(spark, d):
     c = table(spark, d, "customer")

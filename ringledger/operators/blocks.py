@@ -2,7 +2,8 @@
 
 A plain window keeps all rows of a key in one task. Here a key with very many rows is cut into blocks along its ordering
 position. Windows run per (key, block), and what a block needs from the earlier ones of its key comes from a table with
-one row per block. The rows are shuffled once. The input is read three times: give a stored table if it is expensive.
+one row per block. The rows are shuffled once. The input is read three times, the first time when the operator is called:
+give a stored table if it is expensive.
 
 Only a key with over 1/100,000 of all rows is ever cut, so there are fewer than 100,000 such keys and fewer than 200,000
 blocks of them, whatever the size of the input. The table of the large keys is therefore small enough to be broadcast.
@@ -13,29 +14,37 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ringledger.session import shared_folder
+
 ROWS_PER_BLOCK = 1_000_000
 MOST_LARGE_KEYS = 100_000
+KNOTS = 64
+ACCURACY = 10_000
 
 
 def large_keys(df: DataFrame, key: str, position: Column, rows_per_block: int) -> DataFrame:
-    """Keys to be cut, with the range of their positions and the number of blocks. All values are exact."""
+    """Keys to be cut, with the number of blocks and quantiles of their positions."""
     least = F.greatest(F.lit(float(rows_per_block)), df.agg(F.count(F.lit(1)) / MOST_LARGE_KEYS).scalar())
+    shares = [i / KNOTS for i in range(KNOTS + 1)]
     sizes = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(position).cast("double").alias("_low"),
-        F.max(position).cast("double").alias("_high"),
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx(position.cast("double"), shares, F.lit(ACCURACY)).alias("_knots")
     )
-    return sizes.filter(F.col("_n") > least).select(key, "_low", "_high", F.ceil(F.col("_n") / least).alias("_blocks"))
+    return sizes.filter(F.col("_n") > least).select(key, "_knots", F.ceil(F.col("_n") / least).alias("_blocks"))
 
 
 def with_block(df: DataFrame, large: DataFrame, key: str, position: Column, how: str = "left") -> DataFrame:
-    """Adds `_block`, which never falls as the whole-number position rises; 0 for all rows of a key that is not large.
+    """Adds `_block`, which never falls as the position rises; 0 for all rows of a key that is not large.
 
-    The range of a large key is cut into equal parts. A task that runs again computes the same blocks.
+    Blocks are cut by the share of the key's rows that stand before a position: read from the quantiles, and between two
+    of them by value. One far-off position therefore moves few rows, and rows of one position stay together.
     """
-    share = (position.cast("double") - F.col("_low")) / (F.col("_high") - F.col("_low") + 1)
-    block = F.coalesce(F.floor(share * F.col("_blocks")), F.lit(0).cast("bigint"))
-    return df.join(F.broadcast(large), key, how).withColumn("_block", block).drop("_low", "_high", "_blocks")
+    at = position.cast("double")
+    below = F.size(F.filter("_knots", lambda k: k <= at))
+    low, high = F.get("_knots", below - 1), F.get("_knots", below)
+    share = F.when(below > KNOTS, 1.0).when(below < 1, 0.0).otherwise((below - 1 + (at - low) / (high - low)) / KNOTS)
+    number = F.least(F.floor(share * F.col("_blocks")), F.col("_blocks") - 1).cast("bigint")
+    block = F.coalesce(number, F.lit(0).cast("bigint"))
+    return df.join(F.broadcast(large), key, how).withColumn("_block", block).drop("_knots", "_blocks")
 
 
 def _running(
@@ -53,7 +62,11 @@ def _running(
 ) -> DataFrame:
     # one struct key, so that rows with NULL keys meet their own state in the joins
     keyed = df.select("*", value.alias(name), F.struct(*keys).alias("_key"))
+    # stored, since both uses have to cut alike and quantiles may come out otherwise when they are computed again
+    spark, path = df.sparkSession, shared_folder(df.sparkSession)
     large = large_keys(keyed, "_key", position, rows_per_block)
+    large.write.parquet(path)
+    large = spark.read.schema(large.schema).parquet(path)
     earlier = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = with_block(keyed, large, "_key", position, "inner").groupBy("_key", "_block").agg(of_block.alias("_end"))
     carried = blocks.select("_key", "_block", of_earlier(F.col("_end")).over(earlier).alias("_carried"))

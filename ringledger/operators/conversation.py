@@ -56,6 +56,16 @@ def mentioned_name(result: DataFrame) -> Column:
     return F.coalesce(*columns) if columns else F.lit(None).cast("string")
 
 
+def mention_of_result(result: DataFrame, order: Sequence[str]) -> DataFrame:
+    """One row with the name that a result mentions: that of its last row, by `order`, which holds one.
+
+    This is what goes into `last_mention` for the message that asked. An aggregate, so any size of result sends one
+    candidate per task.
+    """
+    named = result.select(*order, mentioned_name(result).alias("mention")).filter("mention IS NOT NULL")
+    return named.agg(F.max_by("mention", F.struct(*order)).alias("mention"))
+
+
 def last_mention(
     messages: DataFrame,
     mention: Column,

@@ -71,9 +71,21 @@ def gap_up_to_known(
 
 
 def not_yet_stored(df: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in the stored table; a NULL in a key equals a NULL."""
-    known = stored.select(F.struct(*keys).alias("_key"))
-    return df.withColumn("_key", F.struct(*keys)).join(known, "_key", "left_anti").drop("_key")
+    """Rows whose key is not in the stored table; a NULL in a key equals a NULL.
+
+    The stored keys, which grow with every run, are first reduced to those of the new rows, of which there are few: Spark
+    broadcasts these where they are small, so the history is scanned but neither shuffled nor sorted.
+    """
+
+    def named(prefix: str) -> list[Column]:
+        return [F.col(k).alias(f"{prefix}{k}") for k in keys]
+
+    def same(left: str, right: str) -> list[Column]:
+        return [F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}{k}")) for k in keys]
+
+    wanted = df.select(*named("_new_")).distinct()
+    known = stored.select(*named("_old_")).join(wanted, same("_old_", "_new_"), "left_semi").distinct()
+    return df.join(known, same("", "_old_"), "left_anti")
 
 
 def unsent(events: DataFrame, sent: DataFrame, key: str) -> DataFrame:

@@ -21,6 +21,11 @@ def last_value(df: DataFrame, value: str, order: Sequence[str], keys: Sequence[s
     return df.groupBy(*keys).agg(F.max_by(F.col(value), F.struct(*order)).alias(value))
 
 
+def newest_slice(df: DataFrame, run: str) -> DataFrame:
+    """Rows of the greatest `run` that has rows. On a table partitioned by it, the other slices are not read."""
+    return df.filter(F.col(run) == df.agg(F.max(run)).scalar())
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Whole latest row of each key, by aggregate for the reason given in `last_value`."""
     rest = [c for c in df.columns if c not in keys]

@@ -45,6 +45,14 @@ def test_last_mention_is_carried_and_ends_with_the_session(spark):
     assert [r.mention for r in got.orderBy("n").collect()] == [None, "Ann", "Ann", None, "Bea", "Bea"]
 
 
+def test_mention_of_a_result_is_that_of_its_last_row(spark):
+    data = [(1, "Tom", "x"), (3, "Ann", "y"), (4, None, "z"), (2, "Bea", "w")]
+    df = spark.createDataFrame(data, "n int, first_name string, other string")
+    assert conv.mention_of_result(df, ["n"]).first()[0] == "Ann"
+    assert conv.mention_of_result(df.limit(0), ["n"]).first()[0] is None
+    assert conv.mention_of_result(df.select("n", "other"), ["n"]).first()[0] is None
+
+
 def test_mentioned_name_takes_first_text_column_with_a_name(spark):
     data = [(1, None, "Tom", "Night"), (2, "x", "Ann", None)]
     df = spark.createDataFrame(data, "name_id int, Nickname string, first_NAME string, other string")

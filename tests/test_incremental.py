@@ -79,6 +79,12 @@ def test_not_yet_stored_matches_null_keys_and_keeps_doubles(spark):
     assert sorted(r.i for r in got.collect()) == [2, 3, 4]
 
 
+def test_history_is_reduced_to_the_new_keys_first(spark):
+    new = spark.createDataFrame([("a", 1)], "n string, i int")
+    plan = inc.not_yet_stored(new, spark.range(9).selectExpr("string(id) n"), ["n"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftAnti") < plan.index("LeftSemi")
+
+
 def test_unsent_event_with_comma_in_name(spark):
     events = spark.createDataFrame([("Night, part two",), ("Other",)], "event_name string")
     sent = spark.createDataFrame([("Night, part two",)], "event_name string")
