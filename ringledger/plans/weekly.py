@@ -17,8 +17,8 @@ from ringledger.functions.decode import missing_to_null
 from ringledger.operators import extract
 from ringledger.operators.incremental import gap_after_done, gap_up_to_known, not_yet_stored, since_bookmark
 from ringledger.operators.joins import left_join
-from ringledger.operators.latest import last_value
-from ringledger.plans.report import notify, subscribers
+from ringledger.operators.latest import last_value, newest_slice
+from ringledger.plans.report import notify, streamed_subscribers, subscribers
 from ringledger.schemas import ACTION, EVENTS, FIGHT_STATS, FIGHTERS, FIGHTS, ROUND_STATS, STRIKES, TOTALS, WAREHOUSE
 from ringledger.sources import files
 from ringledger.sources.tables import warehouse_frames
@@ -69,6 +69,9 @@ class Job:
     index: Column
     directory: Column
 
+    def __post_init__(self) -> None:
+        self.pages = extract.spread(self.pages, "page_id")
+
     def stored(self, table: str, runs: Column) -> DataFrame:
         return files.read_slices(self.spark, self.folders.raw(table), RAW[table]).filter(runs)
 
@@ -79,6 +82,10 @@ class Job:
     def up_to_now(self, table: str) -> DataFrame:
         return self.stored(table, F.col("run") <= self.run)
 
+    def last(self, rows: DataFrame, value: str, place: str) -> DataFrame:
+        """Value of the last row of a raw table: only the newest run that has rows is read for it."""
+        return last_value(newest_slice(rows, "run"), value, ["run", place])
+
     def other_runs(self, table: str) -> DataFrame:
         return self.stored(table, F.col("run") != self.run)
 
@@ -95,6 +102,9 @@ class Job:
         files.overwrite(df, path)
         return self.spark.read.parquet(path)
 
+    def has_staged(self, name: str) -> bool:
+        return files.exists(self.spark, f"{self.folders.at('staging')}/{name}/run={self.run}/_SUCCESS")
+
     def staged(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folders.at('staging')}/{name}/run={self.run}")
 
@@ -119,9 +129,17 @@ def _value(df: DataFrame):
     return df.first()[0]
 
 
-def _newest_fetch(pages: DataFrame, keys: list[str]) -> DataFrame:
-    """One page per key, the one fetched last. Applied to the pages of interest only."""
-    return pages.groupBy(*keys).agg(F.max_by("html", "page_id").alias("html"))
+def _newest_fetch(pages: DataFrame, keys: list[str], wanted: DataFrame | None = None) -> DataFrame:
+    """The keys and the markup of one page per key, the one fetched last.
+
+    `wanted` has the keys and the addresses (url) that are looked for; without it the keys are columns of the pages. The
+    choice is made on page numbers, and the markup is joined to the chosen numbers once.
+    """
+    narrow = pages.select("page_id", "url")
+    narrow = narrow.join(wanted, "url") if wanted is not None else narrow
+    newest = narrow.groupBy(*keys).agg(F.max_by("url", "page_id").alias("_url"), F.max("page_id").alias("_page"))
+    whole = pages.select(F.col("page_id").alias("_page"), F.col("url").alias("_url"), "html")
+    return whole.join(newest, ["_page", "_url"]).select(*keys, "html")
 
 
 def load_events(job: Job) -> int:
@@ -134,7 +152,7 @@ def load_events(job: Job) -> int:
     unreadable = listed.filter(~F.col("readable")).select(place, F.lit("no date or place").alias("reason"))
     job.reject(unreadable, "events")
     listed = listed.filter("readable")
-    mark = last_value(job.earlier("events"), "event_name", ["run", "position"]).scalar()
+    mark = job.last(job.earlier("events"), "event_name", "position").scalar()
     new = since_bookmark(listed, "event_name", "position", mark)
     new = not_yet_stored(missing_to_null(new, MISSING), job.other_runs("events"), EVENT_KEY)
     now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
@@ -147,12 +165,21 @@ def load_events(job: Job) -> int:
 
 
 def load_fighters(job: Job) -> int:
-    """Full refresh: the directory is read whole in each run."""
+    """Full refresh: the directory is read whole in each run, and stored beside the runs before it.
+
+    Readers take the newest run that has fighters, so the table is switched by the finished write of a slice.
+    """
     started = time.time()
     pages = _newest_fetch(job.pages.filter(job.directory), ["url"])
     rows = files.stamped(missing_to_null(extract.directory_fighters(pages), MISSING), "last_run", job.last_run())
-    files.overwrite(rows.select(*FIGHTERS.names), job.folders.raw("fighters"))
-    n = job.spark.read.parquet(job.folders.raw("fighters")).count()
+    rows = job.stage(rows, "fighters")
+    if rows.isEmpty():
+        # a run that fetched no directory page says nothing about the fighters
+        lost = job.spark.createDataFrame([("directory", "no readable directory page")], "key string, reason string")
+        job.reject(lost, "fighters")
+        job.audit("fighters", started, 0, None, "nothing fetched")
+        return 0
+    n = job.store(rows, "fighters").count()
     job.audit("fighters", started, n, None)
     return n
 
@@ -160,18 +187,18 @@ def load_fighters(job: Job) -> int:
 def _event_pages(job: Job, events: DataFrame) -> DataFrame:
     """Pages of the given events. Spark filters the page table by the few wanted addresses."""
     wanted = events.select("event_name", F.col("position").alias("event_position"), F.col("link").alias("url"))
-    return _newest_fetch(job.pages.join(wanted, "url"), ["event_name", "event_position"])
+    return _newest_fetch(job.pages, ["event_name", "event_position"], wanted)
 
 
 def load_fights(job: Job) -> int:
     started = time.time()
-    place = ["run", "event_position"]
-    upstream = last_value(job.up_to_now("events"), "event_name", ["run", "position"]).scalar()
-    done = last_value(job.earlier("fights"), "event_name", place).scalar()
+    place = "event_position"
+    upstream = job.last(job.up_to_now("events"), "event_name", "position").scalar()
+    done = job.last(job.earlier("fights"), "event_name", place).scalar()
     new = gap_after_done(job.staged("links"), "event_name", "position", upstream, done)
     new = job.stage(new, "new_events")
     if new.isEmpty():
-        job.audit("fights", started, 0, _value(last_value(job.up_to_now("fights"), "event_name", place)))
+        job.audit("fights", started, 0, _value(job.last(job.up_to_now("fights"), "event_name", place)))
         return 0
     rows = job.stage(extract.card_fights(_event_pages(job, new)), "fights")
     unreadable = F.concat_ws("#", "event_name", "fight_id").alias("key")
@@ -185,24 +212,36 @@ def load_fights(job: Job) -> int:
     kept = kept.withColumn("fight_id", F.col("fight_id").cast("string"))
     kept = not_yet_stored(kept, job.other_runs("fights"), ["event_name", "fight_id", "fight_stats_link"])
     n = job.store(files.stamped(kept, "last_run", job.last_run()), "fights").count()
-    newest = _value(last_value(job.up_to_now("fights"), "event_name", place))
+    newest = _value(job.last(job.up_to_now("fights"), "event_name", place))
     job.audit("fights", started, n, newest)
     return n
 
 
+def _card_links(job: Job, events: DataFrame) -> DataFrame:
+    """Number and address of each fight of the given events, from the cards that this run has read already where it has."""
+    columns = ["event_name", "event_position", "fight_id", "link"]
+    if not job.has_staged("fights"):
+        return extract.card_links(_event_pages(job, events)).select(columns)
+    cards = job.staged("fights").withColumnRenamed("fight_stats_link", "link").select(columns)
+    known = cards.select("event_name", F.col("event_position").alias("position")).distinct()
+    read = cards.join(events.select("event_name", F.col("position").alias("event_position")), ["event_name", "event_position"])
+    others = events.join(known, ["event_name", "position"], "left_anti")
+    return read.select(columns).unionByName(extract.card_links(_event_pages(job, others)).select(columns))
+
+
 def load_stats(job: Job) -> int:
     started = time.time()
-    place = ["run", "event_position"]
-    upstream = last_value(job.up_to_now("fights"), "event_name", place).scalar()
-    done = last_value(job.earlier("fight_stats"), "event", place).scalar()
+    place = "event_position"
+    upstream = job.last(job.up_to_now("fights"), "event_name", place).scalar()
+    done = job.last(job.earlier("fight_stats"), "event", place).scalar()
     new = job.stage(gap_up_to_known(job.staged("links"), "event_name", "position", upstream, done), "stats_events")
     if new.isEmpty():
-        job.audit("stats", started, 0, _value(last_value(job.up_to_now("fight_stats"), "event", place)))
+        job.audit("stats", started, 0, _value(job.last(job.up_to_now("fight_stats"), "event", place)))
         return 0
-    links = extract.card_links(_event_pages(job, new)).withColumnRenamed("event_name", "event")
+    links = _card_links(job, new).withColumnRenamed("event_name", "event")
     keys = ["event", "event_position", "fight_id"]
     links = job.stage(links.withColumn("fight_id", F.col("fight_id").cast("string")), "fight_links")
-    pages = _newest_fetch(job.pages.withColumnRenamed("url", "link").join(links, "link"), keys)
+    pages = _newest_fetch(job.pages, keys, links.withColumnRenamed("link", "url"))
     # four tables come from each page: the sections are stored once and read four times
     sections = job.stage(extract.fight_sections(pages), "sections")
     key = F.concat_ws("#", "event", "fight_id").alias("key")
@@ -222,7 +261,7 @@ def load_stats(job: Job) -> int:
 
     n = table("totals", "strikes", False, "fight_stats")
     table("round_totals", "round_strikes", True, "round_stats")
-    newest = _value(last_value(job.up_to_now("fight_stats"), "event", place))
+    newest = _value(job.last(job.up_to_now("fight_stats"), "event", place))
     job.audit("stats", started, n, newest)
     return n
 
@@ -230,8 +269,8 @@ def load_stats(job: Job) -> int:
 def load_warehouse(job: Job, write: Callable[[DataFrame, str], None] | None = None) -> int:
     """Refresh the five typed tables, as Parquet below the warehouse folder or through `write(df, table)`."""
     started = time.time()
-    raw = {t: job.up_to_now(t) for t in WAREHOUSE if t != "fighters"}
-    raw["fighters"] = job.spark.read.parquet(job.folders.raw("fighters"))
+    raw = {t: job.up_to_now(t) for t in WAREHOUSE}
+    raw["fighters"] = newest_slice(raw["fighters"], "run")
     write = write or (lambda df, table: files.overwrite(df, f"{job.folders.at('warehouse')}/{table}"))
     for name, df in warehouse_frames(raw).items():
         write(df, name)
@@ -242,8 +281,11 @@ def load_warehouse(job: Job, write: Callable[[DataFrame, str], None] | None = No
 def send_report(job: Job) -> int:
     started = time.time()
     at = job.folders.at
-    actions = files.read_table(job.spark, at("user_actions"), ACTION)
-    sent = notify(job.spark, at("warehouse"), subscribers(actions), at("notifications"), at("outbox"))
+    if files.exists(job.spark, at("subscriber_state")):
+        users = streamed_subscribers(job.spark, at("subscriber_state"))
+    else:
+        users = subscribers(files.read_table(job.spark, at("user_actions"), ACTION))
+    sent = notify(job.spark, at("warehouse"), users, at("notifications"), at("outbox"))
     job.audit("notify", started, int(sent), None)
     return int(sent)
 
@@ -266,6 +308,6 @@ def run_weekly(job: Job) -> dict[str, int]:
         try:
             counts[name] = step(job)
         except Exception as e:
-            job.audit(name, started, 0, None, f"failed: {e}"[:500])
+            job.audit(name, started, 0, None, f"failed: {e}")
             raise
     return counts

@@ -8,6 +8,7 @@ from ringledger.plans.weekly import Folders, Job
 from ringledger.sources import files
 from ringledger.schemas import PAGES, PAIR_STATS, WAREHOUSE
 from ringledger.operators import records
+from ringledger.streaming import actions
 from tests import site
 from tests.conftest import rows
 from tests.test_extract import good_page, stats
@@ -123,6 +124,48 @@ def test_missing_pages_are_rejected_and_the_rest_goes_on(spark, make):
     assert rows(rejects.select("key", "reason")) == [("Night 1, part#1", "no page"), ("Night 1, part#2", "page not readable")]
 
 
+def test_run_without_directory_pages_keeps_the_fighters(spark, make):
+    first = make("r1", pages_frame(spark, 1))
+    weekly.run_weekly(first)
+    lost = pages_frame(spark, 2, broken=[f"http://site.test/fighters?char={c}&page=all" for c in "ab"])
+    second = make("r2", lost)
+    counts = weekly.run_weekly(second)
+    assert counts["fighters"] == 0 and counts["events"] == 1
+    assert rows(warehouse(second, "fighters").select("first_name")) == [("Ann",)]
+    rejects = spark.read.parquet(second.folders.at("rejects")).filter("job = 'fighters'")
+    assert rows(rejects.select("reason")) == [("no readable directory page",)]
+
+
+def test_markup_moves_once_and_bookmarks_read_one_slice(spark, make):
+    job = make("r1", pages_frame(spark, 2))
+    weekly.run_weekly(job)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = job.pages.select("page_id", "url", "html")
+        path = job.folders.at("pages")
+        stored.write.parquet(path)
+        pages = spark.read.parquet(path)
+        wanted = spark.createDataFrame([("Night 1", 1, LINKS[1])], "event_name string, event_position int, url string")
+        got = weekly._newest_fetch(pages, ["event_name", "event_position"], wanted)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert sum("html" in scan for scan in plan.split("FileScan")[1:]) == 1
+        assert not any("html" in line for line in plan.splitlines() if "Aggregate(" in line)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    mark = job.last(job.up_to_now("fights"), "event_name", "event_position")
+    assert "PartitionFilters: [isnotnull(run" in mark._jdf.queryExecution().executedPlan().toString()
+
+
+def test_streamed_states_name_the_recipients(spark, make):
+    job = make("r1", pages_frame(spark, 1))
+    log = spark.read.parquet(job.folders.at("user_actions"))
+    state = job.folders.at("subscriber_state")
+    states = actions.subscriber_states(actions.timed(log), "user_id", "action", ["time", "timestamp"])
+    actions.slice_writer(f"{state}/slices")(states, "query=q/batch_id=0")
+    weekly.run_weekly(job)
+    assert rows(spark.read.parquet(job.folders.at("outbox")).select("user_id").distinct()) == [("1",)]
+
+
 def test_failing_step_is_audited(spark, make):
     job = make("r1", pages_frame(spark, 1))
     with pytest.raises(ValueError, match="no run state"):
@@ -132,7 +175,8 @@ def test_failing_step_is_audited(spark, make):
     with pytest.raises(Exception):
         weekly.run_weekly(bad)
     failed = spark.read.parquet(job.folders.at("run_audit")).filter("status LIKE 'failed:%'")
-    assert [r.job for r in failed.collect()] == ["events"]
+    failed = failed.collect()
+    assert [r.job for r in failed] == ["events"] and len(failed[0].status) > 500
 
 
 def test_roll_up_of_round_rows_equals_the_fight_rows(spark):
