@@ -13,7 +13,7 @@ def made(count):
     rng = np.random.default_rng(3)
     rows, labels = [], []
     for i in range(count):
-        text = " ".join(rng.choice(CALM, 4)) + f" number{i}"
+        text = " ".join(rng.choice(CALM, 4)) + " " + " ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(12))
         if i % 5 == 0:
             text += " you " + rng.choice(["nastyword", "uglyterm", "rudeness"])
             if i % 10 == 0:
