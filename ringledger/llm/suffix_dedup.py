@@ -122,14 +122,13 @@ def _unique(at: list[np.ndarray], h: list[np.ndarray]) -> tuple[np.ndarray, np.n
 def intervals(common: list[int]) -> Iterator[tuple[int, int, int]]:
     """(value, first, last) of the intervals of a list of common prefix lengths, common[i] between i - 1 and i, children
     before parents; members of an interval share exactly `value`."""
-    stack = [(0, 0)]
+    stack: list[tuple[int, int]] = []
     for i in range(1, len(common) + 1):
         here = common[i] if i < len(common) else -1
         first = i - 1
         while stack and stack[-1][0] > here:
             value, first = stack.pop()
-            if i - 1 > first:
-                yield value, first, i - 1
+            yield value, first, i - 1
         if here >= 0 and (not stack or stack[-1][0] < here):
             stack.append((here, first))
 
@@ -149,31 +148,57 @@ def _rows(values: list[bytes], width: int) -> np.ndarray:
 def maximal_repeats(lefts: list[bytes], rights: list[bytes], length: int) -> Iterator[tuple[int, int, list[int]]]:
     """(bytes before, bytes from the anchor on, members) of each maximal repeat of `length` bytes or more that covers the
     anchor. `rights` are the contexts from the anchor on, sorted; `lefts` the bytes before it, last byte first."""
-    width = max(1, max(map(len, lefts)))
-    left, left_size = _rows(lefts, width), np.array([len(x) for x in lefts])
-    right = _rows(rights, max(map(len, rights)))
+    left, right = _rows(lefts, max(1, max(map(len, lefts)))), _rows(rights, max(map(len, rights)))
     common = _common(right, np.array([len(x) for x in rights]))
-    rank = np.empty(len(lefts), np.int64)
-    rank[np.argsort(np.ascontiguousarray(left).view(f"S{width}").ravel(), kind="stable")] = np.arange(len(lefts))
+    return _repeats(left, np.array([len(x) for x in lefts]), common, length)
+
+
+def _repeats(left: np.ndarray, left_size: np.ndarray, common: np.ndarray, length: int) -> Iterator[tuple[int, int, list[int]]]:
+    """As `maximal_repeats`, from the rows of left bytes and the common prefix lengths of the sorted right contexts."""
+    width, rank = left.shape[1], None
     for depth, first, last in intervals(common.tolist()):
         need = length - depth
         if need > width:
             continue
+        if last == first + 1:
+            before = int(_common(left[first : last + 1], left_size[first : last + 1])[1])
+            if before >= need:
+                yield before, depth, [first, last]
+            continue
+        if rank is None:
+            rank = np.empty(len(left), np.int64)
+            rank[np.argsort(np.ascontiguousarray(left).view(f"S{width}").ravel(), kind="stable")] = np.arange(len(left))
         members = first + np.argsort(rank[first : last + 1], kind="stable")
-        child = np.cumsum(np.concatenate(([0], common[first + 1 : last + 1] == depth)))[members - first]
         agree = _common(left[members], left_size[members])
-        if agree.max() < need and need > 0:
+        if agree.max() < need:
             continue
+        child = np.cumsum(np.concatenate(([0], common[first + 1 : last + 1] == depth)))[members - first]
         for before, a, b in intervals(agree.tolist()):
             if before >= need and (child[a : b + 1] != child[a]).any():
-                yield int(before), int(depth), members[a : b + 1].tolist()
-
-
-def _covered(lefts: list[bytes], rights: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
-    before, after = np.zeros(len(lefts), np.int32), np.zeros(len(lefts), np.int32)
-    for x, y, members in maximal_repeats(lefts, rights, length):
-        before[members] = np.maximum(before[members], x)
-        after[members] = np.maximum(after[members], y)
+                yield before, depth, members[a : b + 1].tolist()
+
+
+def _covered(grams: np.ndarray, lefts: list[bytes], rights: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """How far maximal repeats reach before and behind the anchor of each context; contexts of one anchor stand together,
+    sorted by their right sides."""
+    n = len(grams)
+    before, after = np.zeros(n, np.int32), np.zeros(n, np.int32)
+    left, left_size = _rows(lefts, max(1, max(map(len, lefts)))), np.array([len(x) for x in lefts])
+    common = _common(_rows(rights, max(map(len, rights))), np.array([len(x) for x in rights]))
+    edges = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1], [True])))
+    starts, sizes = edges[:-1], np.diff(edges)
+    common[starts] = 0
+    # anchors of two contexts, the most of all, at once: their common prefix and common left bytes are the only repeat
+    two = starts[sizes == 2]
+    agree = _common(left, left_size)[two + 1]
+    found = agree + common[two + 1] >= length
+    for k in (0, 1):
+        before[two[found] + k], after[two[found] + k] = agree[found], common[two[found] + 1]
+    for a, b in zip(starts[sizes > 2].tolist(), edges[1:][sizes > 2].tolist(), strict=True):
+        for x, y, members in _repeats(left[a:b], left_size[a:b], common[a:b], length):
+            members = np.array(members) + a
+            before[members] = np.maximum(before[members], x)
+            after[members] = np.maximum(after[members], y)
     return before, after
 
 
@@ -218,7 +243,7 @@ def _occurrences(texts: DataFrame, length: int, gram: int, counted: bool) -> Dat
 
 
 def _contexts(texts: DataFrame, wanted: DataFrame, length: int, gram: int) -> DataFrame:
-    """(gram, context, left, right): the bytes around the anchors in `wanted` (id, version, anchors)."""
+    """(gram, context, alone, left, right): the bytes around the anchors in `wanted` (id, version, anchors)."""
     reach = length - gram
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,39 +255,32 @@ def _contexts(texts: DataFrame, wanted: DataFrame, length: int, gram: int) -> Da
                     p = a["pos"]
                     # NUL stands for the end of a context in comparisons; the byte 255 is in no UTF-8 text
                     left = text[max(0, p - reach) : p][::-1].replace(b"\0", b"\xff")
-                    rows.append((a["gram"], a["context"], left, text[p : p + length].replace(b"\0", b"\xff")))
+                    rows.append((a["gram"], a["context"], a["alone"], left, text[p : p + length].replace(b"\0", b"\xff")))
                     if len(rows) == 10_000:
                         yield table(rows)
                         rows = []
             if rows:
                 yield table(rows)
 
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
 
     def table(rows: list[tuple]) -> pa.RecordBatch:
         cells = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(cells, names=["gram", "context", "left", "right"])
+        return pa.RecordBatch.from_arrays(cells, names=["gram", "context", "alone", "left", "right"])
 
     joined = texts.join(wanted, _same(texts, wanted)).select("text", "anchors")
-    return joined.mapInArrow(cut, "gram long, context long, left binary, right binary")
+    return joined.mapInArrow(cut, "gram long, context long, alone boolean, left binary, right binary")
 
 
 def _scanned(contexts: DataFrame, length: int) -> DataFrame:
-    """(gram, context, before, after): how far maximal repeats reach around the anchor of each context."""
-    ordered = contexts.select("gram", "context", "left", "right").repartition("gram")
-    ordered = ordered.sortWithinPartitions("gram", "right", "context")
+    """(gram, context, before, after): how far maximal repeats reach around the anchor of each context that occurs once."""
+    ordered = contexts.repartition("gram").sortWithinPartitions("gram", "right", "context")
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def done(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        def done(rows: pd.DataFrame) -> pd.DataFrame:
             rows = rows.drop_duplicates(["gram", "context"], ignore_index=True)  # rows of one text bring a context each
-            edges = np.flatnonzero(np.diff(rows["gram"].to_numpy())) + 1
-            left, right = rows["left"].tolist(), rows["right"].tolist()
-            before, after = np.zeros(len(rows), np.int32), np.zeros(len(rows), np.int32)
-            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(rows)], strict=True):
-                if b - a > 1:
-                    before[a:b], after[a:b] = _covered(left[a:b], right[a:b], length)
-            out = rows[["gram", "context"]].assign(before=before, after=after)
-            yield out[out["after"] > 0]
+            before, after = _covered(rows["gram"].to_numpy(), rows["left"].tolist(), rows["right"].tolist(), length)
+            return rows[["gram", "context"]].assign(before=before, after=after)[rows["alone"] & (after > 0)]
 
         held: list[pd.DataFrame] = []
         for batch in batches:
@@ -272,11 +290,11 @@ def _scanned(contexts: DataFrame, length: int) -> DataFrame:
             same = (batch["gram"] != last).to_numpy()
             start = int(np.flatnonzero(same)[-1]) + 1 if same.any() else 0
             if start or (held and held[0]["gram"].iloc[0] != last):
-                yield from done(pd.concat([*held, batch.iloc[:start]], ignore_index=True))
+                yield done(pd.concat([*held, batch.iloc[:start]], ignore_index=True))
                 held = []
             held.append(batch.iloc[start:])
         if held:
-            yield from done(pd.concat(held, ignore_index=True))
+            yield done(pd.concat(held, ignore_index=True))
 
     return ordered.mapInPandas(scan, "gram long, context long, before int, after int")
 
@@ -353,15 +371,17 @@ def remove_repeats(
     spark = docs.sparkSession
     bounded_batches(spark)
     texts = _documents(docs, id_col, text_col)
+    # small tables of keys are stored before they are joined: with nothing but an exchange on either side, Spark splits the
+    # rows of a string that very many texts share
     several = _occurrences(texts, length, gram, False).groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    found = _occurrences(texts, length, gram, True).join(several.drop("n"), "gram")
-    found = stored(spark, found)
+    several = stored(spark, several.select("gram"))
+    found = stored(spark, _occurrences(texts, length, gram, True).join(several, "gram"))
     place = F.struct("id", "version", "pos")
     classes = found.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(place).alias("place"))
-    groups = found.select("gram", "context").distinct().groupBy("gram").agg(F.count("*").alias("contexts"))
-    some = classes.join(groups.where("contexts > 1"), "gram")
-    one = some.select("place.*", "gram", "context", "contexts")
-    anchors_of = F.collect_list(F.struct("gram", "context", "pos")).alias("anchors")
+    classes = stored(spark, classes)
+    groups = stored(spark, classes.groupBy("gram").agg(F.count("*").alias("contexts")).where("contexts > 1"))
+    one = classes.join(groups, "gram").select("place.*", "gram", "context", "contexts", (F.col("n") == 1).alias("alone"))
+    anchors_of = F.collect_list(F.struct("gram", "context", "pos", "alone")).alias("anchors")
     few = one.where(F.col("contexts") <= group).groupBy("id", "version").agg(anchors_of)
     many = one.where(F.col("contexts") > group).groupBy("id", "version").agg(anchors_of)
     # the texts are dealt by (id, version) here and below: one exchange, which Spark uses again
@@ -370,7 +390,7 @@ def remove_repeats(
     equal = classes.where("n > 1").select(
         "gram", "context", F.lit(length - gram).alias("before"), F.lit(length).alias("after")
     )
-    reached = reached.unionByName(equal).groupBy("gram", "context").agg(F.max("before").alias("before"), F.max("after").alias("after"))
+    reached = reached.unionByName(equal)
     start, end = F.greatest(F.col("pos") - F.col("before"), F.lit(0)), F.col("pos") + F.col("after")
     spans = (
         found.join(reached, ["gram", "context"])
