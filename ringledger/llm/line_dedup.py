@@ -6,7 +6,7 @@ Explode normalised lines, hash them, find the keys of more than one document, an
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringledger.llm.common import BLANKS
+from ringledger.llm.common import BLANKS, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -46,6 +46,8 @@ def dropped_positions(docs: DataFrame, id_col: str, text_col: str, min_chars: in
     else:
         holders = keys.select("id", "h1", "h2").distinct().groupBy("h1", "h2")
         shared = holders.agg(F.min("id").alias("keeper"), F.count("*").alias("n")).where(F.col("n") >= threshold).drop("n")
+    # stored before the join: with nothing but an exchange on either side, Spark splits the rows of a very common line
+    shared = stored(docs.sparkSession, shared)
     return (
         keys.join(shared, ["h1", "h2"])
         .where("id > keeper")
