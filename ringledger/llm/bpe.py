@@ -28,6 +28,11 @@ KEPT_CHUNKS = 20_000
 KEPT_WORDS = 400_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _SPLIT = re.compile("[ \t\n\r]+")
+_LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+_PROBES = ("word", "Words,", "École", "straße.", "ÑANDÚ", "über", "x", "to", "to.", "ÿþ", "onbleheti")
+#: Byte-level vocabularies write a byte that is no printable Latin-1 character as the next free character from 256 on.
+_PLAIN = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+_BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 
 
 def cuts(text: str, mean: int = CHUNK_CHARS) -> list[int]:
@@ -60,11 +65,28 @@ class Codec:
         # without a decoder the library joins tokens by spaces; otherwise it decodes itself
         self.plain = self.tokenizer.decoder is None
 
+        # words of plain letters need no normaliser and no patterns; used if the tokenizer bears it out
+        self.letters = _LETTERS if all(self.of_letters(w) == self.of_library(w) for w in _PROBES) else None
+
+    def of_library(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def of_letters(self, word: str) -> list[int] | None:
+        """Ids of a word of letters, and a stop or comma behind it; None if a part of it is no vocabulary entry."""
+        stem, stop = _LETTERS.fullmatch(word).groups()
+        ids = [t.id for t in self.tokenizer.model.tokenize(stem.lower().encode().decode("latin-1").translate(_BYTES))]
+        return ids + [t.id for t in self.tokenizer.model.tokenize(stop)] if stop else ids
+
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.words]
         if len(self.words) + len(new) > KEPT_WORDS:
             self.words.clear()
             new = list(words)
+        if self.letters:
+            for word in new:
+                if self.letters.fullmatch(word):
+                    self.words[word] = self.of_letters(word)
+            new = [w for w in new if w not in self.words]
         for k in range(0, len(new), 4096):
             part = new[k : k + 4096]
             for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
