@@ -11,18 +11,19 @@ def components(pairs: DataFrame, nodes: DataFrame, key: str, value: str) -> Data
 
     `pairs` has the columns a, b (keys), `nodes` one row per key. Each round links every neighbour of a node to the
     smallest neighbour: first the larger neighbours, then the smaller ones, until the links are stars. The links of a
-    node are never gathered in one place: its smallest neighbour is an aggregate, joined back to the links. The number
-    of rounds grows with the logarithm of the longest chain; each round's links are a table in the shared folder.
+    node are never gathered in one place: its smallest neighbour is an aggregate, stored and joined back to the links, so
+    that Spark can split the links of a node that has very many. The number of rounds grows with the logarithm of the
+    longest chain; each round's links are a table in the shared folder.
     """
     spark = nodes.sparkSession
     edges = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     before = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+        low = stored(spark, both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b")
-        large = large.distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
+        large = stored(spark, large.distinct())
+        low = stored(spark, large.groupBy("a").agg(F.min("b").alias("low")))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b")
         small = small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         after = stored(spark, small.union(low.select("a", F.col("low").alias("b"))).distinct())
@@ -33,5 +34,6 @@ def components(pairs: DataFrame, nodes: DataFrame, key: str, value: str) -> Data
         before = sign
     head = nodes.join(edges.select(F.col("a").alias(key), F.col("b").alias("head")), key, "left")
     head = head.select(key, value, F.coalesce("head", key).alias("head"))
-    smallest = head.groupBy("head").agg(F.min(value).alias("component_id"))
+    head = stored(spark, head)
+    smallest = stored(spark, head.groupBy("head").agg(F.min(value).alias("component_id")))
     return head.join(smallest, "head").select(key, "component_id")

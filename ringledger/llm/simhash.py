@@ -199,7 +199,7 @@ def near_duplicates(
     prints = stored(spark, prints)
     smallest = prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     pairs = stored(spark, links(smallest.select("fp"), bits))
-    groups = components(pairs, smallest, "fp", "first_id")  # (fp, component_id)
+    groups = stored(spark, components(pairs, smallest, "fp", "first_id"))  # (fp, component_id)
     return prints.join(groups, "fp", "left").select(
         "doc_id",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
@@ -212,8 +212,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     (of different texts under one id the one with the smallest hash). Rows with a null id stay."""
     kept = near_duplicates(docs, id_col, text_col, **settings).where("doc_id = component_id")
     kept = kept.groupBy("doc_id").agg(F.count("*").alias("__copies")).withColumnRenamed("doc_id", "__kept")
-    rows = docs.join(kept, docs[id_col] == F.col("__kept"), "left")
-    once = rows.where("__copies = 1 or (__kept is null and " + f"`{id_col}` is null)")
-    repeated = rows.where("__copies > 1").withColumn("__order", F.xxhash64(F.col(text_col)))
-    repeated = repeated.dropDuplicates([id_col]).drop("__order")
-    return once.unionByName(repeated).drop("__kept", "__copies")
+    rows = docs.join(stored(docs.sparkSession, kept), docs[id_col] == F.col("__kept"))
+    once = rows.where("__copies = 1").select(docs.columns)
+    order = F.struct(F.xxhash64(text_col), F.xxhash64(*docs.columns))
+    repeated = rows.where("__copies > 1").groupBy("__kept").agg(F.min_by(F.struct(*docs.columns), order).alias("row"))
+    return once.unionByName(repeated.select("row.*")).unionByName(docs.where(F.col(id_col).isNull()))
