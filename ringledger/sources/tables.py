@@ -2,8 +2,9 @@
 
 import re
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
+from py4j.java_gateway import JavaObject, is_instance_of
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,11 +47,29 @@ def _verify_settings(spark: SparkSession) -> None:
         raise ValueError(f"questions need a session with {', '.join(wrong)}")
 
 
+def _expressions(spark: SparkSession, analysed: JavaObject) -> Iterator[JavaObject]:
+    """All expressions of all nodes of a plan, and of the subqueries in them; a plan's text leaves out those of wide nodes."""
+    gateway, package = spark.sparkContext._gateway, "org.apache.spark.sql.catalyst.expressions"
+    left = [analysed]
+    while left:
+        node = left.pop()
+        parts = [node.children()]
+        if not is_instance_of(gateway, node, f"{package}.Expression"):
+            parts.append(node.expressions())
+        else:
+            yield node
+            if is_instance_of(gateway, node, f"{package}.PlanExpression"):
+                left.append(node.plan())
+        left += [p.apply(i) for p in parts for i in range(p.length())]
+
+
 def _verify_plan(result: DataFrame, views: Iterable[str] | None) -> None:
     """Refuse what the analysed plan reads besides views, and calls of the machine."""
-    plan = result._jdf.queryExecution().analyzed().toString()
-    if found := [f for f in REFUSED if re.search(rf"\b{f}\(", plan)]:
-        raise PermissionError(f"not allowed in a question: {', '.join(found)}")
+    analysed = result._jdf.queryExecution().analyzed()
+    if found := {e.prettyName() for e in _expressions(result.sparkSession, analysed)} & set(REFUSED):
+        raise PermissionError(f"not allowed in a question: {', '.join(sorted(found))}")
+    # a node's text begins with the name of what it reads, and subqueries have lines of their own
+    plan = analysed.toString()
     if found := re.findall(r"(?:SubqueryAlias|Relation|RelationV2) (spark_catalog\.\S+)", plan):
         raise PermissionError(f"not a registered view: {', '.join(sorted(set(found)))}")
     used = set(re.findall(r"View \(`([^`]+)`", plan))

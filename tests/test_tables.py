@@ -56,6 +56,40 @@ def test_questions_are_confined_to_views(spark, text):
         spark.sql("DROP TABLE stored_elsewhere")
 
 
+WIDE = ", ".join(f"n + {i} AS c{i}" for i in range(40))
+CALL = "('java.lang.System', 'getProperty', 'user.name')"
+MANY = ", ".join(f"'{i}'" for i in range(40))
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        f"SELECT {WIDE}, reflect{CALL} AS x FROM people",
+        f"SELECT {WIDE}, try_reflect{CALL} AS x FROM people",
+        f"SELECT {WIDE}, (SELECT java_method{CALL} FROM people LIMIT 1) AS x FROM people",
+        f"SELECT concat({MANY}, reflect{CALL}) AS x FROM people",
+        f"WITH w AS (SELECT {WIDE}, reflect{CALL} AS x FROM people) SELECT c1 FROM w WHERE EXISTS (SELECT 1 FROM w WHERE x > '')",
+    ],
+)
+def test_calls_of_the_machine_are_refused_in_wide_questions(spark, text):
+    with pytest.raises(PermissionError, match="reflect|java_method"):
+        tables.select(spark, text)
+
+
+def test_catalog_tables_are_refused_in_wide_questions(spark):
+    spark.sql("CREATE TABLE IF NOT EXISTS stored_aside (a INT) USING parquet")
+    try:
+        with pytest.raises(PermissionError, match="stored_aside"):
+            tables.select(spark, f"SELECT {WIDE}, (SELECT max(a) FROM stored_aside) AS x FROM people")
+    finally:
+        spark.sql("DROP TABLE stored_aside")
+
+
+def test_wide_questions_and_names_of_calls_in_texts_are_answered(spark):
+    got = tables.select(spark, f"SELECT {WIDE}, 'reflect(x)' AS x FROM people WHERE n = 1").first()
+    assert got.c39 == 40 and got.x == "reflect(x)"
+
+
 def test_only_the_given_views(spark):
     spark.range(3).createOrReplaceTempView("others")
     assert tables.select(spark, "SELECT * FROM people", views=["people"]).count() == 2
