@@ -10,11 +10,11 @@ from ringledger.session import shared_folder
 from ringledger.sources import files
 from ringledger.values import CARD_ROW, LIST_CELL, LIST_DATE, LIST_LINK, LIST_PLACE, LIST_ROW
 
-_INDEX, _DIRECTORY = "http://site.test/events?page=all", "http://site.test/fighters?page="
+_INDEX, _DIRECTORY = "http://site.test/events?page=", "http://site.test/fighters?page="
 
 
 def _index(spark, d, upto):
-    """The event list as it is when the cards up to a number are there."""
+    """The event list as it is when the cards up to a number are there, in pages of fifty."""
     k = F.floor(F.col("c_custkey") / 20).alias("number")
     row = filled_in(
         f'<tr class="{LIST_ROW}"><td class="{LIST_CELL}"><a href="http://site.test/e{{k}}" class="{LIST_LINK}">Card {{k}}</a>'
@@ -23,8 +23,8 @@ def _index(spark, d, upto):
         date=F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), F.col("number").cast("int")), "MMMM d, yyyy"),
     )
     cards = table(spark, d, "customer").select(k).distinct().filter(F.col("number") <= upto)
-    page = pages_of(cards.select("number", row.alias("row")), 1 << 40, f'<tr class="{LIST_ROW}"><td></td></tr>')
-    return page.select(F.lit(0).alias("page_id"), F.lit(_INDEX).alias("url"), "html")
+    page = pages_of(cards.select("number", row.alias("row")), 50, f'<tr class="{LIST_ROW}"><td></td></tr>')
+    return page.select(F.col("page").alias("page_id"), F.concat(F.lit(_INDEX), "page").alias("url"), "html")
 
 
 def _pages(spark, d):
@@ -74,8 +74,9 @@ def weekly_load(spark, d):
     files.overwrite(signups.select(*log), folders.at("user_actions"))
     for run, upto in (("r1", F.floor(last.scalar() / 2)), ("r2", last.scalar())):
         pages = fetched.unionByName(_index(spark, d, upto)).select([F.col(f.name).cast(f.dataType) for f in PAGES.fields])
-        directory = F.col("url").startswith(_DIRECTORY)
-        weekly.run_weekly(weekly.Job(spark, folders, pages, run, F.col("url") == _INDEX, directory))
+        index, directory = F.col("url").startswith(_INDEX), F.col("url").startswith(_DIRECTORY)
+        number = F.substring_index("url", "=", -1).cast("bigint")
+        weekly.run_weekly(weekly.Job(spark, folders, pages, run, index, directory, number))
     audit = spark.read.parquet(folders.at("run_audit")).select("job", "new_rows", "last_key", "status")
     none = F.lit(None).cast("string")
     for name in WAREHOUSE:

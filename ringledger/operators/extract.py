@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ringledger.functions import html
 from ringledger.functions.decode import drop_marks, drop_one_mark
+from ringledger.operators.blocks import running_sum
 from ringledger.operators.report import result_from_flag
 from ringledger.schemas import STRIKES, TOTALS
 from ringledger.values import (
@@ -49,16 +50,33 @@ def numbered(
     return rows.filter(F.col("_at") >= skip).withColumn(number, place).drop("_n", "_at")
 
 
-def _index_rows(pages: DataFrame) -> DataFrame:
+def index_rows(pages: DataFrame, *keep: str) -> DataFrame:
+    """Rows of the event list with their `position` in the page, oldest first, and the columns to keep."""
     body = html.first(html.markup(F.col("html")), "tbody")
     rows = html.elements(body, "tr", LIST_ROW)
-    return numbered(pages.select("html"), rows, "row", "position", skip=1, oldest_first=True).drop("html")
+    return numbered(pages.select(*keep, "html"), rows, "row", "position", skip=1, oldest_first=True).drop("html")
+
+
+def over_pages(rows: DataFrame, page: str) -> DataFrame:
+    """Rows of the pages of one list with their `position` in the whole list; the page of the highest number is the newest.
+
+    What a page adds is the sum of one number per page. `rows` is read several times and should be a stored table.
+    """
+    sizes = rows.groupBy(page).agg(F.max("position").alias("_size"))
+    sums = running_sum(sizes.withColumn("_list", F.lit(0)), F.col("_size"), ["_list"], F.col(page), [page], "_upto")
+    before = sums.select(page, (F.col("_upto") - F.col("_size")).alias("_before"))
+    return rows.join(before, page).withColumn("position", (F.col("position") + F.col("_before")).cast("int")).drop("_before")
 
 
 def index_events(pages: DataFrame) -> DataFrame:
     """Event list, oldest first by `position`. `readable` is false where date or place is absent."""
+    return events_of_rows(index_rows(pages))
+
+
+def events_of_rows(rows: DataFrame) -> DataFrame:
+    """As `index_events`, from the rows of the list."""
     row = F.col("row")
-    parts = _index_rows(pages).select(
+    parts = rows.select(
         "position",
         html.first(row, "a", LIST_LINK).alias("_link"),
         html.first(row, "span", LIST_DATE).alias("_date"),
@@ -76,11 +94,14 @@ def index_events(pages: DataFrame) -> DataFrame:
 
 def index_links(pages: DataFrame) -> DataFrame:
     """(event_name, link, position) of the event list; rows without an anchor are left out."""
+    return links_of_rows(index_rows(pages))
+
+
+def links_of_rows(rows: DataFrame) -> DataFrame:
+    """As `index_links`, from the rows of the list."""
     anchor = html.first(F.col("row"), "a")
-    return (
-        _index_rows(pages)
-        .filter(anchor.isNotNull())
-        .select(html.text(anchor).alias("event_name"), html.attribute(anchor, "href").alias("link"), "position")
+    return rows.filter(anchor.isNotNull()).select(
+        html.text(anchor).alias("event_name"), html.attribute(anchor, "href").alias("link"), "position"
     )
 
 

@@ -59,7 +59,8 @@ class Folders:
 class Job:
     """One run: session, folders, fetched pages and the run id. Run ids must sort in run order.
 
-    `index` and `directory` pick the event list and the fighter directory among the pages.
+    `index` and `directory` pick the event list and the fighter directory among the pages. A list of several pages needs
+    `index_page`, a whole number from a page's address that is higher for the pages of newer events.
     """
 
     spark: SparkSession
@@ -68,6 +69,7 @@ class Job:
     run: str
     index: Column
     directory: Column
+    index_page: Column | None = None
 
     def __post_init__(self) -> None:
         self.pages = extract.spread(self.pages, "page_id")
@@ -145,11 +147,22 @@ def _newest_fetch(pages: DataFrame, keys: list[str], wanted: DataFrame | None =
 def load_events(job: Job) -> int:
     started = time.time()
     index = _newest_fetch(job.pages.filter(job.index), ["url"])
+    if job.index_page is None:
+        list_rows = extract.index_rows(index)
+    else:
+        numbered = index.withColumn("page", job.index_page.cast("bigint"))
+        in_page = job.stage(extract.index_rows(numbered, "page"), "list_pages")
+        list_rows = extract.over_pages(in_page, "page")
+    list_rows = job.stage(list_rows, "list_rows")
     # the later steps need the same list, by any link of a row
-    job.stage(extract.index_links(index), "links")
-    listed = job.stage(extract.index_events(index), "events")
+    job.stage(extract.links_of_rows(list_rows), "links")
+    listed = job.stage(extract.events_of_rows(list_rows), "events")
     place = F.concat_ws("#", F.lit("index"), "position").alias("key")
     unreadable = listed.filter(~F.col("readable")).select(place, F.lit("no date or place").alias("reason"))
+    if job.index_page is not None:
+        # of a list of one page, an empty one is an empty list
+        lost = numbered.join(in_page.select("page").distinct(), "page", "left_anti")
+        unreadable = unreadable.unionByName(lost.select(F.col("url").alias("key"), F.lit("no rows in list page").alias("reason")))
     job.reject(unreadable, "events")
     listed = listed.filter("readable")
     mark = job.last(job.earlier("events"), "event_name", "position").scalar()

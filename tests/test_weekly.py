@@ -185,3 +185,44 @@ def test_roll_up_of_round_rows_equals_the_fight_rows(spark):
     got = rows(records.roll_up(df, ["event", "fight_id", "fighter"], ["total_strikes"]))
     assert got == [("e", 1, "a", 6, 6, 1.0), ("e", 1, "b", 6, 9, 0.6667)]
     assert "total_strikes" in PAIR_STATS and stats("t", 1)
+
+
+def test_a_list_of_several_pages(spark, make):
+    def job(run, upto, size=2):
+        pages = pages_frame(spark, upto).filter(F.col("url") != site.INDEX)
+        cut = [(f"{site.INDEX}&part={k}", site.index_page(list(reversed(EVENTS[:upto][k * size : k * size + size])))) for k in range(2)]
+        # the page with the newest events has the highest number, whatever the order of the fetches
+        listed = spark.createDataFrame([(100 - k, u, h) for k, (u, h) in enumerate(cut) if EVENTS[:upto][k * size :]], PAGES)
+        out = make(run, pages.unionByName(listed))
+        out.index, out.index_page = F.col("url").startswith(site.INDEX), F.substring_index("url", "=", -1)
+        return out
+
+    def places(done):
+        return rows(done.up_to_now("events").select("run", "position", "event_name"))
+
+    first = job("r1", 3)
+    assert weekly.load_events(first) == 3
+    assert places(first) == [("r1", n, EVENTS[n - 1][0]) for n in (1, 2, 3)]
+    second = job("r2", 4)
+    assert weekly.load_events(second) == 1
+    assert places(second)[-1] == ("r2", 4, EVENTS[3][0])
+    assert rows(second.staged("links").select("position", "event_name")) == [(n + 1, e[0]) for n, e in enumerate(EVENTS)]
+
+
+def test_a_list_page_without_rows_is_rejected(spark, make):
+    bad = spark.createDataFrame([(100, f"{site.INDEX}&part=1", "<html>busy</html>"), (101, f"{site.INDEX}&part=0", site.index_page(EVENTS[:1]))], PAGES)
+    done = make("r1", pages_frame(spark, 1).filter(F.col("url") != site.INDEX).unionByName(bad))
+    done.index, done.index_page = F.col("url").startswith(site.INDEX), F.substring_index("url", "=", -1)
+    assert weekly.load_events(done) == 1
+    rejects = spark.read.parquet(f"{done.folders.at('rejects')}/job=events").select("key", "reason")
+    assert (f"{site.INDEX}&part=1", "no rows in list page") in rows(rejects)
+
+
+def test_the_list_of_the_check_is_in_pages_of_bounded_size(spark):
+    from ringledger.checks import load
+
+    folder = "/root/testdata/sf0.01"
+    listed = load._index(spark, folder, F.lit(1 << 40))
+    sizes = [r.n for r in listed.select((F.size(F.split("html", "<tr ")) - 2).alias("n")).collect()]
+    cards = spark.read.parquet(f"{folder}/customer.parquet").select(F.floor(F.col("c_custkey") / 20)).distinct().count()
+    assert sum(sizes) == cards and max(sizes) <= 50 < cards
