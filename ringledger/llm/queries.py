@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringledger.llm import ann, bpe, decontam, langid, line_dedup, quality, simhash, suffix_dedup, token_counts, toxicity
+from ringledger.llm import (
+    ann,
+    bpe,
+    decontam,
+    langid,
+    line_dedup,
+    quality,
+    repair,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 from ringledger.llm.common import held_out, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +97,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.reports(repair.damaged(table(spark, folder, "conversations")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -98,6 +114,7 @@ QUERIES: dict[str, Query] = {
         op8_bpe,
         op9_toxicity,
         op10_decontamination,
+        op13_repair,
     )
 }
 
@@ -114,6 +131,29 @@ _SHINGLES = """
           FROM {table})
 """
 
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of a text of characters below U+0800, bit by bit from the reversed polynomial."""
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    table_ = f"list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: {step}, i))"
+    code = "list_transform(string_split({0}, ''), lambda x: unicode(x))".format(text)
+    utf8 = f"flatten(list_transform({code}, lambda p: CASE WHEN p < 128 THEN [p] ELSE [192 + (p >> 6), 128 + (p & 63)] END))"
+    return f"""(SELECT xor(list_reduce({utf8}, lambda c, b: xor(t.crc[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295)
+        FROM (SELECT {table_} AS crc) t)"""
+
+
+def _add(state: str, cost: str, edits: str) -> str:
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'cost': {state}.cost + {cost}, 'audit': {state}.audit || '{edits}'}} END"
+
+
+def _least(*candidates: str) -> str:
+    return f"list_min(list_filter([{', '.join(candidates)}], lambda x: x IS NOT NULL))"
+
+
+def _when(test: str, value: str) -> str:
+    return f"CASE WHEN {test} THEN {value} END"
+
+
 ORACLES: dict[str, str] = {
     "op2_line_dedup": f"""
         WITH parts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents),
@@ -136,4 +176,70 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
         FROM shared JOIN sizes USING (item_id) WHERE n_shared * 5 >= n_shingles * 4
     """,
+    "op13_repair": f"""
+        WITH RECURSIVE damage AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+            FROM conversations),
+        dealt AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                   unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+            FROM damage WHERE kind <> 0),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+                   CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS r
+            FROM dealt),
+        judged AS (
+            SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+                           WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                           WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' ELSE '' END AS fault,
+                   lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r AS pair
+            FROM placed),
+        counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated, count(*) AS n,
+                   count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM judged GROUP BY conv_id),
+        steps AS (
+            SELECT conv_id, n, 0::BIGINT AS i, {{'cost': 0::BIGINT, 'audit': ''}} AS s0, NULL::STRUCT(cost BIGINT, audit VARCHAR) AS s1,
+                   NULL::STRUCT(cost BIGINT, audit VARCHAR) AS s2, NULL::STRUCT(cost BIGINT, audit VARCHAR) AS s3 FROM counted
+            UNION ALL
+            SELECT p.conv_id, p.n, p.i + 1, {_add("s0", "3", "D")},
+                   {_least(_add("s1", "3", "D"), _when("good AND r = 's'", _add("s0", "late", "K")))},
+                   {_least(_add("i2", "3", "D"), *[_when("good AND r = 'u'", _add(s, "late", "K")) for s in ("s0", "s1", "i3")],
+                           *[_when("good", _add(s, "2 + late", "R")) for s in ("s0", "s1", "i3")])},
+                   {_least(_add("i3", "3", "D"), _when("good AND r = 'a'", _add("i2", "late", "K")),
+                           _when("good", _add("i2", "2 + late", "R")))}
+            FROM (SELECT *, {_least("s3", _add("s2", "2", "I"), _add("s0", "4", "II"), _add("s1", "4", "II"))} AS i3,
+                         {_least("s2", _add("s0", "2", "I"), _add("s1", "2", "I"), _add("s3", "2", "I"))} AS i2 FROM steps) p
+            JOIN (SELECT conv_id, i, r, fault NOT IN ('blank', 'duplicate') AS good, (fault = 'truncated')::INT AS late
+                  FROM judged) j ON j.conv_id IS NOT DISTINCT FROM p.conv_id AND j.i = p.i + 1),
+        ends AS (
+            SELECT conv_id, unnest({_least("s0", "s3", _add("s2", "2", "I"), _add("s1", "4", "II"))})
+            FROM steps WHERE i = n),
+        letters AS (
+            SELECT conv_id, pos, edit, count(*) FILTER (edit <> 'I') OVER upto AS i, count(*) FILTER (edit <> 'D') OVER upto AS number
+            FROM (SELECT conv_id, unnest(string_split(audit, '')) AS edit, generate_subscripts(string_split(audit, ''), 1) AS pos
+                  FROM ends WHERE audit <> '')
+            WINDOW upto AS (PARTITION BY conv_id ORDER BY pos)),
+        lines AS (
+            SELECT l.conv_id, number, edit, j.role, j.text,
+                   coalesce(max(CASE WHEN number = 1 AND edit = 'K' AND j.r = 's' THEN 1 ELSE 0 END)
+                            OVER (PARTITION BY l.conv_id), 0) AS system
+            FROM letters l LEFT JOIN judged j ON l.conv_id IS NOT DISTINCT FROM j.conv_id AND l.i = j.i AND edit <> 'I'
+            WHERE edit <> 'D'),
+        repaired AS (
+            SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (number - system) % 2 = 1 THEN 'user'
+                     ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY number) AS text
+            FROM lines GROUP BY conv_id)
+        SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+               coalesce(audit, '') AS audit, sha256(coalesce(r.text, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
+    """,
 }
