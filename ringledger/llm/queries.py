@@ -12,6 +12,7 @@ from ringledger.llm import (
     decontam,
     langid,
     line_dedup,
+    mixing,
     quality,
     repair,
     simhash,
@@ -97,6 +98,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents")).drop("source")
+
+
 def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.reports(repair.damaged(table(spark, folder, "conversations")))
 
@@ -114,6 +119,7 @@ QUERIES: dict[str, Query] = {
         op8_bpe,
         op9_toxicity,
         op10_decontamination,
+        op11_mixing,
         op13_repair,
     )
 }
