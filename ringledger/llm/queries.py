@@ -16,6 +16,7 @@ from ringledger.llm import (
     quality,
     repair,
     simhash,
+    spelling,
     suffix_dedup,
     token_counts,
     toxicity,
@@ -102,6 +103,10 @@ def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("source")
 
 
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.words_of(table(spark, folder, "documents"), errors=True))
+
+
 def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.reports(repair.damaged(table(spark, folder, "conversations")))
 
@@ -120,6 +125,7 @@ QUERIES: dict[str, Query] = {
         op9_toxicity,
         op10_decontamination,
         op11_mixing,
+        op12_spelling,
         op13_repair,
     )
 }
@@ -182,6 +188,41 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
         FROM shared JOIN sizes USING (item_id) WHERE n_shared * 5 >= n_shingles * 4
     """,
+    "op12_spelling": f"""
+        WITH RECURSIVE said AS (
+            SELECT coalesce(doc_id::VARCHAR, '') AS id, run, count(*) AS n
+            FROM (SELECT doc_id, translate(unnest(regexp_extract_all(text, '{spelling.RUN}')), {_CASE}) AS run FROM documents)
+            GROUP BY doc_id, run),
+        hashed AS (SELECT run, n, {_crc32("id || ':' || run")} AS h FROM said),
+        words AS (
+            SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+            FROM hashed),
+        vocabulary AS (
+            SELECT word, sum(n)::BIGINT AS n FROM words WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+        cuts AS (
+            SELECT word, n, i, left(word, i - 1) AS head, substr(word, i + 1) AS tail
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)),
+        pairs AS (
+            SELECT DISTINCT c.word AS a, c.n AS a_n, v.word AS b, v.n AS b_n
+            FROM cuts c JOIN vocabulary v ON v.word = c.head || c.tail
+            UNION ALL
+            SELECT c.word, c.n, d.word, d.n FROM cuts c JOIN cuts d ON c.head = d.head AND c.tail = d.tail AND c.word < d.word),
+        near AS (SELECT a AS word, a_n AS n, b AS near, b_n AS near_n FROM pairs UNION ALL SELECT b, b_n, a, a_n FROM pairs),
+        best AS (
+            SELECT word, any_value(n) AS n, count(*) AS n_near, max(near_n) AS near_n,
+                   min({{'minus': -near_n, 'form': near}}).form AS form
+            FROM near GROUP BY word),
+        judged AS (
+            SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * v.n THEN form END AS form,
+                   CASE WHEN near_n >= 2 * v.n THEN near_n END AS form_n
+            FROM vocabulary v LEFT JOIN best USING (word)),
+        chain AS (
+            SELECT word, word AS root FROM judged
+            UNION ALL
+            SELECT c.word, j.form FROM chain c JOIN judged j ON j.word = c.root WHERE j.form IS NOT NULL),
+        ends AS (SELECT c.word, c.root FROM chain c JOIN judged j ON j.word = c.root WHERE j.form IS NULL)
+        SELECT word, n, n_near, form, form_n, root FROM judged JOIN ends USING (word)
+    """,
     "op13_repair": f"""
         WITH RECURSIVE damage AS (
             SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
