@@ -39,6 +39,34 @@ def html_index_rows(spark, d):
     return out.select("page_id", "position", html.text(F.col("row")).alias("name"))
 
 
+@check(
+    rf"""SELECT page_id, generate_subscripts(items, 1)::INT AS item, {_sql_text("unnest(items)")} AS text FROM
+    (SELECT page_id, regexp_extract_all({_BODY}, '{_LI}') AS items FROM pages)"""
+)
+def html_open_items(spark, d):
+    """The items of pages that lack the closing tags of all items and links."""
+    page = F.regexp_replace("html", r"</(?:li|a)\s*>", "")
+    items = numbered(_pages(spark, d).select("page_id", page.alias("html")), html.elements(F.col("html"), "li"), "li", "item")
+    return items.select("page_id", "item", html.text(F.col("li")).alias("text"))
+
+
+# where a paragraph ends that is not closed: at the next block, or at the end of what it stands in
+_BLOCK = "(?:p|h[1-6]|div|ul|ol|nav|article|header|footer|main|section|table|pre|blockquote|hr)"
+_P_END = rf"(?is)\A(.*?)(?:</?{_BLOCK}(?:\s[^>]*)?>|</(?:li|td|body|html)>|\z)"
+
+
+@check(
+    rf"""SELECT page_id, (pos - 1)::INT AS position, {_sql_text(f"regexp_extract(part, '{_P_END}', 1)")} AS text FROM
+    (SELECT page_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM
+      (SELECT page_id, string_split_regex({_BODY}, '(?i)<p(?:\s[^>]*)?>') AS parts FROM pages)) WHERE pos > 1"""
+)
+def html_open_paragraphs(spark, d):
+    """Paragraphs as HTML reads them, many without a closing tag in the pages."""
+    paragraphs = html.elements(F.col("html"), "p")
+    out = numbered(_pages(spark, d).select("page_id", "html"), paragraphs, "p", "position")
+    return out.select("page_id", "position", html.text(F.col("p")).alias("text"))
+
+
 @check(
     rf"""SELECT page_id, pos::INT AS position, {_sql_text("item")} AS name,
     regexp_extract(item, '(?is)<a\b[^>]*\shref="([^"]*)"', 1) AS link FROM
@@ -57,7 +85,7 @@ def html_link_pairs(spark, d):
     regexp_extract_all({_BODY}, '{_P}') AS cells, len(cells) AS n FROM pages) WHERE n >= 4"""
 )
 def html_row_filter_by_arity(spark, d):
-    cells = _pages(spark, d).select("page_id", html.elements(F.col("html"), "p").alias("cells"))
+    cells = _pages(spark, d).select("page_id", html.elements(F.col("html"), "p", implied=False).alias("cells"))
     kept = cells.filter(F.size("cells") >= 4)
     return kept.select("page_id", F.size("cells").alias("paragraphs"), html.text(F.col("cells")[0]).alias("opening"))
 
@@ -67,7 +95,7 @@ def html_row_filter_by_arity(spark, d):
     {_sql_text("b[4]")} AS fourth FROM (SELECT page_id, regexp_extract_all({_BODY}, '{_P}') AS b FROM pages)"""
 )
 def html_kth_section(spark, d):
-    b = _pages(spark, d).select("page_id", html.elements(F.col("html"), "p").alias("b"))
+    b = _pages(spark, d).select("page_id", html.elements(F.col("html"), "p", implied=False).alias("b"))
     names = ["first", "second", "third", "fourth"]
     return b.select("page_id", *[html.text(F.get("b", F.lit(k))).alias(n) for k, n in enumerate(names)])
 
@@ -102,7 +130,7 @@ def html_two_level_explode(spark, d):
     page = F.col("html")
     sections = F.array(
         *[
-            F.struct(F.lit(tag).alias("section"), html.elements(html.first(page, tag), item).alias("items"))
+            F.struct(F.lit(tag).alias("section"), html.elements(html.first(page, tag), item, implied=item != "p").alias("items"))
             for tag, item in (("nav", "li"), ("article", "p"))
         ]
     )
@@ -146,7 +174,7 @@ def html_rejects(spark, d):
         "page_id",
         "url",
         F.col("html").endswith("</html>").alias("closed"),
-        F.size(html.elements(html.markup(F.col("html")), "p")).alias("n"),
+        F.size(html.elements(html.markup(F.col("html")), "p", implied=False)).alias("n"),
     )
     reason = F.when(F.col("n") < 5, "too few paragraphs").when(~F.col("closed"), "no closing of the page")
     return b.select("page_id", "url", reason.alias("reason")).filter("reason IS NOT NULL")

@@ -203,6 +203,19 @@ def extract_fight_stats(spark, d):
     return left_join(totals, strikes, [*keys, "fighter"])
 
 
+@check(_STAT_SQL.format(totals=_values(TOTALS, 0, "m"), strikes=_values(STRIKES, 2, "m")))
+def extract_open_cells(spark, d):
+    """The same statistics from pages that lack the closing tags of all lines, cells and rows."""
+    pages = fight_pages(spark, d).withColumn("html", F.regexp_replace("html", "</(?:p|td|tr|th)>", ""))
+    path = shared_folder(spark)
+    files.overwrite(extract.fight_sections(pages).filter("readable").select("event", "fight_id", "totals", "strikes"), path)
+    good = spark.read.parquet(path)
+    keys = ["event", "fight_id"]
+    totals = extract.section_rows(good, "totals", TOTALS, keys, by_round=False)
+    strikes = extract.section_rows(good, "strikes", STRIKES, keys, by_round=False)
+    return left_join(totals, strikes, [*keys, "fighter"])
+
+
 @check(
     f"""SELECT c_custkey::VARCHAR AS event, 1 AS fight_id, 'Round ' || r AS round, corner || ' ' || c_custkey AS fighter,
     {_values(TOTALS, 0, "(sign || r)")}, {_values(STRIKES, 2, "(sign || r)")}

@@ -1,7 +1,9 @@
 """Markup fragments as array columns, all in built-in expressions so that no Python worker is needed.
 
-A fragment is the outer text of one element. Elements of one tag must not be nested in each other, which holds
-for the rows, cells and lines of the result pages.
+A fragment is the outer text of one element. Elements are found as HTML reads them: a cell, row, item or paragraph without
+its closing tag ends where the next one begins or its parent ends, and a table or list inside an element stays whole. One
+pattern reads an element from left to right, with a level for each depth of nesting, `DEPTH` of them; the running depth is the
+level that the pattern is in, so that a long page costs linear time and no Python worker.
 """
 
 from collections.abc import Callable
@@ -35,10 +37,47 @@ def _class_test(name: str) -> str:
     return rf"""(?={_BEFORE}\sclass\s*=\s*["'](?:[^"']*\s)?{name}(?:\s[^"']*)?["'])"""
 
 
-def _element(tag: str, cls: str | None) -> str:
-    """Pattern of an element up to the first closing tag of its name."""
+#: Levels of tables or lists, or of other elements of one name, inside each other; those further in are read as text.
+DEPTH = 6
+_LISTS = "ul|ol|menu"
+_BLOCKS = (
+    "address|article|aside|blockquote|center|details|dialog|dir|div|dl|fieldset|figcaption|figure|footer|form|h[1-6]|header|"
+    "hgroup|hr|main|menu|nav|ol|p|pre|search|section|summary|table|ul"
+)
+#: For an element whose closing tag may be missing: opening and closing tags that end it, and containers that hide such tags.
+_IMPLIED = {
+    "td": ("td|th|tr|thead|tbody|tfoot", "tr|thead|tbody|tfoot|table", "table"),
+    "tr": ("tr|thead|tbody|tfoot", "thead|tbody|tfoot|table", "table"),
+    "tbody": ("tbody|tfoot", "table", "table"),
+    "li": ("li", _LISTS, _LISTS),
+    "p": (f"{_BLOCKS}|li|td|th|tr", f"{_BLOCKS}|li|td|th|tr|tbody|body|html", None),
+    "a": ("a", "td|th|tr|li|p|div|body|html", None),
+}
+_IMPLIED["th"], _IMPLIED["thead"], _IMPLIED["tfoot"] = _IMPLIED["td"], _IMPLIED["tbody"], _IMPLIED["tbody"]
+
+
+def _any_of(names: str) -> str:
+    return rf"(?:{names})(?=[\s>/])"
+
+
+def _whole(names: str, depth: int = DEPTH) -> str:
+    """Pattern of an element of one of the names with all elements of these names inside it."""
+    inside = rf"<(?!/?{_any_of(names)})"
+    if depth > 1:
+        inside = rf"(?:{_whole(names, depth - 1)}|{inside})"
+    return rf"<{_any_of(names)}{_REST}>[^<]*+(?:{inside}[^<]*+)*+(?:</(?:{names})\s*>)?+"
+
+
+def _element(tag: str, cls: str | None, implied: bool = True) -> str:
+    """Pattern of an element; without `implied`, up to the first closing tag of its name."""
     opening = rf"<{tag}(?=[\s>/]){_class_test(cls) if cls else ''}{_REST}>"
-    return rf"(?i){opening}[^<]*+(?:<(?!/{tag}\s*>)[^<]*+)*+</{tag}\s*>"
+    if not implied:
+        return rf"(?i){opening}[^<]*+(?:<(?!/{tag}\s*>)[^<]*+)*+</{tag}\s*>"
+    opens, closes, holders = _IMPLIED.get(tag, (tag, tag, tag))
+    inside = rf"<(?!{_any_of(opens)}|/{_any_of(f'{tag}|{closes}')})"
+    if holders:
+        inside = rf"(?:{_whole(holders)}|{inside})"
+    return rf"(?i){opening}[^<]*+(?:{inside}[^<]*+)*+(?:</{tag}\s*>)?+"
 
 
 def markup(page: Column) -> Column:
@@ -46,9 +85,17 @@ def markup(page: Column) -> Column:
     return F.regexp_replace(page, r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)", "")
 
 
-def elements(fragment: Column, tag: str, cls: str | None = None) -> Column:
-    """All elements of a tag, in page order."""
-    return F.regexp_extract_all(fragment, F.lit(_element(tag, cls)), F.lit(0))
+def element_pattern(tag: str) -> str:
+    """Pattern of an element, for use inside larger ones that ignore case."""
+    return _element(tag, None).removeprefix("(?i)")
+
+
+def elements(fragment: Column, tag: str, cls: str | None = None, implied: bool = True) -> Column:
+    """All elements of a tag that are not inside another one found, in page order.
+
+    Without `implied` an element needs its closing tag and ends at the first one of its name.
+    """
+    return F.regexp_extract_all(fragment, F.lit(_element(tag, cls, implied)), F.lit(0))
 
 
 def first(fragment: Column, tag: str, cls: str | None = None) -> Column:
@@ -157,32 +204,26 @@ _CELL, _LINE, _LINE_END, _CELL_END = "\x02", "\x03", "\x04", "\x05"
 def stacked_cells(row: Column, cls: str) -> Column:
     """Cells (`td` of a class) of a row, each as the list of its lines (`p`), in the form of `tight_text`.
 
-    The tags become marks in a few passes over the whole row, so that a cell costs one more pattern and a line none. Rows
-    with character references, or with characters that are marks here, are read line by line.
+    The tags become marks in a few passes over the whole row, so that a cell costs one more pattern and a line none. A line or
+    cell without its closing tag ends at the next mark. Rows with character references, inner tables or other blocks, or with
+    characters that are marks here, are read line by line.
     """
     blank = f"[{BLANKS}]*+"
     cell = rf"(?i){blank}<td(?=[\s>/]){_class_test(cls)}{_REST}>{blank}"
-    ends = rf"(?i){blank}</p\s*>", rf"(?i){blank}</td\s*>"
+    # any other cell, and the end of the row, end a cell
+    ends = rf"(?i){blank}</p\s*>", rf"(?i){blank}<(?:/t[dr]\s*>|t[dh](?=[\s>/]){_REST}>)"
 
     def in_passes(x: Column) -> Column:
-        marked = F.regexp_replace(x, cell, _CELL)
+        marked = F.regexp_replace(trimmed(x), cell, _CELL)
         marked = F.regexp_replace(marked, rf"(?i){blank}<p(?=[\s>/]){_REST}>{blank}", _LINE)
         for pattern, mark in zip(ends, (_LINE_END, _CELL_END), strict=True):
             marked = F.regexp_replace(marked, pattern, mark)
         bare = F.regexp_replace(marked, rf"{blank}(?:{_TAG}{blank})+", "")
-        cells = F.regexp_extract_all(bare, F.lit(f"{_CELL}([^{_CELL_END}]*+){_CELL_END}"), F.lit(1))
-        # what is left of inner tags are marks
-        inner = _CELL + _LINE + _CELL_END
-        return F.transform(
-            cells,
-            lambda c: F.transform(
-                F.regexp_extract_all(c, F.lit(f"{_LINE}([^{_LINE_END}]*+){_LINE_END}"), F.lit(1)),
-                lambda line: F.translate(line, inner, ""),
-            ),
-        )
+        cells = F.regexp_extract_all(bare, F.lit(f"{_CELL}([^{_CELL}{_CELL_END}]*+)"), F.lit(1))
+        return F.transform(cells, lambda c: F.regexp_extract_all(c, F.lit(f"{_LINE}([^{_LINE}{_LINE_END}]*+)"), F.lit(1)))
 
     def line_by_line(x: Column) -> Column:
         return F.transform(elements(x, "td", cls), lambda c: F.transform(elements(c, "p"), tight_text))
 
-    odd = f"[&{_MARK}{_CELL}{_LINE}{_LINE_END}{_CELL_END}]"
+    odd = rf"(?i)[&{_MARK}{_CELL}{_LINE}{_LINE_END}{_CELL_END}]|<(?:{_BLOCKS.replace('|p|', '|')}|li)(?=[\s>/])"
     return _once(row, lambda x: F.when(x.rlike(odd), line_by_line(x)).otherwise(in_passes(x)))

@@ -28,12 +28,18 @@ from ringledger.values import (
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """A scan with fewer partitions than cores is spread over the cores; a larger one stays as it is.
+    """A scan of fewer bytes than one partition per core holds is spread over the cores; a larger one stays as it is.
 
     Extraction works long on few bytes, so a table of one file would keep most cores idle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    per_task = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    # the planner's estimate, which runs nothing
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df if size >= cores * per_task else df.repartition(cores, key)
 
 
 def numbered(
@@ -210,16 +216,15 @@ def _per_fighter(cells: Column, label: Column, at: tuple[int, int]) -> Column:
     return F.when(F.size(fighters) == 0, F.slice(rows, 1, 0)).when(complete, rows)
 
 
-# the word of a heading is written in this case only
-_HEADING = r"<th\b[^>]*>[^<]*(?-i:Round)[^<]*</th\s*>"
-_HEADED_ROW = rf"(?is){_HEADING}.*?</thead\s*>.*?<tr\b.*?</tr\s*>"
+# the word of a heading is written in this case only; its row is the next one, before any other heading
+_HEADING = r"<th\b[^>]*>[^<]*(?-i:Round)[^<]*"
+_HEADED_ROW = rf"(?is){_HEADING}(?:<(?!t[hr](?=[\s>/]))[^<]*+)*+{html.element_pattern('tr')}"
 
 
 def _headed(part: Column) -> Column:
     """Label and stacked cells of the row below a round heading."""
-    row = F.regexp_extract(part, r"(?is)</thead\s*>.*?(<tr\b.*?</tr\s*>)", 1)
     label = html.tight_text(F.regexp_extract(part, f"(?is){_HEADING}", 0))
-    return F.struct(label.alias("label"), html.stacked_cells(row, CARD_CELL).alias("cells"))
+    return F.struct(label.alias("label"), html.stacked_cells(html.first(part, "tr"), CARD_CELL).alias("cells"))
 
 
 def fight_sections(pages: DataFrame) -> DataFrame:
