@@ -166,17 +166,21 @@ def test_streamed_states_name_the_recipients(spark, make):
     assert rows(spark.read.parquet(job.folders.at("outbox")).select("user_id").distinct()) == [("1",)]
 
 
-def test_failing_step_is_audited(spark, make):
+def test_failing_step_is_audited(spark, make, monkeypatch):
     job = make("r1", pages_frame(spark, 1))
     with pytest.raises(ValueError, match="no run state"):
         job.last_run()
     weekly.load_events(job)
-    bad = make("r2", job.pages.drop("html"))
-    with pytest.raises(Exception):
-        weekly.run_weekly(bad)
-    failed = spark.read.parquet(job.folders.at("run_audit")).filter("status LIKE 'failed:%'")
-    failed = failed.collect()
-    assert [r.job for r in failed] == ["events"] and len(failed[0].status) > 500
+    message = " ".join(f"reason {n}" for n in range(250))
+
+    def broken(job):
+        raise RuntimeError(message)
+
+    monkeypatch.setitem(weekly.STEPS, "fighters", broken)
+    with pytest.raises(RuntimeError, match="reason 249"):
+        weekly.run_weekly(make("r2", pages_frame(spark, 1)))
+    failed = spark.read.parquet(job.folders.at("run_audit")).filter("status LIKE 'failed:%'").collect()
+    assert [(r.job, r.status) for r in failed] == [("fighters", f"failed: {message}")] and len(message) > 2_000
 
 
 def test_roll_up_of_round_rows_equals_the_fight_rows(spark):
