@@ -1,39 +1,86 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
 A rolling hash over the last bytes cuts a text into chunks at places that depend on the content alone, so passages that
-documents share give equal chunks. A worker encodes a chunk once and keeps the result. A chunk's first and last words may
-go on in its neighbours, so these joins are repaired: the pieces on both sides of a cut are encoded again together, up to
-the nearest white space on each side, where the encodings of both chunks agree exactly with that of the whole text. (This
-tokenizer's patterns never match across white space, its normaliser never composes across it, and its special tokens hold
-none.) Words inside a chunk are in turn looked up before they are encoded.
+documents share give equal chunks. A worker encodes a chunk once and keeps the result. What stands around a cut is encoded
+again, in a span that grows until its tokens agree exactly with those of the chunks on both sides.
+
+Agreement is looked for where white space begins behind a character that is none: the ids before and after such a place do not
+depend on each other as long as no pattern of the tokenizer goes on from such a character to white space. Where a tokenizer
+drops white space altogether (see `drops_blanks`), what is on both sides of it agrees by itself: the span is then the word
+around the cut, chunks are words with white space around, and a word is looked up before it is encoded.
 
 Chunks are reused by the worker that holds them, over all its tasks. Reuse over the whole cluster would shuffle every text
-and its ids (about four bytes a token) to save what the words' reuse already saves.
+and its ids (about four bytes a token) to save what the words' reuse already saves. What a worker keeps is bounded: when a
+table is full, the one before it is given up, and entries that are used again move on to the new one.
 """
 
+import json
 import re
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer, pre_tokenizers
 
-from ringledger.llm.common import bounded_batches
+from ringledger.llm.common import blocks_of_texts, bounded_batches
 
 CHUNK_CHARS = 512
 WINDOW = 16
-KEPT_CHUNKS = 20_000
-KEPT_WORDS = 400_000
+KEPT_CHUNKS = 10_000
+KEPT_WORDS = 250_000
+#: Longer words and chunks are encoded each time, so that what is kept is bounded in bytes too.
+KEPT_WORD_CHARS, KEPT_CHUNK_CHARS = 64, 8 * CHUNK_CHARS
+#: Characters on either side of a cut that are encoded again at first, and tokens that have to agree.
+REACH, AGREE = 48, 2
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _SPLIT = re.compile("[ \t\n\r]+")
 _LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
-_PROBES = ("word", "Words,", "École", "straße.", "ÑANDÚ", "über", "x", "to", "to.", "ÿþ", "onbleheti")
+_WORD_END = "</w>"
 #: Byte-level vocabularies write a byte that is no printable Latin-1 character as the next free character from 256 on.
 _PLAIN = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
 _BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 
+#: Settings under which white space is dropped: the normaliser turns it into a blank and composes nothing across it, and the
+#: patterns, of which only the matches are kept, match none. Fixed values of the tokenizer's file.
+_BLANK_FREE = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
+
+
+def drops_blanks(settings: dict) -> bool:
+    """Whether the tokenizer drops white space and ends each word with a token of its own, so that words can be encoded apart."""
+    model = settings["model"]
+    plain = all(settings.get(k) == v for k, v in _BLANK_FREE.items())
+    bytes_known = model.get("end_of_word_suffix") == _WORD_END and all(
+        chr(_BYTES.get(b, b)) + end in model["vocab"] for b in range(256) for end in ("", _WORD_END)
+    )
+    marks = all(not re.search(r"\s", t["content"]) and not t["lstrip"] and not t["rstrip"] for t in settings["added_tokens"])
+    return plain and bytes_known and marks and not model.get("dropout")
+
 
 def cuts(text: str, mean: int = CHUNK_CHARS) -> list[int]:
     """Places after which to cut: where the hash of the last `WINDOW` characters falls on 1 of `mean` values."""
@@ -48,104 +95,214 @@ def cuts(text: str, mean: int = CHUNK_CHARS) -> list[int]:
     return (np.flatnonzero(h % np.uint64(mean) == 0) + WINDOW).tolist()
 
 
+def _words(chunk: str) -> list[str]:
+    """The chunk cut at white space: its first piece, whole words, its last piece; the outer ones may be empty."""
+    if "\n" in chunk or "\t" in chunk or "\r" in chunk or "  " in chunk:
+        return _SPLIT.split(chunk)
+    return chunk.split(" ")
+
+
+class Kept(dict):
+    """A table of bounded size: a full one becomes the old one, whose entries come back when they are used."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def make_room(self) -> None:
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+
+    def holds(self, key: str) -> bool:
+        if key in self:
+            return True
+        if key in self.old:
+            self[key] = self.old[key]
+            return True
+        return False
+
+
+Encoded = tuple[bytes, str]
+
+
 class Codec:
-    """One tokenizer with what it has already encoded."""
+    """One tokenizer with what it has already encoded: ids as packed 32-bit numbers, beside the decoded text where tokens
+    decode one by one."""
 
     def __init__(self, path: str, mean: int = CHUNK_CHARS):
-        from tokenizers import Tokenizer
-
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.mean = mean
-        self.words: dict[str, list[int]] = {}
-        self.chunks: dict[str, tuple[str, list[int], str]] = {}
-        names = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.names = {i: s for s, i in names.items()}
+        self.chunks = Kept(KEPT_CHUNKS)
+        with open(path, encoding="utf-8") as f:
+            self.by_words = drops_blanks(json.load(f))
         # without a decoder the library joins tokens by spaces; otherwise it decodes itself
-        self.plain = self.tokenizer.decoder is None
-
-        # words of plain letters need no normaliser and no patterns; used if the tokenizer bears it out
-        self.letters = _LETTERS if all(self.of_letters(w) == self.of_library(w) for w in _PROBES) else None
-
-    def of_library(self, word: str) -> list[int]:
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
-
-    def of_letters(self, word: str) -> list[int] | None:
-        """Ids of a word of letters, and a stop or comma behind it; None if a part of it is no vocabulary entry."""
-        stem, stop = _LETTERS.fullmatch(word).groups()
-        ids = [t.id for t in self.tokenizer.model.tokenize(stem.lower().encode().decode("latin-1").translate(_BYTES))]
-        return ids + [t.id for t in self.tokenizer.model.tokenize(stop)] if stop else ids
-
-    def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > KEPT_WORDS:
-            self.words.clear()
-            new = list(words)
-        if self.letters:
-            for word in new:
-                if self.letters.fullmatch(word):
-                    self.words[word] = self.of_letters(word)
-            new = [w for w in new if w not in self.words]
-        for k in range(0, len(new), 4096):
-            part = new[k : k + 4096]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.words[word] = e.ids
-
-    def ids_of(self, words: list[str]) -> list[int]:
-        known, out = self.words, []
-        for w in words:
-            out += known[w]
-        return out
+        self.names = None
+        if self.tokenizer.decoder is None:
+            self.names = {i: s for s, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+        if self.by_words:
+            self.words: dict[str, Encoded] = Kept(KEPT_WORDS)
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+            self.ends[[i for s, i in vocabulary.items() if s.endswith(_WORD_END)]] = True
+            # the merge table alone, for words that need no normaliser and no patterns
+            self.merges = Tokenizer(self.tokenizer.model)
+            self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
 
     def parts(self, text: str) -> list[str]:
         edges = [0, *cuts(text, self.mean), len(text)]
         return [text[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        """The ids of each text, as the library gives them for the whole text."""
-        if len(self.chunks) > KEPT_CHUNKS:
-            self.chunks.clear()
+    def decode(self, ids: list[int]) -> str:
+        if self.names is not None:
+            return " ".join([self.names[i] for i in ids if i in self.names])
+        return self.tokenizer.decode(ids, skip_special_tokens=False)
+
+    def encode(self, texts: list[str | None]) -> list[Encoded]:
+        """Ids and decoded text of each text, as the library gives them for the whole text."""
+        self.chunks.make_room()
+        return self._from_words(texts) if self.by_words else [self._from_spans(t or "") for t in texts]
+
+    # -- words apart
+
+    def _packed(self, ids: list[int]) -> Encoded:
+        return np.array(ids, np.int32).tobytes(), self.decode(ids)
+
+    def _learn(self, words: set[str]) -> list[str]:
+        """Look up or encode the words; those that are too long to be kept are returned."""
+        self.words.make_room()
+        new = words.difference(self.words)
+        self.words.update([(w, self.words.old[w]) for w in new if w in self.words.old])
+        new = new.difference(self.words)
+        letters = [m for m in map(_LETTERS.fullmatch, new) if m]
+        # apart, since the bytes of ASCII letters are written as they are
+        for part in ([m for m in letters if m[1].isascii()], [m for m in letters if not m[1].isascii()]):
+            for k in range(0, len(part), 4096):
+                self._learn_letters(part[k : k + 4096])
+        other = list(new.difference(self.words))
+        for k in range(0, len(other), 4096):
+            part = other[k : k + 4096]
+            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.words[word] = self._packed(e.ids)
+        return [w for w in new if len(w) > KEPT_WORD_CHARS]
+
+    def _learn_letters(self, found: list[re.Match]) -> None:
+        """Words of letters, with or without a stop behind them, through the merge table in one call."""
+        stems = " ".join([m[1] for m in found]).lower()
+        if not stems.isascii():
+            stems = stems.encode().decode("latin-1").translate({**_BYTES, 32: 32})
+        encoded, marks = self.merges.encode_batch_fast([stems, ". ,"], add_special_tokens=False)
+        stops = {"": (b"", ""), **{c: (b, " " + t) for c, (b, t) in zip(".,", [self._packed([i]) for i in marks.ids], strict=True)}}
+        ids = np.array(encoded.ids, np.int32)
+        flat, names = ids.tobytes(), self.names or {}
+        texts = [names.get(i, "") for i in encoded.ids]
+        at = 0
+        for m, end in zip(found, (np.flatnonzero(self.ends[ids]) + 1).tolist(), strict=True):
+            packed, text = stops[m[2]]
+            self.words[m[0]] = flat[4 * at : 4 * end] + packed, " ".join(texts[at:end]) + text
+            at = end
+
+    def _joined(self, words: list[str]) -> Encoded:
+        if not words:
+            return b"", ""
+        ids, texts = zip(*map(self.words.__getitem__, words), strict=True)
+        return b"".join(ids), " ".join(filter(None, texts))
+
+    def _from_words(self, texts: list[str | None]) -> list[Encoded]:
         pieces = [self.parts(t) if t else [] for t in texts]
         # a chunk is its first piece, whole words, and its last piece; a chunk within one word has no last piece
-        split = {c: _SPLIT.split(c) for parts in pieces for c in parts if c not in self.chunks}
-        joins = [[] for _ in texts]
-        for parts, join in zip(pieces, joins, strict=True):
-            held = ""
+        split = {c: _words(c) for parts in pieces for c in parts if not self.chunks.holds(c)}
+        edges = {c: (w[0], w[-1] if len(w) > 1 else None) for c, w in split.items()}
+        joins = []
+        for parts in pieces:
+            held, join = [], []
             for c in parts:
-                if c in split:
-                    first, last, many = split[c][0], split[c][-1], len(split[c]) > 1
-                else:
-                    (first, _, last), many = self.chunks[c], self.chunks[c][2] is not None
-                if many:
-                    join.append(held + first)
-                    held = last
-                else:
-                    held += first
-            join.append(held)
-        self.learn({w for words in split.values() for w in words[1:-1]} | {w for join in joins for w in join})
-        fresh = {}
-        for c, words in split.items():
-            fresh[c] = (words[0], self.ids_of(words[1:-1]), words[-1] if len(words) > 1 else None)
+                first, last = edges[c] if c in edges else self.chunks[c][0]
+                held.append(first)
+                if last is not None:
+                    join.append("".join(held))
+                    held = [last]
+            joins.append([*join, "".join(held)])
+        long = self._learn(set().union(*[w[1:-1] for w in split.values()], *joins))
+        fresh = {c: (edges[c], self._joined(w[1:-1])) for c, w in split.items()}
         out = []
         for parts, join in zip(pieces, joins, strict=True):
-            ids: list[int] = []
-            place = iter(join)
+            place, found = iter(join), []
             for c in parts:
-                _, inner, last = fresh.get(c) or self.chunks[c]
+                (_, last), inner = fresh[c] if c in fresh else self.chunks[c]
                 if last is not None:
-                    ids += self.words[next(place)]
-                    ids += inner
-            ids += self.words[next(place)]
-            out.append(ids)
-        self.chunks.update(fresh)
+                    found += (self.words[next(place)], inner)
+            found.append(self.words[next(place)])
+            out.append((b"".join([f[0] for f in found]), " ".join([f[1] for f in found if f[1]])))
+        self.chunks.update([(c, e) for c, e in fresh.items() if len(c) <= KEPT_CHUNK_CHARS])
+        for word in long:
+            del self.words[word]
+        if self.names is None:
+            out = [(ids, self.decode(np.frombuffer(ids, np.int32).tolist())) for ids, _ in out]
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        if self.plain:
-            names = self.names
-            return " ".join([names[i] for i in ids if i in names])
-        return self.tokenizer.decode(ids, skip_special_tokens=False)
+    # -- spans around cuts
+
+    def _tokens(self, text: str) -> tuple[list[int], list[int]]:
+        """Ids and the places where they begin."""
+        e = self.tokenizer.encode(text, add_special_tokens=False)
+        return e.ids, [a for a, _ in e.offsets]
+
+    def _from_spans(self, text: str) -> Encoded:
+        ids, starts, cut = [], [], 0
+        for chunk in self.parts(text):
+            if self.chunks.holds(chunk):
+                own, own_starts = self.chunks[chunk]
+            else:
+                own, own_starts = self._tokens(chunk)
+                if len(chunk) <= KEPT_CHUNK_CHARS:
+                    self.chunks[chunk] = own, own_starts
+            own_starts = [cut + s for s in own_starts]
+            if cut:
+                ids, starts = self._repaired(text, cut, (ids, starts), (own, own_starts), cut + len(chunk))
+            else:
+                ids, starts = list(own), own_starts
+            cut += len(chunk)
+        return self._packed(ids)
+
+    def _repaired(self, text, cut, left, right, end):
+        """The tokens up to `end` of what is left of a cut, and of the chunk right of it."""
+        reach = REACH
+        while True:
+            a, b = max(0, cut - reach), min(end, cut + reach)
+            while a and not (text[a].isspace() and not text[a - 1].isspace()):
+                a -= 1
+            ids, starts = self._tokens(text[a:b])
+            span = ids, [a + s for s in starts]
+            first = _place(left[1], a)
+            begins = not a or _agree((left[0], left[1]), first, span, 0, cut)
+            whole = b == end
+            for k, s in enumerate(span[1]):
+                j = _place(right[1], s) if s > cut and text[s].isspace() and not text[s - 1].isspace() else None
+                if begins and first is not None and j is not None and _agree(span, k, right, j, b):
+                    return [*left[0][:first], *span[0][:k], *right[0][j:]], [*left[1][:first], *span[1][:k], *right[1][j:]]
+            if whole and begins and first is not None:
+                return [*left[0][:first], *span[0]], [*left[1][:first], *span[1]]
+            reach *= 2
+
+
+def _place(starts: list[int], at: int) -> int | None:
+    """Number of the first token that begins at `at`."""
+    k = int(np.searchsorted(starts, at))
+    return k if k < len(starts) and starts[k] == at else (0 if at == 0 else None)
+
+
+def _agree(one: tuple[list[int], list[int]], i: int | None, other: tuple[list[int], list[int]], j: int, before: int) -> bool:
+    """Whether the next tokens are the same in both, and all begin before a place (a span may cut off the last)."""
+    if i is None:
+        return False
+    here, there = slice(i, i + AGREE + 1), slice(j, j + AGREE + 1)
+    if len(one[0][here]) <= AGREE or len(other[0][there]) <= AGREE:
+        return False
+    same = one[0][here][:AGREE] == other[0][there][:AGREE] and one[1][here] == other[1][there]
+    return same and one[1][i + AGREE] < before
 
 
 @cache
@@ -156,23 +313,19 @@ def codec(path: str) -> Codec:
 
 def tokens(path: str) -> Column:
     """A function of a text column: struct of `ids` and the text `decoded` from these ids."""
-    import pyarrow as pa
-
     @F.arrow_udf("struct<ids:array<int>,decoded:string>")
     def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        from ringledger.llm.common import blocks_of_texts
-
         own = codec(path)
         for batch in batches:
             texts, ids, sizes, decoded = batch.to_pylist(), [], [], []
             for a, b in blocks_of_texts(texts, 1 << 20):
-                for x in own.encode(texts[a:b]):
-                    sizes.append(len(x))
-                    decoded.append(own.decode(x))
-                    ids.append(np.array(x, np.int32))
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+                for packed, text in own.encode(texts[a:b]):
+                    sizes.append(len(packed) // 4)
+                    decoded.append(text)
+                    ids.append(packed)
+            flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
             offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            lists = pa.ListArray.from_arrays(pa.array(offsets), flat)
             yield pa.StructArray.from_arrays([lists, pa.array(decoded, pa.string())], ["ids", "decoded"])
 
     return coded

@@ -1,3 +1,4 @@
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -26,8 +27,10 @@ def library():
 
 
 def check(got, library, texts):
-    for ids, text in zip(got, texts, strict=True):
-        assert ids == library.encode(text or "", add_special_tokens=False).ids, text[:80]
+    for (packed, decoded), text in zip(got, texts, strict=True):
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        assert np.frombuffer(packed, np.int32).tolist() == ids, text[:80]
+        assert decoded == library.decode(ids, skip_special_tokens=False)
 
 
 @pytest.mark.parametrize("mean", [1, 3, 40, 512])
@@ -53,6 +56,23 @@ def test_forgetting(library, monkeypatch):
         check(codec.encode(TEXTS), library, TEXTS)
 
 
+@pytest.mark.parametrize("mean", [5, 40, 512])
+def test_spans_agree_where_white_space_counts(spark, mean):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    other, codec = Tokenizer.from_file(path), bpe.Codec(path, mean)
+    assert not codec.by_words and bpe.Codec(PATH).by_words
+    texts = [*TEXTS, " ".join(t or "" for t in TEXTS), "  two  blanks " * 90, "\n\n \t a1b22 " * 60, "no" * 2_000 + " end"]
+    texts += [t for _, t in plain.texts(spark)][:60]
+    for _ in range(2):
+        check(codec.encode(texts), other, texts)
+
+
+def test_words_through_spans_are_the_same(library):
+    codec = bpe.Codec(PATH, 30)
+    codec.by_words = False
+    check(codec.encode(TEXTS), library, TEXTS)
+
+
 def test_query_against_the_library(spark, library):
     rows = [*plain.texts(spark), *plain.ODD, *[(900 + i, t) for i, t in enumerate(TEXTS)]]
     got = queries.encoded_digests(bpe.encode_documents(plain.documents(spark, rows), PATH))
