@@ -10,8 +10,10 @@ The splits are fitted on `SAMPLE` vectors, chosen by the hash of the id; every v
 Equal vectors are one vector with its ids from the start, so a vector that a third of all rows share is scored once; of its
 ids, only as many as can be in a result are kept, the smallest. A leaf of many vectors or queries is dealt out in blocks.
 
-`SHARE` is set for a recall of 0.9 and more on vectors without any structure, the worst case, where near and far differ
-little; clustered vectors need less.
+How many of the vectors the leaves of a query have to hold is measured on the sample: the share at which `RECALL` of the true
+neighbours of sampled queries have been met. Clustered vectors take a small share; vectors without any structure, where near
+and far differ little, more than half. Of a larger table the nearest are nearer than those of its sample, so that recall
+over all vectors is rather higher.
 """
 
 import heapq
@@ -27,8 +29,9 @@ from ringledger.llm.common import bounded_batches, first_by_hash, stored
 NEIGHBOURS = 20
 SAMPLE = 8_192
 TREES = 12
-LEAF_SAMPLE = 128
-SHARE = 0.8
+LEAF_SAMPLE = 64
+#: Share of the sampled neighbours that the search has to find, and how many sampled queries tell what it takes.
+RECALL, TUNING = 0.92, 256
 BLOCK_VECTORS = 8_192
 BLOCK_QUERIES = 2_048
 
@@ -59,13 +62,13 @@ class Tree:
 
 
 class Forest:
-    def __init__(self, sample: np.ndarray, longest: float, trees: int, leaf_sample: int, share: float, seed: int = 7):
+    def __init__(self, sample: np.ndarray, longest: float, trees: int, leaf_sample: int, share: float | None, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.longest = longest
+        self._bits = -(-len(sample) // 8) * 8
         depth = max(0, int(np.log2(max(1, len(sample) / leaf_sample))))
         points = self.lifted(sample)
         self.trees = [Tree(points, depth, rng) for _ in range(trees)]
-        self.wanted = share * len(sample)
         #: which sampled vectors each leaf holds, as a number whose bits they are
         self.held = [[0] * (1 << depth) for _ in self.trees]
         for tree, held in zip(self.trees, self.held, strict=True):
@@ -73,6 +76,33 @@ class Forest:
                 bits = np.zeros(len(sample), np.uint8)
                 bits[tree.sampled == leaf] = 1
                 held[leaf] = int.from_bytes(np.packbits(bits).tobytes(), "big")
+        self.wanted = len(sample) if share is None else share * len(sample)
+        if share is None:
+            self.wanted = self._tuned(sample)
+
+    def _tuned(self, sample: np.ndarray, neighbours: int = NEIGHBOURS) -> float:
+        """How many sampled vectors the leaves of a query hold when `RECALL` of all true neighbours have been met."""
+        asked = sample[:TUNING]
+        needed: list[int] = []
+        for i, (scores, probes) in enumerate(zip(asked @ sample.T, self.probes(asked), strict=True)):
+            scores[i] = -np.inf
+            near = np.argsort(-scores)[: min(neighbours, len(sample) - 1)]
+            missing, seen = {int(j): 1 << (self._bits - 1 - int(j)) for j in near}, 0
+            for t, leaf in probes:
+                seen |= self.held[t][leaf]
+                met = [j for j, bit in missing.items() if seen & bit]
+                if met:
+                    needed += [seen.bit_count()] * len(met)
+                    for j in met:
+                        del missing[j]
+                    if not missing:
+                        break
+        return float(np.quantile(needed, RECALL)) if needed else float(len(sample))
+
+    def scored(self, queries: np.ndarray) -> np.ndarray:
+        """How many sampled vectors are scored for each query, a vector in several leaves as often."""
+        sizes = [np.bincount(t.sampled, minlength=len(h)) for t, h in zip(self.trees, self.held, strict=True)]
+        return np.array([sum(int(sizes[t][leaf]) for t, leaf in p) for p in self.probes(queries)])
 
     def lifted(self, vectors: np.ndarray) -> np.ndarray:
         """With the component that brings every vector to the length of the longest."""
@@ -134,7 +164,7 @@ def nearest(
     trees: int = TREES,
     sample: int = SAMPLE,
     leaf_sample: int = LEAF_SAMPLE,
-    share: float = SHARE,
+    share: float | None = None,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each id divisible by `every` its `neighbours` nearest found by inner product,
     itself left out, nearest first and ties to the smaller id; all others, if there are fewer.

@@ -31,6 +31,28 @@ def test_recall(spark, folder):
     assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
 
 
+def clusters(n, size=64, seed=1):
+    rng = np.random.default_rng(seed)
+    return rng.normal(size=(60, size))[rng.integers(0, 60, n)] * 3 + rng.normal(size=(n, size))
+
+
+@pytest.mark.parametrize("kind", ["clusters", "no structure"])
+def test_fewer_scores_than_an_exhaustive_search(spark, kind):
+    """Recall, and scored candidates a query against all vectors, on vectors with and without structure."""
+    n, rng = 8_192, np.random.default_rng(4)
+    x = clusters(n) if kind == "clusters" else rng.normal(size=(n, 64))
+    forest = ann.Forest(x, float(np.sqrt((x**2).sum(axis=1).max())), ann.TREES, ann.LEAF_SAMPLE, None)
+    asked = x[500:620]
+    scored, probes, hits = forest.scored(asked).mean() / n, forest.probes(asked), []
+    for i, p in enumerate(probes):
+        met = np.zeros(n, bool)
+        for t, leaf in p:
+            met |= forest.trees[t].sampled == leaf
+        hits.append(met[np.argsort(-(x @ asked[i]))[1:21]].mean())
+    print(f"{kind}: recall {np.mean(hits):.3f}, candidates a query {scored:.2f} x vectors")
+    assert np.mean(hits) >= 0.9 and scored < (0.4 if kind == "clusters" else 1.0)
+
+
 def test_all_leaves_give_the_exact_answer(spark, monkeypatch):
     """With a share of 1 every leaf is looked into; equal vectors, ties and blocks of hot leaves are exact."""
     monkeypatch.setattr(ann, "BLOCK_VECTORS", 16)
