@@ -55,6 +55,28 @@ def first_by_hash(ids: DataFrame, bound: int) -> DataFrame:
     return ids.orderBy(F.xxhash64("id"), "id").limit(bound)
 
 
+def one_of_each_id(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row for each value of the keys, that with the smallest hash of `text`; reduced in each task before the shuffle."""
+    return rows.groupBy(*keys).agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where a column of `df` has one of them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns in one struct, whatever their names."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns])
+
+
 def stored(spark: SparkSession, df: DataFrame) -> DataFrame:
     """The rows, written to the shared folder and read again: cuts the lineage and survives lost executors."""
     path = shared_folder(spark)

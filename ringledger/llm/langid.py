@@ -10,7 +10,6 @@ several draws by least distance. Classifiers are fitted in numpy on at most `SAM
 hash of the id; scoring streams over all documents.
 """
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,14 +17,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ringledger.llm.common import Adam, bounded_batches, logistic, sigmoid
+from ringledger.llm.common import Adam, bounded_batches, logistic, one_of_each_id, sigmoid
 
 SAMPLE = 250
 DIMENSIONS = 1 << 13
 STEPS = 150
 MARGIN = 0.1
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 #: ASCII without letters becomes a blank, so that runs of marks and digits say nothing.
 _TABLE = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -83,7 +81,7 @@ class Languages:
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         out = []
         for text in texts:
-            if not text or not _LETTER.search(text):
+            if not text or not any(map(str.isalpha, text)):
                 out.append((UNKNOWN, 0.0, True))
             elif len(self.names) == 1:
                 out.append((self.names[0], 1.0, False))
@@ -122,7 +120,7 @@ def fit_languages(
             yield pd.Series([features(t).astype(np.float16).tobytes() for t in texts], dtype=object)
 
     chosen = F.broadcast(chosen.select("id", "lang").distinct())  # `sample` rows a language
-    got = rows.join(chosen, ["id", "lang"]).select("id", "lang", measured("text").alias("x")).toPandas()
+    got = one_of_each_id(rows.join(chosen, ["id", "lang"]), "id", "lang").select("id", "lang", measured("text").alias("x")).toPandas()
     if got.empty:
         return None
     got = got.sort_values(["lang", "id", "x"])

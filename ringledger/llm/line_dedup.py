@@ -6,7 +6,7 @@ Explode normalised lines, hash them, find the keys of more than one document, an
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringledger.llm.common import BLANKS, stored
+from ringledger.llm.common import BLANKS, stored, unused
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -74,28 +74,27 @@ def dedup_lines(
     Only hashes and line numbers are aggregated; the texts move once, by id. A key that a third of all lines holds is
     reduced before the shuffle to one row a task, and Spark splits its part of the join.
     """
+    of, version, dropped, parts, stay = unused(docs, "__id", "__version", "__dropped", "__lines", "__kept")
     gone = dropped_positions(docs, id_col, text_col, min_chars, threshold).select(
-        F.col("id").alias("__id"), F.col("version").alias("__version"), F.col("dropped").alias("__dropped")
+        F.col("id").alias(of), F.col("version").alias(version), F.col("dropped").alias(dropped)
     )
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.withColumn(text_col, text)
-    joined = rows.join(
-        gone, (rows[id_col] == gone["__id"]) & (F.xxhash64(rows[text_col]) == gone["__version"]), "left"
-    )
+    joined = rows.join(gone, (rows[id_col] == gone[of]) & (F.xxhash64(rows[text_col]) == gone[version]), "left")
     lines = F.split(F.col(text_col), "\n")
-    size = F.size("__lines")
+    size = F.size(parts)
     # array_except keeps the order and hashes the dropped numbers, so a text of very many lines stays linear
-    kept = F.array_except(F.sequence(F.lit(0), size - 1), F.coalesce(F.col("__dropped"), F.array().cast("array<int>")))
+    kept = F.array_except(F.sequence(F.lit(0), size - 1), F.coalesce(F.col(dropped), F.array().cast("array<int>")))
     return (
-        joined.withColumn("__lines", lines)
-        .withColumn("__kept", kept)
+        joined.withColumn(parts, lines)
+        .withColumn(stay, kept)
         .withColumn("n_lines", size.cast("long"))
-        .withColumn("n_dropped", (size - F.size("__kept")).cast("long"))
+        .withColumn("n_dropped", (size - F.size(stay)).cast("long"))
         .withColumn(
             text_col,
-            F.when(F.col("__dropped").isNull(), F.col(text_col)).otherwise(
-                F.array_join(F.transform("__kept", lambda i: F.col("__lines")[i]), "\n")
+            F.when(F.col(dropped).isNull(), F.col(text_col)).otherwise(
+                F.array_join(F.transform(stay, lambda i: F.col(parts)[i]), "\n")
             ),
         )
-        .drop("__id", "__version", "__dropped", "__lines", "__kept")
+        .drop(of, version, dropped, parts, stay)
     )

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringledger.llm.common import Adam, agreed_labels, blocks_of_texts, bounded_batches, first_by_hash, logistic, sigmoid
+from ringledger.llm.common import Adam, agreed_labels, blocks_of_texts, bounded_batches, first_by_hash, logistic, one_of_each_id, sigmoid
 
 SAMPLE = 1_200
 THRESHOLD = 0.3
@@ -195,6 +195,8 @@ def fit_quality(
             )
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    # a document counts once, and no more than the sample's rows reach the driver, however often an id is there
+    rows = one_of_each_id(rows, "id", "label")
     got = rows.select("id", "label", lines_of("text").alias("x")).select("id", "label", "x.*").toPandas()
     got = got.sort_values(["id", "sizes"], ignore_index=True)
     if got["label"].nunique() < 2:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringledger.llm.common import blocks_of_texts, bounded_batches, stored
+from ringledger.llm.common import blocks_of_texts, bounded_batches, stored, unused, whole_row
 from ringledger.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -210,10 +210,13 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """The rows of `docs`, with all their columns, that stay: the smallest id of each group, once if its row is repeated
     (of different texts under one id the one with the smallest hash). Rows with a null id stay."""
-    kept = near_duplicates(docs, id_col, text_col, **settings).where("doc_id = component_id")
-    kept = kept.groupBy("doc_id").agg(F.count("*").alias("__copies")).withColumnRenamed("doc_id", "__kept")
-    rows = docs.join(stored(docs.sparkSession, kept), docs[id_col] == F.col("__kept"))
-    once = rows.where("__copies = 1").select(docs.columns)
-    order = F.struct(F.xxhash64(text_col), F.xxhash64(*docs.columns))
-    repeated = rows.where("__copies > 1").groupBy("__kept").agg(F.min_by(F.struct(*docs.columns), order).alias("row"))
-    return once.unionByName(repeated.select("row.*")).unionByName(docs.where(F.col(id_col).isNull()))
+    gone, copies = unused(docs, "__gone", "__copies")
+    found = near_duplicates(docs, id_col, text_col, **settings).where("doc_id is not null").groupBy("doc_id")
+    # what goes, and what stays once, is less than what stays: a join with it can leave the texts where they are
+    of = found.agg(F.min("component_id").alias("head"), F.count("*").alias(copies)).withColumnRenamed("doc_id", gone)
+    of = stored(docs.sparkSession, of.where(f"{gone} <> head or {copies} > 1"))
+    once = docs.join(of.select(gone), docs[id_col] == F.col(gone), "left_anti")
+    many = docs.join(of.where(f"{gone} = head").select(gone), docs[id_col] == F.col(gone), "left_semi")
+    order = F.struct(F.xxhash64(text_col), F.xxhash64(F.to_json(whole_row(docs))))
+    one = many.groupBy(many[id_col].alias(gone)).agg(F.min_by(whole_row(docs), order).alias(copies))
+    return once.unionByName(one.select(f"{copies}.*"))

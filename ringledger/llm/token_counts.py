@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from ringledger.llm.common import bounded_batches
 
 WORD_START = "▁"
-KEPT_WORDS = 400_000
+#: What a worker keeps of words met before; longer ones are counted each time.
+KEPT_WORDS, KEPT_WORD_CHARS = 400_000, 64
 
 
 class Automaton:
@@ -87,7 +88,9 @@ class Counts:
         for word, times in words.items():
             n = known.get(word)
             if n is None:
-                n = known[word] = self.automaton.count(WORD_START + word)
+                n = self.automaton.count(WORD_START + word)
+                if len(word) <= KEPT_WORD_CHARS:
+                    known[word] = n
             if n < 0:
                 unknown += times
                 n = 1

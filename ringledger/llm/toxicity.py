@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringledger.llm.common import Adam, agreed_labels, bounded_batches, first_by_hash, logistic, sigmoid
+from ringledger.llm.common import Adam, agreed_labels, bounded_batches, first_by_hash, logistic, one_of_each_id, sigmoid
 
 POSITIVES = 2_000
 UNLABELLED = 4_000
@@ -31,7 +31,8 @@ L2 = 1e-4
 PREFIXES = (4, 5, 6)
 SKETCH = 6
 _ORDERS = (1, 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
-KEPT_WORDS = 300_000
+#: What a worker keeps of words met before; longer ones are looked at each time.
+KEPT_WORDS, KEPT_WORD_CHARS = 300_000, 64
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -73,9 +74,11 @@ class Model:
             for word in words_of(text):
                 active = known.get(word)
                 if active is None:
+                    active = tuple(f for f in word_features(word) if f in weights or twice(f) in weights)
                     if len(known) > KEPT_WORDS:
                         known.clear()
-                    active = known[word] = tuple(f for f in word_features(word) if f in weights or twice(f) in weights)
+                    if len(word) <= KEPT_WORD_CHARS:
+                        known[word] = active
                 for f in active:
                     found[f] = found.get(f, 0) + 1
             for f in sorted(found):
@@ -184,6 +187,7 @@ def fit_toxicity(
             yield pd.Series([np.array(document_features(t), np.uint32).tobytes() for t in texts], dtype=object)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    rows = one_of_each_id(rows, "id", "label")  # no more than the sample's rows reach the driver
     got = rows.select("id", "label", features("text").alias("x")).toPandas().sort_values(["id", "x"])
     split = {k: [np.frombuffer(x, np.uint32) for x in got.loc[got["label"] == k, "x"]] for k in (0, 1)}
     if not split[1]:

@@ -31,7 +31,8 @@ def documents(spark, rows=None):
     """Documents with further columns whose names clash with what operators use inside."""
     df = spark.createDataFrame(ODD if rows is None else rows, "doc_id long, text string")
     clash = ["id", "version", "label", "fp", "n", "pos", "key", "hit", "rep", "score", "item_id", "gram", "__id", "n_lines"]
-    return df.select("*", *[F.lit("clash").alias(c) for c in clash])
+    clash += ["__version", "__dropped", "__lines", "__kept", "__KEPT_", "__copies", "__gone", "head", "row", "a.b"]
+    return df.select("*", *[F.lit("clash").alias(c) for c in clash], F.create_map(F.lit("k"), F.lit("clash")).alias("map"))
 
 
 def table(spark, name, folder=SMALL):
