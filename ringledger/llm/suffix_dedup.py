@@ -28,6 +28,7 @@ from ringledger.llm.common import bounded_batches, stored
 LENGTH = 200
 ANCHOR = 48
 GROUP = 50_000
+REMEMBERED = 50_000
 PIECE = 1 << 19
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -247,9 +248,17 @@ def _contexts(texts: DataFrame, wanted: DataFrame, length: int, gram: int) -> Da
     reach = length - gram
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
         for batch in batches:
             rows: list[tuple] = []
-            for text, listed in zip(batch["text"], batch["anchors"], strict=True):
+            for text, listed, of, version in zip(*(batch[c] for c in ("text", "anchors", "id", "version")), strict=True):
+                # rows with one id and text have the same contexts: a task brings them once, as long as it remembers
+                key = of.as_py(), version.as_py()
+                if key in seen:
+                    continue
+                if len(seen) == REMEMBERED:
+                    seen.clear()
+                seen.add(key)
                 text = text.as_py()
                 for a in listed.as_py():
                     p = a["pos"]
@@ -268,7 +277,7 @@ def _contexts(texts: DataFrame, wanted: DataFrame, length: int, gram: int) -> Da
         cells = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
         return pa.RecordBatch.from_arrays(cells, names=["gram", "context", "alone", "left", "right"])
 
-    joined = texts.join(wanted, _same(texts, wanted)).select("text", "anchors")
+    joined = texts.join(wanted, _same(texts, wanted)).select(texts["id"], texts["version"], "text", "anchors")
     return joined.mapInArrow(cut, "gram long, context long, alone boolean, left binary, right binary")
 
 

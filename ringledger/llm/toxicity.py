@@ -25,7 +25,8 @@ POSITIVES = 2_000
 UNLABELLED = 4_000
 THRESHOLD = 0.3
 STEPS = 500
-MIN_DOCUMENTS, MIN_SHARE = 3, 0.03
+#: A telling feature is in so many positives, whatever their number, and so many deviations commoner among them.
+MIN_DOCUMENTS = 3
 APART, PURITY = 5.0, 0.3
 L2 = 1e-4
 PREFIXES = (4, 5, 6)
@@ -94,7 +95,7 @@ def telling(positive: np.ndarray, unlabelled: np.ndarray, n: int, m: int, prior:
     """
     p, u = positive / n, unlabelled / max(1, m)
     noise = np.sqrt((u + 1 / (m + 1)) * (1 / n + 1 / max(1, m)))
-    return (positive >= max(MIN_DOCUMENTS, MIN_SHARE * n)) & (p - u > APART * noise) & (prior * p > PURITY * u)
+    return (positive >= MIN_DOCUMENTS) & (p - u > APART * noise) & (prior * p > PURITY * u)
 
 
 def _columns(documents: list[np.ndarray], names: np.ndarray) -> list[np.ndarray]:

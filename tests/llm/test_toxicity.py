@@ -57,3 +57,49 @@ def test_odd_and_nothing_to_learn(spark):
     model = X.fit_toxicity(plain.documents(spark), one, F.lit(True), F.lit(True))
     assert len(X.score_documents(plain.documents(spark), model).collect()) == len(plain.ODD)
     assert X.score_documents(plain.documents(spark, []), model).collect() == []
+
+
+def test_rare_telling_words_are_found(spark):
+    """Held-out texts whose only telling word is in one of a hundred positives; plain risk minimiser on the same features."""
+    rng = np.random.default_rng(9)
+    calm = [f"calm{i}" for i in range(400)]
+    rude = [f"vile{chr(97 + i // 10)}{chr(97 + i % 10)}xq" for i in range(100)]
+    rows, labels = [], []
+    for i in range(3_000):
+        words = list(rng.choice(calm, 20))
+        if i % 3 == 0:
+            words.insert(int(rng.integers(20)), rude[i // 3 % 100])
+            if i % 2:
+                labels.append((i, 1))
+        rows.append((i, " ".join(words)))
+    docs = plain.documents(spark, rows)
+    learn = F.col("doc_id") < 2_400
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = X.fit_toxicity(docs, known, learn, learn, prior=1 / 3)
+    got = {r["doc_id"]: r["predicted"] for r in X.score_documents(docs, model).collect() if r["doc_id"] >= 2_400}
+    assert np.mean([got[i] for i in got if i % 3 == 0]) >= 0.95
+    assert np.mean([got[i] for i in got if i % 3]) <= 0.02
+
+
+def test_weights_have_the_least_risk():
+    """No single weight or the bias can be moved to a lower non-negative risk; the risk is computed here from its formula."""
+    rng = np.random.default_rng(5)
+    positive = [np.unique(rng.choice([1, 2, 3, 50, 51, 52, 53], 4)).astype(np.uint32) for _ in range(60)]
+    unlabelled = [np.unique(rng.choice([1, 50, 51, 52, 53, 54, 55], 3)).astype(np.uint32) for _ in range(200)]
+    one, many, prior = X._once(positive), X._once(unlabelled), 0.3
+
+    def risk(model):
+        def f(docs):
+            return np.array([model.bias + sum(model.weights.get(int(k), 0.0) for k in d) for d in docs])
+
+        loss = lambda x: np.logaddexp(0.0, -x).mean()
+        rest = loss(-f(many)) - prior * loss(-f(one))
+        return prior * loss(f(one)) + max(0.0, rest) + X.L2 / 2 * sum(w * w for w in model.weights.values())
+
+    model = X.fit_weights(positive, unlabelled, prior)
+    least = risk(model)
+    assert model.weights
+    for step in (-0.3, 0.3):
+        assert risk(X.Model(model.weights, model.bias + step)) > least - 1e-3
+        for k in model.weights:
+            assert risk(X.Model(model.weights | {k: model.weights[k] + step}, model.bias)) > least - 1e-3
