@@ -2,11 +2,13 @@
 
 Items are partitioned by the size of their shingle sets. In a partition whose largest size is u, a document that holds
 the share t of an item misses at most u - ceil(t u) of its shingles, so of the item's u - ceil(t u) + 1 smallest hashes
-(its MinHash sketch in that partition) it must hold at least one: the search loses nothing. Documents that hold a sketch
-hash are candidates, and candidates are verified by exact shingle containment on the words themselves.
+(its MinHash sketch in that partition) it must hold at least one: the search loses nothing. An item of fewer words than a
+shingle is one shingle of its own length, which documents are searched for too, so that it is found inside a long document.
 
-Documents stream through once, whatever their length; nothing of them is shuffled. Items are taken in blocks of bounded
-size, so that a large set of items costs further passes, not memory.
+Sketches are a table (hash, item). Documents stream through once, past a filter of the sketches' hashes (`FILTER_BYTES` at most,
+sent to every task); what may be in it is joined to the sketches by hash, and pairs found so are verified on the words
+themselves. The filter only saves rows: a fuller one lets more of them through to the join. Texts of documents without a
+hash in the filter never move.
 """
 
 import math
@@ -18,14 +20,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringledger.llm.common import blocks_of_texts, bounded_batches
+from ringledger.llm.common import blocks_of_texts, bounded_batches, stored, unused
 
 SHINGLE_WORDS = 5
 MIN_CONTAINMENT = 0.8
-ITEMS_PER_BLOCK = 20_000
+#: The filter has BITS_PER_HASH bits a hash, up to FILTER_BYTES; CHUNK bytes of it are filled together.
+FILTER_BYTES, BITS_PER_HASH, CHUNK = 16 << 20, 64, 1 << 17
 
 _BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 _BASE = 0x9E3779B97F4A7C15
+_ODD = tuple(np.uint64(x) for x in (0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0xA24BAED4963EE407))
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -65,107 +69,158 @@ def _factors(words: int) -> np.ndarray:
     return np.multiply.accumulate(np.full(words + 1, 0xBF58476D1CE4E5B9, np.uint64))[:words]
 
 
-def shingle_hashes(texts: list[bytes], words: int, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """(number of the text, hash) of each shingle; a text of fewer words is one shingle, one without words has none."""
+def gram_hashes(texts: list[bytes], sizes: list[int], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the text, hash) of each sequence of so many words, for each of the sizes."""
     lengths = np.array([len(t) + 1 for t in texts], np.int64)
     starts, h = hashes(b"\n".join(texts))
     text = np.searchsorted(np.cumsum(lengths), starts, side="right")
-    factors = _factors(words)
-    n = len(h) - words + 1
-    whole_text, whole = np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    if n > 0:
-        inside = np.flatnonzero(text[:n] == text[words - 1 :])
-        whole = sum((h[inside + j] * factors[j] for j in range(words)), np.zeros(len(inside), np.uint64))
-        whole_text = text[inside]
-    counts = np.bincount(text, minlength=len(texts)) if len(text) else np.zeros(len(texts), np.int64)
-    first = np.cumsum(counts) - counts
-    short = np.flatnonzero((counts > 0) & (counts < words))
-    short_hash = np.zeros(len(short), np.uint64)
-    for j in range(words - 1):
-        has = counts[short] > j
-        short_hash[has] += h[first[short[has]] + j] * factors[j]
-    return np.concatenate([whole_text, short]), _mixed(np.concatenate([whole, short_hash]))
+    found, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for size in sizes:
+        n, factors = len(h) - size + 1, _factors(size)
+        if n > 0:
+            inside = np.flatnonzero(text[:n] == text[size - 1 :])
+            found.append(_mixed(sum((h[inside + j] * factors[j] for j in range(size)), np.full(len(inside), size, np.uint64))))
+            owners.append(text[inside])
+    return np.concatenate(owners), np.concatenate(found)
 
 
 def shingle_set(text: bytes, size: int) -> set[bytes]:
     words = text.split()
-    if len(words) < size:
-        return {b" ".join(words)} if words else set()
     return {b" ".join(words[i : i + size]) for i in range(len(words) - size + 1)}
 
 
-class Index:
-    """The sketches of a block of items, by hash, with the items' exact shingles."""
-
-    def __init__(self, texts: list[bytes], words: int, least: float):
-        self.words, self.least = words, Fraction(str(least))
-        self.sets = [shingle_set(t, words) for t in texts]
-        hashes = WordHashes()
-        owner, h = shingle_hashes(texts, words, hashes) if texts else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
-        sketch, items = [], []
-        for i, shingles in enumerate(self.sets):
-            if shingles:
-                upper = 1 << (len(shingles) - 1).bit_length()  # the partition of sizes up to the next power of two
-                kept = np.unique(h[owner == i])[: upper - math.ceil(self.least * upper) + 1]
-                sketch.append(kept)
-                items.append(np.full(len(kept), i))
-        self.sketch = np.concatenate(sketch) if sketch else np.zeros(0, np.uint64)
-        order = np.argsort(self.sketch, kind="stable")
-        self.sketch, self.items = self.sketch[order], (np.concatenate(items)[order] if items else np.zeros(0, np.int64))
-        self.low = np.zeros(1 << 16, bool)
-        self.low[self.sketch & np.uint64(0xFFFF)] = True
-
-    def candidates(self, texts: list[bytes], hashes: WordHashes) -> Iterator[tuple[int, list[int]]]:
-        text, h = shingle_hashes(texts, self.words, hashes)
-        near = np.flatnonzero(self.low[h & np.uint64(0xFFFF)])
-        left = np.searchsorted(self.sketch, h[near], "left")
-        right = np.searchsorted(self.sketch, h[near], "right")
-        found: dict[int, set[int]] = {}
-        for k in np.flatnonzero(right > left):
-            found.setdefault(int(text[near[k]]), set()).update(self.items[left[k] : right[k]].tolist())
-        for t in sorted(found):
-            yield t, sorted(found[t])
-
-    def search(self, texts: list[bytes], hashes: WordHashes) -> list[list[dict]]:
-        out: list[list[dict]] = [[] for _ in texts]
-        for t, items in self.candidates(texts, hashes):
-            shingles = shingle_set(texts[t], self.words)
-            for i in items:
-                shared = len(self.sets[i] & shingles)
-                if shared >= self.least * len(self.sets[i]):
-                    out[t].append({"item": i, "n_shared": shared, "n_shingles": len(self.sets[i])})
-        return out
+def _size(text: bytes, words: int) -> int:
+    """Words of a shingle of an item: its own number of words, if it has fewer."""
+    return min(words, len(text.split(None, words)))
 
 
 def _normal(text: str | None) -> bytes:
     return text.encode().lower() if text else b""  # bytes.lower() changes A-Z only
 
 
-def found_items(index: Index) -> "Column":
-    @F.pandas_udf("array<struct<item:int,n_shared:long,n_shingles:long>>")
+def _sketched(batches: Iterator[pd.DataFrame], words: int, least: float) -> Iterator[pd.DataFrame]:
+    """(hash, size, item) of the smallest hashes of each item's shingles."""
+    hashes, share = WordHashes(), Fraction(str(least))
+    for batch in batches:
+        rows: list[pd.DataFrame] = []
+        for item, text in zip(batch["item"], batch["text"], strict=True):
+            text = _normal(text)
+            size = _size(text, words)
+            if size:
+                n = len(shingle_set(text, size))
+                upper = 1 << (n - 1).bit_length()  # the partition of sizes up to the next power of two
+                kept = np.unique(gram_hashes([text], [size], hashes)[1])[: upper - math.ceil(share * upper) + 1]
+                rows.append(pd.DataFrame({"hash": kept.view(np.int64), "size": size, "item": item}))
+        if rows:
+            yield pd.concat(rows, ignore_index=True)
+
+
+def _filled(rows: pd.DataFrame) -> pd.DataFrame:
+    """The bytes of one chunk of the filter."""
+    bits = np.zeros(CHUNK, np.uint8)
+    at = rows["place"].to_numpy() % (8 * CHUNK)
+    np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "bits": [bits.tobytes()]})
+
+
+def _place(hashes: np.ndarray, size: int, k: int) -> np.ndarray:
+    return ((hashes * _ODD[k]) >> np.uint64(64 - 3 - (size.bit_length() - 1))).astype(np.int64)
+
+
+def _places(hashes: np.ndarray, size: int) -> list[np.ndarray]:
+    """The bits of each hash in a filter of so many bytes, a power of two."""
+    return [_place(hashes, size, k) for k in range(len(_ODD))]
+
+
+def _maybe(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which of the hashes the filter may hold, by their numbers."""
+    near = np.arange(len(hashes))
+    for k in range(len(_ODD)):
+        at = _place(hashes[near], len(bits), k)
+        near = near[((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)]
+    return near
+
+
+def hash_filter(hashes: DataFrame) -> np.ndarray:
+    """The filter of the column `hash`, at most `FILTER_BYTES`."""
+    n = hashes.count()
+    size = min(FILTER_BYTES, max(CHUNK, 1 << max(0, n * BITS_PER_HASH // 8 - 1).bit_length()))
+
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            place = np.unique(np.concatenate(_places(batch["hash"].to_numpy(np.int64).view(np.uint64), size)))
+            yield pd.DataFrame({"chunk": place // (8 * CHUNK), "place": place})
+
+    rows = hashes.mapInPandas(placed, "chunk long, place long").distinct()
+    bits = np.zeros(size, np.uint8)
+    for row in rows.groupBy("chunk").applyInPandas(_filled, "chunk long, bits binary").toLocalIterator():
+        bits[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["bits"], np.uint8)
+    return bits
+
+
+def _hits(bits: np.ndarray, sizes: list[int]):
+    """A function of a text column: the hashes of its shingles that the filter may hold, each once."""
+
+    @F.pandas_udf("array<long>")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         hashes = WordHashes()
         for texts in batches:
-            texts = [_normal(t) for t in texts]
-            out: list = []
+            texts, out = [_normal(t) for t in texts], []
             for a, b in blocks_of_texts(texts):
-                out += index.search(texts[a:b], hashes)
+                owner, h = gram_hashes(texts[a:b], sizes, hashes)
+                near = _maybe(h, bits)
+                owner, h = owner[near], h[near].view(np.int64)
+                order = np.argsort(owner, kind="stable")
+                ends = np.cumsum(np.bincount(owner, minlength=b - a))[:-1]
+                out += [np.unique(x) if len(x) else None for x in np.split(h[order], ends)]
             yield pd.Series(out, dtype=object)
 
     return found
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, words: int, least: float, block: int) -> Iterator[tuple[list, Index]]:
-    """Indexes of at most `block` items each, read from the table part by part."""
-    ids, texts = [], []
-    for row in items.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).toLocalIterator():
-        ids.append(row["id"])
-        texts.append(_normal(row["text"]))
-        if len(ids) == block:
-            yield ids, Index(texts, words, least)
-            ids, texts = [], []
-    if ids:
-        yield ids, Index(texts, words, least)
+def _shared(words: int):
+    """A function of document and item texts: (shingles of the item, those the document holds)."""
+
+    @F.pandas_udf("struct<n_shingles:long,n_shared:long>")
+    def counted(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, items in batches:
+            rows, last, held = [], None, {}
+            for text, item in zip(texts, items, strict=True):
+                if text is not last and text != last:  # rows of one document stand together
+                    last, held = text, {}
+                item = _normal(item)
+                size = _size(item, words)
+                if size not in held:
+                    held[size] = shingle_set(_normal(text), size)
+                own = shingle_set(item, size)
+                rows.append((len(own), len(own & held[size])))
+            yield pd.DataFrame(rows, columns=["n_shingles", "n_shared"])
+
+    return counted
+
+
+def _texts(items: DataFrame, item_text: str) -> DataFrame:
+    """(item, text): the distinct texts of the items, named by 128 bits of hash."""
+    text = F.col(item_text)
+    name = F.concat_ws(":", F.xxhash64(text), F.xxhash64(F.lit(1), text))
+    return items.where(text.isNotNull()).select(name.alias("item"), text.alias("text")).dropDuplicates(["item"])
+
+
+def _held(rows: DataFrame, items: DataFrame, words: int, least: float) -> DataFrame:
+    """(doc, item, n_shingles, n_shared) of the rows (doc, text) that hold an item (item, text) to the share `least`."""
+    spark = rows.sparkSession
+    sketched = items.mapInPandas(lambda b: _sketched(b, words, least), "hash long, size int, item string")
+    sketches = stored(spark, sketched)
+    sizes = sorted(r["size"] for r in sketches.select("size").distinct().collect())  # at most `words` of them
+    hits = _hits(hash_filter(sketches.select("hash").distinct()), sizes)
+    near = rows.withColumn("hits", hits("text")).where(F.size("hits") > 0)
+    near = stored(spark, near.withColumn("row", F.monotonically_increasing_id()))
+    pairs = near.select("row", F.explode("hits").alias("hash")).join(sketches.select("hash", "item"), "hash")
+    pairs = stored(spark, pairs.select("row", "item").distinct())
+    both = near.select("row", "doc", "text").join(pairs, "row").join(items.withColumnRenamed("text", "own"), "item")
+    both = both.sortWithinPartitions("row").withColumn("n", _shared(words)("text", "own")).select("doc", "item", "n.*")
+    share = Fraction(str(least))
+    return both.where(F.col("n_shared") * share.denominator >= F.col("n_shingles") * share.numerator)
 
 
 def contaminated(
@@ -177,51 +232,39 @@ def contaminated(
     item_text: str = "text",
     words: int = SHINGLE_WORDS,
     least: float = MIN_CONTAINMENT,
-    block: int = ITEMS_PER_BLOCK,
 ) -> DataFrame:
     """(doc_id, item_id, n_shingles, n_shared, containment) for each document row that holds at least the share `least` of
     the distinct shingles of an item row.
 
     Words are runs of anything but ASCII white space, with A-Z lower-cased; a shingle is `words` of them in sequence, and
-    a text of fewer words is one shingle. Texts that are null or have no word hold nothing and are held by nothing. Null
-    ids pass through, repeated rows give repeated results, other columns are ignored, and an empty table on either side
-    gives an empty result.
+    an item of fewer words is one shingle of all its words, held by every document in which they stand in sequence. Texts
+    that are null or have no word hold nothing and are held by nothing. Null ids pass through, repeated rows give repeated
+    results, other columns are ignored, and an empty table on either side gives an empty result.
+    """
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    text = F.col(item_text)
+    name = F.concat_ws(":", F.xxhash64(text), F.xxhash64(F.lit(1), text)).alias("item")
+    rows = docs.select(F.col(doc_id).alias("doc"), F.col(doc_text).alias("text"))
+    held = _held(rows, stored(spark, _texts(items, item_text)), words, least)
+    found = held.join(items.select(name, F.col(item_id).alias("item_id")), "item")
+    share = (F.col("n_shared") / F.col("n_shingles")).alias("containment")
+    return found.select(F.col("doc").alias("doc_id"), "item_id", "n_shingles", "n_shared", share)
+
+
+def decontaminate(
+    docs: DataFrame, items: DataFrame, doc_text: str = "text", item_text: str = "text",
+    words: int = SHINGLE_WORDS, least: float = MIN_CONTAINMENT,
+) -> DataFrame:
+    """The rows of `docs`, with all their columns, that hold no item; see `contaminated` for the terms.
+
+    Only the hashes of the texts that hold an item are joined back.
     """
-    bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).alias("text"))
-    kind = items.schema[item_id].dataType.simpleString()
-    out = None
-    for ids, index in item_blocks(items, item_id, item_text, words, least, block):
-        names = F.array(*[F.lit(i) for i in ids]).cast(f"array<{kind}>") if len(ids) <= 64 else _array(docs, ids, kind)
-        hit = rows.select("doc_id", F.explode(found_items(index)("text")).alias("hit"))
-        part = hit.select(
-            "doc_id",
-            names[F.col("hit.item")].alias("item_id"),
-            F.col("hit.n_shingles").alias("n_shingles"),
-            F.col("hit.n_shared").alias("n_shared"),
-            (F.col("hit.n_shared") / F.col("hit.n_shingles")).alias("containment"),
-        )
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        kinds = {"item_id": kind, "n_shingles": "long", "n_shared": "long", "containment": "double"}
-        none = [F.lit(None).cast(k).alias(c) for c, k in kinds.items()]
-        out = rows.where("false").select("doc_id", *none)
-    return out
-
-
-def _array(docs: DataFrame, ids: list, kind: str) -> Column:
-    """The ids as one literal; a long list of separate literals would be a large expression tree."""
-    import json
-
-    return F.from_json(F.lit(json.dumps(ids)), F.lit(f"array<{kind}>"))
-
-
-def decontaminate(docs: DataFrame, items: DataFrame, doc_text: str = "text", **settings) -> DataFrame:
-    """The rows of `docs`, with all their columns, that hold no item; see `contaminated` for the terms."""
-    bounded_batches(docs.sparkSession)
-    words, least = settings.get("words", SHINGLE_WORDS), settings.get("least", MIN_CONTAINMENT)
-    block = settings.get("block", ITEMS_PER_BLOCK)
-    names = settings.get("item_id", "item_id"), settings.get("item_text", "text")
-    for _, index in item_blocks(items, *names, words, least, block):
-        docs = docs.where(F.size(found_items(index)(F.col(doc_text))) == 0)
-    return docs
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    rows = docs.select(F.struct(F.xxhash64(doc_text).alias("a"), F.xxhash64(F.lit(1), doc_text).alias("b")).alias("doc"), F.col(doc_text).alias("text"))
+    held = _held(rows, stored(spark, _texts(items, item_text)), words, least)
+    a, b = unused(docs, "__a", "__b")
+    held = stored(spark, held.select(F.col("doc.a").alias(a), F.col("doc.b").alias(b)).distinct())
+    same = (F.xxhash64(docs[doc_text]) == held[a]) & (F.xxhash64(F.lit(1), docs[doc_text]) == held[b])
+    return docs.join(held, same, "left_anti")

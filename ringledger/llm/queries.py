@@ -132,16 +132,13 @@ QUERIES: dict[str, Query] = {
 
 _CASE = f"'{line_dedup.UPPER}', '{line_dedup.LOWER}'"
 
-#: Items and documents as words, their distinct five-word shingles, and the shared ones by an equi-join.
-_SHINGLES = """
-    SELECT {id}, unnest(list_distinct(CASE
-             WHEN len(w) = 0 THEN []
-             WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-             ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS shingle
-    FROM (SELECT {id}, list_filter(
-            string_split_regex(translate(coalesce(text, ''), {case}), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
-          FROM {table})
+#: Words of a table's texts; shingles of a given number of words.
+_SPLIT = """
+    SELECT {id}, list_filter(
+        string_split_regex(translate(coalesce(text, ''), {case}), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+    FROM {table}
 """
+_GRAMS = "unnest(list_distinct(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')))) AS shingle"
 
 
 def _crc32(text: str) -> str:
@@ -181,10 +178,13 @@ ORACLES: dict[str, str] = {
         FROM judged GROUP BY doc_id
     """,
     "op10_decontamination": f"""
-        WITH d AS ({_SHINGLES.format(id="doc_id", table="documents", case=_CASE)}),
-        i AS ({_SHINGLES.format(id="item_id", table="benchmark", case=_CASE)}),
+        WITH i AS (SELECT item_id, k, {_GRAMS}
+                   FROM (SELECT *, least(5, len(w)) AS k FROM ({_SPLIT.format(id="item_id", table="benchmark", case=_CASE)}))
+                   WHERE k > 0),
+        d AS (SELECT doc_id, k, {_GRAMS}
+              FROM ({_SPLIT.format(id="doc_id", table="documents", case=_CASE)}), (SELECT DISTINCT k FROM i) WHERE len(w) >= k),
         sizes AS (SELECT item_id, count(*) AS n_shingles FROM i GROUP BY item_id),
-        shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN i USING (shingle) GROUP BY doc_id, item_id)
+        shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN i USING (k, shingle) GROUP BY doc_id, item_id)
         SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
         FROM shared JOIN sizes USING (item_id) WHERE n_shared * 5 >= n_shingles * 4
     """,

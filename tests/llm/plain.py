@@ -104,20 +104,25 @@ def groups(prints, bits=2):
     return out
 
 
-def shingles(text, size=5):
-    words = [w for w in re.split("[ \t\n\x0b\x0c\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
-    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+def words(text):
+    return [w for w in re.split("[ \t\n\x0b\x0c\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+
+
+def shingles(own, size):
+    return {tuple(own[i : i + size]) for i in range(len(own) - size + 1)}
 
 
 def contained(docs, items):
-    """Sorted (doc id, item id, shingles, shared) of items held to 0.8 and more."""
-    out = []
+    """Sorted (doc id, item id, shingles, shared) of items held to 0.8 and more; items under five words in one piece."""
+    out, asked = [], [(i, words(q)) for i, q in items]
     for d, t in docs:
-        has = shingles(t)
-        for i, q in items:
-            want = shingles(q)
-            if want and len(want & has) * 5 >= len(want) * 4:
-                out.append((d, i, len(want), len(want & has)))
+        own = words(t)
+        has = {k: shingles(own, k) for k in range(1, 6)}
+        for i, q in asked:
+            k = min(5, len(q))
+            want = shingles(q, k) if k else set()
+            if want and len(want & has[k]) * 5 >= len(want) * 4:
+                out.append((d, i, len(want), len(want & has[k])))
     return sorted(out, key=repr)
 
 
