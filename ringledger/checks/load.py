@@ -1,13 +1,14 @@
-"""Two runs of the weekly load on pages that Spark writes from the customers: cards of twenty, a fight per customer."""
+"""Three runs of the weekly load on pages that Spark writes from the customers: cards of twenty, a fight per customer."""
 
 from pyspark.sql import functions as F
 
 from ringledger.checks.registry import check, table
 from ringledger.checks.site import directory_pages, fight_pages, filled_in, pages_of
+from ringledger.operators import extract
 from ringledger.plans import weekly
 from ringledger.schemas import PAGES, WAREHOUSE
 from ringledger.session import shared_folder
-from ringledger.sources import files
+from ringledger.sources import files, versions
 from ringledger.values import CARD_ROW, LIST_CELL, LIST_DATE, LIST_LINK, LIST_PLACE, LIST_ROW
 
 _INDEX, _DIRECTORY = "http://site.test/events?page=", "http://site.test/fighters?page="
@@ -40,8 +41,8 @@ def _pages(spark, d):
     cards = pages_of(rows, 20, f'<tr class="{CARD_ROW}"><th>W/L</th></tr>')
     url = [F.concat(F.lit(u), c) for u, c in (("http://site.test/e", "page"), ("http://site.test/d", "event"), (_DIRECTORY, "page"))]
     parts = [cards, fight_pages(spark, d), directory_pages(spark, d)]
-    # the page number only has to tell apart the fetches of one address
-    parts = [p.select(F.lit(1).alias("page_id"), u.alias("url"), "html") for p, u in zip(parts, url, strict=True)]
+    # a page number for each address, as there is one fetch of each
+    parts = [p.select(F.xxhash64(u).alias("page_id"), u.alias("url"), "html") for p, u in zip(parts, url, strict=True)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -52,8 +53,10 @@ def _pages(spark, d):
     SELECT 'events' AS job, count(DISTINCT k) AS new_rows, 'Card ' || max(k) AS last_key, 'success' AS status FROM r GROUP BY run
     UNION ALL SELECT 'fights', count(*), 'Card ' || max(k), 'success' FROM r GROUP BY run
     UNION ALL SELECT 'stats', 2 * count(*) FILTER (good), 'Card ' || max(k) FILTER (good), 'success' FROM r GROUP BY run
-    UNION ALL SELECT job, n, NULL, 'success' FROM (SELECT 'fighters' AS job, n FROM people
-      UNION ALL SELECT 'warehouse', 5 UNION ALL SELECT 'notify', 1), (VALUES (1), (2))
+    UNION ALL SELECT job, 0, 'Card ' || k, 'success' FROM (VALUES ('events'), ('fights')) v(job), (SELECT max(k) AS k FROM c)
+    UNION ALL SELECT 'stats', 0, 'Card ' || max(k) FILTER (good), 'success' FROM c
+    UNION ALL SELECT job, n, NULL, 'success' FROM (SELECT 'fighters' AS job, n FROM people UNION ALL SELECT 'warehouse', 5), range(3)
+    UNION ALL SELECT 'notify', (run < 3)::INT, NULL, 'success' FROM range(1, 4) r(run)
     UNION ALL SELECT 'table events', count(DISTINCT k), NULL, NULL FROM c
     UNION ALL SELECT 'table fighters', n, NULL, NULL FROM people
     UNION ALL SELECT 'table fights', count(*), NULL, NULL FROM c
@@ -61,10 +64,11 @@ def _pages(spark, d):
     UNION ALL SELECT 'table round_stats', 2 * coalesce(sum(c_custkey % 3 + 1) FILTER (good), 0)::BIGINT, NULL, NULL FROM c"""
 )
 def weekly_load(spark, d):
-    """What two runs write to the audit, the second one with the later half of the cards, and the sizes of the tables."""
+    """What three runs write to the audit, and the sizes of the tables. The second run has the later half of the cards, the
+    third nothing new: its steps end when they have seen that, and nobody is notified again."""
     base = shared_folder(spark)
     folders = weekly.Folders(f"{base}/league")
-    files.overwrite(_pages(spark, d), f"{base}/pages")
+    files.overwrite(extract.spread(_pages(spark, d), "url"), f"{base}/pages")
     fetched = spark.read.parquet(f"{base}/pages")
     last = table(spark, d, "customer").agg(F.floor(F.max("c_custkey") / 20).alias("k"))
     signups = table(spark, d, "events").filter("event_type = 'signup'")
@@ -72,7 +76,7 @@ def weekly_load(spark, d):
     log = [user.alias("user_id"), F.lit("").alias("username"), F.lit("subscribe").alias("action")]
     log += [F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"), F.lit(1).alias("subscribe")]
     files.overwrite(signups.select(*log), folders.at("user_actions"))
-    for run, upto in (("r1", F.floor(last.scalar() / 2)), ("r2", last.scalar())):
+    for run, upto in (("r1", F.floor(last.scalar() / 2)), ("r2", last.scalar()), ("r3", last.scalar())):
         pages = fetched.unionByName(_index(spark, d, upto)).select([F.col(f.name).cast(f.dataType) for f in PAGES.fields])
         index, directory = F.col("url").startswith(_INDEX), F.col("url").startswith(_DIRECTORY)
         number = F.substring_index("url", "=", -1).cast("bigint")
@@ -80,6 +84,6 @@ def weekly_load(spark, d):
     audit = spark.read.parquet(folders.at("run_audit")).select("job", "new_rows", "last_key", "status")
     none = F.lit(None).cast("string")
     for name in WAREHOUSE:
-        size = spark.read.parquet(f"{folders.at('warehouse')}/{name}").agg(F.count(F.lit(1)).alias("new_rows"))
+        size = versions.read_current(spark, f"{folders.at('warehouse')}/{name}").agg(F.count(F.lit(1)).alias("new_rows"))
         audit = audit.unionByName(size.select(F.lit(f"table {name}").alias("job"), "new_rows", none.alias("last_key"), none.alias("status")))
     return audit

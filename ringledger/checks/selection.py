@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ringledger.checks.registry import check, table
-from ringledger.operators import incremental, joins, latest
+from ringledger.operators import closest, incremental, joins, latest
 from ringledger.session import shared_folder
 from ringledger.sources import tables
 
@@ -255,3 +255,16 @@ _ASKED = ["smal rign", "blue bolts", "gren gadgt", "Large Pipe"]
 )
 def closest_name(spark, d):
     return joins.closest_names(table(spark, d, "part"), "p_name", _ASKED)
+
+
+@check(
+    """WITH names AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]{6,}')) AS name FROM documents),
+    asked AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]{6,}')) AS asked FROM benchmark)
+    SELECT asked, best.name AS closest, best.distance::INT AS distance FROM (SELECT asked,
+      min({'distance': levenshtein(asked, name), 'name': name}) AS best FROM asked, names GROUP BY asked)"""
+)
+def closest_names_of_table(spark, d):
+    """The closest word of the documents for each word of the test items."""
+    words = F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{6,}"), F.lit(0)))
+    asked = table(spark, d, "benchmark").select(words.alias("word"))
+    return closest.closest_of_table(asked, "word", table(spark, d, "documents").select(words.alias("name")), "name")

@@ -6,10 +6,9 @@ from pyspark.sql import types as T
 from ringledger.checks.registry import check, table
 from ringledger.functions.decode import typed
 from ringledger.functions.text import iso_text
-from ringledger.operators.latest import last_value, newest_slice
 from ringledger.schemas import AUDIT
 from ringledger.session import shared_folder
-from ringledger.sources import files, tables
+from ringledger.sources import files, manifest, tables, versions
 
 
 @check(
@@ -115,7 +114,7 @@ def warehouse_roundtrip(spark, d):
     files.write_slice(raw, f"{path}/raw", "1")
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     stored = files.read_slices(spark, f"{path}/raw", text)
-    files.overwrite(typed(stored, schema), f"{path}/warehouse/loaded_customer")
+    versions.refresh(typed(stored, schema), f"{path}/warehouse/loaded_customer")
     spark = tables.question_session(spark)
     tables.register_views(spark, f"{path}/warehouse", ["loaded_customer"])
     return tables.select(spark, "SELECT * FROM loaded_customer")
@@ -125,15 +124,43 @@ def warehouse_roundtrip(spark, d):
     "SELECT arg_max(event_type, (ts, event_id)) AS last_kind, NULL::VARCHAR AS none FROM events"
 )
 def bookmark_of_stored_table(spark, d):
-    """Bookmark of the newest run that has rows, in the order of the rows' places; a table that is not there has none."""
+    """Bookmark of the newest run that has rows, in the order of the rows' places, from the line of that run; a table that is
+    not there has none."""
     path = shared_folder(spark)
     e = table(spark, d, "events").select("event_type", "ts", "event_id")
     for run, rows in {"1": "ts < '2024-01-10'", "2": "ts >= '2024-01-10'", "3": "false"}.items():
-        files.write_slice(e.filter(rows), path, run)
+        manifest.write_run(e.filter(rows), path, run, "event_type", ["ts", "event_id"])
+    stored = manifest.last_of(spark, path).withColumnRenamed("last", "last_kind")
+    return stored.withColumn("none", manifest.last_of(spark, f"{path}-absent").scalar())
 
-    def mark(at):
-        rows = newest_slice(files.read_slices(spark, at, e.schema), "run")
-        return last_value(rows, "event_type", ["run", "ts", "event_id"])
 
-    stored = mark(path).withColumnRenamed("event_type", "last_kind")
-    return stored.withColumn("none", mark(f"{path}-absent").scalar())
+@check(
+    """SELECT event_type, count(*) AS n, max(event_id) AS last_id FROM events
+    WHERE event_type IN ('signup', 'error', 'purchase') GROUP BY event_type"""
+)
+def slices_with_lines(spark, d):
+    """Slices by kind, one of them stored twice; the lines tell rows and last key without opening a slice."""
+    path = shared_folder(spark)
+    e = table(spark, d, "events").select("event_id", "event_type", "ts")
+    manifest.write_run(e.filter("event_type = 'view'"), path, "purchase", "event_id", ["event_id"])
+    for kind in ("signup", "error", "purchase", "none"):
+        manifest.write_run(e.filter(F.col("event_type") == kind), path, kind, "event_id", ["event_id"])
+    lines = spark.read.schema(manifest.LINE).option("basePath", f"{path}/{manifest.RUNS}/filled")
+    lines = lines.json(f"{path}/{manifest.RUNS}/filled").withColumn("event_type", F.regexp_extract(F.input_file_name(), "run=([a-z]+)", 1))
+    return lines.select("event_type", F.col("rows").alias("n"), F.col("last").cast("bigint").alias("last_id"))
+
+
+@check("SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 0")
+def refresh_that_fails(spark, d):
+    """Two refreshes, and a third that breaks on the way: readers keep the second version."""
+    path = shared_folder(spark)
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
+    versions.refresh(c, path)
+    versions.refresh(c.filter("c_acctbal > 0"), path)
+    broken = F.when(F.col("c_acctbal") < 0, F.raise_error(F.lit("broken row"))).otherwise(F.col("c_name"))
+    try:
+        versions.refresh(c.withColumn("c_name", broken.cast("string")), path)
+    except Exception as e:
+        if "broken row" not in str(e):
+            raise
+    return versions.read_current(spark, path)

@@ -27,19 +27,27 @@ from ringledger.values import (
 )
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A scan of fewer bytes than one partition per core holds is spread over the cores; a larger one stays as it is.
-
-    Extraction works long on few bytes, so a table of one file would keep most cores idle.
-    """
+def few_bytes(df: DataFrame) -> bool:
+    """Whether a table has fewer bytes than one partition per core holds."""
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
     per_task = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
         spark.conf.get("spark.sql.files.maxPartitionBytes")
     )
     # the planner's estimate, which runs nothing
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df if size >= cores * per_task else df.repartition(cores, key)
+    return size < spark.sparkContext.defaultParallelism * per_task
+
+
+def over_cores(df: DataFrame, *keys: str) -> DataFrame:
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A table of few bytes is spread over the cores; a larger one has partitions enough and stays as it is.
+
+    Extraction works long on few bytes, so a table of one file would keep most cores idle.
+    """
+    return over_cores(df, key) if few_bytes(df) else df
 
 
 def numbered(

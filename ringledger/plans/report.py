@@ -10,7 +10,7 @@ from ringledger.operators.joins import fan_out, with_text
 from ringledger.operators.latest import current_subscribers, top_row
 from ringledger.operators.report import report_messages
 from ringledger.schemas import NOTIFICATIONS
-from ringledger.sources import files
+from ringledger.sources import files, versions
 from ringledger.streaming import actions
 
 
@@ -68,8 +68,7 @@ def notify(spark: SparkSession, warehouse: str, recipients: DataFrame, sent_path
     The slice of the event is overwritten, and the notification is recorded after it: a failure in between repeats
     the slice and neither loses nor doubles messages.
     """
-    events = spark.read.parquet(f"{warehouse}/events")
-    fights = spark.read.parquet(f"{warehouse}/fights")
+    events, fights = (versions.read_current(spark, f"{warehouse}/{name}") for name in ("events", "fights"))
     sent = files.read_table(spark, sent_path, NOTIFICATIONS)
     new = unsent(latest_event(events), sent, "event_name").first()
     if new is None:

@@ -20,7 +20,7 @@ from ringledger.operators.joins import left_join
 from ringledger.operators.latest import last_value, newest_slice
 from ringledger.plans.report import notify, streamed_subscribers, subscribers
 from ringledger.schemas import ACTION, EVENTS, FIGHT_STATS, FIGHTERS, FIGHTS, ROUND_STATS, STRIKES, TOTALS, WAREHOUSE
-from ringledger.sources import files
+from ringledger.sources import files, manifest, versions
 from ringledger.sources.tables import warehouse_frames
 from ringledger.values import MISSING, MISSING_IN_FIGHTS
 
@@ -38,6 +38,12 @@ RAW = {
     "fight_stats": _raw(FIGHT_STATS, "event_position"),
     "round_stats": _raw(ROUND_STATS, "event_position"),
 }
+# the value that bookmarks are made of, and its place in the order of the rows
+MARKS = {
+    "events": ("event_name", "position"),
+    "fights": ("event_name", "event_position"),
+    "fight_stats": ("event", "event_position"),
+}
 # all that a row of the event list says: rows without a link have no name
 EVENT_KEY = ["event_name", "date", "location", "link"]
 
@@ -72,7 +78,12 @@ class Job:
     index_page: Column | None = None
 
     def __post_init__(self) -> None:
-        self.pages = extract.spread(self.pages, "page_id")
+        self.few_pages = extract.few_bytes(self.pages)
+
+    def fetched(self, pages: DataFrame, keys: list[str], wanted: DataFrame | None = None) -> DataFrame:
+        """As `_newest_fetch`. Few pages are spread over the cores by their keys, which no two of them share."""
+        newest = _newest_fetch(pages, keys, wanted)
+        return extract.over_cores(newest, *keys) if self.few_pages else newest
 
     def stored(self, table: str, runs: Column) -> DataFrame:
         return files.read_slices(self.spark, self.folders.raw(table), RAW[table]).filter(runs)
@@ -88,15 +99,24 @@ class Job:
         """Value of the last row of a raw table: only the newest run that has rows is read for it."""
         return last_value(newest_slice(rows, "run"), value, ["run", place])
 
+    def mark(self, table: str, earlier: bool = False) -> str | None:
+        """Value of the last stored row, of this run and those before it or only those: from the line of one run."""
+        path = self.folders.raw(table)
+        if manifest.has_lines(self.spark, path):
+            upto, before = (None, self.run) if earlier else (self.run, None)
+            return _value(manifest.last_of(self.spark, path, upto, before))
+        rows = self.earlier(table) if earlier else self.up_to_now(table)  # slices from before there were lines
+        return _value(self.last(rows, *MARKS[table]))
+
     def other_runs(self, table: str) -> DataFrame:
         return self.stored(table, F.col("run") != self.run)
 
-    def store(self, df: DataFrame, table: str) -> DataFrame:
-        """Write this run's slice and read it back, so that later steps do not extract it again."""
+    def store(self, df: DataFrame, table: str) -> int:
+        """Write this run's slice with its line; the number of rows."""
         schema = RAW[table]
         rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-        files.write_slice(rows, self.folders.raw(table), self.run)
-        return self.spark.read.schema(schema).parquet(f"{self.folders.raw(table)}/run={self.run}")
+        value, place = MARKS.get(table, (None, None))
+        return manifest.write_run(rows, self.folders.raw(table), self.run, value, [place] if place else None)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write a table that several steps of this run read."""
@@ -146,7 +166,7 @@ def _newest_fetch(pages: DataFrame, keys: list[str], wanted: DataFrame | None =
 
 def load_events(job: Job) -> int:
     started = time.time()
-    index = _newest_fetch(job.pages.filter(job.index), ["url"])
+    index = job.fetched(job.pages.filter(job.index), ["url"])
     if job.index_page is None:
         list_rows = extract.index_rows(index)
     else:
@@ -165,11 +185,10 @@ def load_events(job: Job) -> int:
         unreadable = unreadable.unionByName(lost.select(F.col("url").alias("key"), F.lit("no rows in list page").alias("reason")))
     job.reject(unreadable, "events")
     listed = listed.filter("readable")
-    mark = job.last(job.earlier("events"), "event_name", "position").scalar()
-    new = since_bookmark(listed, "event_name", "position", mark)
+    new = since_bookmark(listed, "event_name", "position", job.mark("events", earlier=True))
     new = not_yet_stored(missing_to_null(new, MISSING), job.other_runs("events"), EVENT_KEY)
     now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
-    n = job.store(files.stamped(new, "last_updated", now), "events").count()
+    n = job.store(files.stamped(new, "last_updated", now), "events")
     newest = _value(last_value(listed, "event_name", ["position"]))
     if n:
         files.write_state(job.spark, job.folders.at("state"), now, time.time() - started, newest)
@@ -183,7 +202,7 @@ def load_fighters(job: Job) -> int:
     Readers take the newest run that has fighters, so the table is switched by the finished write of a slice.
     """
     started = time.time()
-    pages = _newest_fetch(job.pages.filter(job.directory), ["url"])
+    pages = job.fetched(job.pages.filter(job.directory), ["url"])
     rows = files.stamped(missing_to_null(extract.directory_fighters(pages), MISSING), "last_run", job.last_run())
     rows = job.stage(rows, "fighters")
     if rows.isEmpty():
@@ -192,7 +211,7 @@ def load_fighters(job: Job) -> int:
         job.reject(lost, "fighters")
         job.audit("fighters", started, 0, None, "nothing fetched")
         return 0
-    n = job.store(rows, "fighters").count()
+    n = job.store(rows, "fighters")
     job.audit("fighters", started, n, None)
     return n
 
@@ -200,18 +219,16 @@ def load_fighters(job: Job) -> int:
 def _event_pages(job: Job, events: DataFrame) -> DataFrame:
     """Pages of the given events. Spark filters the page table by the few wanted addresses."""
     wanted = events.select("event_name", F.col("position").alias("event_position"), F.col("link").alias("url"))
-    return _newest_fetch(job.pages, ["event_name", "event_position"], wanted)
+    return job.fetched(job.pages, ["event_name", "event_position"], wanted)
 
 
 def load_fights(job: Job) -> int:
     started = time.time()
-    place = "event_position"
-    upstream = job.last(job.up_to_now("events"), "event_name", "position").scalar()
-    done = job.last(job.earlier("fights"), "event_name", place).scalar()
+    upstream, done = job.mark("events"), job.mark("fights", earlier=True)
     new = gap_after_done(job.staged("links"), "event_name", "position", upstream, done)
     new = job.stage(new, "new_events")
     if new.isEmpty():
-        job.audit("fights", started, 0, _value(job.last(job.up_to_now("fights"), "event_name", place)))
+        job.audit("fights", started, 0, job.mark("fights"))
         return 0
     rows = job.stage(extract.card_fights(_event_pages(job, new)), "fights")
     unreadable = F.concat_ws("#", "event_name", "fight_id").alias("key")
@@ -224,9 +241,8 @@ def load_fights(job: Job) -> int:
     kept = missing_to_null(rows.filter("readable"), MISSING_IN_FIGHTS)
     kept = kept.withColumn("fight_id", F.col("fight_id").cast("string"))
     kept = not_yet_stored(kept, job.other_runs("fights"), ["event_name", "fight_id", "fight_stats_link"])
-    n = job.store(files.stamped(kept, "last_run", job.last_run()), "fights").count()
-    newest = _value(job.last(job.up_to_now("fights"), "event_name", place))
-    job.audit("fights", started, n, newest)
+    n = job.store(files.stamped(kept, "last_run", job.last_run()), "fights")
+    job.audit("fights", started, n, job.mark("fights"))
     return n
 
 
@@ -244,17 +260,15 @@ def _card_links(job: Job, events: DataFrame) -> DataFrame:
 
 def load_stats(job: Job) -> int:
     started = time.time()
-    place = "event_position"
-    upstream = job.last(job.up_to_now("fights"), "event_name", place).scalar()
-    done = job.last(job.earlier("fight_stats"), "event", place).scalar()
+    upstream, done = job.mark("fights"), job.mark("fight_stats", earlier=True)
     new = job.stage(gap_up_to_known(job.staged("links"), "event_name", "position", upstream, done), "stats_events")
     if new.isEmpty():
-        job.audit("stats", started, 0, _value(job.last(job.up_to_now("fight_stats"), "event", place)))
+        job.audit("stats", started, 0, job.mark("fight_stats"))
         return 0
     links = _card_links(job, new).withColumnRenamed("event_name", "event")
     keys = ["event", "event_position", "fight_id"]
     links = job.stage(links.withColumn("fight_id", F.col("fight_id").cast("string")), "fight_links")
-    pages = _newest_fetch(job.pages, keys, links.withColumnRenamed("link", "url"))
+    pages = job.fetched(job.pages, keys, links.withColumnRenamed("link", "url"))
     # four tables come from each page: the sections are stored once and read four times
     sections = job.stage(extract.fight_sections(pages), "sections")
     key = F.concat_ws("#", "event", "fight_id").alias("key")
@@ -270,21 +284,23 @@ def load_stats(job: Job) -> int:
         on = ["event", "fight_id", *(["round"] if by_round else []), "fighter"]
         rows = missing_to_null(left_join(left, right, on), MISSING)
         rows = not_yet_stored(rows, job.other_runs(name), on)
-        return job.store(files.stamped(rows, "last_run", last_run), name).count()
+        return job.store(files.stamped(rows, "last_run", last_run), name)
 
     n = table("totals", "strikes", False, "fight_stats")
     table("round_totals", "round_strikes", True, "round_stats")
-    newest = _value(job.last(job.up_to_now("fight_stats"), "event", place))
-    job.audit("stats", started, n, newest)
+    job.audit("stats", started, n, job.mark("fight_stats"))
     return n
 
 
 def load_warehouse(job: Job, write: Callable[[DataFrame, str], None] | None = None) -> int:
-    """Refresh the five typed tables, as Parquet below the warehouse folder or through `write(df, table)`."""
+    """Refresh the five typed tables, as versions below the warehouse folder or through `write(df, table)`.
+
+    A table is switched when its new version is whole, so that readers always find one.
+    """
     started = time.time()
     raw = {t: job.up_to_now(t) for t in WAREHOUSE}
     raw["fighters"] = newest_slice(raw["fighters"], "run")
-    write = write or (lambda df, table: files.overwrite(df, f"{job.folders.at('warehouse')}/{table}"))
+    write = write or (lambda df, table: versions.refresh(df, f"{job.folders.at('warehouse')}/{table}"))
     for name, df in warehouse_frames(raw).items():
         write(df, name)
     job.audit("warehouse", started, len(WAREHOUSE), None)

@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 from ringledger.functions.decode import typed
 from ringledger.schemas import WAREHOUSE
 from ringledger.sources.files import exists
+from ringledger.sources.versions import read_current
 
 LAST_RESULT = "last_query_result"
 NO_ROWS = "No results found."
 
 
 def register_views(spark: SparkSession, folder: str, names: Iterable[str] = tuple(WAREHOUSE), suffix: str = "") -> None:
-    """Register `folder/<name><suffix>` as a view of that name."""
+    """Register `folder/<name><suffix>`, as it was last committed, as a view of that name."""
     for name in names:
-        spark.read.parquet(f"{folder}/{name}{suffix}").createOrReplaceTempView(name)
+        read_current(spark, f"{folder}/{name}{suffix}").createOrReplaceTempView(name)
 
 
 # Functions that run code of the machine, and the settings that questions depend on.

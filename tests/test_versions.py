@@ -1,0 +1,89 @@
+"""Tables replaced as a whole, and bookmarks from the lines of runs."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ringledger.sources import files, manifest, versions
+from tests.conftest import rows
+
+
+def numbers(spark, n):
+    return spark.range(n).select(F.col("id").cast("int").alias("n"))
+
+
+def test_readers_keep_the_version_they_began_with(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versions.refresh(numbers(spark, 3), path)
+    begun = versions.read_current(spark, path)
+    versions.refresh(numbers(spark, 5), path)
+    assert begun.count() == 3 and versions.read_current(spark, path).count() == 5
+    versions.refresh(numbers(spark, 7), path)
+    # one version before the current one stays, older ones go
+    assert len(versions.names_in(spark, f"{path}/_versions")) == len(versions.names_in(spark, f"{path}/_commits")) == 2
+
+
+def test_a_broken_refresh_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versions.refresh(numbers(spark, 3), path)
+    broken = numbers(spark, 1_000).withColumn("n", F.when(F.col("n") > 900, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("n")))
+    with pytest.raises(Exception, match="lost"):
+        versions.refresh(broken, path)
+    assert versions.read_current(spark, path).count() == 3
+    # killed after the rows and before the commit
+    whole = f"{path}/_versions/{2:012d}-dead"
+    numbers(spark, 9).write.parquet(whole)
+    assert versions.read_current(spark, path).count() == 3
+    versions.refresh(numbers(spark, 4), path)
+    versions.refresh(numbers(spark, 5), path)
+    assert versions.read_current(spark, path).count() == 5 and not files.exists(spark, whole)
+
+
+def test_a_table_may_be_refreshed_from_itself(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versions.refresh(numbers(spark, 3), path)
+    versions.refresh(versions.read_current(spark, path).filter("n > 0"), path)
+    assert rows(versions.read_current(spark, path)) == [(1,), (2,)]
+
+
+def test_a_plain_folder_is_read_as_it_is(spark, tmp_path):
+    path = str(tmp_path / "t")
+    numbers(spark, 2).write.parquet(path)
+    assert versions.read_current(spark, path).count() == 2 and versions.current(spark, path) is None
+    versions.refresh(numbers(spark, 6), path)
+    assert versions.read_current(spark, path).count() == 6
+
+
+def events(spark, *names):
+    return spark.createDataFrame(list(enumerate(names)), "position int, name string")
+
+
+def last(spark, path, **upto):
+    return manifest.last_of(spark, path, **upto).first()["last"]
+
+
+def test_lines_of_runs(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert last(spark, path) is None and not manifest.has_lines(spark, path)
+    for run, names in {"r1": ["a", "b"], "r2": ["d", "c"], "r3": []}.items():
+        assert manifest.write_run(events(spark, *names).filter("name <> ''"), path, run, "name", ["position"]) == len(names)
+    assert last(spark, path) == "c"
+    assert last(spark, path, before="r2") == "b" and last(spark, path, upto="r2") == "c" and last(spark, path, before="r1") is None
+    # the table itself is as before, with a slice per run
+    assert files.read_slices(spark, path, events(spark, "x").schema).count() == 4
+    # a repeat without rows takes the run out of the bookmarks, one with rows puts it back
+    manifest.write_run(events(spark, "z").filter("false"), path, "r2", "name", ["position"])
+    assert last(spark, path) == "b"
+    manifest.write_run(events(spark, "z"), path, "r2", "name", ["position"])
+    assert last(spark, path) == "z"
+
+
+def test_a_bookmark_opens_one_line_and_no_slice(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(5):
+        manifest.write_run(events(spark, f"e{n}"), path, f"r{n}", "name", ["position"])
+    # nothing but the newest line can still be read
+    for place in [*tmp_path.glob("t/run=*/*.parquet"), *tmp_path.glob("t/_runs/filled/run=r[0-3]/*.json")]:
+        place.write_bytes(b"\x00 not readable")
+    assert last(spark, path) == "e4"
+    opened = manifest.last_of(spark, path).inputFiles()
+    assert len(opened) == 1 and "/_runs/filled/run=r4/" in opened[0]

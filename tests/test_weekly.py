@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ringledger.plans import weekly
 from ringledger.plans.weekly import Folders, Job
-from ringledger.sources import files
+from ringledger.sources import files, manifest, versions
 from ringledger.schemas import PAGES, PAIR_STATS, WAREHOUSE
 from ringledger.operators import records
 from ringledger.streaming import actions
@@ -53,7 +53,7 @@ def make(spark, tmp_path):
 
 
 def warehouse(job, table):
-    return job.spark.read.parquet(f"{job.folders.at('warehouse')}/{table}")
+    return versions.read_current(job.spark, f"{job.folders.at('warehouse')}/{table}")
 
 
 def test_three_runs_and_a_repeat(spark, make):
