@@ -64,6 +64,25 @@ def stream_rejects(spark, d):
     return actions.read_slices(spark, f"{base}/rejects", {"message": "string"}).drop("query", "batch_id")
 
 
+@check(f"SELECT DISTINCT {_MESSAGE} FROM events")
+def stream_once(spark, d):
+    """Messages that are sent twice, in one batch and in two, and a batch that is delivered twice: every message is one row."""
+    base = shared_folder(spark)
+    write = actions.ledgered(actions.slice_writer(f"{base}/out"), f"{base}/ledger")
+    for part in (_EARLY, "true"):
+        twice = _messages(spark, d).filter(part)
+        _publish(twice.unionByName(twice.filter("event_type = 'view'")), f"{base}/in")
+        sent = actions.timed(actions.parsed(actions.file_messages(spark, f"{base}/in")))
+        rows = actions.once_per_message(sent, [f.name for f in ACTION.fields], "time", "100 days").drop("time")
+        actions.run_once(rows, write, f"{base}/checkpoint")
+    # the batches come again, and a slice is there that was never entered
+    place = f"query={actions.query_id(spark, f'{base}/checkpoint')}/batch_id="
+    again = actions.parsed(_messages(spark, d).select("value"))
+    write(again, f"{place}0")
+    actions.slice_writer(f"{base}/out")(again, f"{place}999")
+    return actions.committed(spark, f"{base}/out", f"{base}/ledger", _COLUMNS).drop("query", "batch_id")
+
+
 @check(
     """SELECT user_id::VARCHAR AS user_id FROM (SELECT DISTINCT ON (user_id) user_id, event_type FROM events
     ORDER BY user_id, ts DESC, event_id DESC) WHERE event_type = 'signup'"""

@@ -48,26 +48,65 @@ def _verify_settings(spark: SparkSession) -> None:
         raise ValueError(f"questions need a session with {', '.join(wrong)}")
 
 
-def _expressions(spark: SparkSession, analysed: JavaObject) -> Iterator[JavaObject]:
-    """All expressions of all nodes of a plan, and of the subqueries in them; a plan's text leaves out those of wide nodes."""
+def _parts(spark: SparkSession, plan: JavaObject) -> Iterator[tuple[JavaObject, bool]]:
+    """All nodes of a plan and of the subqueries in it, and all their expressions, marked as such; a plan's text leaves out
+    those of wide nodes."""
     gateway, package = spark.sparkContext._gateway, "org.apache.spark.sql.catalyst.expressions"
-    left = [analysed]
+    left = [plan]
     while left:
         node = left.pop()
+        is_expression = is_instance_of(gateway, node, f"{package}.Expression")
+        yield node, is_expression
         parts = [node.children()]
-        if not is_instance_of(gateway, node, f"{package}.Expression"):
+        if not is_expression:
             parts.append(node.expressions())
-        else:
-            yield node
-            if is_instance_of(gateway, node, f"{package}.PlanExpression"):
-                left.append(node.plan())
+        elif is_instance_of(gateway, node, f"{package}.PlanExpression"):
+            left.append(node.plan())
         left += [p.apply(i) for p in parts for i in range(p.length())]
 
 
+def _one_row(plan: JavaObject) -> bool:
+    most = plan.maxRows()
+    return most.isDefined() and most.get() <= 1
+
+
+def _equates(term: JavaObject, left: JavaObject, right: JavaObject) -> bool:
+    """Whether a condition demands that something of one side equals something of the other."""
+    if term.nodeName() == "And":
+        return _equates(term.left(), left, right) or _equates(term.right(), left, right)
+    if term.nodeName() not in ("EqualTo", "EqualNullSafe"):
+        return False
+    one, other = term.left().references(), term.right().references()
+    if one.isEmpty() or other.isEmpty():
+        return False
+    a, b = left.outputSet(), right.outputSet()
+    return (one.subsetOf(a) and other.subsetOf(b)) or (one.subsetOf(b) and other.subsetOf(a))
+
+
+def _verify_cost(result: DataFrame, most_bytes: int | None) -> None:
+    """Refuse products of tables, and scans of more than `most_bytes` together, before anything runs.
+
+    A join needs an equality between its sides, unless one of them is a single row. Sizes are the planner's estimates, after
+    filters on partitions and columns have been pushed into the scans.
+    """
+    scanned = 0
+    for node, is_expression in _parts(result.sparkSession, result._jdf.queryExecution().optimizedPlan()):
+        if is_expression:
+            continue
+        if node.nodeName() == "Join" and not (_one_row(node.left()) or _one_row(node.right())):
+            condition = node.condition()
+            if condition.isEmpty() or not _equates(condition.get(), node.left(), node.right()):
+                raise PermissionError("not allowed in a question: a join of two tables without an equality between them")
+        if node.children().isEmpty():
+            scanned += int(node.stats().sizeInBytes())
+    if most_bytes is not None and scanned > most_bytes:
+        raise PermissionError(f"a question may read {most_bytes} bytes, this one would read about {scanned}")
+
+
 def _verify_plan(result: DataFrame, views: Iterable[str] | None) -> None:
     """Refuse what the analysed plan reads besides views, and calls of the machine."""
     analysed = result._jdf.queryExecution().analyzed()
-    if found := {e.prettyName() for e in _expressions(result.sparkSession, analysed)} & set(REFUSED):
+    if found := {e.prettyName() for e, is_expression in _parts(result.sparkSession, analysed) if is_expression} & set(REFUSED):
         raise PermissionError(f"not allowed in a question: {', '.join(sorted(found))}")
     # a node's text begins with the name of what it reads, and subqueries have lines of their own
     plan = analysed.toString()
@@ -78,16 +117,23 @@ def _verify_plan(result: DataFrame, views: Iterable[str] | None) -> None:
         raise PermissionError(f"not a view of this question: {', '.join(sorted(found))}")
 
 
-def select(spark: SparkSession, sql: str, args: Mapping | None = None, views: Iterable[str] | None = None) -> DataFrame:
+def select(
+    spark: SparkSession,
+    sql: str,
+    args: Mapping | None = None,
+    views: Iterable[str] | None = None,
+    most_bytes: int | None = None,
+) -> DataFrame:
     """One SELECT over registered views, of the session or only the given ones.
 
-    Commands and several statements are syntax errors inside a subquery and never run. Files by path, catalog tables and
-    calls of the machine are refused. The session must have the settings in `NEEDED`, as `build_session` makes it:
+    Commands and several statements are syntax errors inside a subquery and never run. Files by path, catalog tables, calls
+    of the machine and products of tables are refused, and scans over `most_bytes`. The session must have the settings in `NEEDED`, as `build_session` makes it:
     otherwise a quoted column name would silently be text.
     """
     _verify_settings(spark)
     result = spark.sql(f"SELECT * FROM (\n{sql.strip().rstrip(';')}\n) AS answer", args=dict(args or {}))
     _verify_plan(result, views)
+    _verify_cost(result, most_bytes)
     return result
 
 
@@ -99,7 +145,12 @@ def last_result(spark: SparkSession, store: str) -> DataFrame | None:
 
 
 def answer(
-    spark: SparkSession, sql: str, store: str, args: Mapping | None = None, views: Iterable[str] | None = None
+    spark: SparkSession,
+    sql: str,
+    store: str,
+    args: Mapping | None = None,
+    views: Iterable[str] | None = None,
+    most_bytes: int | None = None,
 ) -> DataFrame:
     """As `select`, run once and stored below `store`, the shared folder of one user.
 
@@ -109,7 +160,7 @@ def answer(
     before = last_result(spark, store)
     if before is not None:
         before.createOrReplaceTempView(LAST_RESULT)
-    result = select(spark, sql, args, views)
+    result = select(spark, sql, args, views, most_bytes)
     names = [n if result.columns.index(n) == i else f"{n}_{i + 1}" for i, n in enumerate(result.columns)]
     result = result.toDF(*names)  # a question may name two columns alike, a stored table may not
     path = f"{store}/{uuid.uuid4().hex}"

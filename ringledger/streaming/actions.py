@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ringledger.operators.latest import newest_slice
 from ringledger.schemas import ACTION
-from ringledger.sources.files import read_table
+from ringledger.sources.files import exists, read_table
+from ringledger.sources.versions import names_in
 from ringledger.values import SUBSCRIBE, UNSUBSCRIBE
 
 KAFKA = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
@@ -95,11 +96,47 @@ def rejecting_writer(folder: str, rejects: str, schema: T.StructType = ACTION) -
     return write
 
 
+def ledgered(write: Writer, ledger: str) -> Writer:
+    """`write`, but once for each place: a batch that the ledger knows is not written again.
+
+    A place is entered by creating an empty file of its name when its rows are there, in one step. What was written without
+    being entered counts as not written: `committed` leaves such slices out, and the repeat of the batch replaces them.
+    """
+
+    def once(batch: DataFrame, place: str) -> None:
+        spark = batch.sparkSession
+        if exists(spark, f"{ledger}/{place}"):
+            return
+        write(batch, place)
+        entry = spark._jvm.org.apache.hadoop.fs.Path(f"{ledger}/{place}")
+        entry.getFileSystem(spark._jsc.hadoopConfiguration()).create(entry, True).close()
+
+    return once
+
+
+def committed(spark: SparkSession, folder: str, ledger: str, columns: Mapping[str, str]) -> DataFrame:
+    """The rows of the slices below `folder` that the ledger knows, with `query` and `batch_id`; the others are not opened."""
+    known = [f"{q}/{b}" for q in names_in(spark, ledger) for b in names_in(spark, f"{ledger}/{q}")]
+    ddl = T.StructType.fromDDL(", ".join([*(f"`{n}` {t}" for n, t in columns.items()), "query string, batch_id bigint"]))
+    if not known:
+        return spark.createDataFrame([], ddl)
+    return spark.read.schema(ddl).option("basePath", folder).parquet(*[f"{folder}/{place}" for place in known])
+
+
+def once_per_message(messages: DataFrame, key: Sequence[str], time: str, delay: str) -> DataFrame:
+    """Streamed messages without repeats of the key, in one batch or over batches and restarts.
+
+    A key is remembered until the newest message is `delay` later than it, which bounds the state.
+    """
+    return messages.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(key))
+
+
 def jdbc_writer(url: str, table: str, **options) -> Writer:
     """Batch sink that appends to a database table.
 
-    A replayed batch is appended again, as a database cannot overwrite one batch. `ever_subscribed` and
-    `current_subscribers` give the same users for repeated rows.
+    Use it with `ledgered`: a database cannot overwrite one batch, so a batch that is replayed would be appended again. What is
+    left is a failure between the rows and the ledger; `ever_subscribed` and `current_subscribers` give the same users for
+    repeated rows.
     """
 
     def write(batch: DataFrame, place: str) -> None:

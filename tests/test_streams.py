@@ -142,3 +142,27 @@ def test_actions_table_is_created_once(spark, tmp_path):
     tables.create_actions_table(spark, location=place)
     assert spark.table("user_actions").count() == 1
     spark.sql("DROP TABLE user_actions")
+
+
+def test_a_batch_is_written_once_and_unfinished_slices_are_not_read(spark, tmp_path):
+    out, ledger = str(tmp_path / "out"), str(tmp_path / "ledger")
+    df = spark.createDataFrame([("1", "a")], "user_id string, action string")
+    written = []
+
+    def write(batch, place):
+        written.append(place)
+        actions.slice_writer(out)(batch, place)
+        if len(written) == 2:
+            raise OSError("lost between the rows and the ledger")
+
+    once = actions.ledgered(write, ledger)
+    once(df, "query=q/batch_id=0")
+    once(df, "query=q/batch_id=0")
+    with pytest.raises(OSError):
+        once(df, "query=q/batch_id=1")
+    columns = {"user_id": "string", "action": "string"}
+    assert rows(actions.committed(spark, out, ledger, columns)) == [("1", "a", "q", 0)]
+    once(df, "query=q/batch_id=1")
+    assert written == ["query=q/batch_id=0", "query=q/batch_id=1", "query=q/batch_id=1"]
+    assert rows(actions.committed(spark, out, ledger, columns)) == [("1", "a", "q", 0), ("1", "a", "q", 1)]
+    assert actions.committed(spark, out, str(tmp_path / "none"), columns).collect() == []

@@ -118,3 +118,34 @@ def test_records_keep_nulls_and_an_empty_result_says_so(spark):
     assert [r.record for r in full.collect()] == ['{"name":"Ann","n":1,"note":null}']
     empty = tables.records_or_message(tables.select(spark, "SELECT * FROM people WHERE n = 5"))
     assert [r.record for r in empty.collect()] == ["No results found."]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "SELECT a.name FROM people a, people b",
+        "SELECT a.name FROM people a CROSS JOIN people b",
+        "SELECT a.name FROM people a JOIN people b ON a.n < b.n",
+        "SELECT a.name FROM people a LEFT JOIN people b ON a.n = 1",
+        "SELECT name FROM people WHERE n IN (SELECT a.n FROM people a, people b WHERE a.n + b.n = 3 OR a.name > b.name)",
+    ],
+)
+def test_products_are_refused_before_they_run(spark, text):
+    with pytest.raises(PermissionError, match="without an equality"):
+        tables.select(spark, text)
+
+
+def test_joins_with_an_equality_and_single_rows_are_answered(spark):
+    joined = "SELECT a.name FROM people a JOIN people b ON a.n = b.n + 1 AND a.name > b.name"
+    assert tables.select(spark, joined).collect() == [("Bea",)]
+    top = "SELECT name FROM people, (SELECT max(n) AS most FROM people) WHERE n = most OR n > most"
+    assert tables.select(spark, top).collect() == [("Bea",)]
+    assert tables.select(spark, "SELECT name FROM people WHERE n = (SELECT min(n) FROM people)").collect() == [("Ann",)]
+
+
+def test_a_scan_over_the_bound_is_refused(spark, tmp_path):
+    spark.range(100_000).write.parquet(str(tmp_path / "many"))
+    tables.register_views(spark, str(tmp_path), ["many"])
+    with pytest.raises(PermissionError, match="may read 1000 bytes"):
+        tables.select(spark, "SELECT sum(id) AS s FROM many", most_bytes=1_000)
+    assert tables.select(spark, "SELECT sum(id) AS s FROM many", most_bytes=10_000_000).collect() == [(4999950000,)]
