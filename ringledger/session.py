@@ -36,8 +36,24 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="ringledger-")
 
 
+_RUN = uuid.uuid4().hex
+_removed_at_end: set[str] = set()
+
+
+def _remove_at_end(spark: SparkSession, folder: str) -> None:
+    """The folder is removed when the driver's JVM ends."""
+    jvm = getattr(spark.sparkContext, "_jvm", None)
+    if jvm is None or folder in _removed_at_end:
+        return
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    _removed_at_end.add(folder)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the cluster's `spark.checkpoint.dir`.
+    """A new folder under the cluster's `spark.checkpoint.dir`, kept until the application ends.
 
     Where the setting is empty, a local master gets a temporary folder; on a cluster it is an error, since
     executors could not see a folder of the driver's machine.
@@ -47,4 +63,6 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = _local_folder()
-    return f"{base.rstrip('/')}/ringledger/{uuid.uuid4().hex}"
+    run = f"{base.rstrip('/')}/ringledger/{_RUN}"
+    _remove_at_end(spark, run)
+    return f"{run}/{uuid.uuid4().hex}"
