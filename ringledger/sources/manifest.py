@@ -5,12 +5,14 @@ it, and a repeat of the run writes both again. Runs with and without rows are in
 is found by names alone.
 """
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ringledger.sources import files
-from ringledger.sources.versions import names_in, remove
+from ringledger.sources.versions import names_in, remove, write_text
 
 RUNS = "_runs"
 LINE = T.StructType(
@@ -33,9 +35,8 @@ def write_run(df: DataFrame, path: str, run: str, value: str | None = None, plac
     top = F.max(at).cast("string") if place else none
     line = stored.agg(F.count(F.lit(1)).alias("rows"), last.alias("last"), top.alias("place")).first()
     kind, other = (_FILLED, _EMPTY) if line["rows"] else (_EMPTY, _FILLED)
-    lines = spark.createDataFrame([tuple(line)], LINE).coalesce(1)
-    lines.write.mode("overwrite").json(f"{path}/{kind}/run={run}")
-    remove(spark, f"{path}/{other}/run={run}")
+    write_text(spark, f"{path}/{kind}/run={run}.json", json.dumps(line.asDict(), ensure_ascii=False))
+    remove(spark, f"{path}/{other}/run={run}.json")
     return line["rows"]
 
 
@@ -45,14 +46,15 @@ def has_lines(spark: SparkSession, path: str) -> bool:
 
 def newest_run(spark: SparkSession, path: str, upto: str | None = None, before: str | None = None) -> str | None:
     """The newest run that has rows, up to or before a given one. Names of folders are listed, nothing is opened."""
-    runs = [n.removeprefix("run=") for n in names_in(spark, f"{path}/{_FILLED}")]
+    files_ = [n for n in names_in(spark, f"{path}/{_FILLED}") if n.startswith("run=") and n.endswith(".json")]
+    runs = sorted(n.removeprefix("run=").removesuffix(".json") for n in files_)
     runs = [r for r in runs if (upto is None or r <= upto) and (before is None or r < before)]
     return runs[-1] if runs else None
 
 
 def line_of(spark: SparkSession, path: str, run: str) -> DataFrame:
     """(rows, last, place) of a run with rows."""
-    return spark.read.schema(LINE).json(f"{path}/{_FILLED}/run={run}")
+    return spark.read.schema(LINE).json(f"{path}/{_FILLED}/run={run}.json")
 
 
 def last_of(spark: SparkSession, path: str, upto: str | None = None, before: str | None = None) -> DataFrame:

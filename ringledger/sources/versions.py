@@ -33,6 +33,16 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(place, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A file of one short text, in place of what is there."""
+    fs, place = _place(spark, path)
+    out = fs.create(place, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def _number(name: str) -> int:
     return int(name.split("-")[0])
 
@@ -56,8 +66,7 @@ def refresh(df: DataFrame, path: str) -> None:
     number = _number(before[-1]) + 1 if before else 1
     name = f"{number:012d}-{uuid.uuid4().hex}"
     df.write.parquet(f"{path}/{VERSIONS}/{name}")
-    fs, commit = _place(spark, f"{path}/{COMMITS}/{name}")
-    fs.create(commit, False).close()
+    write_text(spark, f"{path}/{COMMITS}/{name}", "")
     _tidy(spark, path, number)
 
 

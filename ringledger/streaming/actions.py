@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ringledger.operators.latest import newest_slice
 from ringledger.schemas import ACTION
 from ringledger.sources.files import exists, read_table
-from ringledger.sources.versions import names_in
+from ringledger.sources.versions import names_in, write_text
 from ringledger.values import SUBSCRIBE, UNSUBSCRIBE
 
 KAFKA = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
@@ -108,8 +108,7 @@ def ledgered(write: Writer, ledger: str) -> Writer:
         if exists(spark, f"{ledger}/{place}"):
             return
         write(batch, place)
-        entry = spark._jvm.org.apache.hadoop.fs.Path(f"{ledger}/{place}")
-        entry.getFileSystem(spark._jsc.hadoopConfiguration()).create(entry, True).close()
+        write_text(spark, f"{ledger}/{place}", "")
 
     return once
 
