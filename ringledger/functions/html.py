@@ -113,9 +113,14 @@ def attribute(fragment: Column, name: str) -> Column:
     return entities(bare, closed=True)
 
 
-def _table(pairs: dict[str, str]) -> Column:
+def _quoted(text: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + "".join(f"\\u{ord(c):04x}" if c in "\\'" or ord(c) < 32 else c for c in text) + "'"
+
+
+def _table(pairs: dict[str, str]) -> str:
     """Constant map, written as one text so that it adds one node to the plan."""
-    return F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in pairs.items())), F.lit("\x01"), F.lit("\x02"))
+    return f"str_to_map({_quoted(chr(1).join(f'{k}{chr(2)}{v}' for k, v in pairs.items()))}, {_quoted(chr(1))}, {_quoted(chr(2))})"
 
 
 # the names that pages use most, those of HTML 4, and all others; names that need no semicolon are short
@@ -125,45 +130,36 @@ _OPEN = {name: text for name, text in html5.items() if not name.endswith(";")}
 _SHORTEST, _LONGEST = min(map(len, _OPEN)), max(map(len, _OPEN))
 # byte values that old pages use with the meaning of the Windows code page
 _WINDOWS = {str(b): c for b in range(128, 160) if (c := bytes([b]).decode("cp1252", "ignore"))}
-_NO_CHARACTER = "\ufffd"
 _REFERENCE = "&#[0-9]+{end}|&#[xX][0-9a-fA-F]+{end}|&[A-Za-z][A-Za-z0-9]*{end}"
 
 
-def _character(number: Column) -> Column:
-    """The character of a reference by number, as HTML parsers read it; numbers of no character give none."""
-    valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-    control = number.between(0x1, 0x8) | (number == 0xB) | number.between(0xE, 0x1F) | (number == 0x7F)
-    no_text = control | number.between(0xFDD0, 0xFDEF) | ((number % 0x10000) >= 0xFFFE)
-    windows = F.try_element_at(_table(_WINDOWS), number.cast("string"))
-    plain = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    return F.when(~valid, _NO_CHARACTER).when(no_text, "").otherwise(F.coalesce(windows, plain))
-
+# A reference is decoded by one expression of many parts, which is written in SQL and parsed as a whole: built part by part, it
+# would take longer than most queries run.
 
-def _number(digits: Column, longest: int, value: Callable[[Column], Column]) -> Column:
-    """Value of digits without leading zeros; more digits than any character has stand for a number too large."""
-    return F.when(F.length(digits) <= longest, F.coalesce(value(digits), F.lit(0))).otherwise(0x110000).cast("bigint")
 
+def _character(digits: str, longest: int, value: str) -> str:
+    """The character of a reference by number, as HTML parsers read it; numbers of no character give none. More digits than
+    any character has, without leading zeros, stand for a number too large."""
+    return rf"""transform(array(CASE WHEN length({digits}) <= {longest} THEN coalesce({value}, 0L) ELSE 1114112L END), _number -> CASE
+        WHEN NOT (_number BETWEEN 1 AND 55295 OR _number BETWEEN 57344 AND 1114111) THEN '\ufffd'
+        WHEN _number BETWEEN 1 AND 8 OR _number = 11 OR _number BETWEEN 14 AND 31 OR _number = 127
+          OR _number BETWEEN 64976 AND 65007 OR _number % 65536 >= 65534 THEN ''
+        ELSE coalesce(try_element_at({_table(_WINDOWS)}, CAST(_number AS STRING)),
+          decode(unhex(lpad(hex(_number), 8, '0')), 'UTF-32')) END)[0]"""
 
-def _named(token: Column) -> Column:
-    """A reference by name; without a semicolon the longest name that it begins with."""
-    name = F.substring(token, 2, 40)
-    begun = [
-        F.concat(F.try_element_at(_table(_OPEN), F.substring(token, 2, n)), token.substr(F.lit(n + 2), F.length(token)))
-        for n in range(_LONGEST, _SHORTEST - 1, -1)
-    ]
-    known = F.coalesce(F.try_element_at(_table(_COMMON), name), F.try_element_at(_table(_NAMED), name))
-    return F.coalesce(known, *begun, token)
 
-
-def _entity(token: Column) -> Column:
-    decimal = F.regexp_extract(token, "^&#0*([0-9]*)", 1)
-    hexadecimal = F.regexp_extract(token, "^&#[xX]0*([0-9a-fA-F]*)", 1)
-    return (
-        F.when(~token.startswith("&"), token)
-        .when(token.rlike("^&#[0-9]"), _character(_number(decimal, 9, lambda x: x.try_cast("bigint"))))
-        .when(token.rlike("^&#[xX]"), _character(_number(hexadecimal, 8, lambda x: F.conv(x, 16, 10).try_cast("bigint"))))
-        .otherwise(_named(token))
-    )
+_DECIMAL, _HEXADECIMAL = (f"regexp_extract(_token, '{p}', 1)" for p in ("^&#0*([0-9]*)", "^&#[xX]0*([0-9a-fA-F]*)"))
+#: By name; without a semicolon the longest name that the reference begins with.
+_BEGUN = ", ".join(
+    f"concat(try_element_at({_table(_OPEN)}, substring(_token, 2, {n})), substring(_token, {n + 2}))"
+    for n in range(_LONGEST, _SHORTEST - 1, -1)
+)
+_ENTITY = rf"""_token -> CASE
+    WHEN NOT startswith(_token, '&') THEN _token
+    WHEN _token RLIKE '^&#[0-9]' THEN {_character(_DECIMAL, 9, f"try_cast({_DECIMAL} AS BIGINT)")}
+    WHEN _token RLIKE '^&#[xX]' THEN {_character(_HEXADECIMAL, 8, f"try_cast(conv({_HEXADECIMAL}, 16, 10) AS BIGINT)")}
+    ELSE coalesce(try_element_at({_table(_COMMON)}, substring(_token, 2, 40)),
+      try_element_at({_table(_NAMED)}, substring(_token, 2, 40)), {_BEGUN}, _token) END"""
 
 
 def entities(text: Column, closed: bool = False) -> Column:
@@ -176,7 +172,8 @@ def entities(text: Column, closed: bool = False) -> Column:
 
     def decoded(x: Column) -> Column:
         tokens = F.regexp_extract_all(x, F.lit(f"{reference}|[^&]+|&"), F.lit(0))
-        return F.when(x.contains("&"), F.array_join(F.transform(tokens, _entity), "")).otherwise(x)
+        decoded_tokens = F.call_function("transform", tokens, F.expr(_ENTITY))
+        return F.when(x.contains("&"), F.array_join(decoded_tokens, "")).otherwise(x)
 
     return _once(text, decoded)
 
