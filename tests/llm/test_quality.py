@@ -62,3 +62,20 @@ def test_line_labels(spark):
     field = Q.fit_quality(docs, labels, F.lit(True))
     got = plain.documents(spark).select("text", Q.line_labels(field)("text").alias("p")).collect()
     assert all(len(r["p"]) == len((r["text"] or "").split("\n")) for r in got)
+
+
+def test_scores_against_enumeration(spark):
+    """The score of whole texts from every labelling of their lines."""
+    field = Q.fit_quality(plain.table(spark, "documents"), plain.table(spark, "labels"), F.lit(True))
+    texts = [t for _, t in plain.texts(spark) if t.count("\n") <= 8][:40] + ["", "one line", "a\n\nb\na\n"]
+    assert sum("\n" in t for t in texts) > 5
+    for text, score in zip(texts, field.scores(texts), strict=True):
+        measures, lines, sizes = Q.measured([text])
+        unary = field.features(measures, Q.Chains(lines)) @ field.weights
+        good, total = np.zeros(len(unary)), 0.0
+        for labels in itertools.product((0, 1), repeat=len(unary)):
+            ties = sum(field.tie[a, b] for a, b in itertools.pairwise(labels))
+            weight = np.exp(np.dot(unary, labels) + ties)
+            good, total = good + weight * np.array(labels), total + weight
+        q = np.clip((good / total * sizes).sum() / sizes.sum(), 1e-4, 1 - 1e-4)
+        assert np.isclose(score, 1 / (1 + np.exp(-(field.slope * np.log(q / (1 - q)) + field.shift))))
