@@ -30,8 +30,8 @@ from ringledger.llm.common import blocks_of_texts, bounded_batches
 
 CHUNK_CHARS = 512
 WINDOW = 16
-KEPT_CHUNKS = 10_000
-KEPT_WORDS = 250_000
+KEPT_CHUNKS = 4_000
+KEPT_WORDS = 100_000
 #: Longer words and chunks are encoded each time, so that what is kept is bounded in bytes too.
 KEPT_WORD_CHARS, KEPT_CHUNK_CHARS = 64, 8 * CHUNK_CHARS
 #: Characters on either side of a cut that are encoded again at first, and tokens that have to agree.
