@@ -7,9 +7,10 @@ level that the pattern is in, so that a long page costs linear time and no Pytho
 """
 
 from collections.abc import Callable
+from functools import cache
 from html.entities import html5, name2codepoint
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ringledger.functions.text import trimmed
@@ -162,6 +163,12 @@ _ENTITY = rf"""_token -> CASE
       try_element_at({_table(_NAMED)}, substring(_token, 2, 40)), {_BEGUN}, _token) END"""
 
 
+@cache
+def _entity(application: str) -> Column:
+    """The expression, parsed once for each application."""
+    return F.expr(_ENTITY)
+
+
 def entities(text: Column, closed: bool = False) -> Column:
     """Character references decoded in one pass, so that a decoded `&` starts no other reference.
 
@@ -172,7 +179,7 @@ def entities(text: Column, closed: bool = False) -> Column:
 
     def decoded(x: Column) -> Column:
         tokens = F.regexp_extract_all(x, F.lit(f"{reference}|[^&]+|&"), F.lit(0))
-        decoded_tokens = F.call_function("transform", tokens, F.expr(_ENTITY))
+        decoded_tokens = F.call_function("transform", tokens, _entity(SparkSession.active().sparkContext.applicationId))
         return F.when(x.contains("&"), F.array_join(decoded_tokens, "")).otherwise(x)
 
     return _once(text, decoded)
