@@ -30,8 +30,10 @@ from ringledger.llm.common import blocks_of_texts, bounded_batches
 
 CHUNK_CHARS = 512
 WINDOW = 16
-KEPT_CHUNKS = 4_000
-KEPT_WORDS = 100_000
+KEPT_CHUNKS = 2_000
+KEPT_WORDS = 80_000
+#: Characters of texts that are cut into words at a time.
+AT_A_TIME = 1 << 18
 #: Longer words and chunks are encoded each time, so that what is kept is bounded in bytes too.
 KEPT_WORD_CHARS, KEPT_CHUNK_CHARS = 64, 8 * CHUNK_CHARS
 #: Characters on either side of a cut that are encoded again at first, and tokens that have to agree.
@@ -130,14 +132,13 @@ class Codec:
     """One tokenizer with what it has already encoded: ids as packed 32-bit numbers, beside the decoded text where tokens
     decode one by one."""
 
-    def __init__(self, path: str, mean: int = CHUNK_CHARS):
+    def __init__(self, path: str, mean: int = CHUNK_CHARS, by_words: bool | None = None):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.mean = mean
         self.chunks = Kept(KEPT_CHUNKS)
-        with open(path, encoding="utf-8") as f:
-            self.by_words = drops_blanks(json.load(f))
+        self.by_words = words_apart(path) if by_words is None else by_words
         # without a decoder the library joins tokens by spaces; otherwise it decodes itself
         self.names = None
         if self.tokenizer.decoder is None:
@@ -306,19 +307,29 @@ def _agree(one: tuple[list[int], list[int]], i: int | None, other: tuple[list[in
 
 
 @cache
-def codec(path: str) -> Codec:
+def words_apart(path: str) -> bool:
+    """Whether the tokenizer in a file lets words be encoded apart; reading the whole file takes more memory than its model, so
+    this is done by the driver."""
+    with open(path, encoding="utf-8") as f:
+        return drops_blanks(json.load(f))
+
+
+@cache
+def codec(path: str, by_words: bool) -> Codec:
     """One for each worker and tokenizer, so that what it has encoded serves all tasks of the worker."""
-    return Codec(path)
+    return Codec(path, by_words=by_words)
 
 
 def tokens(path: str) -> Column:
     """A function of a text column: struct of `ids` and the text `decoded` from these ids."""
+    by_words = words_apart(path)
+
     @F.arrow_udf("struct<ids:array<int>,decoded:string>")
     def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = codec(path)
+        own = codec(path, by_words)
         for batch in batches:
             texts, ids, sizes, decoded = batch.to_pylist(), [], [], []
-            for a, b in blocks_of_texts(texts, 1 << 20):
+            for a, b in blocks_of_texts(texts, AT_A_TIME):
                 for packed, text in own.encode(texts[a:b]):
                     sizes.append(len(packed) // 4)
                     decoded.append(text)
@@ -334,9 +345,11 @@ def tokens(path: str) -> Column:
 def decoded(path: str) -> Column:
     """A function of a column of ids: the text the library decodes from them, with special tokens; null ids give null."""
 
+    by_words = words_apart(path)
+
     @F.pandas_udf("string")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = codec(path)
+        own = codec(path, by_words)
         for batch in batches:
             yield batch.map(lambda ids: None if ids is None else own.decode([int(i) for i in ids]))
 

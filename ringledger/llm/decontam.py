@@ -166,7 +166,7 @@ def _hits(bits: np.ndarray, sizes: list[int]):
         hashes = WordHashes()
         for texts in batches:
             texts, out = [_normal(t) for t in texts], []
-            for a, b in blocks_of_texts(texts):
+            for a, b in blocks_of_texts(texts, 1 << 18):
                 owner, h = gram_hashes(texts[a:b], sizes, hashes)
                 near = _maybe(h, bits)
                 owner, h = owner[near], h[near].view(np.int64)

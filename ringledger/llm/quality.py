@@ -161,7 +161,7 @@ class Field:
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         out = np.zeros(len(texts))
-        for a, b in blocks_of_texts(texts):
+        for a, b in blocks_of_texts(texts, 1 << 18):
             odds = self.odds_of(*self.quality(*measured(texts[a:b])))
             out[a:b] = sigmoid(self.slope * odds + self.shift)
         return out
