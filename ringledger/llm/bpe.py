@@ -33,7 +33,7 @@ WINDOW = 16
 KEPT_CHUNKS = 2_000
 KEPT_WORDS = 80_000
 #: Characters of texts that are cut into words at a time.
-AT_A_TIME = 1 << 18
+AT_A_TIME = 1 << 20
 #: Longer words and chunks are encoded each time, so that what is kept is bounded in bytes too.
 KEPT_WORD_CHARS, KEPT_CHUNK_CHARS = 64, 8 * CHUNK_CHARS
 #: Characters on either side of a cut that are encoded again at first, and tokens that have to agree.
