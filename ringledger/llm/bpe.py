@@ -30,8 +30,8 @@ from ringledger.llm.common import blocks_of_texts, bounded_batches
 
 CHUNK_CHARS = 512
 WINDOW = 16
-KEPT_CHUNKS = 2_000
-KEPT_WORDS = 80_000
+KEPT_CHUNKS = 1_000
+KEPT_WORDS = 60_000
 #: Characters of texts that are cut into words at a time.
 AT_A_TIME = 1 << 20
 #: Longer words and chunks are encoded each time, so that what is kept is bounded in bytes too.

@@ -46,7 +46,7 @@ class WordHashes:
 
     def _grow(self, n: int) -> None:
         if n > len(self.powers):
-            n = max(n, 1 << 21)
+            n = max(n, 1 << 18)
             for name, base in (("powers", _BASE), ("inverses", pow(_BASE, -1, 1 << 64))):
                 factors = np.full(n, base, np.uint64)
                 factors[0] = 1
