@@ -271,14 +271,17 @@ def fight_sections(pages: DataFrame) -> DataFrame:
         all_headed = F.size(f"_rows{k}") == F.col(f"_headings{k}")
         return F.when(all_headed & F.forall(f"_rows{k}", lambda r: r.isNotNull()), F.flatten(f"_rows{k}"))
 
-    sections = rows.select(
-        *keep,
+    sections = [
         F.col("_rows0").alias("totals"),
         rounds(1).alias("round_totals"),
         F.col("_rows2").alias("strikes"),
         rounds(3).alias("round_strikes"),
-    )
-    return sections.withColumn("readable", reduce(and_, [F.col(c).isNotNull() for c in sections.columns[len(keep) :]]))
+    ]
+    # as a row of its own, since Spark would compute the sections many times over for a filter on a plain column
+    whole = rows.select(*keep, F.inline_outer(F.array(F.struct(*sections))))
+    names = whole.columns[len(keep) :]
+    readable = reduce(and_, [F.col(c).isNotNull() for c in names])
+    return whole.withColumn("readable", readable)
 
 
 def section_rows(sections: DataFrame, section: str, names: list[str], keys: list[str], by_round: bool) -> DataFrame:

@@ -185,6 +185,16 @@ def test_cells_in_passes_and_line_by_line_agree(spark):
     assert fast == slow == [["onetwothree", "4"], ["a\xa0b", "B"], [], ["open", "next"], ["", "3 < 4"]]
 
 
+def test_sections_are_computed_once_below_a_filter(spark):
+    pages = spark.createDataFrame([("N", 1, "")], "event string, fight_id int, html string")
+    sections = extract.fight_sections(pages)
+
+    def patterns(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(")
+
+    assert 0 < patterns(sections.filter("readable")) <= patterns(sections)
+
+
 def test_no_python_worker_in_extraction(spark):
     pages = spark.createDataFrame([("N", 1, "")], "event string, fight_id int, html string")
     plan = extract.fight_sections(pages)._jdf.queryExecution().executedPlan().toString()
