@@ -226,13 +226,15 @@ def _per_fighter(cells: Column, label: Column, at: tuple[int, int]) -> Column:
 
 # the word of a heading is written in this case only; its row is the next one, before any other heading
 _HEADING = r"<th\b[^>]*>[^<]*(?-i:Round)[^<]*"
-_HEADED_ROW = rf"(?is){_HEADING}(?:<(?!t[hr](?=[\s>/]))[^<]*+)*+{html.element_pattern('tr')}"
+_UP_TO_ROW = rf"(?is){_HEADING}(?:<(?!t[hr](?=[\s>/]))[^<]*+)*+"
+_HEADED_ROW = _UP_TO_ROW + html.element_pattern("tr")
 
 
 def _headed(part: Column) -> Column:
     """Label and stacked cells of the row below a round heading."""
     label = html.tight_text(F.regexp_extract(part, f"(?is){_HEADING}", 0))
-    return F.struct(label.alias("label"), html.stacked_cells(html.first(part, "tr"), CARD_CELL).alias("cells"))
+    row = F.regexp_extract(part, rf"{_UP_TO_ROW}(.*)", 1)
+    return F.struct(label.alias("label"), html.stacked_cells(row, CARD_CELL).alias("cells"))
 
 
 def fight_sections(pages: DataFrame) -> DataFrame:

@@ -185,6 +185,25 @@ def test_cells_in_passes_and_line_by_line_agree(spark):
     assert fast == slow == [["onetwothree", "4"], ["a\xa0b", "B"], [], ["open", "next"], ["", "3 < 4"]]
 
 
+def test_a_row_of_cells_is_read_in_few_passes(spark):
+    df = spark.createDataFrame([("",)], "html string").select(html.stacked_cells(F.col("html"), "c"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") <= 6  # with those of a line that is read by itself
+
+
+def test_cells_in_any_case_and_between_other_cells(spark):
+    cases = {
+        '<TR><Td CLASS="C"><P>\u2003Ann\u2003<P>Bea</P>x</tD><TH>no</TH><td class=\'c\'>\n<p><a href="/x"> 1 <i> 2 </i></a> </p>': [
+            ["Ann", "Bea"],
+            ["12"],
+        ],
+        '<tr><td class="c"><p> </p><p>a < b</p><td class="d"><p>no</p><td class="c">': [["", "a < b"], []],
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "html string")
+    got = df.select("html", html.stacked_cells(F.col("html"), "c")).collect()
+    assert dict(map(tuple, got)) == cases
+
+
 def test_sections_are_computed_once_below_a_filter(spark):
     pages = spark.createDataFrame([("N", 1, "")], "event string, fight_id int, html string")
     sections = extract.fight_sections(pages)
