@@ -148,6 +148,9 @@ class Codec:
             vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
             self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
             self.ends[[i for s, i in vocabulary.items() if s.endswith(_WORD_END)]] = True
+            names = [(self.names or {}).get(i, "") for i in range(len(self.ends))]
+            self.token_names = np.array(names, object)
+            self.name_sizes = np.array([len(n) for n in names], np.int64)
             # the merge table alone, for words that need no normaliser and no patterns
             self.merges = Tokenizer(self.tokenizer.model)
             self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
@@ -174,36 +177,46 @@ class Codec:
     def _learn(self, words: set[str]) -> list[str]:
         """Look up or encode the words; those that are too long to be kept are returned."""
         self.words.make_room()
-        new = words.difference(self.words)
-        self.words.update([(w, self.words.old[w]) for w in new if w in self.words.old])
-        new = new.difference(self.words)
-        letters = [m for m in map(_LETTERS.fullmatch, new) if m]
+        kept, old = self.words, self.words.old
+        new = [w for w in words if w not in kept]
+        kept.update([(w, old[w]) for w in new if w in old])
+        new = [w for w in new if w not in old]
         # apart, since the bytes of ASCII letters are written as they are
-        for part in ([m for m in letters if m[1].isascii()], [m for m in letters if not m[1].isascii()]):
+        ascii_letters, letters, other = [], [], []
+        for word in new:
+            found = _LETTERS.fullmatch(word)
+            if found is None:
+                other.append(word)
+            else:
+                stem, stop = found.groups()
+                (ascii_letters if stem.isascii() else letters).append((word, stem, stop))
+        for part in (ascii_letters, letters):
             for k in range(0, len(part), 4096):
                 self._learn_letters(part[k : k + 4096])
-        other = list(new.difference(self.words))
         for k in range(0, len(other), 4096):
             part = other[k : k + 4096]
             for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self.words[word] = self._packed(e.ids)
         return [w for w in new if len(w) > KEPT_WORD_CHARS]
 
-    def _learn_letters(self, found: list[re.Match]) -> None:
+    def _learn_letters(self, found: list[tuple[str, str, str]]) -> None:
         """Words of letters, with or without a stop behind them, through the merge table in one call."""
-        stems = " ".join([m[1] for m in found]).lower()
+        words, stems, ends = zip(*found, strict=True)
+        stems = " ".join(stems).lower()
         if not stems.isascii():
             stems = stems.encode().decode("latin-1").translate({**_BYTES, 32: 32})
         encoded, marks = self.merges.encode_batch_fast([stems, ". ,"], add_special_tokens=False)
         stops = {"": (b"", ""), **{c: (b, " " + t) for c, (b, t) in zip(".,", [self._packed([i]) for i in marks.ids], strict=True)}}
         ids = np.array(encoded.ids, np.int32)
-        flat, names = ids.tobytes(), self.names or {}
-        texts = [names.get(i, "") for i in encoded.ids]
-        at = 0
-        for m, end in zip(found, (np.flatnonzero(self.ends[ids]) + 1).tolist(), strict=True):
-            packed, text = stops[m[2]]
-            self.words[m[0]] = flat[4 * at : 4 * end] + packed, " ".join(texts[at:end]) + text
-            at = end
+        flat, texts = ids.tobytes(), " ".join(self.token_names[ids].tolist())
+        # a word is cut out of the ids and of the joined names of all words
+        to = np.flatnonzero(self.ends[ids]) + 1
+        texts_to = np.cumsum(self.name_sizes[ids] + 1)[to - 1]
+        at = text_at = 0
+        for word, stop, end, text_end in zip(words, ends, to.tolist(), texts_to.tolist(), strict=True):
+            packed, text = stops[stop]
+            self.words[word] = flat[4 * at : 4 * end] + packed, texts[text_at : text_end - 1] + text
+            at, text_at = end, text_end
 
     def _joined(self, words: list[str]) -> Encoded:
         if not words:
