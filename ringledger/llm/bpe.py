@@ -7,7 +7,7 @@ again, in a span that grows until its tokens agree exactly with those of the chu
 Agreement is looked for where white space begins behind a character that is none: the ids before and after such a place do not
 depend on each other as long as no pattern of the tokenizer goes on from such a character to white space. Where a tokenizer
 drops white space altogether (see `drops_blanks`), what is on both sides of it agrees by itself: the span is then the word
-around the cut, chunks are words with white space around, and a word is looked up before it is encoded.
+around the cut, chunks are words with white space around, and a match of the tokenizer's pattern is looked up before it is encoded.
 
 Chunks are reused by the worker that holds them, over all its tasks. Reuse over the whole cluster would shuffle every text
 and its ids (about four bytes a token) to save what the words' reuse already saves. What a worker keeps is bounded: when a
@@ -16,12 +16,13 @@ table is full, the one before it is given up, and entries that are used again mo
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
@@ -31,7 +32,9 @@ from ringledger.llm.common import blocks_of_texts, bounded_batches
 CHUNK_CHARS = 512
 WINDOW = 16
 KEPT_CHUNKS = 1_000
-KEPT_WORDS = 60_000
+KEPT_WORDS = 100_000
+#: Ids of the words in a table, so that long words fill it too.
+KEPT_IDS = 8 * KEPT_WORDS
 #: Characters of texts that are cut into words at a time.
 AT_A_TIME = 1 << 20
 #: Longer words and chunks are encoded each time, so that what is kept is bounded in bytes too.
@@ -39,12 +42,16 @@ KEPT_WORD_CHARS, KEPT_CHUNK_CHARS = 64, 8 * CHUNK_CHARS
 #: Characters on either side of a cut that are encoded again at first, and tokens that have to agree.
 REACH, AGREE = 48, 2
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_SPLIT = re.compile("[ \t\n\r]+")
-_LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+_BLANKS = " \t\n\r"
+_SPLIT = re.compile(f"[{_BLANKS}]+")
 _WORD_END = "</w>"
 #: Byte-level vocabularies write a byte that is no printable Latin-1 character as the next free character from 256 on.
 _PLAIN = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
 _BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+#: How a Latin-1 character is written in such a vocabulary, for those that are not written as they are.
+_WRITTEN = {chr(c): "".join(chr(_BYTES.get(b, b)) for b in chr(c).encode()) for c in range(256) if not 32 <= c < 127}
+_TO_WRITE = re.compile("[^ -~]")
+_NOT_LATIN = re.compile("[^\0-ÿ]")
 
 #: Settings under which white space is dropped: the normaliser turns it into a blank and composes nothing across it, and the
 #: patterns, of which only the matches are kept, match none. Fixed values of the tokenizer's file.
@@ -72,6 +79,10 @@ _BLANK_FREE = {
     "post_processor": None,
 }
 
+# the pattern of these settings over lower-case Latin-1, which the normaliser leaves as it is
+_LETTER, _DIGIT, _SPACE = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\\t-\\r \x85\xa0"
+_matches = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_SPACE}{_LETTER}{_DIGIT}]+").findall
+
 
 def drops_blanks(settings: dict) -> bool:
     """Whether the tokenizer drops white space and ends each word with a token of its own, so that words can be encoded apart."""
@@ -97,11 +108,20 @@ def cuts(text: str, mean: int = CHUNK_CHARS) -> list[int]:
     return (np.flatnonzero(h % np.uint64(mean) == 0) + WINDOW).tolist()
 
 
-def _words(chunk: str) -> list[str]:
-    """The chunk cut at white space: its first piece, whole words, its last piece; the outer ones may be empty."""
-    if "\n" in chunk or "\t" in chunk or "\r" in chunk or "  " in chunk:
-        return _SPLIT.split(chunk)
-    return chunk.split(" ")
+def _halves(chunk: str) -> tuple[str, str, str | None]:
+    """The chunk cut at white space: its first piece, the whole words, its last piece; the outer ones may be empty. A chunk
+    within one word has no last piece."""
+    blank = _SPLIT.search(chunk)
+    if blank is None:
+        return chunk, "", None
+    last = max(map(chunk.rfind, _BLANKS))
+    return chunk[: blank.start()], chunk[blank.start() : last], chunk[last + 1 :]
+
+
+def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all items of ranges, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Kept(dict):
@@ -125,12 +145,59 @@ class Kept(dict):
         return False
 
 
+class Words(dict):
+    """Numbers of words, given when a word is first asked for; `learn` adds the ids of the new ones, all in one array. Words of
+    the table before this one are taken from there."""
+
+    def __init__(self, old: "Words | None" = None):
+        super().__init__()
+        self.old, self.new, self.count = old, [], 0
+        self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = self.count
+        self.count += 1
+        self.new.append(word)
+        return number
+
+    def next(self) -> "Words":
+        """This table, or if it is full a new one that takes over what is used again."""
+        if len(self) <= KEPT_WORDS and len(self.ids) <= KEPT_IDS:
+            return self
+        self.old = None
+        return Words(self)
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one word after the other, and how many each has."""
+        sizes = self.sizes[numbers]
+        return self.ids[_ragged(self.starts[numbers], sizes)], sizes
+
+    def learn(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> list[str]:
+        """Add the ids of the new words: `encode` gives those of words that the table before does not have."""
+        new, self.new = self.new, []
+        if not new:
+            return new
+        was = np.array([-1 if self.old is None else self.old.get(w, -1) for w in new])
+        sizes = np.zeros(len(new), np.int64)
+        unknown = np.flatnonzero(was < 0)
+        ids, sizes[unknown] = encode([new[k] for k in unknown.tolist()])
+        known = np.flatnonzero(was >= 0)
+        if len(known):
+            moved, sizes[known] = self.old.of(was[known])
+            ids = np.concatenate([ids, moved])
+        order = np.concatenate([unknown, known])
+        starts = np.zeros(len(new), np.int64)
+        starts[order] = len(self.ids) + np.cumsum(sizes[order]) - sizes[order]
+        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, ids])
+        return new
+
+
 Encoded = tuple[bytes, str]
 
 
 class Codec:
-    """One tokenizer with what it has already encoded: ids as packed 32-bit numbers, beside the decoded text where tokens
-    decode one by one."""
+    """One tokenizer with what it has already encoded: ids as packed 32-bit numbers."""
 
     def __init__(self, path: str, mean: int = CHUNK_CHARS, by_words: bool | None = None):
         self.tokenizer = Tokenizer.from_file(path)
@@ -144,16 +211,16 @@ class Codec:
         if self.tokenizer.decoder is None:
             self.names = {i: s for s, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
         if self.by_words:
-            self.words: dict[str, Encoded] = Kept(KEPT_WORDS)
+            self.words = Words()
             vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
             self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
             self.ends[[i for s, i in vocabulary.items() if s.endswith(_WORD_END)]] = True
-            names = [(self.names or {}).get(i, "") for i in range(len(self.ends))]
-            self.token_names = np.array(names, object)
-            self.name_sizes = np.array([len(n) for n in names], np.int64)
+            self.marks = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
             # the merge table alone, for words that need no normaliser and no patterns
             self.merges = Tokenizer(self.tokenizer.model)
             self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        if self.names is not None:
+            self.token_names = pa.array([self.names.get(i, "") for i in range(max(self.names) + 1)], pa.string())
 
     def parts(self, text: str) -> list[str]:
         edges = [0, *cuts(text, self.mean), len(text)]
@@ -166,95 +233,120 @@ class Codec:
 
     def encode(self, texts: list[str | None]) -> list[Encoded]:
         """Ids and decoded text of each text, as the library gives them for the whole text."""
+        ids = self.ids_of(texts)
+        return list(zip(ids, self.texts_of(ids).to_pylist(), strict=True))
+
+    def ids_of(self, texts: list[str | None]) -> list[bytes]:
         self.chunks.make_room()
         return self._from_words(texts) if self.by_words else [self._from_spans(t or "") for t in texts]
 
+    def texts_of(self, packed: list[bytes]) -> pa.Array:
+        """The texts decoded from ids."""
+        if self.names is None:
+            return pa.array([self.decode(np.frombuffer(p, np.int32).tolist()) for p in packed], pa.string())
+        ids, offsets = _flat(packed)
+        return pc.binary_join(pa.ListArray.from_arrays(offsets, self.token_names.take(ids)), " ")
+
     # -- words apart
 
-    def _packed(self, ids: list[int]) -> Encoded:
-        return np.array(ids, np.int32).tobytes(), self.decode(ids)
-
-    def _learn(self, words: set[str]) -> list[str]:
-        """Look up or encode the words; those that are too long to be kept are returned."""
-        self.words.make_room()
-        kept, old = self.words, self.words.old
-        new = [w for w in words if w not in kept]
-        kept.update([(w, old[w]) for w in new if w in old])
-        new = [w for w in new if w not in old]
-        # apart, since the bytes of ASCII letters are written as they are
-        ascii_letters, letters, other = [], [], []
-        for word in new:
-            found = _LETTERS.fullmatch(word)
-            if found is None:
-                other.append(word)
-            else:
-                stem, stop = found.groups()
-                (ascii_letters if stem.isascii() else letters).append((word, stem, stop))
-        for part in (ascii_letters, letters):
-            for k in range(0, len(part), 4096):
-                self._learn_letters(part[k : k + 4096])
-        for k in range(0, len(other), 4096):
-            part = other[k : k + 4096]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.words[word] = self._packed(e.ids)
-        return [w for w in new if len(w) > KEPT_WORD_CHARS]
-
-    def _learn_letters(self, found: list[tuple[str, str, str]]) -> None:
-        """Words of letters, with or without a stop behind them, through the merge table in one call."""
-        words, stems, ends = zip(*found, strict=True)
-        stems = " ".join(stems).lower()
-        if not stems.isascii():
-            stems = stems.encode().decode("latin-1").translate({**_BYTES, 32: 32})
-        encoded, marks = self.merges.encode_batch_fast([stems, ". ,"], add_special_tokens=False)
-        stops = {"": (b"", ""), **{c: (b, " " + t) for c, (b, t) in zip(".,", [self._packed([i]) for i in marks.ids], strict=True)}}
-        ids = np.array(encoded.ids, np.int32)
-        flat, texts = ids.tobytes(), " ".join(self.token_names[ids].tolist())
-        # a word is cut out of the ids and of the joined names of all words
-        to = np.flatnonzero(self.ends[ids]) + 1
-        texts_to = np.cumsum(self.name_sizes[ids] + 1)[to - 1]
-        at = text_at = 0
-        for word, stop, end, text_end in zip(words, ends, to.tolist(), texts_to.tolist(), strict=True):
-            packed, text = stops[stop]
-            self.words[word] = flat[4 * at : 4 * end] + packed, texts[text_at : text_end - 1] + text
-            at, text_at = end, text_end
-
-    def _joined(self, words: list[str]) -> Encoded:
-        if not words:
-            return b"", ""
-        ids, texts = zip(*map(self.words.__getitem__, words), strict=True)
-        return b"".join(ids), " ".join(filter(None, texts))
-
-    def _from_words(self, texts: list[str | None]) -> list[Encoded]:
+    def _is_plain(self, text: str, lower: str) -> bool:
+        """Whether the text has Latin-1 characters only and no token of its own, so that the pattern can be used alone."""
+        if not text.isascii() and _NOT_LATIN.search(text):
+            return False
+        for mark in self.marks:
+            if mark in lower:
+                return False
+        return True
+
+    def _words_in(self, text: str) -> list[str]:
+        """The matches of the pattern; a word with other characters or with a token of its own is left whole."""
+        lower = text.lower()
+        if self._is_plain(text, lower):
+            return _matches(lower)
+        found = []
+        for word in _SPLIT.split(text):
+            if word:
+                lower = word.lower()
+                found += _matches(lower) if self._is_plain(word, lower) else [word]
+        return found
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, one after the other, and how many each has."""
+        sizes, parts = np.zeros(len(words), np.int64), []
+        joined = " ".join(words)
+        if self._is_plain(joined, joined):
+            plain = np.ones(len(words), dtype=bool)
+        else:
+            plain = np.array([self._is_plain(w, w.lower()) for w in words], dtype=bool)
+        places = {True: np.flatnonzero(plain), False: np.flatnonzero(~plain)}
+        for matched, at in places.items():
+            for k in range(0, len(at), 4096):
+                own = at[k : k + 4096]
+                part = [words[i] for i in own.tolist()]
+                ids, sizes[own] = self._merged(part) if matched else self._tokenized(part)
+                parts.append(ids)
+        ids = np.concatenate([np.zeros(0, np.int32), *parts])
+        order = np.concatenate([places[True], places[False]])
+        starts = np.zeros(len(words), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        return ids[_ragged(starts, sizes)], sizes
+
+    def _merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Matches of the pattern through the merge table in one call."""
+        joined = _TO_WRITE.sub(lambda c: _WRITTEN[c[0]], " ".join(words))
+        ids = np.array(self.merges.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int32)
+        return ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+
+    def _tokenized(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([i for ids in encoded for i in ids], np.int32), np.array([len(ids) for ids in encoded], np.int64)
+
+    def _pieces(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that begin and end with whole words."""
+        self.words = self.words.next()
+        number, numbers, upto = self.words.__getitem__, [], [0]
+        for text in texts:
+            numbers += map(number, self._words_in(text))
+            upto.append(len(numbers))
+        learned = self.words.learn(self._encode_words)
+        ids, sizes = self.words.of(np.array(numbers, np.int64))
+        ends = (4 * np.concatenate(([0], np.cumsum(sizes)))[upto]).tolist()
+        for word in learned:
+            if len(word) > KEPT_WORD_CHARS:
+                del self.words[word]
+        packed = ids.tobytes()
+        return [packed[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+    def _from_words(self, texts: list[str | None]) -> list[bytes]:
         pieces = [self.parts(t) if t else [] for t in texts]
-        # a chunk is its first piece, whole words, and its last piece; a chunk within one word has no last piece
-        split = {c: _words(c) for parts in pieces for c in parts if not self.chunks.holds(c)}
-        edges = {c: (w[0], w[-1] if len(w) > 1 else None) for c, w in split.items()}
-        joins = []
+        # a chunk is its first piece, whole words, and its last piece
+        split = {c: _halves(c) for parts in pieces for c in parts if not self.chunks.holds(c)}
+        joins, upto = [], [0]
         for parts in pieces:
-            held, join = [], []
+            held = []
             for c in parts:
-                first, last = edges[c] if c in edges else self.chunks[c][0]
+                first, last = split[c][::2] if c in split else self.chunks[c][0]
                 held.append(first)
                 if last is not None:
-                    join.append("".join(held))
+                    joins.append("".join(held))
                     held = [last]
-            joins.append([*join, "".join(held)])
-        long = self._learn(set().union(*[w[1:-1] for w in split.values()], *joins))
-        fresh = {c: (edges[c], self._joined(w[1:-1])) for c, w in split.items()}
+            joins.append("".join(held))
+            upto.append(len(joins))
+        ids = self._pieces([*joins, *[inner for _, inner, _ in split.values()]])
+        inner = dict(zip(split, ids[len(joins) :], strict=True))
         out = []
-        for parts, join in zip(pieces, joins, strict=True):
-            place, found = iter(join), []
+        for parts, a in zip(pieces, upto[:-1], strict=True):
+            found = [ids[a]]
             for c in parts:
-                (_, last), inner = fresh[c] if c in fresh else self.chunks[c]
+                if c in split:
+                    last, own = split[c][2], inner[c]
+                else:
+                    (_, last), own = self.chunks[c]
                 if last is not None:
-                    found += (self.words[next(place)], inner)
-            found.append(self.words[next(place)])
-            out.append((b"".join([f[0] for f in found]), " ".join([f[1] for f in found if f[1]])))
-        self.chunks.update([(c, e) for c, e in fresh.items() if len(c) <= KEPT_CHUNK_CHARS])
-        for word in long:
-            del self.words[word]
-        if self.names is None:
-            out = [(ids, self.decode(np.frombuffer(ids, np.int32).tolist())) for ids, _ in out]
+                    a += 1
+                    found += (own, ids[a])
+            out.append(b"".join(found))
+        self.chunks.update([(c, (split[c][::2], own)) for c, own in inner.items() if len(c) <= KEPT_CHUNK_CHARS])
         return out
 
     # -- spans around cuts
@@ -264,7 +356,7 @@ class Codec:
         e = self.tokenizer.encode(text, add_special_tokens=False)
         return e.ids, [a for a, _ in e.offsets]
 
-    def _from_spans(self, text: str) -> Encoded:
+    def _from_spans(self, text: str) -> bytes:
         ids, starts, cut = [], [], 0
         for chunk in self.parts(text):
             if self.chunks.holds(chunk):
@@ -279,7 +371,7 @@ class Codec:
             else:
                 ids, starts = list(own), own_starts
             cut += len(chunk)
-        return self._packed(ids)
+        return np.array(ids, np.int32).tobytes()
 
     def _repaired(self, text, cut, left, right, end):
         """The tokens up to `end` of what is left of a cut, and of the chunk right of it."""
@@ -302,6 +394,12 @@ class Codec:
             reach *= 2
 
 
+def _flat(packed: list[bytes]) -> tuple[pa.Array, pa.Array]:
+    """All ids, and where those of each text begin and end."""
+    offsets = np.concatenate(([0], np.cumsum([len(p) // 4 for p in packed]))).astype(np.int32)
+    return pa.array(np.frombuffer(b"".join(packed), np.int32)), pa.array(offsets)
+
+
 def _place(starts: list[int], at: int) -> int | None:
     """Number of the first token that begins at `at`."""
     k = int(np.searchsorted(starts, at))
@@ -341,16 +439,13 @@ def tokens(path: str) -> Column:
     def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(path, by_words)
         for batch in batches:
-            texts, ids, sizes, decoded = batch.to_pylist(), [], [], []
+            texts, ids, decoded = batch.to_pylist(), [], [pa.array([], pa.string())]
             for a, b in blocks_of_texts(texts, AT_A_TIME):
-                for packed, text in own.encode(texts[a:b]):
-                    sizes.append(len(packed) // 4)
-                    decoded.append(text)
-                    ids.append(packed)
-            flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
-            offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), flat)
-            yield pa.StructArray.from_arrays([lists, pa.array(decoded, pa.string())], ["ids", "decoded"])
+                packed = own.ids_of(texts[a:b])
+                ids += packed
+                decoded.append(own.texts_of(packed))
+            flat, offsets = _flat(ids)
+            yield pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, flat), pa.concat_arrays(decoded)], ["ids", "decoded"])
 
     return coded
 

@@ -92,3 +92,30 @@ def test_decode_column(spark, library):
 
 def test_empty(spark):
     assert bpe.encode_documents(plain.documents(spark, []), PATH).collect() == []
+
+
+def test_latin_characters_among_others(library):
+    latin = [chr(c) for c in range(256)]
+    texts = ["".join(latin), " ".join(latin), *[f"a{c}B 's{c}'S 1{c}{c}. x" for c in latin]]
+    texts += ["Été'S naïve<|EndOfText|>x <|endoftext|> don’t µß €5 É ét ́a"]
+    codec = bpe.Codec(PATH, 40)
+    for _ in range(2):
+        check(codec.encode([*texts, " ".join(texts)]), library, [*texts, " ".join(texts)])
+
+
+def test_words_that_differ_in_case_and_stops_are_learned_once(library):
+    codec = bpe.Codec(PATH)
+    stems = ["zyxwv" + chr(97 + k) for k in range(26)]
+    texts = [" ".join(f"{w} {w.title()}, ({w}). {w.upper()}!" for w in stems)]
+    check(codec.encode(texts), library, texts)
+    assert len(codec.words) < 2 * len(stems)
+
+
+def test_words_of_the_table_before_are_taken_over(library, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 3)
+    codec, encoded = bpe.Codec(PATH), []
+    encode = codec._encode_words
+    codec._encode_words = lambda words: (encoded.extend(words), encode(words))[1]
+    for texts in (["first fight of many rounds"], ["first fight"], ["many new fights"]):
+        check(codec.encode(texts), library, texts)
+    assert sorted(encoded) == sorted(["first", "fight", "of", "many", "rounds", "new", "fights"])
