@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from ringledger.llm.common import blocks_of_texts, bounded_batches
+from ringledger.llm.common import blocks_of_texts, bounded_batches, lent
 
 CHUNK_CHARS = 512
 WINDOW = 16
@@ -36,7 +36,7 @@ KEPT_WORDS = 100_000
 #: Ids of the words in a table, so that long words fill it too.
 KEPT_IDS = 8 * KEPT_WORDS
 #: Characters of texts that are cut into words at a time.
-AT_A_TIME = 1 << 20
+AT_A_TIME = 1 << 18
 #: Longer words and chunks are encoded each time, so that what is kept is bounded in bytes too.
 KEPT_WORD_CHARS, KEPT_CHUNK_CHARS = 64, 8 * CHUNK_CHARS
 #: Characters on either side of a cut that are encoded again at first, and tokens that have to agree.
@@ -438,7 +438,7 @@ def tokens(path: str) -> Column:
     @F.arrow_udf("struct<ids:array<int>,decoded:string>")
     def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(path, by_words)
-        for batch in batches:
+        for batch in lent(batches):
             texts, ids, decoded = batch.to_pylist(), [], [pa.array([], pa.string())]
             for a, b in blocks_of_texts(texts, AT_A_TIME):
                 packed = own.ids_of(texts[a:b])

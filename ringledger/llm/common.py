@@ -3,6 +3,7 @@
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,13 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def lent(batches: Iterator) -> Iterator:
+    """The batches of a worker, in memory of the system's own allocator: workers stay for later stages, and Arrow's default pool
+    would keep the most that any batch took."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    yield from batches
+
+
 def remainder(id_col: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo `divisor`; null for a null id."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % divisor

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringledger.llm.common import blocks_of_texts, bounded_batches, stored, unused
+from ringledger.llm.common import blocks_of_texts, bounded_batches, lent, stored, unused
 
 SHINGLE_WORDS = 5
 MIN_CONTAINMENT = 0.8
@@ -164,7 +164,7 @@ def _hits(bits: np.ndarray, sizes: list[int]):
     @F.pandas_udf("array<long>")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         hashes = WordHashes()
-        for texts in batches:
+        for texts in lent(batches):
             texts, out = [_normal(t) for t in texts], []
             for a, b in blocks_of_texts(texts, 1 << 18):
                 owner, h = gram_hashes(texts[a:b], sizes, hashes)
@@ -183,7 +183,7 @@ def _shared(words: int):
 
     @F.pandas_udf("struct<n_shingles:long,n_shared:long>")
     def counted(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, items in batches:
+        for texts, items in lent(batches):
             rows, last, held = [], None, {}
             for text, item in zip(texts, items, strict=True):
                 if text is not last and text != last:  # rows of one document stand together

@@ -16,7 +16,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringledger.llm.common import Adam, agreed_labels, blocks_of_texts, bounded_batches, first_by_hash, logistic, one_of_each_id, sigmoid
+from ringledger.llm.common import (
+    Adam,
+    agreed_labels,
+    blocks_of_texts,
+    bounded_batches,
+    first_by_hash,
+    lent,
+    logistic,
+    one_of_each_id,
+    sigmoid,
+)
 
 SAMPLE = 1_200
 THRESHOLD = 0.3
@@ -187,7 +197,7 @@ def fit_quality(
 
     @F.pandas_udf("struct<measures:binary,sizes:binary>")
     def lines_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
+        for texts in lent(batches):
             done = [measured([t]) for t in texts]
             yield pd.DataFrame(
                 {"measures": [m.astype(np.float32).tobytes() for m, _, _ in done], "sizes": [s.tobytes() for _, _, s in done]},
@@ -213,7 +223,7 @@ def quality_score(field: Field):
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
+        for texts in lent(batches):
             yield pd.Series(field.scores(texts.tolist()))
 
     return score

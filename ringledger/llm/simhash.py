@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringledger.llm.common import blocks_of_texts, bounded_batches, stored, unused, whole_row
+from ringledger.llm.common import blocks_of_texts, bounded_batches, lent, stored, unused, whole_row
 from ringledger.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -71,7 +71,7 @@ def fingerprints_of(texts: list[str | None], size: int = SHINGLE_WORDS) -> np.nd
 def fingerprint_column(size: int = SHINGLE_WORDS):
     @F.pandas_udf("long")
     def fingerprint(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
+        for texts in lent(batches):
             yield pd.Series(fingerprints_of([t or None for t in texts], size).view(np.int64))
 
     return fingerprint

@@ -1,11 +1,15 @@
+from collections.abc import Iterator
+
+import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
 from ringledger.llm import quality
-from ringledger.llm.common import remainder
+from ringledger.llm.common import lent, remainder
 from tests.llm import plain
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -62,3 +66,14 @@ def test_run(spark):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, plain.SMALL)
     assert plain.rows(P.run(spark, plain.SMALL)) == plain.rows(docs)
+
+
+def test_workers_keep_no_pool_of_freed_memory(spark):
+    docs = odd(spark)
+
+    @F.pandas_udf("string")
+    def pool(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in lent(batches):
+            yield batch.map(lambda _: pa.default_memory_pool().backend_name)
+
+    assert {r[0] for r in docs.select(pool(F.lit("x"))).collect()} == {"system"}
