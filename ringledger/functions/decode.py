@@ -83,6 +83,11 @@ def event_date(c: Column | str) -> Column:
     )
 
 
+# all text that a cast takes for a whole number, and some more; other text is not given to it, since a failing cast costs
+# an exception
+_WHOLE = r"\A[\x00-\x20\x7f]*+[+-]?[0-9.]++[\x00-\x20\x7f]*+\z"
+
+
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Raw text columns to the types of `schema`; a cell that does not fit is NULL, the row stays.
 
@@ -95,6 +100,8 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
             cell = F.nullif(cell, F.lit(""))
             if isinstance(field.dataType, T.DateType):
                 return F.coalesce(event_date(cell), cell.try_cast("date")).alias(field.name)
+            if isinstance(field.dataType, T.IntegralType):
+                return F.when(cell.rlike(_WHOLE), cell.try_cast(field.dataType)).alias(field.name)
         return cell.try_cast(field.dataType).alias(field.name)
 
     return df.select(*[convert(f) for f in schema.fields])

@@ -123,7 +123,9 @@ def directory_fighters(pages: DataFrame) -> DataFrame:
     """Fighter rows of the directory pages; pages without a table and rows with under 11 cells give nothing."""
     body = html.first(html.markup(F.col("html")), "tbody")
     rows = pages.select(F.explode_outer(html.elements(body, "tr", LIST_ROW)).alias("row"))
-    cells = rows.select(html.elements(F.col("row"), "td", LIST_CELL).alias("cells")).filter(F.size("cells") >= 11)
+    # as rows of their own, since Spark would find the cells once more for a filter on a plain column
+    cells = rows.select(F.explode_outer(F.array(html.elements(F.col("row"), "td", LIST_CELL))).alias("cells"))
+    cells = cells.filter(F.size("cells") >= 11)
     texts = cells.select("cells", F.transform("cells", html.tight_text).alias("t"))
 
     def t(i: int) -> Column:

@@ -91,6 +91,16 @@ def test_typed_keeps_rows_whose_cells_do_not_fit(spark):
     assert row.last_run == dt.datetime(2025, 5, 24, 12, 43, 40, 469210)
 
 
+def test_only_text_like_a_whole_number_is_cast(spark):
+    """A cast that fails costs an exception, so text such as '3 of 4' is not given to it; the values are those of the cast."""
+    given = ["7", " 7 ", "+7", "-7", "\t7\n", "007", "7\x7f", "2147483648", "7.0", ".7", "3 of 4", "--", "-", "7 7", "\xa07", "", None]
+    raw = spark.createDataFrame([(i, g) for i, g in enumerate(given)], "i int, x string")
+    schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("x", T.IntegerType())])
+    df = decode.typed(raw, schema)
+    assert [r.x for r in df.orderBy("i").collect()] == [7, 7, 7, -7, 7, 7, 7] + [None] * 10
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 1
+
+
 @pytest.mark.parametrize("fraction", [".123456", ".12345", ""])
 def test_csv_scan(spark, tmp_path, fraction):
     path = tmp_path / "events.csv"

@@ -106,6 +106,12 @@ def test_directory(spark):
     ]
 
 
+def test_cells_of_the_directory_are_found_once(spark):
+    """The filter on the number of cells does not compute them a second time."""
+    df = extract.directory_fighters(page_frame(spark, ""))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("(?i)<td(?=") == 1
+
+
 FIGHTS = [
     ("win", "Ann A", "Bea B", "Lightweight", "KO/TKO", "Punches", "1", "3:39", ["belt.png", "perf.png"], "http://d/1"),
     ("nc", "Cid C", "Dan D", "Open Weight", "U-DEC", "", "3", "5:00", ["fight.png"], "http://d/2"),
